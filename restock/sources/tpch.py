@@ -158,3 +158,27 @@ def actual_demand(demand_df: DataFrame, warehouses_df: DataFrame) -> DataFrame:
     return (d.join(warehouses_df.select("warehouse_id", "source_ord"), "warehouse_id")
             .select(*S, (F.col("_d") * (5 + (3 * b + n) % 11).cast("double") / 10)
                     .alias("actual_demand")))
+
+
+def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observed lanes: units moved from the supplier's warehouse to the
+    customer's warehouse, per SKU (source of C7-C9 and H1-H3 queries).
+
+    line item -> order -> customer gives the destination; the aggregate is
+    partial, so after the joins each task ships one row per lane.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
+                                                 "l_quantity")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+           .join(cust, F.col("o_custkey") == cust.c_custkey)
+           .join(sup, li.l_suppkey == sup.s_suppkey)
+           .join(part, li.l_partkey == part.p_partkey))
+    return (j.groupBy(wh_id(F.col("s_nationkey")).alias("from_wh"),
+                      wh_id(F.col("c_nationkey")).alias("to_wh"),
+                      F.col("p_brand").alias("sku_id"))
+            .agg(F.sum(F.col("l_quantity").cast("long")).alias("units"),
+                 F.count(F.lit(1)).alias("n_lines")))
