@@ -1,0 +1,189 @@
+"""Cost-minimal transfer plan (J2, J4) and its day assignment (J3 in plan.py).
+
+The model minimises  sum(rate * km * units) + sum(stockout penalty * unmet
+units)  subject to source stock and the shelf-life rule. Without the daily
+capacity rows (handled afterwards by ``capacity_days``) nothing links two
+SKUs, so the problem splits into one transportation problem per SKU:
+Spark shuffles the cells by SKU and each group is solved in its task.
+
+A SKU group holds at most one row per warehouse (its cells), so a group's
+size is bounded by the number of warehouses, not by the data volume.
+
+The per-group solver is successive shortest paths on a min-cost flow:
+  source -> warehouse i       capacity = stock_i, cost 0
+  warehouse i -> warehouse j  capacity = inf,     cost = rate * km_ij
+                               (only if the SKU survives j's lead time and
+                                rate * km_ij < penalty_j)
+  warehouse j -> sink         capacity = floor(short_j), cost = -penalty_j
+  warehouse j -> sink         capacity = 1,  cost = -frac(short_j) * penalty_j
+Augmenting stops when the cheapest path no longer lowers the cost, which
+gives an integral optimum (network matrices are totally unimodular).
+"""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from restock.functions import costs as C
+
+MILP_RATE_PER_KM = 1.5   # the model's per-unit transport rate (fixed value)
+
+_ARCS = T.StructType([T.StructField("sku_id", T.StringType()),
+                      T.StructField("from_wh", T.StringType()),
+                      T.StructField("to_wh", T.StringType()),
+                      T.StructField("qty", T.LongType())])
+
+
+def _haversine(lat1, lon1, lat2, lon2):
+    dlat = np.radians(lat2 - lat1)
+    dlon = np.radians(lon2 - lon1)
+    a = np.sin(dlat / 2) ** 2 + np.cos(np.radians(lat1)) * np.cos(np.radians(lat2)) * np.sin(dlon / 2) ** 2
+    return 6371.0 * 2 * np.arctan2(np.sqrt(a), np.sqrt(1 - a))
+
+
+def solve_transport(supply: np.ndarray, short: np.ndarray, penalty: np.ndarray,
+                    cost: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+    """Integral min-cost transfers for one SKU.
+
+    supply[i] units at source i, short[j] (fractional) units missing at j,
+    penalty[j] per missing unit, cost[i, j] per unit shipped, allowed[i, j]
+    arcs. Returns x[i, j] (int). Ties break by arc order (lowest i, j).
+    """
+    ns, nd = len(supply), len(short)
+    # node ids: 0 = source, 1..ns = sources, ns+1..ns+nd = destinations, last = sink
+    snk = ns + nd + 1
+    n = snk + 1
+    to, cap, cst, head, nxt = [], [], [], [-1] * n, []
+
+    def add(u, v, c, w):
+        for a, b, cc, ww in ((u, v, c, w), (v, u, 0, -w)):
+            to.append(b); cap.append(cc); cst.append(ww); nxt.append(head[a]); head[a] = len(to) - 1
+
+    big = int(supply.sum()) + 1
+    for i in range(ns):
+        if supply[i] > 0:
+            add(0, 1 + i, int(supply[i]), 0.0)
+    arc_id = {}
+    for i in range(ns):
+        for j in range(nd):
+            if allowed[i, j] and cost[i, j] < penalty[j]:
+                arc_id[(i, j)] = len(to)
+                add(1 + i, 1 + ns + j, big, float(cost[i, j]))
+    for j in range(nd):
+        whole = int(math.floor(short[j]))
+        frac = float(short[j]) - whole
+        if whole > 0:
+            add(1 + ns + j, snk, whole, -float(penalty[j]))
+        if frac > 1e-12:
+            add(1 + ns + j, snk, 1, -frac * float(penalty[j]))
+
+    while True:  # Bellman-Ford shortest path in the residual graph
+        dist = [math.inf] * n
+        prev = [-1] * n
+        dist[0] = 0.0
+        for _ in range(n - 1):
+            changed = False
+            for u in range(n):
+                if dist[u] == math.inf:
+                    continue
+                e = head[u]
+                while e != -1:
+                    if cap[e] > 0 and dist[u] + cst[e] < dist[to[e]] - 1e-12:
+                        dist[to[e]] = dist[u] + cst[e]
+                        prev[to[e]] = e
+                        changed = True
+                    e = nxt[e]
+            if not changed:
+                break
+        if dist[snk] >= -1e-12:
+            break
+        push, v = math.inf, snk
+        while v != 0:
+            e = prev[v]
+            push = min(push, cap[e])
+            v = to[e ^ 1]
+        v = snk
+        while v != 0:
+            e = prev[v]
+            cap[e] -= push
+            cap[e ^ 1] += push
+            v = to[e ^ 1]
+    x = np.zeros((ns, nd), dtype=np.int64)
+    for (i, j), e in arc_id.items():
+        x[i, j] = cap[e ^ 1]   # flow on an arc = capacity of its reverse
+    return x
+
+
+def min_cost_transfers(cells: DataFrame, unit_rate_per_km: float = MILP_RATE_PER_KM) -> DataFrame:
+    """Transfers (sku_id, from_wh, to_wh, qty) of the cost-minimal plan.
+
+    ``cells``: rows of ``plan.cells`` (stock, demand, lead time, penalty,
+    coordinates, shelf life per warehouse x SKU).
+    """
+    cols = ["sku_id", "warehouse_id", "source_ord", "current_stock", "demand", "lead_time_days",
+            "stockout_cost_per_unit", "latitude", "longitude", "perishability_ttl_days"]
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("source_ord").reset_index(drop=True)
+        stock = pdf["current_stock"].to_numpy(dtype=float)
+        short = np.maximum(pdf["demand"].to_numpy(dtype=float) - stock, 0.0)
+        src = np.flatnonzero(stock > 0)
+        dst = np.flatnonzero(short > 0)
+        if len(src) == 0 or len(dst) == 0:
+            return pd.DataFrame(columns=[f.name for f in _ARCS.fields])
+        lat, lon = pdf["latitude"].to_numpy(float), pdf["longitude"].to_numpy(float)
+        km = _haversine(lat[src][:, None], lon[src][:, None], lat[dst][None, :], lon[dst][None, :])
+        ttl = pdf["perishability_ttl_days"].to_numpy(dtype=float)
+        lead = pdf["lead_time_days"].to_numpy(dtype=float)
+        ok_dst = np.isnan(ttl[dst]) | (lead[dst] <= ttl[dst])
+        allowed = (src[:, None] != dst[None, :]) & ok_dst[None, :]
+        x = solve_transport(stock[src].astype(np.int64), short[dst],
+                            pdf["stockout_cost_per_unit"].to_numpy(float)[dst],
+                            unit_rate_per_km * km, allowed)
+        ii, jj = np.nonzero(x)
+        wh = pdf["warehouse_id"].to_numpy()
+        return pd.DataFrame({"sku_id": pdf["sku_id"].iloc[0], "from_wh": wh[src[ii]],
+                             "to_wh": wh[dst[jj]], "qty": x[ii, jj].astype(np.int64)})
+
+    return cells.select(*cols).groupBy("sku_id").applyInPandas(solve, _ARCS)
+
+
+def min_cost_plan(cells: DataFrame, warehouses: DataFrame, skus: DataFrame, start_date: str,
+                  unit_rate_per_km: float = MILP_RATE_PER_KM,
+                  plan_id: str = "PLAN-MINCOST") -> DataFrame:
+    """The cost-minimal plan in the plan table's shape (J2); every transfer
+    ships on ``start_date`` and ``capacity_days`` spreads them over days."""
+    t = min_cost_transfers(cells, unit_rate_per_km)
+    a = warehouses.select(F.col("warehouse_id").alias("from_wh"),
+                          F.col("latitude").alias("_lat1"), F.col("longitude").alias("_lon1"))
+    b = warehouses.select(F.col("warehouse_id").alias("to_wh"), "lead_time_days",
+                          F.col("latitude").alias("_lat2"), F.col("longitude").alias("_lon2"))
+    sk = skus.select("sku_id", "volume_m3_per_unit", "weight_kg_per_unit")
+    start = F.lit(start_date).cast("date")
+    km = C.haversine_km("_lat1", "_lon1", "_lat2", "_lon2")
+    return t.join(a, "from_wh").join(b, "to_wh").join(sk, "sku_id").select(
+        F.lit(plan_id).alias("plan_id"), start.alias("run_date"), "from_wh", "to_wh", "sku_id",
+        "qty", start.alias("ship_date"),
+        F.date_add(start, F.col("lead_time_days")).alias("expected_arrival"),
+        F.lit("Medium").alias("truck_type"), F.lit(None).cast("string").alias("driver_id"),
+        C.transport_cost(km, "qty", "volume_m3_per_unit", "weight_kg_per_unit", "Medium")
+         .alias("estimated_cost"),
+        F.lit("OPTIMIZATION").alias("reason_code"))
+
+
+def plan_with_method(method: str, cells: DataFrame, warehouses: DataFrame, skus: DataFrame,
+                     inventory: DataFrame, forecasts: DataFrame, start_date: str,
+                     horizon_days: int = 14, unit_rate_per_km: float = MILP_RATE_PER_KM) -> DataFrame:
+    """Pick the planner by name: ``"min_cost"`` or ``"greedy"``."""
+    from restock.operators.plan import greedy_plan
+    if method == "min_cost":
+        return min_cost_plan(cells, warehouses, skus, start_date, unit_rate_per_km)
+    if method == "greedy":
+        return greedy_plan(warehouses, skus, inventory, forecasts, start_date, horizon_days)
+    raise ValueError(f"unknown planning method: {method}")

@@ -1,0 +1,92 @@
+"""Risk bands of a plan over many random worlds (K4).
+
+Every random number is a function of (seed, scenario, row key, tag) through
+``xxhash64``, turned into a uniform and then a normal by Box-Muller, so the
+answer is the same at any partition count or retry (``rand``/``randn``
+depend on the partitioning and are never used).
+
+Per scenario: lead time = max(1, int(L + N(0, 0.2 L))) for each transfer,
+demand = lognormal(ln(max(f, 1)), 0.3) for each receiving cell; then the
+same outcome and service rules as ``execution`` are applied, and the
+scenario totals are summarised with ``percentile_approx``.
+
+Scenarios multiply the plan and cell rows by ``explode(sequence)``; each
+aggregation is by (plan, scenario) and then by plan.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from restock import S
+from restock.functions import costs as C
+from restock.operators.features import latest_inventory
+from restock.operators.plan import cell_demand
+
+LEAD_TIME_SPREAD = 0.2
+DEMAND_SIGMA = 0.3
+
+
+def uniform(*keys) -> Column:
+    """A uniform in (0, 1] from hashed keys (53 random bits)."""
+    h = F.xxhash64(*keys)
+    return (F.shiftrightunsigned(h, 11).cast("double") + 1.0) / float(2 ** 53)
+
+
+def normal(*keys) -> Column:
+    """A standard normal from two hashed uniforms (Box-Muller)."""
+    u1 = uniform(*keys, F.lit("u1"))
+    u2 = uniform(*keys, F.lit("u2"))
+    return F.sqrt(-2.0 * F.log(u1)) * F.cos(2 * math.pi * u2)
+
+
+def risk_bands(plan: DataFrame, warehouses: DataFrame, skus: DataFrame, inventory: DataFrame,
+               forecasts: DataFrame, scenarios: int = 200, seed: int = 42,
+               quantiles=(0.05, 0.5, 0.95)) -> DataFrame:
+    scen = F.explode(F.sequence(F.lit(0), F.lit(scenarios - 1))).alias("scenario")
+    sk = skus.select("sku_id", "perishability_ttl_days", "unit_cost")
+    wh = warehouses.select(F.col("warehouse_id").alias("to_wh"), "lead_time_days")
+    p = plan.join(sk, "sku_id").join(wh, "to_wh").select("*", scen)
+    z = normal(F.lit(seed), F.col("scenario"), F.col("plan_id"), F.col("from_wh"),
+               F.col("to_wh"), F.col("sku_id"), F.lit("lead"))
+    lead = F.col("lead_time_days").cast("double")
+    drawn = F.greatest(F.lit(1), (lead + z * (LEAD_TIME_SPREAD * lead)).cast("int"))
+    p = p.withColumn("actual_lead_time", drawn)
+    waste = C.waste_units("qty", "perishability_ttl_days", "actual_lead_time")
+    t = p.select("plan_id", "scenario", F.col("to_wh").alias("warehouse_id"), "sku_id",
+                 F.coalesce(F.col("estimated_cost"), F.lit(0.0)).alias("transport_cost"),
+                 (waste * F.col("unit_cost")).alias("waste_cost"),
+                 (F.col("qty") - waste).alias("received"))
+    cost = t.groupBy("plan_id", "scenario").agg(
+        F.sum(F.col("transport_cost") + F.col("waste_cost")).alias("total_cost"))
+    cellrecv = t.groupBy("plan_id", "scenario", *S).agg(F.sum("received").alias("received"))
+
+    stock = latest_inventory(inventory).select(*S, "quantity_available")
+    dem = cell_demand(forecasts)
+    c = cellrecv.join(stock, S, "left").join(dem, S, "left")
+    zd = normal(F.lit(seed), F.col("scenario"), F.col("warehouse_id"), F.col("sku_id"),
+                F.lit("demand"))
+    mu = F.log(F.greatest(F.coalesce(F.col("demand"), F.lit(0.0)), F.lit(1.0)))
+    d = F.exp(mu + DEMAND_SIGMA * zd)
+    avail = (F.coalesce(F.col("quantity_available"), F.lit(0)) + F.col("received")).cast("double")
+    served = c.select("plan_id", "scenario", d.alias("d"), F.least(d, avail).alias("f"))
+    level = served.groupBy("plan_id", "scenario").agg(
+        F.coalesce(F.try_divide(F.sum("f"), F.sum("d")), F.lit(1.0)).alias("service_level"))
+
+    per = cost.join(level, ["plan_id", "scenario"], "left").withColumn(
+        "service_level", F.coalesce(F.col("service_level"), F.lit(1.0)))
+    qs = list(quantiles)
+    out = per.groupBy("plan_id").agg(
+        F.count(F.lit(1)).alias("scenarios"),
+        F.avg("total_cost").alias("mean_cost"),
+        F.percentile_approx("total_cost", qs, 100000).alias("_cq"),
+        F.avg("service_level").alias("mean_service_level"),
+        F.percentile_approx("service_level", qs, 100000).alias("_sq"))
+    names = [f"p{int(round(q * 100)):02d}" for q in qs]
+    return out.select("plan_id", "scenarios", "mean_cost",
+                      *[F.col("_cq")[i].alias(f"cost_{n}") for i, n in enumerate(names)],
+                      "mean_service_level",
+                      *[F.col("_sq")[i].alias(f"service_{n}") for i, n in enumerate(names)])

@@ -331,3 +331,25 @@ def execution_long(spark, sf_dir):
 QUERIES = {name: fn for name, fn in list(globals().items())
            if callable(fn) and getattr(fn, "__module__", None) == __name__
            and not name.startswith("_") and name not in ("rounded", "Model")}
+
+
+# ------------------------------------------------- models (rows-only) ----
+def gbt_forecast(spark, sf_dir):
+    from restock.operators import ml
+    return rounded(ml.gbt_forecast(_m(spark, sf_dir).features, START, H))
+
+
+def min_cost_plan(spark, sf_dir):
+    from restock.operators import mincost
+    m = _m(spark, sf_dir)
+    c = P.cells(m.warehouses, m.skus, m.inventory, m.demand, H)
+    return rounded(mincost.min_cost_plan(c, m.warehouses, m.skus, START))
+
+
+def risk_bands(spark, sf_dir):
+    from restock.operators import risk
+    m = _m(spark, sf_dir)
+    return rounded(risk.risk_bands(m.plan, m.warehouses, m.skus, m.inventory, m.demand))
+
+
+QUERIES.update(gbt_forecast=gbt_forecast, min_cost_plan=min_cost_plan, risk_bands=risk_bands)

@@ -1,0 +1,72 @@
+"""Cost-minimal plan (J2): known optimum, constraints, method switch."""
+import datetime as dt
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from restock import schemas
+from restock.operators import audit, mincost, plan as P
+
+
+def test_solver_known_optimum():
+    # two sources, two sinks; the cheap arcs cross
+    supply = np.array([10, 10])
+    short = np.array([8.0, 12.0])
+    penalty = np.array([50.0, 50.0])
+    cost = np.array([[1.0, 5.0], [5.0, 1.0]])
+    x = mincost.solve_transport(supply, short, penalty, cost, np.ones((2, 2), bool))
+    assert x.tolist() == [[8, 2], [0, 10]]
+
+
+def test_solver_values_fraction_and_skips_unprofitable():
+    # last 0.5 unit is worth 0.5 * 10 = 5 < arc cost 6: not shipped
+    x = mincost.solve_transport(np.array([100]), np.array([3.5]), np.array([10.0]),
+                                np.array([[6.0]]), np.ones((1, 1), bool))
+    assert x.tolist() == [[3]]
+    x = mincost.solve_transport(np.array([100]), np.array([3.5]), np.array([10.0]),
+                                np.array([[11.0]]), np.ones((1, 1), bool))
+    assert x.tolist() == [[0]]
+
+
+def _cells(spark):
+    whs = spark.createDataFrame(
+        [(f"W{i}", "n", None, 40.0, -100.0 + i, 5000.0, None, 1 + i, None, 0.01, 30.0,
+          None, None, None, i) for i in range(3)], schemas.WAREHOUSES)
+    skus = spark.createDataFrame([("A", "A", "c", 0.01, 1.0, 5.0, None, False, 3),
+                                  ("B", "B", "c", 0.01, 1.0, 5.0, 1, False, 3)], schemas.SKUS)
+    d0 = dt.date(2024, 1, 1)
+    inv = spark.createDataFrame([(d0, "W0", "A", 50, 0, 50), (d0, "W0", "B", 50, 0, 50),
+                                 (d0, "W1", "A", 5, 0, 5)], schemas.INVENTORY_SNAPSHOT)
+    dem = spark.createDataFrame([("W1", "A", 40.0), ("W2", "A", 30.0), ("W2", "B", 30.0),
+                                 ("W0", "B", 1.0)],
+                                "warehouse_id string, sku_id string, forecast double")
+    return whs, skus, inv, dem, P.cells(whs, skus, inv, dem, 14)
+
+
+def test_min_cost_plan_feasible_and_cheaper(spark):
+    whs, skus, inv, dem, cells = _cells(spark)
+    plan = mincost.min_cost_plan(cells, whs, skus, "2024-01-01", unit_rate_per_km=0.01)
+    rows = {(r.from_wh, r.to_wh, r.sku_id): r.qty for r in plan.collect()}
+    # W2 has lead time 3 > ttl 1 for B: nothing of B may go there
+    assert all(k[2] != "B" for k in rows)
+    assert sum(q for k, q in rows.items() if k[0] == "W0" and k[2] == "A") <= 50
+    assert audit.plan_audit(plan, whs, skus, inv).where(F.col("violation") != "CAPACITY").count() == 0
+    # all stock of A is worth shipping: W0's 50 units, and W1's 5 (as in the
+    # model, a cell's stockout term ignores what it ships out)
+    assert sum(rows.values()) == 55
+
+
+def test_parity_rate_ships_nothing_far(spark):
+    whs, skus, inv, dem, cells = _cells(spark)
+    # 1.5 per km per unit over ~85 km is above every stockout penalty (30)
+    plan = mincost.min_cost_plan(cells, whs, skus, "2024-01-01")
+    assert plan.count() == 0
+
+
+def test_method_switch(spark):
+    whs, skus, inv, dem, cells = _cells(spark)
+    g = mincost.plan_with_method("greedy", cells, whs, skus, inv, dem, "2024-01-01")
+    assert g.select("reason_code").distinct().collect()[0][0] == "GREEDY_HEURISTIC"
+    with pytest.raises(ValueError):
+        mincost.plan_with_method("solver", cells, whs, skus, inv, dem, "2024-01-01")
