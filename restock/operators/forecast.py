@@ -155,7 +155,7 @@ FOURIER_SCHEMA = T.StructType([
 
 
 def _fourier_design(days: np.ndarray, weekly: int, yearly: int) -> np.ndarray:
-    cols = [np.ones_like(days), days / 365.25]
+    cols = [np.ones_like(days), days]
     for period, order in ((7.0, weekly), (365.25, yearly)):
         for k in range(1, order + 1):
             ang = 2 * np.pi * k * days / period
@@ -168,6 +168,10 @@ def fourier_forecast(daily: DataFrame, start_date: str, horizon: int = 14,
                      ridge: float = 1.0) -> DataFrame:
     """Trend + weekly and yearly Fourier terms per series, ridge-fitted.
 
+    Intercept and trend are not penalised; the seasonal terms are. Yearly
+    terms enter only when the history spans a full year (on a shorter one
+    they are not identifiable and would alias the trend).
+
     A grouped map: each series (at most one row per day, so bounded by the
     number of days, not by the data volume) is fitted with NumPy inside its
     task; Spark shuffles the series to tasks.
@@ -180,14 +184,15 @@ def fourier_forecast(daily: DataFrame, start_date: str, horizon: int = 14,
         pdf = pdf.sort_values("date")
         days = (pd.to_datetime(pdf["date"]) - start).dt.days.to_numpy(dtype=float)
         y = pdf["quantity_sold"].to_numpy(dtype=float)
-        X = _fourier_design(days, weekly_order, yearly_order)
+        yearly = yearly_order if days.max() - days.min() >= 365 else 0
+        X = _fourier_design(days, weekly_order, yearly)
         pen = ridge * np.eye(X.shape[1])
-        pen[0, 0] = 0.0
-        beta = np.linalg.solve(X.T @ X + pen, X.T @ y)
+        pen[0, 0] = pen[1, 1] = 0.0
+        beta = np.linalg.lstsq(X.T @ X + pen, X.T @ y, rcond=None)[0]
         resid = y - X @ beta
         sigma = float(np.std(resid, ddof=1)) if len(y) > 1 else 0.0
         fut = np.arange(horizon, dtype=float)
-        yhat = _fourier_design(fut, weekly_order, yearly_order) @ beta
+        yhat = _fourier_design(fut, weekly_order, yearly) @ beta
         dates = [(start + pd.Timedelta(days=int(i))).date() for i in range(horizon)]
         return pd.DataFrame({
             "date": dates, "warehouse_id": pdf["warehouse_id"].iloc[0],
