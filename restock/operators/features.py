@@ -28,18 +28,20 @@ def ordered_window() -> Window:
     return Window.partitionBy(*S).orderBy("date")
 
 
-def daily_sales(sales: DataFrame) -> DataFrame:
+def daily_sales(sales: DataFrame, extra_sums: tuple[str, ...] = ()) -> DataFrame:
     """Units and revenue per (date, warehouse, SKU) (D-1).
 
     Rows with a NULL key are dropped first, as the pandas group-by does.
     The aggregate is partial on the map side, so the shuffle carries one
-    row per group and partition, not one per sale.
+    row per group and partition, not one per sale. ``extra_sums`` adds more
+    summed columns to the same aggregate (one pass feeds several tables).
     """
     return (sales.where(F.col("date").isNotNull() & F.col("warehouse_id").isNotNull()
                         & F.col("sku_id").isNotNull())
             .groupBy("date", *S)
             .agg(F.sum("quantity_sold").alias("quantity_sold"),
-                 F.sum("revenue").alias("revenue")))
+                 F.sum("revenue").alias("revenue"),
+                 *[F.sum(c).alias(c) for c in extra_sums]))
 
 
 def rolling_stats(daily: DataFrame) -> list:

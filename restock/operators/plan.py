@@ -71,10 +71,11 @@ def replenishment_need(cells_df: DataFrame) -> DataFrame:
 
 
 def _first_two_orders(warehouses: DataFrame) -> tuple:
-    """The two smallest warehouse orders (a 2-row top-k of the dimension)."""
-    rows = warehouses.select("source_ord").orderBy("source_ord").limit(2).collect()
-    ords = [r[0] for r in rows] + [None, None]
-    return ords[0], ords[1]
+    """The two smallest warehouse orders, as scalar sub-queries (evaluated
+    once by Spark inside the plan; no join, no driver round trip)."""
+    g1 = warehouses.select(F.min("source_ord")).scalar()
+    g2 = warehouses.where(F.col("source_ord") > g1).select(F.min("source_ord")).scalar()
+    return g1, g2
 
 
 def feasible_sources(need: DataFrame, inventory: DataFrame, warehouses: DataFrame) -> DataFrame:
@@ -126,7 +127,7 @@ def feasible_sources(need: DataFrame, inventory: DataFrame, warehouses: DataFram
     g1, g2 = _first_two_orders(warehouses)
     to_ord = F.col("source_ord")
     pick_real = F.when(F.col("_best1") != to_ord, F.col("_best1")).otherwise(F.col("_best2"))
-    zero_pick = F.when(F.lit(g1) != to_ord, F.lit(g1)).otherwise(F.lit(g2))
+    zero_pick = F.when(g1 != to_ord, g1).otherwise(g2)
     pick = F.when(F.col("needed_qty") <= 0, zero_pick).otherwise(pick_real)
     return (ans.withColumn("from_ord", pick.cast("int"))
             .where(F.col("from_ord").isNotNull())

@@ -48,9 +48,13 @@ class Model:
     def sales(self):
         return tpch.sales_history(self.spark, self.sf_dir)
 
+    @cached_property
+    def daily_ext(self):
+        return tpch.daily_with_returns(self.spark, self.sf_dir)
+
     @cached_property
     def daily(self):
-        return Fe.daily_sales(self.sales)
+        return self.daily_ext.drop("returned_qty")
 
     @cached_property
     def features(self):
@@ -58,7 +62,7 @@ class Model:
 
     @cached_property
     def inventory(self):
-        return tpch.inventory_snapshot(self.spark, self.sf_dir)
+        return tpch.inventory_from_daily(self.daily_ext)
 
     @cached_property
     def demand(self):
@@ -109,7 +113,7 @@ def integrity_report(spark, sf_dir):
 
 # ----------------------------------------------------------- features ----
 def daily_sales(spark, sf_dir):
-    return rounded(_m(spark, sf_dir).daily)
+    return rounded(Fe.daily_sales(_m(spark, sf_dir).sales))
 
 
 def rolling_stats(spark, sf_dir):

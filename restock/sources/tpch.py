@@ -127,6 +127,30 @@ def inventory_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
                       stock.alias("quantity_available"))
 
 
+def daily_with_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily aggregate (D-1) that also sums the returned units.
+
+    Features and the inventory snapshot both derive from this one
+    aggregate, so a query that needs both scans and joins the line items
+    once (the shared exchange is reused).
+    """
+    from restock.operators.features import daily_sales
+    lines = _lines(spark, sf_dir).withColumn(
+        "returned_qty", F.when(F.col("_returned"), F.col("quantity_sold")).otherwise(F.lit(0)))
+    return daily_sales(lines, extra_sums=("returned_qty",))
+
+
+def inventory_from_daily(daily_ext: DataFrame) -> DataFrame:
+    """The inventory snapshot computed from ``daily_with_returns``."""
+    agg = daily_ext.groupBy(*S).agg(F.max("date").alias("snapshot_date"),
+                                    F.sum("returned_qty").alias("_ret"))
+    stock = (F.col("_ret").cast("long") % 600)
+    return agg.select("snapshot_date", *S,
+                      stock.alias("quantity_on_hand"),
+                      F.lit(0).cast("long").alias("quantity_reserved"),
+                      stock.alias("quantity_available"))
+
+
 def demand(daily_features: DataFrame, start_date: str = START_DATE,
            horizon: int = HORIZON) -> DataFrame:
     """Stand-in forecast: one row per series holding the horizon total.
