@@ -71,24 +71,36 @@ def stockout_report(service: DataFrame) -> DataFrame:
 
 
 def execution_summary(outcomes: DataFrame, service: DataFrame, run_date: str) -> DataFrame:
-    """One row per plan: counts and sums of cost, waste and service (K3, D-14, D-15)."""
-    t = outcomes.groupBy(F.col("transfer_id").alias("plan_id")).agg(
-        F.count(F.lit(1)).alias("total_transfers"),
+    """One row per plan: counts and sums of cost, waste and service (K3, D-14, D-15).
+
+    Transfer rows and cell rows are stacked into one tagged frame and summed
+    by one aggregate per plan (no join of the two per-plan summaries).
+    """
+    nul = F.lit(None).cast("double")
+    t = outcomes.select(F.col("transfer_id").alias("plan_id"), F.lit(1).alias("_t"),
+                        "transport_cost", "waste_cost", "total_cost",
+                        F.col("waste_qty").cast("long").alias("waste_qty"),
+                        nul.alias("demand"), nul.alias("fulfilled_qty"),
+                        F.lit(None).cast("int").alias("_so"))
+    s = service.select("plan_id", F.lit(None).cast("int").alias("_t"), nul.alias("transport_cost"),
+                       nul.alias("waste_cost"), nul.alias("total_cost"),
+                       F.lit(None).cast("long").alias("waste_qty"), "demand", "fulfilled_qty",
+                       (F.col("stockout_qty") > 0).cast("int").alias("_so"))
+    a = t.unionByName(s).groupBy("plan_id").agg(
+        F.count("_t").alias("total_transfers"),
         F.sum("transport_cost").alias("total_transport_cost"),
         F.sum("waste_cost").alias("total_waste_cost"),
         F.sum("total_cost").alias("total_cost"),
-        F.sum("waste_qty").alias("total_waste_units"))
-    s = service.groupBy("plan_id").agg(
-        F.sum("demand").alias("total_demand"), F.sum("fulfilled_qty").alias("total_fulfilled"),
-        F.count(F.when(F.col("stockout_qty") > 0, 1)).alias("total_stockouts"))
+        F.sum("waste_qty").alias("total_waste_units"),
+        F.coalesce(F.sum("_so"), F.lit(0)).cast("long").alias("total_stockouts"),
+        F.coalesce(F.sum("demand"), F.lit(0.0)).alias("total_demand"),
+        F.coalesce(F.sum("fulfilled_qty"), F.lit(0.0)).alias("total_fulfilled"))
     level = F.coalesce(F.try_divide(F.col("total_fulfilled"), F.col("total_demand")), F.lit(1.0))
-    return (t.join(s, "plan_id", "left").select(
+    return a.where(F.col("total_transfers") > 0).select(
         F.lit(run_date).cast("date").alias("simulation_date"), "plan_id",
         "total_transfers", "total_transport_cost", "total_waste_cost", "total_cost",
         "total_waste_units", level.alias("overall_service_level"),
-        F.coalesce(F.col("total_stockouts"), F.lit(0)).alias("total_stockouts"),
-        F.coalesce(F.col("total_demand"), F.lit(0.0)).alias("total_demand"),
-        F.coalesce(F.col("total_fulfilled"), F.lit(0.0)).alias("total_fulfilled")))
+        "total_stockouts", "total_demand", "total_fulfilled")
 
 
 def execution_long(summary: DataFrame, outcomes: DataFrame, service: DataFrame) -> DataFrame:

@@ -31,24 +31,24 @@ def warehouse_kpis(inventory: DataFrame, warehouses: DataFrame, skus: DataFrame)
     """One row: counts, inventory value and average capacity usage (D-7, D-8, C2, L1).
 
     Average usage is a ratio of means: mean used volume over warehouses with
-    stock, divided by mean capacity over all warehouses. Each side is one
-    aggregate row; they meet on a constant key (a 1 x 1 join).
+    stock, divided by mean capacity over all warehouses. The warehouse and
+    SKU figures are scalar sub-queries of the one-row inventory aggregate
+    (no join between one-row frames).
     """
     inv = latest_inventory(inventory).join(
         skus.select("sku_id", "unit_cost", "volume_m3_per_unit"), "sku_id")
     per_wh = (inv.groupBy("warehouse_id")
               .agg(F.sum(F.col("quantity_available") * F.col("volume_m3_per_unit")).alias("_used"),
                    F.sum(F.col("quantity_available") * F.col("unit_cost")).alias("_value")))
-    a = per_wh.agg(F.avg("_used").alias("_mean_used"),
-                   F.coalesce(F.sum("_value"), F.lit(0.0)).alias("total_inventory_value"),
-                   F.lit(1).alias("_k"))
-    b = warehouses.agg(F.count(F.lit(1)).alias("total_warehouses"),
-                       F.avg("capacity_volume_m3").alias("_mean_cap"), F.lit(1).alias("_k"))
-    c = skus.agg(F.count(F.lit(1)).alias("total_skus"), F.lit(1).alias("_k"))
-    return (b.join(c, "_k").join(a, "_k", "left")
-            .select("total_warehouses", "total_skus", "total_inventory_value",
-                    (F.try_divide(F.col("_mean_used"), F.col("_mean_cap")) * 100)
-                    .alias("avg_capacity_usage_pct")))
+    n_wh = warehouses.select(F.count(F.lit(1))).scalar()
+    mean_cap = warehouses.select(F.avg("capacity_volume_m3")).scalar()
+    n_sku = skus.select(F.count(F.lit(1))).scalar()
+    return per_wh.agg(F.avg("_used").alias("_mean_used"),
+                      F.coalesce(F.sum("_value"), F.lit(0.0)).alias("total_inventory_value")
+                      ).select(n_wh.alias("total_warehouses"), n_sku.alias("total_skus"),
+                               "total_inventory_value",
+                               (F.try_divide(F.col("_mean_used"), mean_cap) * 100)
+                               .alias("avg_capacity_usage_pct"))
 
 
 def plan_summary(plan: DataFrame) -> DataFrame:

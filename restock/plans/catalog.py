@@ -33,8 +33,16 @@ class Model:
     """The model tables of one input folder, built lazily."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, start_date: str = START,
-                 horizon: int = H):
+                 horizon: int = H, materialize: bool = False):
         self.spark, self.sf_dir, self.start, self.h = spark, sf_dir, start_date, horizon
+        # Queries that reuse the plan several times materialise the shared
+        # daily aggregate and the plan with a reliable checkpoint (written to
+        # spark.checkpoint.dir, so it survives a lost executor). Both are
+        # bounded by cells x days, not by the number of line items.
+        self.materialize = materialize
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return df.checkpoint() if self.materialize else df
 
     @cached_property
     def warehouses(self):
@@ -50,7 +58,7 @@ class Model:
 
     @cached_property
     def daily_ext(self):
-        return tpch.daily_with_returns(self.spark, self.sf_dir)
+        return self._keep(tpch.daily_with_returns(self.spark, self.sf_dir))
 
     @cached_property
     def daily(self):
@@ -70,8 +78,8 @@ class Model:
 
     @cached_property
     def plan(self):
-        return P.greedy_plan(self.warehouses, self.skus, self.inventory, self.demand,
-                             self.start, self.h)
+        return self._keep(P.greedy_plan(self.warehouses, self.skus, self.inventory,
+                                        self.demand, self.start, self.h))
 
     @cached_property
     def lead_times(self):
@@ -98,6 +106,11 @@ def _m(spark, sf_dir) -> Model:
     return Model(spark, sf_dir)
 
 
+def _mm(spark, sf_dir) -> Model:
+    """A model that materialises its shared intermediates (plan-heavy queries)."""
+    return Model(spark, sf_dir, materialize=True)
+
+
 # ------------------------------------------------------------ sources ----
 def load_sales(spark, sf_dir):
     return rounded(_m(spark, sf_dir).sales)
@@ -187,7 +200,7 @@ def waste_costs(spark, sf_dir):
 
 
 def total_transfer_cost(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     return rounded(network.total_transfer_cost(m.plan, m.warehouses, m.skus, m.lead_times))
 
 
@@ -220,12 +233,12 @@ def greedy_plan(spark, sf_dir):
 
 
 def plan_explained(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     return rounded(explain.plan_explained(m.plan, m.warehouses, m.skus, m.inventory, m.demand))
 
 
 def plan_audit(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     return rounded(audit.plan_audit(m.plan, m.warehouses, m.skus, m.inventory))
 
 
@@ -237,7 +250,7 @@ def _two_plans(m: Model) -> DataFrame:
 
 
 def plan_lookup(spark, sf_dir):
-    return rounded(P.plan_lookup(_two_plans(_m(spark, sf_dir))))
+    return rounded(P.plan_lookup(_two_plans(_mm(spark, sf_dir))))
 
 
 def plan_gantt(spark, sf_dir):
@@ -245,7 +258,7 @@ def plan_gantt(spark, sf_dir):
 
 
 def plan_summary(spark, sf_dir):
-    return rounded(kpi.plan_summary(_two_plans(_m(spark, sf_dir))))
+    return rounded(kpi.plan_summary(_two_plans(_mm(spark, sf_dir))))
 
 
 def cost_by_destination(spark, sf_dir):
@@ -314,20 +327,20 @@ def fourier_forecast(spark, sf_dir):
 
 # ---------------------------------------------------------- execution ----
 def transfer_outcomes(spark, sf_dir):
-    return rounded(_m(spark, sf_dir).outcomes)
+    return rounded(_mm(spark, sf_dir).outcomes)
 
 
 def stockout_report(spark, sf_dir):
-    return rounded(execution.stockout_report(_m(spark, sf_dir).service))
+    return rounded(execution.stockout_report(_mm(spark, sf_dir).service))
 
 
 def execution_summary(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     return rounded(execution.execution_summary(m.outcomes, m.service, START))
 
 
 def execution_long(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     summary = execution.execution_summary(m.outcomes, m.service, START)
     return rounded(execution.execution_long(summary, m.outcomes, m.service))
 
@@ -352,7 +365,7 @@ def min_cost_plan(spark, sf_dir):
 
 def risk_bands(spark, sf_dir):
     from restock.operators import risk
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     return rounded(risk.risk_bands(m.plan, m.warehouses, m.skus, m.inventory, m.demand))
 
 
