@@ -113,7 +113,9 @@ def forecast_lookup(forecasts: DataFrame, start_date: str, horizon: int,
     if sku_id is not None:
         f = f.where(F.col("sku_id") == sku_id)
     rn = F.row_number().over(Window.partitionBy(*S).orderBy("date"))
-    return f.withColumn("_rn", rn).where(F.col("_rn") <= horizon).drop("_rn")
+    out = f.withColumn("_rn", rn).where(F.col("_rn") <= horizon).drop("_rn")
+    # a point lookup is one short series: return it in date order (F2)
+    return out.orderBy("date") if warehouse_id is not None and sku_id is not None else out
 
 
 def forecast_summary(forecasts: DataFrame) -> DataFrame:

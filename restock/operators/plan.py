@@ -31,6 +31,15 @@ PLAN_COLUMNS = ["plan_id", "run_date", "from_wh", "to_wh", "sku_id", "qty", "shi
                 "expected_arrival", "truck_type", "driver_id", "estimated_cost", "reason_code"]
 
 
+def new_plan_id(now=None, token: str | None = None) -> str:
+    """Plan id "PLAN-yyyymmdd-HHMMSS-<8 hex>" (H16), made on the driver and
+    passed to the planners as a parameter so reruns can repeat it."""
+    import datetime as _dt
+    import uuid
+    now = now or _dt.datetime.now()
+    return f"PLAN-{now:%Y%m%d-%H%M%S}-{token or uuid.uuid4().hex[:8]}"
+
+
 def cell_demand(forecasts: DataFrame) -> DataFrame:
     """Demand per cell: the sum over all its forecast rows (D-2, Q17)."""
     return forecasts.groupBy(*S).agg(F.sum("forecast").alias("demand"))

@@ -101,6 +101,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     return rows
 
 
+def copy_table(spark: SparkSession, src: str, dst: str, schema: StructType | None = None,
+               fmt: str | None = None, out_fmt: str = "parquet") -> int:
+    """Pass-through copy of a cleaned dimension table."""
+    return write_table(read_table(spark, src, schema, fmt), dst, fmt=out_fmt)
+
+
 def newest_plan(plans: DataFrame, by: str = "run_date") -> DataFrame:
     """Rows of the newest plan.
 
