@@ -190,7 +190,7 @@ def transport_costs(spark, sf_dir):
 
 
 def holding_stockout_ordering(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     return rounded(network.holding_stockout_ordering(m.inventory, m.demand, m.warehouses, H))
 
 
@@ -206,20 +206,20 @@ def total_transfer_cost(spark, sf_dir):
 
 # --------------------------------------------------------------- plan ----
 def cells(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     c = P.cells(m.warehouses, m.skus, m.inventory, m.demand, H)
     return rounded(c.select(*S, "current_stock", "demand", "safety_stock"))
 
 
 def replenishment_need(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     n = P.replenishment_need(P.cells(m.warehouses, m.skus, m.inventory, m.demand, H))
     return rounded(n.select(*S, "current_stock", "demand", "safety_stock", "needed_qty",
                             "ttl_blocked"))
 
 
 def feasible_sources(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     n = P.replenishment_need(P.cells(m.warehouses, m.skus, m.inventory, m.demand, H))
     ch = P.feasible_sources(n, m.inventory, m.warehouses)
     src = m.warehouses.select(F.col("source_ord").alias("from_ord"),
@@ -229,7 +229,7 @@ def feasible_sources(spark, sf_dir):
 
 
 def greedy_plan(spark, sf_dir):
-    return rounded(_m(spark, sf_dir).plan)
+    return rounded(_mm(spark, sf_dir).plan)
 
 
 def plan_explained(spark, sf_dir):
@@ -254,7 +254,7 @@ def plan_lookup(spark, sf_dir):
 
 
 def plan_gantt(spark, sf_dir):
-    return P.plan_gantt(_m(spark, sf_dir).plan)
+    return P.plan_gantt(_mm(spark, sf_dir).plan)
 
 
 def plan_summary(spark, sf_dir):
@@ -262,16 +262,16 @@ def plan_summary(spark, sf_dir):
 
 
 def cost_by_destination(spark, sf_dir):
-    return rounded(kpi.cost_by_destination(_m(spark, sf_dir).plan))
+    return rounded(kpi.cost_by_destination(_mm(spark, sf_dir).plan))
 
 
 def plan_metrics(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     return rounded(kpi.plan_metrics(m.plan, m.skus))
 
 
 def capacity_days(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     return rounded(P.capacity_days(m.plan, m.warehouses, m.skus, START, H))
 
 
@@ -358,7 +358,7 @@ def gbt_forecast(spark, sf_dir):
 
 def min_cost_plan(spark, sf_dir):
     from restock.operators import mincost
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     c = P.cells(m.warehouses, m.skus, m.inventory, m.demand, H)
     return rounded(mincost.min_cost_plan(c, m.warehouses, m.skus, START))
 

@@ -36,8 +36,17 @@ START_DATE = "2001-11-05"   # the day after the last ship date in the data
 HORIZON = 14
 
 
+_READERS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. The reader (file listing and footer schema) is made once
+    per session and path; DataFrames are immutable, so sharing it is safe."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
 
 def wh_id(n) -> F.Column:
