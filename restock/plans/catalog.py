@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType
 from restock import S
 from restock.operators import audit, execution, explain, features as Fe, forecast as Fc
 from restock.operators import kpi, network, plan as P, quality
+from restock.session import checkpoint_dir
 from restock.sources import io, tpch
 
 START = tpch.START_DATE
@@ -42,7 +43,10 @@ class Model:
         self.materialize = materialize
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        return df.checkpoint() if self.materialize else df
+        if not self.materialize:
+            return df
+        checkpoint_dir(self.spark)
+        return df.checkpoint()
 
     @cached_property
     def warehouses(self):

@@ -45,11 +45,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     as is. Only when it is unset (local tests) a scratch folder is created.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (a remote session manages its own folder)
+        sc = None
+    if not path and sc is not None and sc.getCheckpointDir():
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="restock-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
