@@ -70,3 +70,42 @@ def test_method_switch(spark):
     assert g.select("reason_code").distinct().collect()[0][0] == "GREEDY_HEURISTIC"
     with pytest.raises(ValueError):
         mincost.plan_with_method("solver", cells, whs, skus, inv, dem, "2024-01-01")
+
+
+def _objective(plan, cells, rate):
+    """Model objective: rate * km * units + penalty * unmet demand."""
+    from restock.functions import costs as C
+    w = cells.select("warehouse_id", "latitude", "longitude").distinct()
+    a = w.select(F.col("warehouse_id").alias("from_wh"), F.col("latitude").alias("la1"),
+                 F.col("longitude").alias("lo1"))
+    b = w.select(F.col("warehouse_id").alias("to_wh"), F.col("latitude").alias("la2"),
+                 F.col("longitude").alias("lo2"))
+    ship = (plan.join(a, "from_wh").join(b, "to_wh")
+            .select((C.haversine_km("la1", "lo1", "la2", "lo2") * rate * F.col("qty")).alias("c"))
+            .agg(F.coalesce(F.sum("c"), F.lit(0.0))).first()[0])
+    inc = plan.groupBy(F.col("to_wh").alias("warehouse_id"), "sku_id").agg(F.sum("qty").alias("inc"))
+    unmet = (cells.join(inc, ["warehouse_id", "sku_id"], "left")
+             .select((F.greatest(F.lit(0.0), F.col("demand") - F.col("current_stock")
+                                 - F.coalesce(F.col("inc"), F.lit(0))) * F.col("stockout_cost_per_unit"))
+                     .alias("p")).agg(F.sum("p")).first()[0])
+    return ship + unmet
+
+
+def test_min_cost_beats_feasible_baselines_on_data(spark):
+    from restock.plans import catalog
+    m = catalog.Model(spark, "/root/testdata/sf0.01")
+    cells = P.cells(m.warehouses, m.skus, m.inventory, m.demand, 14)
+    rate = 0.01
+    opt = mincost.min_cost_plan(cells, m.warehouses, m.skus, "2001-11-05", unit_rate_per_km=rate)
+    assert opt.count() > 0
+    viol = audit.plan_audit(opt, m.warehouses, m.skus, m.inventory)
+    assert viol.where(F.col("violation") != "CAPACITY").count() == 0
+    # baseline 1: ship nothing; baseline 2: the greedy plan without the rows of
+    # oversubscribed sources (so it is feasible)
+    greedy = m.plan
+    over = audit.source_stock_violations(greedy, m.inventory).select(
+        F.col("warehouse_id").alias("from_wh"), "sku_id")
+    feasible_greedy = greedy.join(over, ["from_wh", "sku_id"], "left_anti")
+    o = _objective(opt, cells, rate)
+    assert o <= _objective(opt.where(F.lit(False)), cells, rate) + 1e-6
+    assert o <= _objective(feasible_greedy, cells, rate) + 1e-6

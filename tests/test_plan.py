@@ -44,7 +44,7 @@ def brute_force(whs, skus, inv, dem, horizon):
     return sorted(out)
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(16))
 def test_greedy_matches_brute_force(spark, seed):
     rnd = random.Random(seed)
     nw, ns = rnd.randint(2, 7), rnd.randint(1, 4)
