@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType
 from restock import S
 from restock.operators import audit, execution, explain, features as Fe, forecast as Fc
 from restock.operators import kpi, network, plan as P, quality
-from restock.session import checkpoint_dir
+from restock.session import materialize
 from restock.sources import io, tpch
 
 START = tpch.START_DATE
@@ -37,16 +37,13 @@ class Model:
                  horizon: int = H, materialize: bool = False):
         self.spark, self.sf_dir, self.start, self.h = spark, sf_dir, start_date, horizon
         # Queries that reuse the plan several times materialise the shared
-        # daily aggregate and the plan with a reliable checkpoint (written to
-        # spark.checkpoint.dir, so it survives a lost executor). Both are
-        # bounded by cells x days, not by the number of line items.
+        # daily aggregate and the plan as Parquet tables in the shared
+        # checkpoint folder (spark.checkpoint.dir), so they survive a lost
+        # executor. Both are bounded by cells x days, not by line items.
         self.materialize = materialize
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        if not self.materialize:
-            return df
-        checkpoint_dir(self.spark)
-        return df.checkpoint()
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if self.materialize else df
 
     @cached_property
     def warehouses(self):
@@ -62,7 +59,7 @@ class Model:
 
     @cached_property
     def daily_ext(self):
-        return self._keep(tpch.daily_with_returns(self.spark, self.sf_dir))
+        return self._keep(tpch.daily_with_returns(self.spark, self.sf_dir), "daily")
 
     @cached_property
     def daily(self):
@@ -83,7 +80,7 @@ class Model:
     @cached_property
     def plan(self):
         return self._keep(P.greedy_plan(self.warehouses, self.skus, self.inventory,
-                                        self.demand, self.start, self.h))
+                                        self.demand, self.start, self.h), "plan")
 
     @cached_property
     def lead_times(self):

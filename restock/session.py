@@ -62,3 +62,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for a written intermediate table."""
     return os.path.join(checkpoint_dir(spark), "tables", name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    read it back: the lineage is cut, the result survives lost executors,
+    and later reads prune columns and push filters into the scan."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
