@@ -39,8 +39,12 @@ def main():
         buf = io.StringIO()
         # the greedy plan as computed (the registered query reads it back
         # from its materialised table)
-        df = (catalog.Model(spark, sf_dir).plan if name == "greedy_plan"
-              else catalog.QUERIES[name](spark, sf_dir))
+        if name == "greedy_plan":
+            from restock.operators import plan as P
+            m = catalog.Model(spark, sf_dir, materialize=True)
+            df = P.greedy_plan(m.warehouses, m.skus, m.inventory, m.demand, catalog.START)
+        else:
+            df = catalog.QUERIES[name](spark, sf_dir)
         with contextlib.redirect_stdout(buf):
             df.explain("formatted")
         out += [f"## {name}", "", "```", summary(buf.getvalue()).strip(), "```", ""]
