@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType
 from restock import S
 from restock.operators import audit, execution, explain, features as Fe, forecast as Fc
 from restock.operators import kpi, network, plan as P, quality
-from restock.session import materialize
+from restock.session import checkpoint_dir, materialize
 from restock.sources import io, tpch
 
 START = tpch.START_DATE
@@ -42,8 +42,16 @@ class Model:
         # executor. Both are bounded by cells x days, not by line items.
         self.materialize = materialize
 
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name) if self.materialize else df
+    def _keep(self, df: DataFrame, name: str, small: bool = False) -> DataFrame:
+        """Materialise a reused intermediate: a wide table as Parquet (later
+        reads prune columns), a small one with a reliable checkpoint (no
+        file-commit overhead). Both land in spark.checkpoint.dir."""
+        if not self.materialize:
+            return df
+        if small:
+            checkpoint_dir(self.spark)
+            return df.checkpoint()
+        return materialize(df, name)
 
     @cached_property
     def warehouses(self):
@@ -80,7 +88,7 @@ class Model:
     @cached_property
     def plan(self):
         return self._keep(P.greedy_plan(self.warehouses, self.skus, self.inventory,
-                                        self.demand, self.start, self.h), "plan")
+                                        self.demand, self.start, self.h), "plan", small=True)
 
     @cached_property
     def lead_times(self):
