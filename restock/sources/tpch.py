@@ -26,9 +26,9 @@ Fixed values of the mapping (chosen for this repository):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType
+from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType
 
 from restock import S
 
