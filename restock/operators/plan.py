@@ -57,12 +57,13 @@ def cells(warehouses: DataFrame, skus: DataFrame, inventory: DataFrame,
     sk = skus.select("sku_id", "safety_stock_days", "perishability_ttl_days",
                      "requires_refrigerated", "volume_m3_per_unit", "weight_kg_per_unit",
                      "unit_cost")
-    out = (keyed.join(wh, "warehouse_id").join(sk, "sku_id")
-           .withColumn("current_stock", F.coalesce(F.col("_stock"), F.lit(0).cast("long")))
-           .withColumn("demand", F.coalesce(F.col("demand"), F.lit(0.0)))
-           .drop("_stock"))
-    return out.withColumn(
-        "safety_stock", C.safety_stock("demand", "safety_stock_days", F.lit(horizon_days)))
+    j = keyed.join(wh, "warehouse_id").join(sk, "sku_id")
+    stock = F.coalesce(F.col("_stock"), F.lit(0).cast("long"))
+    demand = F.coalesce(F.col("demand"), F.lit(0.0))
+    return j.select(*[c for c in j.columns if c not in ("_stock", "demand")],
+                    stock.alias("current_stock"), demand.alias("demand"),
+                    C.safety_stock(demand, "safety_stock_days", F.lit(horizon_days))
+                    .alias("safety_stock"))
 
 
 def replenishment_need(cells_df: DataFrame) -> DataFrame:
@@ -73,10 +74,10 @@ def replenishment_need(cells_df: DataFrame) -> DataFrame:
     """
     ttl = F.col("perishability_ttl_days")
     return (cells_df.where(F.col("current_stock") < F.col("safety_stock"))
-            .withColumn("needed_qty", C.needed_qty("safety_stock", "current_stock", "demand"))
-            .withColumn("ttl_blocked",
-                        F.coalesce(ttl.isNotNull() & (F.col("lead_time_days") > ttl),
-                                   F.lit(False))))
+            .withColumns({
+                "needed_qty": C.needed_qty("safety_stock", "current_stock", "demand"),
+                "ttl_blocked": F.coalesce(ttl.isNotNull() & (F.col("lead_time_days") > ttl),
+                                          F.lit(False))}))
 
 
 def _first_two_orders(warehouses: DataFrame) -> tuple:
