@@ -39,3 +39,14 @@ def test_matches_oracle(spark, duck, name):
     exp = duck.execute(E.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(exp.columns)
     assert norm(got) == norm(exp)
+
+
+@pytest.mark.parametrize("name", ["greedy_plan", "rolling_features", "plan_explained",
+                                  "trend_weekly_forecast", "execution_summary"])
+def test_partition_independent(spark, name):
+    results = []
+    for n in (2, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        results.append(norm(E.queries()[name](spark, SF).toPandas()))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert results[0] == results[1]
