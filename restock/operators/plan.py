@@ -178,30 +178,56 @@ def greedy_plan(warehouses: DataFrame, skus: DataFrame, inventory: DataFrame,
 
 def capacity_days(plan: DataFrame, warehouses: DataFrame, skus: DataFrame,
                   start_date: str, horizon_days: int = 14) -> DataFrame:
-    """Spread transfers over ship days so inbound volume per destination and
+    """Split transfers over ship days so inbound volume per destination and
     day stays within capacity (J3).
 
-    Days cost the same, so a running total of volume per destination, in a
-    total order (cost, source, SKU), assigns day = floor(volume before the
-    row / capacity). A row that would start past the horizon is marked
-    ``shortfall``; a row bigger than one day's capacity is marked
-    ``oversize`` (it cannot fit any single day).
+    Days cost the same, so units are laid out per destination in a total
+    order (cost, source, SKU, ship date) along the running inbound volume,
+    and a unit ships on day k when it starts inside
+    [k * usable, (k + 1) * usable), with usable = capacity - 2 * (largest unit
+    volume at that destination). A day then holds at most usable + one unit
+    <= capacity, whatever the unit sizes, so the result always passes the
+    capacity audit. A transfer spanning several days is split into one piece
+    per day; units that would start after the horizon form one ``shortfall``
+    piece. Piece sizes are differences of one cumulative count, so the
+    pieces of a transfer always add up to its quantity.
+    One window per destination (a running sum), no sequential scan.
     """
     vol = skus.select("sku_id", "volume_m3_per_unit")
     cap = warehouses.select(F.col("warehouse_id").alias("to_wh"), "capacity_volume_m3")
     p = (plan.join(vol, "sku_id").join(cap, "to_wh")
-         .withColumn("volume_m3", F.col("qty") * F.col("volume_m3_per_unit")))
-    w = (Window.partitionBy("to_wh").orderBy("estimated_cost", "from_wh", "sku_id", "ship_date")
+         .withColumn("_v", F.col("volume_m3_per_unit")))
+    dest = Window.partitionBy("to_wh")
+    w = (dest.orderBy("estimated_cost", "from_wh", "sku_id", "ship_date")
          .rowsBetween(Window.unboundedPreceding, -1))
-    before = F.coalesce(F.sum("volume_m3").over(w), F.lit(0.0))
-    day = F.floor(before / F.col("capacity_volume_m3")).cast("int")
+    before = F.coalesce(F.sum(F.col("qty") * F.col("_v")).over(w), F.lit(0.0))
+    usable = F.col("capacity_volume_m3") - 2 * F.max("_v").over(dest)
+    p = p.select("*", before.alias("_c0"), usable.alias("_usable"))
+    h = F.lit(horizon_days)
+    q, v, c0, u = F.col("qty"), F.col("_v"), F.col("_c0"), F.col("_usable")
+    fits = u > 0
+    first_day = F.when(fits, F.floor(c0 / u)).otherwise(h).cast("int")
+    last_day = F.when(fits, F.floor((c0 + F.greatest(q - 1, F.lit(0)) * v) / u)).otherwise(h).cast("int")
+    k0 = F.least(first_day, h)
+    k1 = F.least(last_day, h)
+    p = p.select("*", F.explode(F.sequence(k0, k1)).alias("day_offset"),
+                 k0.alias("_k0"), k1.alias("_k1"))
+
+    def started_before(x):
+        """Units of the row whose start volume is below x."""
+        n = F.ceil((x - c0) / v)
+        return F.least(F.greatest(n, F.lit(0)), q)
+
+    k = F.col("day_offset")
+    lo = F.when(k == F.col("_k0"), F.lit(0)).otherwise(started_before(k * u))
+    hi = F.when(k == F.col("_k1"), q).otherwise(started_before((k + 1) * u))
+    units = (hi - lo).cast("long")
     start = F.lit(start_date).cast("date")
-    return (p.withColumn("volume_before", before).withColumn("day_offset", day)
-            .select("plan_id", "from_wh", "to_wh", "sku_id", "qty", "volume_m3",
-                    "volume_before", "capacity_volume_m3", "day_offset",
-                    F.date_add(start, F.col("day_offset")).alias("assigned_ship_date"),
-                    (F.col("day_offset") >= horizon_days).alias("shortfall"),
-                    (F.col("volume_m3") > F.col("capacity_volume_m3")).alias("oversize")))
+    return p.select("plan_id", "from_wh", "to_wh", "sku_id", "qty",
+                    units.alias("units"), (units * v).alias("volume_m3"),
+                    "capacity_volume_m3", "day_offset",
+                    F.date_add(start, k).alias("assigned_ship_date"),
+                    (k >= h).alias("shortfall"))
 
 
 def plan_lookup(plans: DataFrame, plan_id: str | None = None) -> DataFrame:

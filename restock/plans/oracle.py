@@ -497,19 +497,31 @@ SQL["plan_metrics"] = with_("""
          round(1.0 - 0.0 / greatest(count(*), 1), 4) AS service_level
   FROM plan p LEFT JOIN sku s ON s.sku_id = p.sku_id GROUP BY plan_id""", "plan", "sku")
 SQL["capacity_days"] = with_(f"""
-  SELECT plan_id, from_wh, to_wh, sku_id, qty, round(volume_m3, 4) AS volume_m3,
-         round(volume_before, 4) AS volume_before,
+  SELECT plan_id, from_wh, to_wh, sku_id, qty, units, round(units * v, 4) AS volume_m3,
          round(capacity_volume_m3, 4) AS capacity_volume_m3, day_offset,
-         CAST({START} + day_offset AS DATE) AS assigned_ship_date,
-         day_offset >= 14 AS shortfall, volume_m3 > capacity_volume_m3 AS oversize
-  FROM (SELECT *, CAST(floor(volume_before / capacity_volume_m3) AS INTEGER) AS day_offset
-        FROM (SELECT p.*, p.qty * s.volume_m3_per_unit AS volume_m3, w.capacity_volume_m3,
-                     coalesce(sum(p.qty * s.volume_m3_per_unit) OVER (
-                       PARTITION BY p.to_wh ORDER BY p.estimated_cost, p.from_wh, p.sku_id,
-                       p.ship_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0)
-                       AS volume_before
-              FROM plan p JOIN sku s ON s.sku_id = p.sku_id
-              JOIN wh w ON w.warehouse_id = p.to_wh) a) b""", "plan", "sku", "wh")
+         CAST({START} + day_offset AS DATE) AS assigned_ship_date, day_offset >= 14 AS shortfall
+  FROM (
+    SELECT *, CAST(
+        (CASE WHEN day_offset = k1 THEN qty
+              ELSE least(greatest(CAST(ceil(((day_offset + 1) * u - c0) / v) AS BIGINT), 0), qty) END)
+      - (CASE WHEN day_offset = k0 THEN 0
+              ELSE least(greatest(CAST(ceil((day_offset * u - c0) / v) AS BIGINT), 0), qty) END)
+      AS BIGINT) AS units
+    FROM (
+      SELECT *, CAST(unnest(generate_series(k0, k1)) AS INTEGER) AS day_offset
+      FROM (
+        SELECT *, least(CASE WHEN u > 0 THEN CAST(floor(c0 / u) AS INTEGER) ELSE 14 END, 14) AS k0,
+               least(CASE WHEN u > 0 THEN CAST(floor((c0 + greatest(qty - 1, 0) * v) / u) AS INTEGER)
+                          ELSE 14 END, 14) AS k1
+        FROM (
+          SELECT p.plan_id, p.from_wh, p.to_wh, p.sku_id, p.qty, s.volume_m3_per_unit AS v,
+                 w.capacity_volume_m3,
+                 coalesce(sum(p.qty * s.volume_m3_per_unit) OVER (
+                   PARTITION BY p.to_wh ORDER BY p.estimated_cost, p.from_wh, p.sku_id, p.ship_date
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS c0,
+                 w.capacity_volume_m3 - 2 * max(s.volume_m3_per_unit) OVER (PARTITION BY p.to_wh) AS u
+          FROM plan p JOIN sku s ON s.sku_id = p.sku_id JOIN wh w ON w.warehouse_id = p.to_wh) a) b) c) d""",
+    "plan", "sku", "wh")
 SQL["inventory_by_warehouse"] = with_("""
   SELECT i.warehouse_id, CAST(sum(i.quantity_available) AS BIGINT) AS quantity_available, w.name
   FROM inv i JOIN wh w ON w.warehouse_id = i.warehouse_id GROUP BY i.warehouse_id, w.name""",

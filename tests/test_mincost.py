@@ -109,3 +109,15 @@ def test_min_cost_beats_feasible_baselines_on_data(spark):
     o = _objective(opt, cells, rate)
     assert o <= _objective(opt.where(F.lit(False)), cells, rate) + 1e-6
     assert o <= _objective(feasible_greedy, cells, rate) + 1e-6
+
+
+def test_min_cost_then_days_passes_full_audit(spark):
+    from restock.plans import catalog
+    m = catalog.Model(spark, "/root/testdata/sf0.001")
+    cells = P.cells(m.warehouses, m.skus, m.inventory, m.demand, 14)
+    opt = mincost.min_cost_plan(cells, m.warehouses, m.skus, "2001-11-05", unit_rate_per_km=0.01)
+    days = P.capacity_days(opt, m.warehouses, m.skus, "2001-11-05", 14)
+    placed = (days.where(~F.col("shortfall")).drop("qty")
+              .withColumnRenamed("units", "qty").withColumn("estimated_cost", F.lit(0.0)))
+    v = audit.plan_audit(placed, m.warehouses, m.skus, m.inventory, day_column="assigned_ship_date")
+    assert v.count() == 0

@@ -104,12 +104,21 @@ def test_greedy_plan_has_no_cross_join(spark, capsys):
     assert "CartesianProduct" not in out and "NestedLoopJoin" not in out
 
 
-def test_capacity_days_respects_capacity(spark):
+def test_capacity_days_splits_and_respects_capacity(spark):
     skus = sku_df(spark, [None])   # 0.01 m3 per unit
     whs = wh_df(spark, 2)          # capacity 1000 m3
     plan = spark.createDataFrame(
-        [("P", dt.date(2024, 1, 1), "W00", "W01", "S0", 60000, dt.date(2024, 1, 1),
-          dt.date(2024, 1, 2), "Medium", None, float(i), "X") for i in range(5)],
-        schemas.PLAN)
-    days = P.capacity_days(plan, whs, skus, START, 14).orderBy("volume_before").collect()
-    assert [r.day_offset for r in days] == [0, 0, 1, 1, 2]
+        [("P", dt.date(2024, 1, 1), "W00", "W01", "S0", q, dt.date(2024, 1, 1),
+          dt.date(2024, 1, 2), "Medium", None, float(i), "X")
+         for i, q in enumerate([60000, 70001, 30000, 90000])], schemas.PLAN)
+    for horizon in (14, 2):
+        d = P.capacity_days(plan, whs, skus, START, horizon).toPandas()
+        per_row = d.groupby("qty").units.sum()
+        assert (per_row.index == per_row.values).all()          # pieces add up
+        placed = d[~d.shortfall]
+        per_day = placed.groupby("day_offset").volume_m3.sum()
+        assert (per_day <= 1000.0 + 1e-9).all()                  # capacity holds
+        assert placed.day_offset.max() < horizon
+        assert d.day_offset.nunique() > 1                        # rows were split
+    # 2500 m3 in total: with two days the rest is shortfall
+    assert d[d.shortfall].units.sum() > 0
