@@ -118,6 +118,6 @@ def test_min_cost_then_days_passes_full_audit(spark):
     opt = mincost.min_cost_plan(cells, m.warehouses, m.skus, "2001-11-05", unit_rate_per_km=0.01)
     days = P.capacity_days(opt, m.warehouses, m.skus, "2001-11-05", 14)
     placed = (days.where(~F.col("shortfall")).drop("qty")
-              .withColumnRenamed("units", "qty").withColumn("estimated_cost", F.lit(0.0)))
-    v = audit.plan_audit(placed, m.warehouses, m.skus, m.inventory, day_column="assigned_ship_date")
+              .withColumnRenamed("units", "qty").withColumnRenamed("assigned_ship_date", "ship_date"))
+    v = audit.plan_audit(placed, m.warehouses, m.skus, m.inventory)
     assert v.count() == 0
