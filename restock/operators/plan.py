@@ -40,6 +40,18 @@ def new_plan_id(now=None, token: str | None = None) -> str:
     return f"PLAN-{now:%Y%m%d-%H%M%S}-{token or uuid.uuid4().hex[:8]}"
 
 
+def with_source_order(warehouses: DataFrame) -> DataFrame:
+    """Give a warehouse table without ``source_ord`` its file order.
+
+    ``monotonically_increasing_id`` grows with the position in a file (and
+    with the split of a file), which is the order the planner scans sources
+    in; no single-task ranking is needed since only the order matters.
+    """
+    if "source_ord" in warehouses.columns:
+        warehouses = warehouses.drop("source_ord")
+    return warehouses.withColumn("source_ord", F.monotonically_increasing_id())
+
+
 def cell_demand(forecasts: DataFrame) -> DataFrame:
     """Demand per cell: the sum over all its forecast rows (D-2, Q17)."""
     return forecasts.groupBy(*S).agg(F.sum("forecast").alias("demand"))
@@ -111,7 +123,7 @@ def feasible_sources(need: DataFrame, inventory: DataFrame, warehouses: DataFram
                    F.lit(None).cast(qtype).alias("_q")))
     # the needy row rides along as a struct, so no join back is needed
     qrows = q.select("sku_id", F.col("needed_qty").cast("double").alias("_key"),
-                     F.lit(1).alias("_kind"), F.lit(None).cast("int").alias("_ord"),
+                     F.lit(1).alias("_kind"), F.lit(None).cast("long").alias("_ord"),
                      F.col("warehouse_id").alias("_to"), F.struct(*q.columns).alias("_q"))
     stream = src.unionByName(qrows)
 
@@ -139,7 +151,7 @@ def feasible_sources(need: DataFrame, inventory: DataFrame, warehouses: DataFram
     pick_real = F.when(F.col("_best1") != to_ord, F.col("_best1")).otherwise(F.col("_best2"))
     zero_pick = F.when(g1 != to_ord, g1).otherwise(g2)
     pick = F.when(F.col("needed_qty") <= 0, zero_pick).otherwise(pick_real)
-    return (ans.withColumn("from_ord", pick.cast("int"))
+    return (ans.withColumn("from_ord", pick.cast("long"))
             .where(F.col("from_ord").isNotNull())
             .drop("_best1", "_best2"))
 

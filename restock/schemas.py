@@ -30,7 +30,7 @@ WAREHOUSES = _s(
     ("dock_window_end", StringType(), True),
     # position of the row in the warehouse file; the greedy planner scans
     # candidate sources in this order
-    ("source_ord", IntegerType(), True),
+    ("source_ord", LongType(), True),
 )
 
 SKUS = _s(

@@ -6,7 +6,7 @@ import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructType
 from pyspark.errors import AnalysisException
 
 from restock import schemas
@@ -31,15 +31,25 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     """
     f = _fmt(path, fmt)
     if f == "csv":
-        reader = spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd")
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.csv(path)
-    df = spark.read.format(f).load(path)
-    if schema is None:
-        return df
-    return df.select([F.col(fld.name).cast(fld.dataType).alias(fld.name)
-                      if fld.name in df.columns
+        # columns are matched by header name (not position); integers written
+        # by float-typed writers ("23.0") go through double first
+        df = spark.read.option("header", True).csv(path)
+        if schema is None:
+            return df
+
+        def conv(fld):
+            c = F.col(fld.name)
+            if isinstance(fld.dataType, (IntegerType, LongType)):
+                c = c.cast("double")
+            return c.cast(fld.dataType)
+    else:
+        df = spark.read.format(f).load(path)
+        if schema is None:
+            return df
+
+        def conv(fld):
+            return F.col(fld.name).cast(fld.dataType)
+    return df.select([conv(fld).alias(fld.name) if fld.name in df.columns
                       else F.lit(None).cast(fld.dataType).alias(fld.name)
                       for fld in schema.fields])
 

@@ -75,7 +75,7 @@ def warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
         nul(IntegerType()).alias("num_docks"),
         nul(StringType()).alias("dock_window_start"),
         nul(StringType()).alias("dock_window_end"),
-        n.cast("int").alias("source_ord"),
+        n.cast("long").alias("source_ord"),
     )
 
 
