@@ -42,9 +42,23 @@ def quantise(x: Column, places: int) -> Column:
     return F.floor(x.cast("double") * scale + 0.5) / scale
 
 
-def explanation(qty, sku, from_wh, to_wh, stock, demand, safety, ttl) -> Column:
+STRICT_NOT_BELOW = (
+    "Transfer %d units of %s from %s to %s. "
+    "Reason: %s has current stock of %.0f units, "
+    "forecasted demand of %.0f units over the planning horizon, "
+    "and safety stock target of %.0f units."
+)
+
+
+def explanation(qty, sku, from_wh, to_wh, stock, demand, safety, ttl,
+                strict: bool = False) -> Column:
+    """The explanation sentence. The model always says the stock is below the
+    safety target; with ``strict`` that clause is left out when it is not true."""
     s0, d0, f0 = quantise(stock, 0), quantise(demand, 0), quantise(safety, 0)
     body = F.format_string(EXPLANATION, qty, sku, from_wh, to_wh, to_wh, s0, d0, f0, s0)
+    if strict:
+        body = F.when(stock < safety, body).otherwise(
+            F.format_string(STRICT_NOT_BELOW, qty, sku, from_wh, to_wh, to_wh, s0, d0, f0))
     note = F.when(ttl.isNotNull(), F.format_string(PERISHABLE_NOTE, ttl.cast("int")))
     return F.concat(body, F.coalesce(note, F.lit("")))
 

@@ -14,12 +14,13 @@ from restock.operators.plan import cell_demand
 
 def plan_explained(plan: DataFrame, warehouses: DataFrame, skus: DataFrame,
                    inventory: DataFrame, forecasts: DataFrame,
-                   explain_horizon: int = 14) -> DataFrame:
+                   explain_horizon: int = 14, strict: bool = False) -> DataFrame:
     """Add explanation_text, delta_cost_if_not_transferred and top_drivers.
 
     One set of lookups (destination stock, destination demand, SKU, warehouse)
     feeds all three columns. The safety stock in the text uses
-    ``explain_horizon`` days (14 in the model, whatever the plan horizon).
+    ``explain_horizon`` days (14 in the model, whatever the plan horizon);
+    ``strict`` drops the "below safety stock" clause where it is not true.
     """
     stock = latest_inventory(inventory).select(
         F.col("warehouse_id").alias("to_wh"), "sku_id", F.col("quantity_available").alias("_stock"))
@@ -37,7 +38,7 @@ def plan_explained(plan: DataFrame, warehouses: DataFrame, skus: DataFrame,
     return j.select(
         *plan.columns,
         T.explanation(F.col("qty"), F.col("sku_id"), F.col("from_wh"), F.col("to_wh"),
-                      st, dm, safety, ttl).alias("explanation_text"),
+                      st, dm, safety, ttl, strict).alias("explanation_text"),
         C.delta_cost("qty", "stockout_cost_per_unit", "estimated_cost")
          .alias("delta_cost_if_not_transferred"),
         T.top_drivers(st, safety, ttl).alias("top_drivers"))

@@ -101,7 +101,8 @@ def combine_forecasts(preferred: DataFrame, fallback: DataFrame) -> DataFrame:
 
 
 def forecast_lookup(forecasts: DataFrame, start_date: str, horizon: int,
-                    warehouse_id: str | None = None, sku_id: str | None = None) -> DataFrame:
+                    warehouse_id: str | None = None, sku_id: str | None = None,
+                    model_type: str | None = None) -> DataFrame:
     """Stored forecast from ``start_date``, first ``horizon`` days per series.
 
     Reads the forecast table; nothing is re-fitted per request. With a
@@ -112,6 +113,8 @@ def forecast_lookup(forecasts: DataFrame, start_date: str, horizon: int,
         f = f.where(F.col("warehouse_id") == warehouse_id)
     if sku_id is not None:
         f = f.where(F.col("sku_id") == sku_id)
+    if model_type is not None:
+        f = f.where(F.col("model_type") == model_type)
     rn = F.row_number().over(Window.partitionBy(*S).orderBy("date"))
     out = f.withColumn("_rn", rn).where(F.col("_rn") <= horizon).drop("_rn")
     # a point lookup is one short series: return it in date order (F2)

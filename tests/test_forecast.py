@@ -56,3 +56,26 @@ def test_lookup_point_and_slice(spark, planted):
 def test_error_small_on_clean_signal(spark, planted):
     e = Fc.forecast_error(planted, "2023-05-22").toPandas()
     assert list(e.sku_id) == ["A"] and e.n_test[0] == 28 and e.mae[0] < 1.0
+
+
+def test_gbt_forecast_properties(spark):
+    from restock.operators import ml
+    from restock.plans import catalog
+    m = catalog.Model(spark, "/root/testdata/sf0.001")
+    f = ml.gbt_forecast(m.features, "2001-11-05", 7, max_iter=10).toPandas()
+    assert len(f) == 7 * f.groupby(["warehouse_id", "sku_id"]).ngroups > 0
+    assert (f.forecast >= 0).all() and (f.lower <= f.forecast).all() and (f.forecast <= f.upper).all()
+    assert set(f.model_type) == {"gbt"}
+
+
+def test_strict_explanation(spark):
+    from pyspark.sql import functions as F
+    from restock.functions import text as T
+    df = spark.createDataFrame([(5, 10.0, 20.0, 8.0)], "q long, st double, dm double, sf double")
+    loose = df.select(T.explanation(F.col("q"), F.lit("S"), F.lit("A"), F.lit("B"), F.col("st"),
+                                    F.col("dm"), F.col("sf"), F.lit(None).cast("int"))).first()[0]
+    strict = df.select(T.explanation(F.col("q"), F.lit("S"), F.lit("A"), F.lit("B"), F.col("st"),
+                                     F.col("dm"), F.col("sf"), F.lit(None).cast("int"),
+                                     strict=True)).first()[0]
+    assert "below safety stock" in loose and "below safety stock" not in strict
+    assert strict.endswith("safety stock target of 8 units.")
