@@ -197,8 +197,9 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observed lanes: units moved from the supplier's warehouse to the
     customer's warehouse, per SKU (source of C7-C9 and H1-H3 queries).
 
-    line item -> order -> customer gives the destination; the aggregate is
-    partial, so after the joins each task ships one row per lane.
+    Orders meet customers first (the smaller side), so the line items are
+    shuffled once by order key, never re-keyed by customer; the aggregate
+    is partial, so after the joins each task ships one row per lane.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
                                                  "l_quantity")
@@ -206,10 +207,11 @@ def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(cust, F.col("o_custkey") == cust.c_custkey)
-           .join(sup, li.l_suppkey == sup.s_suppkey)
-           .join(part, li.l_partkey == part.p_partkey))
+    dest = (orders.join(cust, orders.o_custkey == cust.c_custkey)
+            .select("o_orderkey", "c_nationkey"))
+    j = (li.join(sup, li.l_suppkey == sup.s_suppkey)
+           .join(part, li.l_partkey == part.p_partkey)
+           .join(dest, li.l_orderkey == dest.o_orderkey))
     return (j.groupBy(wh_id(F.col("s_nationkey")).alias("from_wh"),
                       wh_id(F.col("c_nationkey")).alias("to_wh"),
                       F.col("p_brand").alias("sku_id"))
