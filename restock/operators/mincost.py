@@ -17,7 +17,9 @@ The per-group solver is successive shortest paths on a min-cost flow:
   warehouse j -> sink         capacity = floor(short_j), cost = -penalty_j
   warehouse j -> sink         capacity = 1,  cost = -frac(short_j) * penalty_j
 Augmenting stops when the cheapest path no longer lowers the cost, which
-gives an integral optimum (network matrices are totally unimodular).
+gives an integral optimum (network matrices are totally unimodular). The
+path search works on the (sources x destinations) matrix with NumPy, so a
+round costs one vectorised pass, not a Python loop over arcs.
 """
 
 from __future__ import annotations
@@ -53,70 +55,74 @@ def solve_transport(supply: np.ndarray, short: np.ndarray, penalty: np.ndarray,
 
     supply[i] units at source i, short[j] (fractional) units missing at j,
     penalty[j] per missing unit, cost[i, j] per unit shipped, allowed[i, j]
-    arcs. Returns x[i, j] (int). Ties break by arc order (lowest i, j).
+    arcs. Returns x[i, j] (int). Ties break by the lowest index.
+
+    Successive shortest paths on the bipartite residual graph. A shortest
+    path alternates source -> destination arcs (cost c) and destination ->
+    source reverse arcs (cost -c, where flow exists), so each Bellman-Ford
+    round is two vectorised (sources x destinations) reductions.
     """
     ns, nd = len(supply), len(short)
-    # node ids: 0 = source, 1..ns = sources, ns+1..ns+nd = destinations, last = sink
-    snk = ns + nd + 1
-    n = snk + 1
-    to, cap, cst, head, nxt = [], [], [], [-1] * n, []
-
-    def add(u, v, c, w):
-        for a, b, cc, ww in ((u, v, c, w), (v, u, 0, -w)):
-            to.append(b); cap.append(cc); cst.append(ww); nxt.append(head[a]); head[a] = len(to) - 1
-
-    big = int(supply.sum()) + 1
-    for i in range(ns):
-        if supply[i] > 0:
-            add(0, 1 + i, int(supply[i]), 0.0)
-    arc_id = {}
-    for i in range(ns):
-        for j in range(nd):
-            if allowed[i, j] and cost[i, j] < penalty[j]:
-                arc_id[(i, j)] = len(to)
-                add(1 + i, 1 + ns + j, big, float(cost[i, j]))
-    for j in range(nd):
-        whole = int(math.floor(short[j]))
-        frac = float(short[j]) - whole
-        if whole > 0:
-            add(1 + ns + j, snk, whole, -float(penalty[j]))
-        if frac > 1e-12:
-            add(1 + ns + j, snk, 1, -frac * float(penalty[j]))
-
-    while True:  # Bellman-Ford shortest path in the residual graph
-        dist = [math.inf] * n
-        prev = [-1] * n
-        dist[0] = 0.0
-        for _ in range(n - 1):
-            changed = False
-            for u in range(n):
-                if dist[u] == math.inf:
-                    continue
-                e = head[u]
-                while e != -1:
-                    if cap[e] > 0 and dist[u] + cst[e] < dist[to[e]] - 1e-12:
-                        dist[to[e]] = dist[u] + cst[e]
-                        prev[to[e]] = e
-                        changed = True
-                    e = nxt[e]
-            if not changed:
+    inf = np.inf
+    arc = allowed & (cost < penalty[None, :])
+    c = np.where(arc, cost, inf)
+    x = np.zeros((ns, nd), dtype=np.int64)
+    left = supply.astype(np.int64).copy()
+    whole = np.floor(short).astype(np.int64)
+    frac = short - whole
+    has_frac = frac > 1e-12
+    while True:
+        # cheapest remaining sink arc per destination: whole units first
+        sink = np.where(whole > 0, -penalty, np.where(has_frac, -frac * penalty, inf))
+        if not np.isfinite(sink).any() or not (left > 0).any():
+            break
+        d_src = np.where(left > 0, 0.0, inf)
+        from_dst = np.full(ns, -1)
+        d_dst = np.full(nd, inf)
+        pred_src = np.full(nd, -1)
+        # distances and predecessors only change on a strict improvement, so
+        # zero-cost detours can never turn the predecessor links into a cycle
+        for _ in range(ns + nd + 1):
+            via = d_src[:, None] + c                                  # source -> destination
+            ci = np.argmin(via, axis=0)
+            cd = via[ci, np.arange(nd)]
+            imp = cd < d_dst - 1e-12
+            d_dst = np.where(imp, cd, d_dst)
+            pred_src = np.where(imp, ci, pred_src)
+            back = np.where(x > 0, d_dst[None, :] - cost, inf)        # destination -> source
+            cj = np.argmin(back, axis=1)
+            cs = back[np.arange(ns), cj]
+            imp2 = cs < d_src - 1e-12
+            d_src = np.where(imp2, cs, d_src)
+            from_dst = np.where(imp2, cj, from_dst)
+            if not imp.any() and not imp2.any():
                 break
-        if dist[snk] >= -1e-12:
+        total = d_dst + sink
+        j = int(np.argmin(total))
+        if not total[j] < -1e-12:
             break
-        push, v = math.inf, snk
-        while v != 0:
-            e = prev[v]
-            push = min(push, cap[e])
-            v = to[e ^ 1]
-        v = snk
-        while v != 0:
-            e = prev[v]
-            cap[e] -= push
-            cap[e ^ 1] += push
-            v = to[e ^ 1]
-    x = np.zeros((ns, nd), dtype=np.int64)
-    for (i, j), e in arc_id.items():
-        x[i, j] = cap[e ^ 1]   # flow on an arc = capacity of its reverse
+        # walk back: j <- i <- (j' <- i' ...) until a source fed by the super source
+        path, push = [], (whole[j] if whole[j] > 0 else 1)
+        i = int(pred_src[j])
+        path.append((i, j, +1))
+        seen = set()
+        while from_dst[i] != -1 and i not in seen:
+            seen.add(i)
+            jj = int(from_dst[i])
+            path.append((i, jj, -1))
+            push = min(push, int(x[i, jj]))
+            i = int(pred_src[jj])
+            path.append((i, jj, +1))
+        push = int(min(push, left[i]))
+        if push <= 0:
+            break
+        for a, b, sign in path:
+            x[a, b] += sign * push
+        left[i] -= push
+        if whole[j] > 0:
+            whole[j] -= push
+        else:
+            has_frac[j] = False
     return x
 
 

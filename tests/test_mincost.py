@@ -121,3 +121,37 @@ def test_min_cost_then_days_passes_full_audit(spark):
               .withColumnRenamed("units", "qty").withColumnRenamed("assigned_ship_date", "ship_date"))
     v = audit.plan_audit(placed, m.warehouses, m.skus, m.inventory)
     assert v.count() == 0
+
+
+def _brute_force(supply, short, penalty, cost, allowed):
+    """Best objective over every integral transfer matrix (tiny instances)."""
+    import itertools
+    ns, nd = len(supply), len(short)
+    cells = [(i, j) for i in range(ns) for j in range(nd) if allowed[i, j]]
+    best = None
+    ranges = [range(0, int(min(supply[i], np.ceil(short[j]))) + 1) for i, j in cells]
+    for combo in itertools.product(*ranges):
+        x = np.zeros((ns, nd))
+        for (i, j), q in zip(cells, combo):
+            x[i, j] = q
+        if (x.sum(axis=1) > supply).any():
+            continue
+        obj = (x * np.where(allowed, cost, 0)).sum() + (
+            np.maximum(short - x.sum(axis=0), 0) * penalty).sum()
+        best = obj if best is None else min(best, obj)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(200))
+def test_solver_matches_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    ns, nd = rng.integers(1, 4), rng.integers(1, 4)
+    supply = rng.integers(0, 4, ns)
+    short = np.round(rng.uniform(0, 4, nd), 1)
+    penalty = rng.uniform(1, 10, nd).round(2)
+    cost = rng.uniform(0, 10, (ns, nd)).round(2)
+    allowed = rng.random((ns, nd)) < 0.8
+    x = mincost.solve_transport(supply, short, penalty, cost, allowed)
+    assert (x >= 0).all() and (x.sum(axis=1) <= supply).all() and (x[~allowed] == 0).all()
+    obj = (x * np.where(allowed, cost, 0)).sum() + (np.maximum(short - x.sum(axis=0), 0) * penalty).sum()
+    assert obj == pytest.approx(_brute_force(supply, short, penalty, cost, allowed), abs=1e-9)
