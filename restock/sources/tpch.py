@@ -43,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. The reader (file listing and footer schema) is made once
     per session and path; DataFrames are immutable, so sharing it is safe."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark, path)   # the session object itself: a new session never hits an old entry
     if key not in _READERS:
         _READERS[key] = spark.read.parquet(path)
     return _READERS[key]
