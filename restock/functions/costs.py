@@ -56,12 +56,16 @@ def truck_rate(truck_type="Medium", expedited=False) -> Column:
     ``truck_type`` and ``expedited`` are literals or Columns (a string here is
     a truck type name, not a column name).
     """
-    t = truck_type if isinstance(truck_type, Column) else F.lit(truck_type)
-    expedited = expedited if isinstance(expedited, Column) else F.lit(bool(expedited))
-    chain = None
-    for name, r in TRUCK_RATES.items():
-        chain = (F.when(t == name, F.lit(r)) if chain is None else chain.when(t == name, F.lit(r)))
-    rate = chain.otherwise(F.lit(DEFAULT_RATE))
+    if not isinstance(truck_type, Column):
+        rate = F.lit(TRUCK_RATES.get(truck_type, DEFAULT_RATE))
+    else:
+        chain = None
+        for name, r in TRUCK_RATES.items():
+            cond = truck_type == name
+            chain = F.when(cond, F.lit(r)) if chain is None else chain.when(cond, F.lit(r))
+        rate = chain.otherwise(F.lit(DEFAULT_RATE))
+    if not isinstance(expedited, Column):
+        return rate * EXPEDITED_FACTOR if expedited else rate
     return F.when(expedited, rate * EXPEDITED_FACTOR).otherwise(rate)
 
 
