@@ -12,7 +12,7 @@ the calendar of day d and lag_1d = the prediction of day d-1 (the first day
 uses the last observed units); the other lags and rolling statistics stay
 at their last observed values. Each day is one distributed transform of a
 one-row-per-series frontier; the lineage is cut with a reliable
-``checkpoint()`` every few days.
+``checkpoint()`` (into spark.checkpoint.dir) after every day by default.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from restock import S
 from restock.functions.costs import forecast_band
+from restock.session import checkpoint_dir
 from restock.operators.features import FEATURE_COLUMNS, calendar, chronological_split
 
 TREE_FEATURES = [c for c in FEATURE_COLUMNS if c != "is_promotion"]
@@ -49,6 +50,7 @@ def train_gbt(features: DataFrame, min_rows: int = 30, max_iter: int = 100,
 def gbt_forecast(features: DataFrame, start_date: str, horizon: int = 14, min_rows: int = 30,
                  max_iter: int = 100, checkpoint_every: int = 1) -> DataFrame:
     """Recursive multi-day forecast with a +-20 % band."""
+    checkpoint_dir(features.sparkSession)
     model = train_gbt(features, min_rows=min_rows, max_iter=max_iter)
     n = F.count(F.lit(1)).over(Window.partitionBy(*S))
     last = (features.withColumn("_n", n).where(F.col("_n") >= min_rows)
