@@ -105,8 +105,8 @@ def feasible_sources(need: DataFrame, inventory: DataFrame, warehouses: DataFram
     (C11, B12, E-7, F5).
 
     Input ``need``: rows of ``replenishment_need`` (TTL-blocked rows drop).
-    Output: the need rows plus ``from_ord`` (NULL when nothing qualifies
-    there is no row, as in the model).
+    Output: the need rows that found a source, plus its ``from_ord``; a cell
+    that no warehouse can serve has no row, as in the model.
 
     Stock quantities are counts (>= 0). A cell with no inventory row holds 0
     units; such a warehouse qualifies only for a need of 0 units, where every

@@ -1,9 +1,10 @@
 """Named end-to-end queries over the driver's tables.
 
 Each query is ``f(spark, sf_dir) -> DataFrame``; the model tables are built
-from the driver's tables by ``restock.sources.tpch`` inside the same logical
-plan, so every query's work grows with the input. Doubles are rounded to 4
-places at the end so results compare across engines.
+from the driver's tables by ``restock.sources.tpch``, so every query's work
+grows with the input. Queries that reuse intermediates several times
+materialise them first (see ``Model``). Doubles are rounded to 4 places at
+the end so results compare across engines.
 """
 
 from __future__ import annotations
@@ -37,9 +38,10 @@ class Model:
                  horizon: int = H, materialize: bool = False):
         self.spark, self.sf_dir, self.start, self.h = spark, sf_dir, start_date, horizon
         # Queries that reuse the plan several times materialise the shared
-        # daily aggregate and the plan as Parquet tables in the shared
-        # checkpoint folder (spark.checkpoint.dir), so they survive a lost
-        # executor. Both are bounded by cells x days, not by line items.
+        # daily aggregate (a Parquet table) and the plan (a reliable
+        # checkpoint) in the shared checkpoint folder (spark.checkpoint.dir),
+        # so they survive a lost executor and the line items are scanned once.
+        # Both are bounded by cells x days, not by the number of line items.
         self.materialize = materialize
 
     def _keep(self, df: DataFrame, name: str, small: bool = False) -> DataFrame:
