@@ -141,12 +141,27 @@ def daily_with_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Features and the inventory snapshot both derive from this one
     aggregate, so a query that needs both scans and joins the line items
-    once (the shared exchange is reused).
+    once. It groups on the integer nation key and formats the warehouse id
+    after aggregating, so the per-line work has no string building.
     """
-    from restock.operators.features import daily_sales
-    lines = _lines(spark, sf_dir).withColumn(
-        "returned_qty", F.when(F.col("_returned"), F.col("quantity_sold")).otherwise(F.lit(0)))
-    return daily_sales(lines, extra_sums=("returned_qty",))
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+        "l_returnflag", "l_shipdate")
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    q = F.col("l_quantity").cast("long")
+    agg = (li.join(sup, li.l_suppkey == sup.s_suppkey)
+             .join(part, li.l_partkey == part.p_partkey)
+             .where(F.col("l_shipdate").isNotNull() & F.col("s_nationkey").isNotNull()
+                    & F.col("p_brand").isNotNull())
+             .groupBy(F.col("l_shipdate").cast("date").alias("date"), "s_nationkey", "p_brand")
+             .agg(F.sum(q).alias("quantity_sold"),
+                  F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
+                  F.sum(F.when(F.col("l_returnflag") == "R", q).otherwise(F.lit(0)))
+                   .alias("returned_qty")))
+    return agg.select("date", wh_id(F.col("s_nationkey")).alias("warehouse_id"),
+                      F.col("p_brand").alias("sku_id"), "quantity_sold", "revenue",
+                      "returned_qty")
 
 
 def inventory_from_daily(daily_ext: DataFrame) -> DataFrame:
