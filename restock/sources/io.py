@@ -49,8 +49,14 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
 
         def conv(fld):
             return F.col(fld.name).cast(fld.dataType)
+    def missing(fld):
+        # a warehouse file's scan order is its row order
+        if fld.name == "source_ord":
+            return F.monotonically_increasing_id().cast(fld.dataType)
+        return F.lit(None).cast(fld.dataType)
+
     return df.select([conv(fld).alias(fld.name) if fld.name in df.columns
-                      else F.lit(None).cast(fld.dataType).alias(fld.name)
+                      else missing(fld).alias(fld.name)
                       for fld in schema.fields])
 
 
