@@ -129,7 +129,9 @@ def load_sales(spark, sf_dir):
 
 def integrity_report(spark, sf_dir):
     m = _m(spark, sf_dir)
-    # a dimension without nation 0 and Brand#1, so orphans exist
+    # The driver's tables have no orphan keys, so the check runs against
+    # dimensions without nation 0 and Brand#1 (FIXTURES.md); the sales and
+    # inventory facts are read whole, and every orphan key is reported.
     wh = m.warehouses.where(F.col("source_ord") != 0)
     sk = m.skus.where(F.col("sku_id") != "Brand#1")
     return quality.integrity_report(m.sales, m.inventory, wh, sk)
