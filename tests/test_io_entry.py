@@ -47,3 +47,8 @@ def test_entry_and_contract(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"fourier_forecast", "gbt_forecast", "min_cost_plan", "risk_bands"}
+
+
+def test_entry_schema_is_the_plan_table(spark):
+    df = E.entry(spark)
+    assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schemas.PLAN]
