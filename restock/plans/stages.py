@@ -38,10 +38,8 @@ def etl(spark: SparkSession, in_dir: str, out_dir: str, fmt: str = "csv") -> dic
     out["daily_sales_aggregated"] = io.write_table(daily, _p(out_dir, "daily_sales_aggregated"))
     inv = Fe.inventory_features(raw["inventory_snapshot"], raw["skus"])
     out["inventory_snapshot"] = io.write_table(inv, _p(out_dir, "inventory_snapshot"))
-    wh = raw["warehouses"]
-    if wh.where(F.col("source_ord").isNotNull()).limit(1).count() == 0:
-        wh = P.with_source_order(wh)   # scan order = file order
-    out["warehouses"] = io.write_table(wh, _p(out_dir, "warehouses"))
+    # the reader gives a file without ``source_ord`` its row order
+    out["warehouses"] = io.write_table(raw["warehouses"], _p(out_dir, "warehouses"))
     for name in ("skus", "inbound_pos"):
         if name in raw:
             out[name] = io.write_table(raw[name], _p(out_dir, name))
