@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants: adaptive execution (runtime re-planning, skew
 # splitting, partition coalescing), a fixed session time zone so dates agree
@@ -66,34 +66,49 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
+    as is. Only a local master with the setting unset (tests) gets a scratch
+    folder of its own; any other master without it is an error, because
+    executors could not see each other's files.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (a remote session manages its own folder)
-        sc = None
-    if not path and sc is not None and sc.getCheckpointDir():
+    sc = spark.sparkContext
+    if not path and sc.getCheckpointDir():
         path = sc.getCheckpointDir()
     if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="restock-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if sc is not None and sc.getCheckpointDir() is None:
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """A folder under the shared checkpoint dir for a written intermediate table."""
-    return os.path.join(checkpoint_dir(spark), "tables", name)
+    """A new folder under the shared checkpoint dir for a written intermediate table."""
+    app = spark.sparkContext.applicationId
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables-{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     read it back: the lineage is cut, the result survives lost executors,
     and later reads prune columns and push filters into the scan."""
-    import uuid
     spark = df.sparkSession
-    path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = scratch_table_path(spark, name)
+    schema = df.schema
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def drop_tables(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete written intermediate tables that no pending result reads; with
+    no table named, all that this application wrote."""
+    app = f"tables-{spark.sparkContext.applicationId}"
+    paths = {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}
+    if not tables:
+        paths = {f"{checkpoint_dir(spark).rstrip('/')}/{app}"}
+    for path in paths:
+        if app in path:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
