@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from restock.llm import decontaminate
+from restock.llm import decontaminate, simhash
 
-QUERIES = {"op9_decontaminate": decontaminate.query}
+QUERIES = {"op3_simhash": simhash.query, "op9_decontaminate": decontaminate.query}
 SQL = {"op9_decontaminate": decontaminate.SQL}
