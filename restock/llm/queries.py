@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from restock.llm import decontaminate, simhash
+from restock.llm import bpe, decontaminate, simhash
 
-QUERIES = {"op3_simhash": simhash.query, "op9_decontaminate": decontaminate.query}
+QUERIES = {"op3_simhash": simhash.query, "op6_byte_bpe": bpe.query, "op9_decontaminate": decontaminate.query}
 SQL = {"op9_decontaminate": decontaminate.SQL}
