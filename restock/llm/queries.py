@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from restock.llm import bpe, decontaminate, simhash
+from restock.llm import bpe, decontaminate, simhash, substrings
 
-QUERIES = {"op3_simhash": simhash.query, "op6_byte_bpe": bpe.query, "op9_decontaminate": decontaminate.query}
+QUERIES = {"op3_simhash": simhash.query, "op6_byte_bpe": bpe.query, "op9_decontaminate": decontaminate.query,
+           "op10_suffix_array": substrings.query}
 SQL = {"op9_decontaminate": decontaminate.SQL}
