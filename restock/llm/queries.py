@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from restock.llm import bpe, decontaminate, simhash, substrings
+from restock.llm import bpe, decontaminate, quality_cnn, quality_rules, simhash, substrings
 
-QUERIES = {"op3_simhash": simhash.query, "op6_byte_bpe": bpe.query, "op9_decontaminate": decontaminate.query,
+QUERIES = {"op1_quality_cnn": quality_cnn.query, "op2_quality_rules": quality_rules.query,
+           "op3_simhash": simhash.query, "op6_byte_bpe": bpe.query, "op9_decontaminate": decontaminate.query,
            "op10_suffix_array": substrings.query}
-SQL = {"op9_decontaminate": decontaminate.SQL}
+SQL = {"op2_quality_rules": quality_rules.SQL, "op9_decontaminate": decontaminate.SQL}
