@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from restock.llm import bpe, decontaminate, line_dedup, quality_cnn, quality_rules, simhash, substrings
+from restock.llm import bpe, decontaminate, licenses, line_dedup, quality_cnn, quality_rules, simhash, substrings
 
 QUERIES = {"op1_quality_cnn": quality_cnn.query, "op2_quality_rules": quality_rules.query,
-           "op3_simhash": simhash.query, "op4_line_dedup": line_dedup.query, "op6_byte_bpe": bpe.query, "op9_decontaminate": decontaminate.query,
+           "op3_simhash": simhash.query, "op4_line_dedup": line_dedup.query, "op6_byte_bpe": bpe.query, "op8_license_scan": licenses.query, "op9_decontaminate": decontaminate.query,
            "op10_suffix_array": substrings.query}
 SQL = {"op2_quality_rules": quality_rules.SQL, "op4_line_dedup": line_dedup.SQL,
-       "op9_decontaminate": decontaminate.SQL}
+       "op8_license_scan": licenses.SQL, "op9_decontaminate": decontaminate.SQL}
