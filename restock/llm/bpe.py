@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from restock.llm.common import whole_rows, with_row
+
 NEVER = 1 << 62
 CACHE = 1 << 19        # encoded matches a task remembers
 
@@ -290,9 +292,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
     if pattern != PATTERN:
         raise ValueError("only the byte-level pattern of PATTERN is known here")
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    src = docs.select(F.col(text).cast("string"), F.struct(*(columns or docs.columns)).alias("row"))
-    kind = src.schema["row"].dataType.simpleString()
-    return src.mapInArrow(_encode_batches(shared, pattern), f"tokens array<int>, row {kind}")
+    src = whole_rows(docs, text, columns)
+    return src.mapInArrow(_encode_batches(shared, pattern), with_row("tokens array<int>", src))
 
 
 def _decode_batches(shared):
@@ -323,9 +324,8 @@ def _decode_batches(shared):
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(bytes, tokens, row): the bytes that the ids stand for."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary.tokens)
-    kind = encoded.schema["row"].dataType.simpleString()
     return encoded.select("tokens", "row").mapInArrow(
-        _decode_batches(shared), f"bytes binary, tokens array<int>, row {kind}")
+        _decode_batches(shared), with_row("bytes binary, tokens array<int>", encoded))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

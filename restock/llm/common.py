@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from restock.session import drop_tables, materialize
 
@@ -20,6 +21,18 @@ _BASE = 0x9E3779B97F4A7C15     # odd, so invertible modulo 2**64
 FILTER_BITS = 26               # a bit filter holds 2**26 bits (8 MB) at any size of data
 
 
+def whole_rows(docs: DataFrame, text: str, columns: list[str] | None = None) -> DataFrame:
+    """(text, row): the text column as a string and ``columns`` (all by default)
+    as one struct, so that no column name can clash with those of an operator."""
+    named = [F.col("`" + c.replace("`", "``") + "`") for c in columns or docs.columns]
+    return docs.select(F.col(f"`{text}`").cast("string").alias("text"), F.struct(*named).alias("row"))
+
+
+def with_row(ddl: str, rows: DataFrame) -> StructType:
+    """The schema ``ddl`` with the ``row`` column of ``rows`` after it."""
+    return StructType.fromDDL(ddl).add("row", rows.schema["row"].dataType)
+
+
 def text_chunks(column, limit: int = CHUNK_BYTES) -> Iterator[tuple]:
     """(first row, last row + 1, bytes, offsets) of runs of consecutive rows
     with about ``limit`` bytes in all; a longer row stands alone. Null is empty."""

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from restock.llm import common as C
-from restock.session import drop_tables, materialize
+from restock.session import materialize
 
 SPAN = 10
 GRAM = 5
@@ -149,10 +149,8 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     share = spark.sparkContext.broadcast
     task = _document_batches(lengths, share(C.bit_filter(bench, "print")),
                              share(C.bit_filter(bench, "hash")))
-    src = docs.select(F.col(text).cast("string"), F.struct(*(columns or docs.columns)).alias("row"))
-    kind = src.schema["row"].dataType.simpleString()
-    marked = src.mapInArrow(task, "n_words long, hits array<struct<at: int, m: int, words: binary>>, "
-                                  f"row {kind}")
+    src = C.whole_rows(docs, text, columns)
+    marked = src.mapInArrow(task, C.with_row("n_words long, hits array<struct<at: int, m: int, words: binary>>", src))
     marked = materialize(marked.withColumn("uid", F.monotonically_increasing_id()), "marked")
     hits = (marked.where(F.size("hits") > 0).select("uid", F.explode("hits").alias("h"))
             .select("uid", "h.at", "h.m", "h.words"))

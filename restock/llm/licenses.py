@@ -81,7 +81,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, text:
     t = f"coalesce(cast(`{text}` as string), '')"
     paragraphs = rf"filter(split({t}, '\n[ \t\r]*(?:\n[ \t\r]*)+'), p -> p != '')"
     rows = docs.select(
-        F.struct(*(columns or docs.columns)).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("row"),
         F.expr(rf"concat(filter(split({t}, '\n'), l -> l != ''), filter({paragraphs}, p -> contains(p, '\n')), "
                f"if(size({paragraphs}) > 1, array({t}), array()))").alias("_p"))
     grams = rows.select("row", F.size("_p").cast("long").alias("passages"),

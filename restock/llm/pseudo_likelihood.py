@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from restock.llm.common import whole_rows, with_row
+
 CLASS, CLASSES = 64, 32
 SIZE = CLASS * CLASSES                 # ids
 OTHERS = 62                            # ids shared by the words beyond the vocabulary
@@ -234,10 +236,9 @@ def score(docs: DataFrame, vocabulary: list[bytes], weights: np.ndarray, text: s
           columns: list[str] | None = None) -> DataFrame:
     """(n_tokens, log_likelihood, row): pseudo-log-likelihood of every text."""
     sc = docs.sparkSession.sparkContext
-    src = docs.select(F.col(text).cast("string"), F.struct(*(columns or docs.columns)).alias("row"))
-    kind = src.schema["row"].dataType.simpleString()
+    src = whole_rows(docs, text, columns)
     return src.mapInArrow(_score_batches(sc.broadcast(vocabulary), sc.broadcast(weights)),
-                          f"n_tokens long, log_likelihood double, row {kind}")
+                          with_row("n_tokens long, log_likelihood double", src))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

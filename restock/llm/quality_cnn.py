@@ -188,10 +188,9 @@ def _score_batches(shared, least: float | None):
 def score(docs: DataFrame, net: Network, text: str = "text", columns: list[str] | None = None,
           least: float | None = None) -> DataFrame:
     """(score, row) of every row; with ``least`` only of rows scored that high."""
-    src = docs.select(F.col(text).cast("string"), F.struct(*(columns or docs.columns)).alias("row"))
-    kind = src.schema["row"].dataType.simpleString()
+    src = C.whole_rows(docs, text, columns)
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    return src.mapInArrow(_score_batches(shared, least), f"score double, row {kind}")
+    return src.mapInArrow(_score_batches(shared, least), C.with_row("score double", src))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from restock.llm import (bpe, decontaminate, licenses, line_dedup, pseudo_likelihood, quality_cnn, quality_rules, quotes,
                          simhash, substrings)
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op8_license_scan": licenses.query,
     "op9_decontaminate": decontaminate.query,
     "op10_suffix_array": substrings.query,
+    "pipeline": corpus_pipeline.run,
 }
 # The others are tested against brute force, a round trip or held-out labels.
 SQL = {

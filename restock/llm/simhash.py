@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from restock.llm.common import components
+from restock.llm.common import components, whole_rows, with_row
 from restock.session import materialize
 
 SHINGLE = 4
@@ -76,9 +76,8 @@ def _fingerprint_batches(shingle: int):
 def fingerprints(docs: DataFrame, columns: list[str] | None = None, text: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
     """Written table (fp, row, uid) with a fingerprint for every row."""
-    src = docs.select(F.col(text).cast("string"), F.struct(*(columns or docs.columns)).alias("row"))
-    kind = src.schema["row"].dataType.simpleString()
-    return materialize(src.mapInArrow(_fingerprint_batches(shingle), f"fp long, row {kind}")
+    src = whole_rows(docs, text, columns)
+    return materialize(src.mapInArrow(_fingerprint_batches(shingle), with_row("fp long", src))
                        .withColumn("uid", F.monotonically_increasing_id()), "simhash")
 
 
@@ -253,11 +252,11 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
                     shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(id, fingerprint, component_id) for every row."""
     marked = fingerprints(docs, [id_column], text, shingle)
-    ids = marked.groupBy("fp").agg(F.min(f"row.{id_column}").alias("least"))
+    ids = marked.groupBy("fp").agg(F.min(f"row.`{id_column}`").alias("least"))
     group = materialize(groups(marked, radius).join(ids, "fp"), "simhash-groups")
     least = group.groupBy("root").agg(F.min("least").alias("component_id"))
     return (marked.join(group.select("fp", "root").join(least, "root"), "fp")
-            .select(F.col(f"row.{id_column}").alias(id_column),
+            .select(F.col(f"row.`{id_column}`").alias(id_column),
                     F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
@@ -265,7 +264,7 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                 shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The first row (smallest id, then place) of every group, all columns kept."""
     marked = fingerprints(docs, None, text, shingle)
-    place = F.struct(F.col(f"row.{id_column}").isNull(), F.col(f"row.{id_column}"), F.col("uid"))
+    place = F.struct(F.col(f"row.`{id_column}`").isNull(), F.col(f"row.`{id_column}`"), F.col("uid"))
     first = marked.groupBy("fp").agg(F.min(place).alias("place"))
     keep = (groups(marked, radius).join(first, "fp").groupBy("root").agg(F.min("place").alias("place"))
             .select(F.col("place.uid").alias("uid")))
