@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from restock.llm.common import whole_rows, with_row
 
 NEVER = 1 << 62
-CACHE = 1 << 19        # encoded matches a task remembers
+CACHE = 1 << 19        # encoded matches of a generation; a worker remembers two
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -58,6 +58,13 @@ class Vocabulary:
                     self.halves[t] = (parts[0], parts[1])
                 else:
                     del self.usable[t]
+        # lengths of the usable tokens that end with three given bytes, long ones first
+        by_tail: dict[bytes, set] = {}
+        for t in self.usable:
+            if len(t) > 2:
+                by_tail.setdefault(t[-3:], {2, 1}).add(len(t))
+        self.lengths = {t: tuple(sorted(n, reverse=True)) for t, n in by_tail.items()}
+        self.matches = Encoded(self)         # kept by a worker from task to task
         self._left: dict[int, list] = {}
         self._right: dict[int, list] = {}
         self.holds: dict[int, bool] = {}
@@ -134,9 +141,12 @@ class PrefixTable:
         """Add the entries of the prefixes up to ``end``, longest last token first
         (which one is tried first is only a matter of speed)."""
         v = self.v
-        rank, known, longest = v.usable.get, v.holds.get, v.longest
+        rank, known, lengths, short = v.usable.get, v.holds.get, v.lengths.get, (2, 1)
         for e in range(len(last), end + 1):
-            for start in range(max(0, e - longest), e):
+            for n in lengths(data[e - 3:e], short) if e > 2 else short:
+                if n > e:
+                    continue
+                start = e - n
                 t = rank(data[start:e])
                 if t is None:
                     continue
@@ -189,13 +199,20 @@ class Encoded(dict):
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.v = vocabulary
+        self.old: dict[bytes, bytes] = {}    # the generation before
+
+    def __reduce__(self):                    # travels empty
+        return Encoded, (self.v,)
 
     def __missing__(self, match: bytes) -> bytes:
-        whole = self.v.ranks.get(match)
-        ids = [whole] if whole is not None else PrefixTable(self.v, match).ids()
+        out = self.old.get(match)
+        if out is None:
+            whole = self.v.ranks.get(match)
+            ids = [whole] if whole is not None else PrefixTable(self.v, match).ids()
+            out = np.array(ids, "<i4").tobytes()
         if len(self) >= CACHE:
+            self.old = dict(self)
             self.clear()
-        out = np.array(ids, "<i4").tobytes()
         if len(match) <= 64:
             self[match] = out
         return out
@@ -271,7 +288,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 def _encode_batches(shared, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoded, cut = Encoded(shared.value), Matches(pattern)
+        encoded, cut = shared.value.matches, Matches(pattern)
         for batch in batches:
             texts, sizes, out = batch.column(0).cast(pa.large_binary()), [0], []
             for t in texts:
