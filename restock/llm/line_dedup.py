@@ -96,9 +96,10 @@ def mark(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: in
     touched = materialize(
         gone.join(copied, ["_k", "_k2", "_ord"], "full").select("_k", "_k2", F.col("_ord").alias("_own"), "gone"), "line-repeats")
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    # a sort-merge join whatever the size of the repeats, so that small and large inputs run the same plan
     rows = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _order(id_column), t.alias("_t"))
             .select("row", "_ord", *_hashes("_t"), "_t")
-            .drop("_t").join(touched, ["_k", "_k2"], "left"))
+            .drop("_t").join(touched.hint("merge"), ["_k", "_k2"], "left"))
     lines = rows.withColumn("_l", F.expr(rf"split(coalesce(cast(row.`{text}` as string), ''), '\n')"))
     worded = lines.withColumn("_i", F.expr(
         f"filter(transform(_l, (l, i) -> if(l rlike '{_WORD}', i, -1)), i -> i >= 0)"))
