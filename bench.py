@@ -21,7 +21,7 @@ HEADLINE = [
     "rolling_features", "inventory_features", "greedy_plan", "plan_explained", "plan_audit",
     "capacity_days", "transport_costs", "trend_weekly_forecast", "forecast_error",
     "fourier_forecast", "execution_summary", "execution_long", "warehouse_kpis",
-    "min_cost_plan", "risk_bands",
+    "balanced_plan", "capacity_rule", "gbt_forecast",
 ]
 
 

@@ -131,6 +131,11 @@ def safety_stock(demand, safety_stock_days, horizon_days) -> Column:
     return _c(demand) * _c(safety_stock_days) / _c(horizon_days)
 
 
+def safety_days(days) -> Column:
+    """Safety days of a SKU, 7 where none are given."""
+    return F.coalesce(_c(days), F.lit(7))
+
+
 def needed_qty(safety, stock, demand) -> Column:
     """Units to order: truncated toward zero like int()."""
     return (_c(safety) - _c(stock) + _c(demand)).cast("long")

@@ -1,8 +1,7 @@
 """Scoring a delivered plan (K1-K3, G4, D-13..D-15, H21, H22, B6).
 
 The realised lead times and demands are tables (one row per destination
-cell), so scoring is joins and aggregates; the random version over many
-scenarios is ``restock.operators.risk``.
+cell), so scoring is joins and aggregates.
 """
 
 from __future__ import annotations
@@ -12,8 +11,10 @@ from pyspark.sql import functions as F
 
 from restock import S
 from restock.functions import costs as C
+from restock.functions.dates import as_date
 from restock.operators.features import latest_inventory
 
+# The metric names of the report.
 SUMMARY_METRICS = ["total_transfers", "total_transport_cost", "total_waste_cost", "total_cost",
                    "total_waste_units", "overall_service_level", "total_stockouts",
                    "total_demand", "total_fulfilled"]
@@ -23,16 +24,18 @@ def transfer_outcomes(plan: DataFrame, warehouses: DataFrame, skus: DataFrame,
                       lead_times: DataFrame) -> DataFrame:
     """Arrival, waste, received units and costs per transfer.
 
-    ``lead_times``: (warehouse_id, sku_id, actual_lead_time) of destinations.
+    ``lead_times``: (warehouse_id, sku_id, actual_lead_time) of destinations; a
+    transfer without a row arrived after the planned lead time.
     """
     lt = lead_times.select(F.col("warehouse_id").alias("to_wh"), "sku_id", "actual_lead_time")
     sk = skus.select("sku_id", "perishability_ttl_days", "unit_cost")
     wh = warehouses.select(F.col("warehouse_id").alias("to_wh"),
                            F.col("lead_time_days").alias("planned_lead_time"))
-    j = plan.join(lt, ["to_wh", "sku_id"]).join(sk, "sku_id").join(wh, "to_wh")
+    j = (plan.join(lt, ["to_wh", "sku_id"], "left").join(sk, "sku_id", "left").join(wh, "to_wh", "left")
+         .withColumn("actual_lead_time", F.coalesce("actual_lead_time", "planned_lead_time")))
     waste = C.waste_units("qty", "perishability_ttl_days", "actual_lead_time")
     transport = F.coalesce(F.col("estimated_cost"), F.lit(0.0))
-    waste_cost = F.col("waste_qty") * F.col("unit_cost")
+    waste_cost = F.coalesce(F.col("waste_qty") * F.col("unit_cost"), F.lit(0.0))
     return (j.withColumn("waste_qty", waste).select(
         F.col("plan_id").alias("transfer_id"), "from_wh", "to_wh", "sku_id",
         F.col("qty").alias("planned_qty"),
@@ -97,7 +100,7 @@ def execution_summary(outcomes: DataFrame, service: DataFrame, run_date: str) ->
         F.coalesce(F.sum("fulfilled_qty"), F.lit(0.0)).alias("total_fulfilled"))
     level = F.coalesce(F.try_divide(F.col("total_fulfilled"), F.col("total_demand")), F.lit(1.0))
     return a.where(F.col("total_transfers") > 0).select(
-        F.lit(run_date).cast("date").alias("simulation_date"), "plan_id",
+        as_date(run_date).alias("simulation_date"), "plan_id",
         "total_transfers", "total_transport_cost", "total_waste_cost", "total_cost",
         "total_waste_units", level.alias("overall_service_level"),
         "total_stockouts", "total_demand", "total_fulfilled")

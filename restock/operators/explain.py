@@ -32,7 +32,7 @@ def plan_explained(plan: DataFrame, warehouses: DataFrame, skus: DataFrame,
          .join(sk, "sku_id", "left").join(wh, "to_wh", "left"))
     st = F.coalesce(F.col("_stock"), F.lit(0)).cast("double")
     dm = F.coalesce(F.col("_demand"), F.lit(0.0))
-    safety = C.safety_stock(dm, F.coalesce(F.col("safety_stock_days"), F.lit(7)),
+    safety = C.safety_stock(dm, C.safety_days("safety_stock_days"),
                             F.lit(explain_horizon))
     ttl = F.col("perishability_ttl_days")
     return j.select(

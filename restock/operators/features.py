@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from restock import S
 from restock.functions.costs import series_key
 
+# The feature names of the model.
 FEATURE_COLUMNS = [
     "rolling_7d_mean", "rolling_7d_std", "rolling_28d_mean", "rolling_28d_std",
     "lag_1d", "lag_7d", "lag_28d",

@@ -14,20 +14,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from restock import S
 from restock.functions.costs import forecast_band
+from restock.functions.dates import as_date
 
 Z95 = 1.96
 FORECAST_COLUMNS = ["date", "warehouse_id", "sku_id", "forecast", "lower", "upper", "model_type"]
 
 
-def prepare_series(daily: DataFrame) -> DataFrame:
-    """(ds, y) per series, the shape the seasonal model reads (B2)."""
-    return daily.select(*S, F.col("date").alias("ds"), F.col("quantity_sold").cast("double").alias("y"))
-
-
 def _fit(daily: DataFrame, start_date: str, min_rows: int, train=None) -> DataFrame:
     """Per-row fitted trend, weekday effect and residual deviation.
 
@@ -35,7 +30,7 @@ def _fit(daily: DataFrame, start_date: str, min_rows: int, train=None) -> DataFr
     """
     k = Window.partitionBy(*S)
     kd = Window.partitionBy(*S, "dow")
-    start = F.lit(start_date).cast("date")
+    start = as_date(start_date)
     use = F.lit(True) if train is None else train
     base = daily.select(*S, "date", F.col("quantity_sold").cast("double").alias("y"),
                         F.datediff("date", start).cast("double").alias("t"),
@@ -66,7 +61,7 @@ def trend_weekly_forecast(daily: DataFrame, start_date: str, horizon: int = 14,
         F.first("slope").alias("slope"), F.first("intercept").alias("intercept"),
         F.first("sigma").alias("sigma"),
         F.map_from_entries(F.collect_set(F.struct("dow", "dow_effect"))).alias("effects"))
-    start = F.lit(start_date).cast("date")
+    start = as_date(start_date)
     days = F.sequence(start, F.date_add(start, horizon - 1))
     fut = model.select(*S, "slope", "intercept", "sigma", "effects",
                        F.explode(days).alias("date"))
@@ -84,7 +79,7 @@ def trend_weekly_forecast(daily: DataFrame, start_date: str, horizon: int = 14,
 def flat_forecast(daily_features: DataFrame, start_date: str, horizon: int = 14) -> DataFrame:
     """Last 28-row mean repeated over the horizon (the stand-in model)."""
     last = daily_features.groupBy(*S).agg(F.max_by("rolling_28d_mean", "date").alias("_m"))
-    start = F.lit(start_date).cast("date")
+    start = as_date(start_date)
     m = F.round(F.col("_m"), 6)
     return last.select(F.explode(F.sequence(start, F.date_add(start, horizon - 1))).alias("date"),
                        *S, m.alias("forecast"), m.alias("lower"), m.alias("upper"),
@@ -108,7 +103,7 @@ def forecast_lookup(forecasts: DataFrame, start_date: str, horizon: int,
     Reads the forecast table; nothing is re-fitted per request. With a
     warehouse / SKU given it is a point lookup (filters reach the scan).
     """
-    f = forecasts.where(F.col("date") >= F.lit(start_date).cast("date"))
+    f = forecasts.where(F.col("date") >= as_date(start_date))
     if warehouse_id is not None:
         f = f.where(F.col("warehouse_id") == warehouse_id)
     if sku_id is not None:
@@ -152,13 +147,6 @@ def forecast_error(daily: DataFrame, start_date: str, train_share: float = 0.8,
 
 
 # ---------------------------------------------------------------- I2 -----
-FOURIER_SCHEMA = T.StructType([
-    T.StructField("date", T.DateType()), T.StructField("warehouse_id", T.StringType()),
-    T.StructField("sku_id", T.StringType()), T.StructField("forecast", T.DoubleType()),
-    T.StructField("lower", T.DoubleType()), T.StructField("upper", T.DoubleType()),
-    T.StructField("model_type", T.StringType())])
-
-
 def _fourier_design(days: np.ndarray, weekly: int, yearly: int) -> np.ndarray:
     cols = [np.ones_like(days), days]
     for period, order in ((7.0, weekly), (365.25, yearly)):
@@ -168,47 +156,54 @@ def _fourier_design(days: np.ndarray, weekly: int, yearly: int) -> np.ndarray:
     return np.column_stack(cols)
 
 
-def fourier_forecast(daily: DataFrame, start_date: str, horizon: int = 14,
+def fourier_sums(daily: DataFrame, start_date, weekly_order: int = 3) -> DataFrame:
+    """Per series: rows, and the sums of units and of units times each weekly term."""
+    t = F.datediff("date", as_date(start_date)).cast("double")
+    y = F.col("quantity_sold").cast("double")
+    terms = []
+    for k in range(1, weekly_order + 1):
+        ang = F.lit(2 * np.pi * k / 7.0) * t
+        terms += [F.sum(y * F.sin(ang)).alias(f"sin_{k}"), F.sum(y * F.cos(ang)).alias(f"cos_{k}")]
+    return daily.groupBy(*S).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("units"), F.sum(y * t).alias("units_t"), *terms)
+
+
+def fourier_forecast(daily: DataFrame, start_date, horizon: int = 14,
                      min_rows: int = 14, weekly_order: int = 3, yearly_order: int = 10,
                      ridge: float = 1.0) -> DataFrame:
     """Trend + weekly and yearly Fourier terms per series, ridge-fitted.
 
-    Intercept and trend are not penalised; the seasonal terms are. Yearly
-    terms enter only when the history spans a full year (on a shorter one
-    they are not identifiable and would alias the trend).
+    Intercept and trend are not penalised; the seasonal terms are, so a short
+    history gets small yearly terms (``yearly_order=0`` leaves them out).
 
     A grouped map: each series (at most one row per day, so bounded by the
     number of days, not by the data volume) is fitted with NumPy inside its
-    task; Spark shuffles the series to tasks.
+    task; Spark shuffles the series to tasks. Days count from ``start_date``.
     """
-    start = pd.Timestamp(start_date)
+    start = as_date(start_date)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         if len(pdf) < min_rows:
-            return pd.DataFrame(columns=[f.name for f in FOURIER_SCHEMA.fields])
-        pdf = pdf.sort_values("date")
-        days = (pd.to_datetime(pdf["date"]) - start).dt.days.to_numpy(dtype=float)
-        y = pdf["quantity_sold"].to_numpy(dtype=float)
-        yearly = yearly_order if days.max() - days.min() >= 365 else 0
-        X = _fourier_design(days, weekly_order, yearly)
+            return pd.DataFrame(columns=["warehouse_id", "sku_id", "day", "yhat", "sigma"])
+        pdf = pdf.sort_values("day")
+        days, y = pdf["day"].to_numpy(dtype=float), pdf["quantity_sold"].to_numpy(dtype=float)
+        X = _fourier_design(days, weekly_order, yearly_order)
         pen = ridge * np.eye(X.shape[1])
         pen[0, 0] = pen[1, 1] = 0.0
         beta = np.linalg.lstsq(X.T @ X + pen, X.T @ y, rcond=None)[0]
-        resid = y - X @ beta
-        sigma = float(np.std(resid, ddof=1)) if len(y) > 1 else 0.0
-        fut = np.arange(horizon, dtype=float)
-        yhat = _fourier_design(fut, weekly_order, yearly) @ beta
-        dates = [(start + pd.Timedelta(days=int(i))).date() for i in range(horizon)]
+        sigma = float(np.std(y - X @ beta, ddof=1)) if len(y) > 1 else 0.0
+        ahead = np.arange(horizon)
         return pd.DataFrame({
-            "date": dates, "warehouse_id": pdf["warehouse_id"].iloc[0],
-            "sku_id": pdf["sku_id"].iloc[0],
-            "forecast": np.maximum(yhat, 0.0),
-            "lower": np.maximum(yhat - Z95 * sigma, 0.0),
-            "upper": np.maximum(yhat + Z95 * sigma, 0.0),
-            "model_type": "fourier"})
-
-    return (daily.select("date", *S, "quantity_sold").groupBy(*S)
-            .applyInPandas(fit, FOURIER_SCHEMA))
+            "warehouse_id": pdf["warehouse_id"].iloc[0], "sku_id": pdf["sku_id"].iloc[0], "day": ahead,
+            "yhat": _fourier_design(ahead.astype(float), weekly_order, yearly_order) @ beta, "sigma": sigma})
+
+    fitted = (daily.select(*S, F.datediff("date", start).alias("day"), "quantity_sold").groupBy(*S)
+              .applyInPandas(fit, "warehouse_id string, sku_id string, day int, yhat double, sigma double"))
+    wide = Z95 * F.col("sigma")
+    return fitted.select(F.date_add(start, F.col("day")).alias("date"), *S,
+                         F.greatest(F.col("yhat"), F.lit(0.0)).alias("forecast"),
+                         F.greatest(F.col("yhat") - wide, F.lit(0.0)).alias("lower"),
+                         F.greatest(F.col("yhat") + wide, F.lit(0.0)).alias("upper"),
+                         F.lit("fourier").alias("model_type"))
 
 
 def band(pred_col) -> list:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from restock import S
 from restock.functions.costs import forecast_band
+from restock.functions.dates import as_date
 from restock.session import checkpoint_dir
 from restock.operators.features import FEATURE_COLUMNS, calendar, chronological_split
 
@@ -47,20 +48,45 @@ def train_gbt(features: DataFrame, min_rows: int = 30, max_iter: int = 100,
     return gbt.fit(data)
 
 
-def gbt_forecast(features: DataFrame, start_date: str, horizon: int = 14, min_rows: int = 30,
-                 max_iter: int = 100, checkpoint_every: int = 1) -> DataFrame:
-    """Recursive multi-day forecast with a +-20 % band."""
+def training_sums(features: DataFrame, min_rows: int = 30) -> DataFrame:
+    """Rows, label sum and feature sums of the training and validation parts."""
+    split = chronological_split(features).where(F.col("series_rows") >= min_rows)
+    return split.groupBy("is_train").agg(F.count(F.lit(1)).alias("n"), F.sum("quantity_sold").alias("label"),
+                                         *[F.sum(c).alias(c) for c in TREE_FEATURES])
+
+
+def gbt_error(features: DataFrame, min_rows: int = 30, max_iter: int = 100) -> DataFrame:
+    """MAE and RMSE per series of the trees on its last 20 % of rows, which take
+    no part in the training (I7, D-16)."""
+    rows = chronological_split(features).where(F.col("series_rows") >= min_rows)
+    assembler = VectorAssembler(inputCols=TREE_FEATURES, outputCol="features", handleInvalid="keep")
+    fit_rows = rows.where("is_train").select(*TREE_FEATURES, F.col("quantity_sold").cast("double").alias("label"))
+    model = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, stepSize=0.05, maxDepth=5,
+                         featureSubsetStrategy="0.9", seed=42).fit(assembler.transform(fit_rows))
+    tested = model.transform(assembler.transform(rows.where("not is_train").select(*S, "quantity_sold", *TREE_FEATURES)))
+    err = F.col("quantity_sold") - F.greatest(F.col("prediction"), F.lit(0.0))
+    return tested.groupBy(*S).agg(F.count(F.lit(1)).alias("n_test"), F.avg(F.abs(err)).alias("mae"),
+                                  F.sqrt(F.avg(err * err)).alias("rmse"))
+
+
+def gbt_forecast(features: DataFrame, start_date, horizon: int = 14, min_rows: int = 30,
+                 max_iter: int = 100, checkpoint_every: int = 1, only: DataFrame | None = None) -> DataFrame:
+    """Recursive multi-day forecast with a +-20 % band.
+
+    The pooled model trains on series of ``min_rows`` rows and predicts those,
+    or the series (warehouse_id, sku_id) of ``only``, whatever their length.
+    """
     checkpoint_dir(features.sparkSession)
     model = train_gbt(features, min_rows=min_rows, max_iter=max_iter)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*S))
-    last = (features.withColumn("_n", n).where(F.col("_n") >= min_rows)
-            .groupBy(*S).agg(F.max_by(F.struct("quantity_sold", *TREE_FEATURES), "date")
-                             .alias("_l"))
+    rows = (features.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*S))).where(F.col("_n") >= min_rows)
+            if only is None else features.join(only.select(*S).distinct(), S, "left_semi"))
+    last = (rows.groupBy(*S).agg(F.max_by(F.struct("quantity_sold", *TREE_FEATURES), "date")
+                                 .alias("_l"))
             .select(*S, F.col("_l.quantity_sold").cast("double").alias("prev"),
                     *[F.col(f"_l.{c}").alias(c) for c in TREE_FEATURES]))
     assembler = VectorAssembler(inputCols=TREE_FEATURES, outputCol="features",
                                 handleInvalid="keep")
-    start = F.lit(start_date).cast("date")
+    start = as_date(start_date)
     frontier = last
     outputs = []
     for i in range(horizon):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from restock import S
 from restock.functions import costs as C
+from restock.functions.dates import as_date
 from restock.operators.features import latest_inventory
 
 TRUCK_OPTIONS = [("Small", False), ("Medium", False), ("Large", False), ("Refrigerated", False),
@@ -46,7 +47,7 @@ def lane_days(shipments: DataFrame, warehouses: DataFrame, skus: DataFrame,
     """
     lt = warehouses.select(F.col("warehouse_id").alias("to_wh"), "lead_time_days")
     ttl = skus.select("sku_id", "perishability_ttl_days")
-    start = F.lit(start_date).cast("date")
+    start = as_date(start_date)
     lanes = (shipments.where(F.col("from_wh") != F.col("to_wh"))
              .select("from_wh", "to_wh", "sku_id").join(lt, "to_wh").join(ttl, "sku_id"))
     feasible = ~F.coalesce(F.col("perishability_ttl_days").isNotNull()

@@ -1,5 +1,5 @@
-"""Replenishment cells, needs, source search and the greedy plan (C6, C10-C11,
-D-2, H10-H14, B11-B12, E-7, F5, J1, J3, J7, J8).
+"""Replenishment cells, needs, source search and the plans (C6, C10-C11,
+D-2, H10-H14, B11-B12, E-7, F5, J1-J4, J7, J8).
 
 Scale notes
 -----------
@@ -25,12 +25,9 @@ from pyspark.sql import functions as F
 
 from restock import S
 from restock.functions import costs as C
+from restock.functions.dates import as_date
 from restock.operators.features import latest_inventory
 
-PLAN_COLUMNS = ["plan_id", "run_date", "from_wh", "to_wh", "sku_id", "qty", "ship_date",
-                "expected_arrival", "truck_type", "driver_id", "estimated_cost", "reason_code"]
-
-
 def new_plan_id(now=None, token: str | None = None) -> str:
     """Plan id "PLAN-yyyymmdd-HHMMSS-<8 hex>" (H16), made on the driver and
     passed to the planners as a parameter so reruns can repeat it."""
@@ -40,18 +37,6 @@ def new_plan_id(now=None, token: str | None = None) -> str:
     return f"PLAN-{now:%Y%m%d-%H%M%S}-{token or uuid.uuid4().hex[:8]}"
 
 
-def with_source_order(warehouses: DataFrame) -> DataFrame:
-    """Give a warehouse table without ``source_ord`` its file order.
-
-    ``monotonically_increasing_id`` grows with the position in a file (and
-    with the split of a file), which is the order the planner scans sources
-    in; no single-task ranking is needed since only the order matters.
-    """
-    if "source_ord" in warehouses.columns:
-        warehouses = warehouses.drop("source_ord")
-    return warehouses.withColumn("source_ord", F.monotonically_increasing_id())
-
-
 def cell_demand(forecasts: DataFrame) -> DataFrame:
     """Demand per cell: the sum over all its forecast rows (D-2, Q17)."""
     return forecasts.groupBy(*S).agg(F.sum("forecast").alias("demand"))
@@ -74,7 +59,7 @@ def cells(warehouses: DataFrame, skus: DataFrame, inventory: DataFrame,
     demand = F.coalesce(F.col("demand"), F.lit(0.0))
     return j.select(*[c for c in j.columns if c not in ("_stock", "demand")],
                     stock.alias("current_stock"), demand.alias("demand"),
-                    C.safety_stock(demand, "safety_stock_days", F.lit(horizon_days))
+                    C.safety_stock(demand, C.safety_days("safety_stock_days"), F.lit(horizon_days))
                     .alias("safety_stock"))
 
 
@@ -156,21 +141,17 @@ def feasible_sources(need: DataFrame, inventory: DataFrame, warehouses: DataFram
             .drop("_best1", "_best2"))
 
 
-def greedy_plan(warehouses: DataFrame, skus: DataFrame, inventory: DataFrame,
-                forecasts: DataFrame, start_date: str, horizon_days: int = 14,
-                plan_id: str = "PLAN-GREEDY") -> DataFrame:
-    """The greedy replenishment plan.
+def _plan_rows(chosen: DataFrame, warehouses: DataFrame, start_date, plan_id: str,
+               qty: str, reason: str) -> DataFrame:
+    """The plan table from destination cells with a chosen ``from_ord``.
 
-    Decisions are independent (source stock is not reduced between them), so
-    the plan is one relational query. The cost is priced at the Medium rate
-    whatever the truck type, like the model it mirrors (Q11).
+    The cost is priced at the Medium rate whatever the truck type, like the
+    model it mirrors (Q11).
     """
-    c = cells(warehouses, skus, inventory, forecasts, horizon_days)
-    chosen = feasible_sources(replenishment_need(c), inventory, warehouses)
     src = warehouses.select(F.col("source_ord").alias("from_ord"),
                             F.col("warehouse_id").alias("from_wh"),
                             F.col("latitude").alias("_flat"), F.col("longitude").alias("_flon"))
-    start = F.lit(start_date).cast("date")
+    start = as_date(start_date)
     km = C.haversine_km("_flat", "_flon", "latitude", "longitude")
     return (chosen.join(src, "from_ord").select(
         F.lit(plan_id).alias("plan_id"),
@@ -178,68 +159,145 @@ def greedy_plan(warehouses: DataFrame, skus: DataFrame, inventory: DataFrame,
         "from_wh",
         F.col("warehouse_id").alias("to_wh"),
         "sku_id",
-        F.col("needed_qty").alias("qty"),
+        F.col(qty).alias("qty"),
         start.alias("ship_date"),
         F.date_add(start, F.col("lead_time_days")).alias("expected_arrival"),
         C.truck_type_for("requires_refrigerated").alias("truck_type"),
         F.lit(None).cast("string").alias("driver_id"),
-        C.transport_cost(km, "needed_qty", "volume_m3_per_unit", "weight_kg_per_unit",
+        C.transport_cost(km, qty, "volume_m3_per_unit", "weight_kg_per_unit",
                          "Medium").alias("estimated_cost"),
-        F.lit("GREEDY_HEURISTIC").alias("reason_code")))
+        F.lit(reason).alias("reason_code")))
+
+
+def greedy_plan(warehouses: DataFrame, skus: DataFrame, inventory: DataFrame,
+                forecasts: DataFrame, start_date, horizon_days: int = 14,
+                plan_id: str = "PLAN-GREEDY") -> DataFrame:
+    """The greedy replenishment plan.
+
+    Decisions are independent (source stock is not reduced between them), so
+    the plan is one relational query.
+    """
+    c = cells(warehouses, skus, inventory, forecasts, horizon_days)
+    chosen = feasible_sources(replenishment_need(c), inventory, warehouses)
+    return _plan_rows(chosen, warehouses, start_date, plan_id, "needed_qty", "GREEDY_HEURISTIC")
+
+
+def balanced_plan(warehouses: DataFrame, skus: DataFrame, inventory: DataFrame,
+                  forecasts: DataFrame, start_date, horizon_days: int = 14,
+                  plan_id: str = "PLAN-BALANCED") -> DataFrame:
+    """A plan that never promises more than a source can spare (J2, re-aimed).
+
+    Per SKU, what the warehouses hold above their safety stock and what the
+    needy cells lack are laid out along one line each, in warehouse order. The
+    ends of both layouts, sorted together, cut the line into pieces that lie in
+    one source's and one destination's part: each is a transfer. One shuffle by
+    SKU and one sort; at most sources + destinations transfers, never pairs.
+    """
+    c = cells(warehouses, skus, inventory, forecasts, horizon_days)
+    need = replenishment_need(c).where(~F.col("ttl_blocked") & (F.col("needed_qty") > 0))
+    spare = (c.withColumn("spare", F.floor(F.col("current_stock") - F.col("safety_stock")).cast("long"))
+             .where("spare > 0"))
+    line = Window.partitionBy("sku_id").orderBy("source_ord").rowsBetween(Window.unboundedPreceding, 0)
+    columns = [x for x in need.columns if x != "sku_id"]
+    kind = need.select(F.struct(*columns).alias("d")).schema["d"].dataType
+    ends = (need.select("sku_id", F.sum("needed_qty").over(line).alias("end"), F.lit(None).cast("long").alias("from_ord"),
+                        F.struct(*columns).alias("d"))
+            .unionByName(spare.select("sku_id", F.sum("spare").over(line).alias("end"), F.col("source_ord").alias("from_ord"),
+                                      F.lit(None).cast(kind).alias("d"))))
+    order = Window.partitionBy("sku_id").orderBy("end", F.col("from_ord").isNull())
+    ahead = order.rowsBetween(0, Window.unboundedFollowing)
+    cut = ends.select("sku_id", (F.col("end") - F.lag("end", 1, 0).over(order)).alias("qty"),
+                      F.first("from_ord", ignorenulls=True).over(ahead).alias("from_ord"),
+                      F.first("d", ignorenulls=True).over(ahead).alias("d"))
+    chosen = (cut.where((F.col("qty") > 0) & F.col("from_ord").isNotNull() & F.col("d").isNotNull())
+              .select("sku_id", "qty", "from_ord", "d.*"))
+    return _plan_rows(chosen, warehouses, start_date, plan_id, "qty", "STOCK_BALANCED")
+
+
+# planning methods by name
+METHODS = {"greedy": greedy_plan, "balanced": balanced_plan}
+
+
+def plan_with_method(method: str, *args, **kwargs) -> DataFrame:
+    if method not in METHODS:
+        raise ValueError(f"unknown planning method: {method}")
+    return METHODS[method](*args, **kwargs)
 
 
 def capacity_days(plan: DataFrame, warehouses: DataFrame, skus: DataFrame,
-                  start_date: str, horizon_days: int = 14) -> DataFrame:
+                  start_date, horizon_days: int = 14) -> DataFrame:
     """Split transfers over ship days so inbound volume per destination and
-    day stays within capacity (J3).
-
-    Days cost the same, so units are laid out per destination in a total
-    order (cost, source, SKU, ship date) along the running inbound volume,
-    and a unit ships on day k when it starts inside
-    [k * usable, (k + 1) * usable), with usable = capacity - 2 * (largest unit
-    volume at that destination). A day then holds at most usable + one unit
-    <= capacity, whatever the unit sizes, so the result always passes the
-    capacity audit. A transfer spanning several days is split into one piece
-    per day; units that would start after the horizon form one ``shortfall``
-    piece. Piece sizes are differences of one cumulative count, so the
-    pieces of a transfer always add up to its quantity.
-    One window per destination (a running sum), no sequential scan.
+    day stays within capacity, and no unit is left over that fits a day (J3).
+
+    Units of one volume are alike, so the days are filled for the totals per
+    (destination, unit volume), large volumes first: each day takes as many as
+    its room holds, and what fits no day is shortfall. That fold runs over the
+    distinct unit volumes shipped to a destination, not over its transfers. A
+    transfer then takes the stretch of its class that its running count covers
+    (ordered by cost, source, SKU), cut where the class's days end; pieces are
+    differences of one count, so they add up. No volume given means no room
+    needed, no capacity given means no limit; a transfer of no units ships
+    nothing on the first day.
     """
-    vol = skus.select("sku_id", "volume_m3_per_unit")
+    vol = skus.select("sku_id", F.coalesce("volume_m3_per_unit", F.lit(0.0)).alias("_v"))
     cap = warehouses.select(F.col("warehouse_id").alias("to_wh"), "capacity_volume_m3")
-    p = (plan.join(vol, "sku_id").join(cap, "to_wh")
-         .withColumn("_v", F.col("volume_m3_per_unit")))
-    dest = Window.partitionBy("to_wh")
-    w = (dest.orderBy("estimated_cost", "from_wh", "sku_id", "ship_date")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    before = F.coalesce(F.sum(F.col("qty") * F.col("_v")).over(w), F.lit(0.0))
-    usable = F.col("capacity_volume_m3") - 2 * F.max("_v").over(dest)
-    p = p.select("*", before.alias("_c0"), usable.alias("_usable"))
-    h = F.lit(horizon_days)
-    q, v, c0, u = F.col("qty"), F.col("_v"), F.col("_c0"), F.col("_usable")
-    fits = u > 0
-    first_day = F.when(fits, F.floor(c0 / u)).otherwise(h).cast("int")
-    last_day = F.when(fits, F.floor((c0 + F.greatest(q - 1, F.lit(0)) * v) / u)).otherwise(h).cast("int")
-    k0 = F.least(first_day, h)
-    k1 = F.least(last_day, h)
-    p = p.select("*", F.explode(F.sequence(k0, k1)).alias("day_offset"),
-                 k0.alias("_k0"), k1.alias("_k1"))
-
-    def started_before(x):
-        """Units of the row whose start volume is below x."""
-        n = F.ceil((x - c0) / v)
-        return F.least(F.greatest(n, F.lit(0)), q)
-
-    k = F.col("day_offset")
-    lo = F.when(k == F.col("_k0"), F.lit(0)).otherwise(started_before(k * u))
-    hi = F.when(k == F.col("_k1"), q).otherwise(started_before((k + 1) * u))
-    units = (hi - lo).cast("long")
-    start = F.lit(start_date).cast("date")
-    return p.select("plan_id", "from_wh", "to_wh", "sku_id", "qty",
-                    units.alias("units"), (units * v).alias("volume_m3"),
-                    "capacity_volume_m3", "day_offset",
-                    F.date_add(start, k).alias("assigned_ship_date"),
-                    (k >= h).alias("shortfall"))
+    p = plan.join(vol, "sku_id").join(cap, "to_wh")
+    group = ["plan_id", "to_wh"]
+    totals = (p.groupBy(*group, "_v").agg(F.sum("qty").alias("n"), F.first("capacity_volume_m3").alias("cap"))
+              .groupBy(*group).agg(F.sort_array(F.collect_list(F.struct(F.col("_v").alias("v"), "n")), asc=False).alias("classes"),
+                                   F.coalesce(F.first("cap"), F.lit(1e300)).alias("cap")))
+    days = f"sequence(0, {horizon_days - 1})"
+    fill = (f"aggregate({days}, struct(c.n as left, cast(array() as array<double>) as room, cast(array() as array<bigint>) as days), "
+            "(s, d) -> transform(array(if(c.v <= 0, s.left, least(s.left, cast(floor(a.room[d] / c.v + 1e-9) as bigint)))), "
+            "k -> struct(s.left - k as left, concat(s.room, array(a.room[d] - k * c.v)) as room, concat(s.days, array(k)) as days))[0])")
+    filled = totals.select(*group, F.expr(
+        f"aggregate(classes, struct(transform({days}, d -> cap) as room, "
+        "cast(array() as array<struct<v: double, days: array<bigint>>>) as out), "
+        f"(a, c) -> transform(array({fill}), r -> struct(r.room as room, "
+        "concat(a.out, array(struct(c.v as v, concat(r.days, array(r.left)) as days))) as out))[0], a -> a.out)").alias("out"))
+    classes = filled.select(*group, F.explode("out").alias("o")).select(*group, F.col("o.v").alias("_v"), F.col("o.days").alias("days"))
+    stretch = (Window.partitionBy(*group, "_v").orderBy("estimated_cost", "from_wh", "sku_id", "ship_date")
+               .rowsBetween(Window.unboundedPreceding, 0))
+    p = p.withColumn("_to", F.sum("qty").over(stretch)).withColumn("_from", F.col("_to") - F.col("qty"))
+    # piece of day k: the overlap of the transfer's stretch with the day's
+    pieces = p.join(classes, [*group, "_v"]).withColumn("_d", F.expr(
+        "transform(days, (n, k) -> struct(k as day_offset, least(_to, aggregate(slice(days, 1, k + 1), 0L, (x, y) -> x + y)) "
+        "- greatest(_from, aggregate(slice(days, 1, k), 0L, (x, y) -> x + y)) as units))"))
+    pieces = pieces.withColumn("_d", F.explode(F.expr(
+        "if(qty = 0, array(struct(0 as day_offset, 0L as units)), filter(_d, x -> x.units > 0))")))
+    k = F.col("_d.day_offset")
+    return pieces.select("plan_id", "from_wh", "to_wh", "sku_id", "qty",
+                         F.col("_d.units").alias("units"), (F.col("_d.units") * F.col("_v")).alias("volume_m3"),
+                         "capacity_volume_m3", k.alias("day_offset"),
+                         F.date_add(as_date(start_date), k).alias("assigned_ship_date"),
+                         (k >= horizon_days).alias("shortfall"))
+
+
+def capacity_rule(plan: DataFrame, days: DataFrame, skus: DataFrame, horizon_days: int = 14) -> DataFrame:
+    """What ``capacity_days`` promises, per plan and destination: units planned
+    and accounted for, transfers whose pieces do not add up, days above
+    capacity, and left-over pieces of which a unit would fit some day (J3, D-18)."""
+    group = ["plan_id", "to_wh"]
+    lane = [*group, "from_wh", "sku_id"]
+    split = (plan.groupBy(*lane).agg(F.sum("qty").alias("q"))
+             .join(days.groupBy(*lane).agg(F.sum("units").alias("u")), lane, "left")
+             .groupBy(*group).agg(F.sum("q").alias("planned_units"), F.sum("u").alias("accounted_units"),
+                                  F.count_if(~F.col("u").eqNullSafe(F.col("q"))).alias("broken_transfers")))
+    used = (days.where(~F.col("shortfall")).groupBy(*group, "day_offset")
+            .agg(F.sum("volume_m3").alias("used"), F.first("capacity_volume_m3").alias("cap")))
+    room = used.groupBy(*group).agg(
+        F.count_if(F.col("used") > F.col("cap") + 1e-6).alias("days_over"),
+        # a day without any piece has its whole capacity free
+        F.when(F.count("*") < horizon_days, F.first("cap")).otherwise(F.max(F.col("cap") - F.col("used"))).alias("free"))
+    left = (days.where("shortfall").join(skus.select("sku_id", "volume_m3_per_unit"), "sku_id")
+            .join(room.select(*group, "free"), group, "left")
+            .groupBy(*group).agg(F.count_if(F.col("volume_m3_per_unit") <= F.coalesce("free", "capacity_volume_m3") - 1e-6)
+                                 .alias("left_but_fitting")))
+    zero = F.lit(0).cast("long")
+    return (split.join(room.select(*group, "days_over"), group, "left").join(left, group, "left")
+            .select(*group, "planned_units", "accounted_units", "broken_transfers",
+                    F.coalesce("days_over", zero).alias("days_over"),
+                    F.coalesce("left_but_fitting", zero).alias("left_but_fitting")))
 
 
 def plan_lookup(plans: DataFrame, plan_id: str | None = None) -> DataFrame:

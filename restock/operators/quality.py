@@ -2,35 +2,33 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def orphan_keys(fact: DataFrame, dim: DataFrame, key: str, table_name: str) -> DataFrame:
-    """Fact keys absent from the dimension, with their row counts (G1).
-
-    The fact side is pre-aggregated per key (partial aggregate) before the
-    anti-join, so the join sees one row per distinct key.
-    """
-    keys = (fact.where(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.count(F.lit(1)).alias("n_rows")))
-    bad = keys.join(dim.select(key).where(F.col(key).isNotNull()), key, "left_anti")
-    return bad.select(F.lit(table_name).alias("table_name"), F.lit(key).alias("column_name"),
-                      F.col(key).alias("bad_key"), "n_rows")
-
-
 def integrity_report(sales: DataFrame, inventory: DataFrame,
                      warehouses: DataFrame, skus: DataFrame) -> DataFrame:
-    """Orphan warehouse and SKU keys of sales and inventory.
+    """Orphan warehouse and SKU keys of sales and inventory.
 
-    Orphans are reported, not fatal: the report is data, the caller decides.
+    Each fact is read once and summed by (warehouse, SKU) before anything
+    moves; both key checks start from these sums, and one anti-join against
+    the keys of both dimensions finds the orphans. A fact may carry the number
+    of rows it stands for as ``n_rows``. Orphans are reported, not fatal.
     """
-    parts = [orphan_keys(f, d, k, name)
-             for name, f in (("sales_history", sales), ("inventory_snapshot", inventory))
-             for k, d in (("warehouse_id", warehouses), ("sku_id", skus))]
-    return reduce(DataFrame.unionByName, parts)
+    cells = []
+    for name, fact in (("sales_history", sales), ("inventory_snapshot", inventory)):
+        n = F.sum("n_rows") if "n_rows" in fact.columns else F.count(F.lit(1))
+        cells.append(fact.groupBy("warehouse_id", "sku_id").agg(n.cast("long").alias("n_rows"))
+                     .withColumn("table_name", F.lit(name)))
+    both = cells[0].unionByName(cells[1])
+    keys = both.select("table_name", "n_rows", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("column_name"), F.col(k).alias("bad_key")) for k in ("warehouse_id", "sku_id")])).alias("k"))
+    sums = (keys.select("table_name", "k.column_name", "k.bad_key", "n_rows").where(F.col("bad_key").isNotNull())
+            .groupBy("table_name", "column_name", "bad_key").agg(F.sum("n_rows").alias("n_rows")))
+    known = (warehouses.select(F.lit("warehouse_id").alias("column_name"), F.col("warehouse_id").alias("bad_key"))
+             .unionByName(skus.select(F.lit("sku_id").alias("column_name"), F.col("sku_id").alias("bad_key"))))
+    return sums.join(known, ["column_name", "bad_key"], "left_anti").select(
+        "table_name", "column_name", "bad_key", "n_rows")
 
 
 def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:

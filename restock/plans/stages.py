@@ -11,11 +11,11 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from restock import S, schemas
+from restock import schemas
 from restock.operators import execution, explain, features as Fe, forecast as Fc
-from restock.operators import mincost, plan as P, quality, risk
+from restock.operators import plan as P, quality
+from restock.session import materialize
 from restock.sources import io
 
 log = logging.getLogger(__name__)
@@ -39,69 +39,73 @@ def etl(spark: SparkSession, in_dir: str, out_dir: str, fmt: str = "csv") -> dic
     inv = Fe.inventory_features(raw["inventory_snapshot"], raw["skus"])
     out["inventory_snapshot"] = io.write_table(inv, _p(out_dir, "inventory_snapshot"))
     # the reader gives a file without ``source_ord`` its row order
-    out["warehouses"] = io.write_table(raw["warehouses"], _p(out_dir, "warehouses"))
-    for name in ("skus", "inbound_pos"):
+    for name in ("warehouses", "skus", "inbound_pos"):
         if name in raw:
-            out[name] = io.write_table(raw[name], _p(out_dir, name))
+            out[name] = io.copy_table(raw[name], _p(out_dir, name))
     return out
 
 
-def forecast(spark: SparkSession, processed_dir: str, out_dir: str, start_date: str,
-             horizon: int = 14) -> dict:
-    """Daily features -> forecasts (seasonal first, flat fallback) + registry."""
+def forecast(spark: SparkSession, processed_dir: str, out_dir: str, start_date,
+             horizon: int = 14, fallback: str = "trees") -> dict:
+    """Daily features -> forecasts + registry.
+
+    The seasonal model where it has rows; for the other series the boosted
+    trees (``fallback="trees"``), and the flat mean where those cannot be
+    trained (no series of 30 rows) or with ``fallback="flat"``.
+    """
     daily = io.read_table(spark, _p(processed_dir, "daily_sales_aggregated"))
-    fc = Fc.combine_forecasts(Fc.trend_weekly_forecast(daily, start_date, horizon),
-                              Fc.flat_forecast(daily, start_date, horizon))
+    registry = materialize(Fe.series_registry(daily), "registry")
+    fc = Fc.trend_weekly_forecast(daily, start_date, horizon)
+    short = registry.where("not seasonal_eligible")
+    if fallback == "trees" and not short.isEmpty() and not registry.where("trees_eligible").isEmpty():
+        from restock.operators import ml
+        fc = fc.unionByName(ml.gbt_forecast(daily, start_date, horizon, only=short))
+    fc = Fc.combine_forecasts(fc, Fc.flat_forecast(daily, start_date, horizon))
     return {"forecasts": io.write_table(fc, _p(out_dir, "forecasts")),
-            "models": io.write_table(Fe.series_registry(daily), _p(out_dir, "models"))}
+            "models": io.write_table(registry, _p(out_dir, "models"))}
 
 
 def optimize(spark: SparkSession, processed_dir: str, forecasts_path: str, out_dir: str,
-             start_date: str, horizon: int = 14, method: str = "greedy",
-             plan_id: str | None = None, unit_rate_per_km: float = mincost.MILP_RATE_PER_KM) -> dict:
-    """Inventory + forecasts -> explained plan, partitioned by plan id."""
+             start_date, horizon: int = 14, method: str = "greedy",
+             plan_id: str | None = None) -> dict:
+    """Inventory + forecasts -> explained plan and its ship days within capacity,
+    both by plan id; earlier plans stay (A4-A7, J3-J5)."""
     wh = io.read_table(spark, _p(processed_dir, "warehouses"), schemas.WAREHOUSES)
     sk = io.read_table(spark, _p(processed_dir, "skus"), schemas.SKUS)
     inv = io.read_table(spark, _p(processed_dir, "inventory_snapshot"), schemas.INVENTORY_SNAPSHOT)
     fcs = io.read_optional(spark, forecasts_path, schemas.FORECASTS)
-    cells = P.cells(wh, sk, inv, fcs, horizon)
-    plan = mincost.plan_with_method(method, cells, wh, sk, inv, fcs, start_date, horizon,
-                                    unit_rate_per_km)
-    plan = plan.withColumn("plan_id", F.lit(plan_id or P.new_plan_id()))
-    explained = explain.plan_explained(plan, wh, sk, inv, fcs)
-    return {"plans": io.write_table(explained, _p(out_dir, "plans"), partition_by=["plan_id"])}
+    plan = materialize(P.plan_with_method(method, wh, sk, inv, fcs, start_date, horizon,
+                                          plan_id=plan_id or P.new_plan_id()), "plan")
+    days = P.capacity_days(plan, wh, sk, start_date, horizon)
+    return {"plans": io.write_table(explain.plan_explained(plan, wh, sk, inv, fcs),
+                                    _p(out_dir, "plans"), partition_by=["plan_id"]),
+            "ship_days": io.write_table(days, _p(out_dir, "ship_days"), partition_by=["plan_id"])}
 
 
 def simulate(spark: SparkSession, plans_dir: str, processed_dir: str, forecasts_path: str,
-             out_dir: str, run_date: str, plan_id: str | None = None, seed: int = 42,
+             out_dir: str, run_date, plan_id: str | None = None,
              lead_times: DataFrame | None = None, demand: DataFrame | None = None) -> dict:
     """Score one plan (the newest when no id is given): outcomes, stockouts,
-    summary and the long report (K1-K3, G4, A10).
+    summary and the long report, all by plan id (K1-K3, G4, A10).
 
-    Realised lead times and demands come from the given tables, or are drawn
-    from hashed keys with ``seed`` (one scenario of the risk model).
+    Realised lead times and demands are tables; without them transfers arrive
+    as planned and demand is what was forecast.
     """
     plans = io.read_table(spark, plans_dir, schemas.PLAN)
-    plan = P.plan_lookup(plans, plan_id)
+    plan = materialize(P.plan_lookup(plans, plan_id), "plan")
     wh = io.read_table(spark, _p(processed_dir, "warehouses"), schemas.WAREHOUSES)
     sk = io.read_table(spark, _p(processed_dir, "skus"), schemas.SKUS)
     inv = io.read_table(spark, _p(processed_dir, "inventory_snapshot"), schemas.INVENTORY_SNAPSHOT)
-    fcs = io.read_optional(spark, forecasts_path, schemas.FORECASTS)
-    cells = plan.select(F.col("to_wh").alias("warehouse_id"), "sku_id").distinct()
     if lead_times is None:
-        lt = cells.join(wh.select("warehouse_id", "lead_time_days"), "warehouse_id")
-        z = risk.normal(F.lit(seed), F.col("warehouse_id"), F.col("sku_id"), F.lit("lead"))
-        L = F.col("lead_time_days").cast("double")
-        lead_times = lt.select(*S, F.greatest(F.lit(1), (L + z * (risk.LEAD_TIME_SPREAD * L))
-                                              .cast("int")).alias("actual_lead_time"))
+        lead_times = spark.createDataFrame([], "warehouse_id string, sku_id string, actual_lead_time int")
     if demand is None:
-        f = cells.join(P.cell_demand(fcs), S, "left")
-        z = risk.normal(F.lit(seed), F.col("warehouse_id"), F.col("sku_id"), F.lit("demand"))
-        mu = F.log(F.greatest(F.coalesce(F.col("demand"), F.lit(0.0)), F.lit(1.0)))
-        demand = f.select(*S, F.exp(mu + risk.DEMAND_SIGMA * z).alias("actual_demand"))
-    outcomes = execution.transfer_outcomes(plan, wh, sk, lead_times)
-    service = execution.cell_service(outcomes, inv, demand)
+        fcs = io.read_optional(spark, forecasts_path, schemas.FORECASTS)
+        demand = P.cell_demand(fcs).withColumnRenamed("demand", "actual_demand")
+    outcomes = materialize(execution.transfer_outcomes(plan, wh, sk, lead_times), "outcomes")
+    service = materialize(execution.cell_service(outcomes, inv, demand), "service")
     summary = execution.execution_summary(outcomes, service, run_date)
     report = execution.execution_long(summary, outcomes, service)
-    return {"simulation": io.write_table(report, _p(out_dir, "simulation"), partition_by=["type"]),
-            "transfers": io.write_table(outcomes, _p(out_dir, "transfers"))}
+    return {"simulation": io.write_table(report, _p(out_dir, "simulation"), partition_by=["plan_id", "type"]),
+            "transfers": io.write_table(outcomes, _p(out_dir, "transfers"), partition_by=["transfer_id"]),
+            "stockouts": io.write_table(execution.stockout_report(service), _p(out_dir, "stockouts"),
+                                        partition_by=["plan_id"])}

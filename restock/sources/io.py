@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 from pyspark.errors import AnalysisException
@@ -49,14 +49,13 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
 
         def conv(fld):
             return F.col(fld.name).cast(fld.dataType)
-    def missing(fld):
-        # a warehouse file's scan order is its row order
-        if fld.name == "source_ord":
-            return F.monotonically_increasing_id().cast(fld.dataType)
-        return F.lit(None).cast(fld.dataType)
-
+    # a warehouse table's scan order is its row order: file by file, in file order
+    ordered = any(f.name == "source_ord" for f in schema.fields) and "source_ord" not in df.columns
+    if ordered:
+        place = Window.orderBy("_metadata.file_path", F.monotonically_increasing_id())
+        df = df.withColumn("source_ord", F.row_number().over(place) - 1)
     return df.select([conv(fld).alias(fld.name) if fld.name in df.columns
-                      else missing(fld).alias(fld.name)
+                      else F.lit(None).cast(fld.dataType).alias(fld.name)
                       for fld in schema.fields])
 
 
@@ -102,7 +101,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     """Write a table and return its row count.
 
     The count comes from an ``Observation`` on the write itself, so no
-    second job scans the result. An empty frame still writes its schema.
+    second job scans the result. An empty frame still writes its schema. With
+    ``partition_by`` only the partitions that the frame holds are replaced, so
+    earlier plans stay.
     """
     obs = Observation("rows")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -110,29 +111,28 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     if fmt == "csv":
         w = w.option("header", True)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.save(path)
     rows = obs.get.get("rows", 0) if obs.get else 0
     log.info("saved %s: %d rows", path, rows)
     return rows
 
 
-def copy_table(spark: SparkSession, src: str, dst: str, schema: StructType | None = None,
-               fmt: str | None = None, out_fmt: str = "parquet") -> int:
+def copy_table(df: DataFrame, path: str) -> int:
     """Pass-through copy of a cleaned dimension table."""
-    return write_table(read_table(spark, src, schema, fmt), dst, fmt=out_fmt)
+    return write_table(df, path)
 
 
 def newest_plan(plans: DataFrame, by: str = "run_date") -> DataFrame:
-    """Rows of the newest plan.
+    """Rows of the newest plan (A10, F7); of plans of one day the last id.
 
     ``by`` is a column of the plan table (``run_date``) or the hidden file
     column ``_metadata.file_modification_time`` of a file source. One
     aggregate finds the newest key, then a join keeps its rows (no sort of
     the whole table).
     """
-    key = F.col(by)
-    newest = plans.agg(F.max_by(F.col("plan_id"), key).alias("_newest_plan"))
+    newest = (plans.agg(F.max(F.struct(F.col(by).alias("at"), F.col("plan_id").alias("id"))).alias("_n"))
+              .select(F.col("_n.id").alias("_newest_plan")))
     return (plans.join(newest, plans["plan_id"] == newest["_newest_plan"], "inner")
             .drop("_newest_plan"))
 

@@ -1,8 +1,9 @@
 """Adapters from the driver's TPC-H-like tables to the replenishment model.
 
-warehouse = nation of the supplier, SKU = part brand, sale = line item.
-All derived numbers use integer arithmetic first and become doubles last,
-so the oracle SQL computes the same values.
+warehouse = nation of the supplier, sale = line item, SKU = part brand, or the
+part itself where ``grain="part"`` (25 brands, but as many parts as the data
+have). All derived numbers use integer arithmetic first and become doubles
+last, so the oracle SQL computes the same values.
 
 Fixed values of the mapping (chosen for this repository):
   warehouse_id        'WH-' || lpad(n + 1, 3, '0')   (n = n_nationkey)
@@ -18,41 +19,46 @@ Fixed values of the mapping (chosen for this repository):
   perishability ttl   b % 5 = 0 -> b div 5;  b % 5 = 1 -> b + 4;  else NULL
   requires_refrig.    b % 10 = 0
   safety_stock_days   3 + b % 11
-  stock on hand       cast(sum of l_quantity of returned lines as long) % 600
-  stand-in demand     round(last 28-row mean of daily units, 6) * 14
+  SKU number k        b, or p_partkey at part grain
+  stock on hand       units of the cell's last 28 daily rows * (37n + 53k) % 120 div 100
+                      (a share of the cell's own recent units, so stock and
+                      demand grow together)
+  stand-in demand     round(mean of the last 28 daily rows, 6) * 14
+  dock capacity       round(volume of the stock on hand / 50, 4) per warehouse
   actual lead time    1 + n % 3 + (5b + 7n) % 24       (n of the destination)
   actual demand       demand * (5 + (3b + n) % 11) / 10
+  planning start      the day after the last ship date in the data
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType
+from pyspark.sql.types import DoubleType, IntegerType, StringType
 
 from restock import S
 
-START_DATE = "2001-11-05"   # the day after the last ship date in the data
 HORIZON = 14
+RECENT = 28
 
 
-_READERS: dict = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. The reader (file listing and footer schema) is made once
-    per session and path; DataFrames are immutable, so sharing it is safe."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark, path)   # the session object itself: a new session never hits an old entry
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(path)
-    return _READERS[key]
+def wh_no(warehouse_id) -> F.Column:
+    return F.substring(warehouse_id, 4, 10).cast("int") - 1
 
 
 def wh_id(n) -> F.Column:
     return F.concat(F.lit("WH-"), F.lpad((n + 1).cast("string"), 3, "0"))
 
 
+def part_id(partkey) -> F.Column:
+    return F.concat(F.lit("Part#"), partkey.cast("string"))
+
+
 def brand_no(sku_id) -> F.Column:
     return F.substring(sku_id, 7, 10).cast("int")
 
@@ -79,13 +85,18 @@ def warehouses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def skus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    agg = (table(spark, sf_dir, "part").groupBy("p_brand")
-           .agg(F.min("p_type").alias("category"), F.min("p_retailprice").alias("unit_cost")))
+def skus(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    if grain == "part":
+        rows = part.select(part_id(F.col("p_partkey")).alias("sku_id"), "p_brand", F.col("p_type").alias("category"),
+                           F.col("p_retailprice").alias("unit_cost"))
+    else:
+        rows = (part.groupBy("p_brand").agg(F.min("p_type").alias("category"), F.min("p_retailprice").alias("unit_cost"))
+                .withColumn("sku_id", F.col("p_brand")))
     b = brand_no(F.col("p_brand"))
-    return agg.select(
-        F.col("p_brand").alias("sku_id"),
-        F.col("p_brand").alias("name"),
+    return rows.select(
+        "sku_id",
+        F.col("sku_id").alias("name"),
         "category",
         ((2 + 4 * b).cast("double") / 1000).alias("volume_m3_per_unit"),
         ((1 + 4 * b).cast("double") / 10).alias("weight_kg_per_unit"),
@@ -97,97 +108,87 @@ def skus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their warehouse (supplier nation) and SKU (part brand).
+def sales_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item with its warehouse and SKU.
 
     Both lookups are equi-joins on the dimension key; Catalyst broadcasts a
     dimension only when its estimated size is under the broadcast threshold
     and AQE re-checks that with runtime sizes, otherwise it shuffles.
     """
+    return _lines(spark, sf_dir, "brand").select(
+        "date", wh_id(F.col("s_nationkey")).alias("warehouse_id"), F.col("_sku").alias("sku_id"),
+        F.col("_q").alias("quantity_sold"), F.col("_rev").alias("revenue"))
+
+
+def _lines(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
+    """(date, s_nationkey, _sku, _q, _rev) of every line item: integer keys, no string built per line."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-        "l_returnflag", "l_shipdate")
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    return (li.join(sup, li.l_suppkey == sup.s_suppkey)
-              .join(part, li.l_partkey == part.p_partkey)
-              .select(F.col("l_shipdate").cast("date").alias("date"),
-                      wh_id(F.col("s_nationkey")).alias("warehouse_id"),
-                      F.col("p_brand").alias("sku_id"),
-                      F.col("l_quantity").cast("long").alias("quantity_sold"),
-                      (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
-                      (F.col("l_returnflag") == "R").alias("_returned")))
+    j = li.join(sup, li.l_suppkey == sup.s_suppkey)
+    if grain == "part":
+        sku = F.col("l_partkey")
+    else:
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+        j, sku = j.join(part, li.l_partkey == part.p_partkey), F.col("p_brand")
+    return j.select(F.col("l_shipdate").cast("date").alias("date"), "s_nationkey", sku.alias("_sku"),
+                    F.col("l_quantity").cast("long").alias("_q"),
+                    (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("_rev"))
+
+
+def daily(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
+    """Daily aggregate (D-1) with the number of lines.
+
+    Features, stock and demand all derive from it. It groups on the integer
+    nation key and formats ids after aggregating.
+    """
+    agg = (_lines(spark, sf_dir, grain)
+           .where(F.col("date").isNotNull() & F.col("s_nationkey").isNotNull() & F.col("_sku").isNotNull())
+           .groupBy("date", "s_nationkey", "_sku")
+           .agg(F.sum("_q").alias("quantity_sold"), F.sum("_rev").alias("revenue"), F.count(F.lit(1)).alias("n_rows")))
+    sku = part_id(F.col("_sku")) if grain == "part" else F.col("_sku")
+    return agg.select("date", wh_id(F.col("s_nationkey")).alias("warehouse_id"), sku.alias("sku_id"),
+                      "quantity_sold", "revenue", "n_rows")
 
 
-def sales_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir).drop("_returned")
+def start_date(daily_df: DataFrame) -> F.Column:
+    """The day after the last row, as a scalar sub-query of the plan that uses it."""
+    return daily_df.select(F.date_add(F.max("date"), 1)).scalar()
 
 
-def inventory_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One snapshot row per cell with sales (partial aggregation before the shuffle)."""
-    agg = (_lines(spark, sf_dir).groupBy(*S)
-           .agg(F.max("date").alias("snapshot_date"),
-                F.sum(F.when(F.col("_returned"), F.col("quantity_sold")).otherwise(F.lit(0)))
-                 .alias("_ret")))
-    stock = (F.col("_ret").cast("long") % 600)
-    return agg.select("snapshot_date", *S,
-                      stock.alias("quantity_on_hand"),
-                      F.lit(0).cast("long").alias("quantity_reserved"),
-                      stock.alias("quantity_available"))
+def recent(daily_df: DataFrame) -> DataFrame:
+    """Sum and mean of the last 28 daily rows per cell (Spark keeps at most that
+    many rows per cell before the shuffle)."""
+    last = Window.partitionBy(*S).orderBy(F.col("date").desc())
+    return (daily_df.select("date", *S, "quantity_sold").withColumn("_n", F.row_number().over(last))
+            .where(F.col("_n") <= RECENT).groupBy(*S)
+            .agg(F.max("date").alias("snapshot_date"), F.sum("quantity_sold").alias("_units"),
+                 F.avg("quantity_sold").alias("_mean")))
 
 
-def daily_with_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily aggregate (D-1) that also sums the returned units.
+def inventory_snapshot(daily_df: DataFrame) -> DataFrame:
+    """One snapshot row per cell with sales."""
+    k = F.regexp_extract("sku_id", "([0-9]+)$", 1).cast("long")
+    share = (37 * wh_no(F.col("warehouse_id")) + 53 * k) % 120
+    stock = recent(daily_df).withColumn("_share", share).withColumn("_stock", F.expr("_units * _share div 100"))
+    return stock.select("snapshot_date", *S, F.col("_stock").alias("quantity_on_hand"),
+                        F.lit(0).cast("long").alias("quantity_reserved"),
+                        F.col("_stock").alias("quantity_available"))
 
-    Features and the inventory snapshot both derive from this one
-    aggregate, so a query that needs both scans and joins the line items
-    once. It groups on the integer nation key and formats the warehouse id
-    after aggregating, so the per-line work has no string building.
-    """
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-        "l_returnflag", "l_shipdate")
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    q = F.col("l_quantity").cast("long")
-    agg = (li.join(sup, li.l_suppkey == sup.s_suppkey)
-             .join(part, li.l_partkey == part.p_partkey)
-             .where(F.col("l_shipdate").isNotNull() & F.col("s_nationkey").isNotNull()
-                    & F.col("p_brand").isNotNull())
-             .groupBy(F.col("l_shipdate").cast("date").alias("date"), "s_nationkey", "p_brand")
-             .agg(F.sum(q).alias("quantity_sold"),
-                  F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue"),
-                  F.sum(F.when(F.col("l_returnflag") == "R", q).otherwise(F.lit(0)))
-                   .alias("returned_qty")))
-    return agg.select("date", wh_id(F.col("s_nationkey")).alias("warehouse_id"),
-                      F.col("p_brand").alias("sku_id"), "quantity_sold", "revenue",
-                      "returned_qty")
-
-
-def inventory_from_daily(daily_ext: DataFrame) -> DataFrame:
-    """The inventory snapshot computed from ``daily_with_returns``."""
-    agg = daily_ext.groupBy(*S).agg(F.max("date").alias("snapshot_date"),
-                                    F.sum("returned_qty").alias("_ret"))
-    stock = (F.col("_ret").cast("long") % 600)
-    return agg.select("snapshot_date", *S,
-                      stock.alias("quantity_on_hand"),
-                      F.lit(0).cast("long").alias("quantity_reserved"),
-                      stock.alias("quantity_available"))
-
-
-def demand(daily_features: DataFrame, start_date: str = START_DATE,
-           horizon: int = HORIZON) -> DataFrame:
-    """Stand-in forecast: one row per series holding the horizon total.
-
-    ``max_by`` over the series keeps the last row's 28-row mean with a
-    partial (map-side) aggregate instead of ranking every row.
-    """
-    last = (daily_features.groupBy(*S)
-            .agg(F.max_by("rolling_28d_mean", "date").alias("_m")))
-    f = F.round(F.col("_m"), 6) * horizon
-    return last.select(F.lit(start_date).cast(DateType()).alias("date"), *S,
-                       f.alias("forecast"), f.alias("lower"), f.alias("upper"),
-                       F.lit("rolling_mean").alias("model_type"))
+
+def standin_demand(daily_df: DataFrame, start, horizon: int = HORIZON) -> DataFrame:
+    """Stand-in forecast for series too short to fit: one row per series holding the horizon total."""
+    f = F.round(F.col("_mean"), 6) * horizon
+    return recent(daily_df).select(start.alias("date"), *S, f.alias("forecast"), f.alias("lower"), f.alias("upper"),
+                                   F.lit("rolling_mean").alias("model_type"))
+
+
+def dock_capacity(warehouses_df: DataFrame, skus_df: DataFrame, inventory: DataFrame) -> DataFrame:
+    """The warehouses with a daily inbound capacity that follows their stock."""
+    vol = (inventory.join(skus_df.select("sku_id", "volume_m3_per_unit"), "sku_id").groupBy("warehouse_id")
+           .agg(F.round(F.sum(F.col("quantity_available") * F.col("volume_m3_per_unit")) / 50, 4).alias("_cap")))
+    return (warehouses_df.join(vol, "warehouse_id", "left")
+            .withColumn("capacity_volume_m3", F.coalesce("_cap", F.lit(0.0))).drop("_cap"))
 
 
 def actual_lead_times(cells: DataFrame, warehouses_df: DataFrame) -> DataFrame:
@@ -208,27 +209,28 @@ def actual_demand(demand_df: DataFrame, warehouses_df: DataFrame) -> DataFrame:
                     .alias("actual_demand")))
 
 
-def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shipments(spark: SparkSession, sf_dir: str, by_sku: bool = True) -> DataFrame:
     """Observed lanes: units moved from the supplier's warehouse to the
-    customer's warehouse, per SKU (source of C7-C9 and H1-H3 queries).
+    customer's warehouse, per SKU or in all (source of C7-C9 and H1-H3 queries).
 
     Orders meet customers first (the smaller side), so the line items are
-    shuffled once by order key, never re-keyed by customer; the aggregate
-    is partial, so after the joins each task ships one row per lane.
+    shuffled once by order key, never re-keyed by customer. The aggregate is
+    partial and on integer keys; lanes within one warehouse drop out before it
+    and ids are formatted after it.
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
-                                                 "l_quantity")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     dest = (orders.join(cust, orders.o_custkey == cust.c_custkey)
             .select("o_orderkey", "c_nationkey"))
-    j = (li.join(sup, li.l_suppkey == sup.s_suppkey)
-           .join(part, li.l_partkey == part.p_partkey)
-           .join(dest, li.l_orderkey == dest.o_orderkey))
-    return (j.groupBy(wh_id(F.col("s_nationkey")).alias("from_wh"),
-                      wh_id(F.col("c_nationkey")).alias("to_wh"),
-                      F.col("p_brand").alias("sku_id"))
-            .agg(F.sum(F.col("l_quantity").cast("long")).alias("units"),
-                 F.count(F.lit(1)).alias("n_lines")))
+    j = li.join(sup, li.l_suppkey == sup.s_suppkey).join(dest, li.l_orderkey == dest.o_orderkey)
+    keys = ["s_nationkey", "c_nationkey"]
+    if by_sku:
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+        j, keys = j.join(part, li.l_partkey == part.p_partkey), [*keys, "p_brand"]
+    agg = (j.where(F.col("s_nationkey") != F.col("c_nationkey")).groupBy(*keys)
+           .agg(F.sum(F.col("l_quantity").cast("long")).alias("units"), F.count(F.lit(1)).alias("n_lines")))
+    sku = [F.col("p_brand").alias("sku_id")] if by_sku else []
+    return agg.select(wh_id(F.col("s_nationkey")).alias("from_wh"), wh_id(F.col("c_nationkey")).alias("to_wh"),
+                      *sku, "units", "n_lines")

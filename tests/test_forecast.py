@@ -62,7 +62,7 @@ def test_gbt_forecast_properties(spark):
     from restock.operators import ml
     from restock.plans import catalog
     m = catalog.Model(spark, "/root/testdata/sf0.001")
-    f = ml.gbt_forecast(m.features, "2001-11-05", 7, max_iter=10).toPandas()
+    f = ml.gbt_forecast(m.features, m.start, 7, max_iter=10).toPandas()
     assert len(f) == 7 * f.groupby(["warehouse_id", "sku_id"]).ngroups > 0
     assert (f.forecast >= 0).all() and (f.lower <= f.forecast).all() and (f.forecast <= f.upper).all()
     assert set(f.model_type) == {"gbt"}

@@ -31,22 +31,34 @@ def test_optional_source_keeps_schema(spark):
     assert df.count() == 0 and df.schema == schemas.FLEET
 
 
-def test_parquet_projection_and_partitioned_write(spark):
+def test_earlier_plans_stay_and_ties_are_settled(spark):
     d = tempfile.mkdtemp(prefix="restock-io-")
-    plan = E.entry(spark)
-    n = io.write_table(plan, f"{d}/plans", partition_by=["plan_id"])
-    assert n == 9
+    plan = E.entry(spark).persist()
+    n = plan.count()
+    for name in ("PLAN-1", "PLAN-2", "PLAN-1"):
+        assert io.write_table(plan.withColumn("plan_id", F.lit(name)), f"{d}/plans", partition_by=["plan_id"]) == n
     back = io.read_table(spark, f"{d}/plans", schemas.PLAN)
-    assert back.where(F.col("plan_id") == "PLAN-GREEDY").count() == 9
-    assert io.newest_plan(back).count() == 9
+    assert {r.plan_id: r["count"] for r in back.groupBy("plan_id").count().collect()} == {"PLAN-1": n, "PLAN-2": n}
+    for order in (F.col("plan_id"), F.col("plan_id").desc()):    # both ran on one day
+        newest = io.newest_plan(back.orderBy(order)).select("plan_id").distinct().collect()
+        assert [r[0] for r in newest] == ["PLAN-2"]
+
+
+def test_warehouse_order_follows_files_whatever_their_size(spark):
+    d = tempfile.mkdtemp(prefix="restock-io-")
+    os.makedirs(f"{d}/warehouses.csv")
+    for i, names in enumerate((["W9"], [f"W{k}" for k in range(8)])):
+        with open(f"{d}/warehouses.csv/part-{i}.csv", "w") as f:
+            f.write("warehouse_id,name\n" + "".join(f"{n},{'x' * 50}\n" for n in names))
+    got = io.read_table(spark, f"{d}/warehouses.csv", schemas.WAREHOUSES).orderBy("source_ord")
+    assert [r.warehouse_id for r in got.collect()] == ["W9", *[f"W{k}" for k in range(8)]]
 
 
 def test_entry_and_contract(spark):
-    df = E.entry(spark)
-    assert df.count() == 9
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"fourier_forecast", "gbt_forecast", "min_cost_plan", "risk_bands"}
+    assert E.entry(spark).count() > 0
+    q, o = set(E.queries()), set(E.oracle_sql())
+    assert o <= q
+    assert set(E.catalog.QUERIES) - o == {"capacity_days", "fourier_forecast", "gbt_forecast", "model_error"}
 
 
 def test_entry_schema_is_the_plan_table(spark):

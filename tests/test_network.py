@@ -16,7 +16,7 @@ def test_lanes_have_no_self_pairs_and_days_multiply(spark):
     dm = N.distance_matrix(m.shipments, m.warehouses)
     assert dm.where(F.col("from_wh") == F.col("to_wh")).count() == 0
     assert dm.where(F.col("km") <= 0).count() == 0
-    lanes = m.shipments.where(F.col("from_wh") != F.col("to_wh")).count()
+    lanes = m.shipments.count()
     assert N.lane_days(m.shipments, m.warehouses, m.skus, "2001-11-05", 14).count() == 14 * lanes
     tc = N.transport_costs(m.shipments, m.warehouses, m.skus)
     assert tc.count() == 8 * lanes
