@@ -43,9 +43,9 @@ def tokenisation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The documents' columns without the text, with tokens and digests."""
     import public_tokenizers
     vocabulary = bpe.Vocabulary(bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
-    done = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
-    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c != "text"]
-    return done.select(*kept, "tokens", F.size("tokens").cast("long").alias("n_tokens"),
+    others = [c for c in docs.columns if c != "text"]
+    done = bpe.round_trip(docs, vocabulary, columns=others)
+    return done.select(*[F.col("row").getField(c).alias(c) for c in others], "tokens", F.size("tokens").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("tokens").cast("array<string>"), " "), 256).alias("ids_sha256"),
                        F.sha2("bytes", 256).alias("decoded_sha256"))
 

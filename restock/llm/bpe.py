@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from restock.llm.common import whole_rows, with_row
 
 NEVER = 1 << 62
-CACHE = 1 << 19        # encoded matches of a generation; a worker remembers two
+CACHE = 1 << 18        # encoded matches of a generation; a worker remembers two (about 100 MB)
+ROWS = 512             # texts handled at a time
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -124,7 +125,7 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        if len(self.holds) > 1 << 20:
+        if len(self.holds) > CACHE:
             self.holds.clear()
         self.holds[key] = holds
         return holds
@@ -289,66 +290,80 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 def _encode_batches(shared, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoded, cut = shared.value.matches, Matches(pattern)
-        for batch in batches:
-            texts, sizes, out = batch.column(0).cast(pa.large_binary()), [0], []
-            for t in texts:
-                ids = b"".join(map(encoded.__getitem__, cut(t.as_buffer().to_pybytes()))) if t.is_valid else b""
-                out.append(ids)
-                sizes.append(sizes[-1] + len(ids) // 4)
-            ids = pa.array(np.frombuffer(b"".join(out), "<i4"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), ids), batch.column(1)],
-                names=["tokens", "row"])
+        for whole in batches:
+            for lo in range(0, max(1, whole.num_rows), ROWS):
+                batch = whole.slice(lo, ROWS)
+                sizes, out = [0], []
+                for t in batch.column(0).cast(pa.large_binary()):
+                    ids = b"".join(map(encoded.__getitem__, cut(t.as_buffer().to_pybytes()))) if t.is_valid else b""
+                    out.append(ids)
+                    sizes.append(sizes[-1] + len(ids) // 4)
+                ids = pa.array(np.frombuffer(b"".join(out), "<i4"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), ids), batch.column(1)],
+                    names=["tokens", "row"])
     return run
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
-           columns: list[str] | None = None, pattern: str = PATTERN) -> DataFrame:
-    """(tokens array<int>, row): the ids of every text, and ``columns`` of it
-    (all by default) as a struct. The vocabulary, of fixed size, is broadcast."""
-    if pattern != PATTERN:
-        raise ValueError("only the byte-level pattern of PATTERN is known here")
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    src = whole_rows(docs, text, columns)
-    return src.mapInArrow(_encode_batches(shared, pattern), with_row("tokens array<int>", src))
-
-
 def _decode_batches(shared):
+    """Task over (tokens, row) in parts of a few hundred rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared.value
+        tokens = shared.value.tokens
         blob = np.frombuffer(b"".join(tokens), np.uint8)
         size = np.array([len(t) for t in tokens], np.int64)
         at = np.concatenate(([0], np.cumsum(size)))[:-1]
-        for batch in batches:
-            col = batch.column(0)
-            offs = col.offsets.to_numpy()
-            ids = col.values.to_numpy(zero_copy_only=False)
-            out = []
-            for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
-                own = ids[a:b]
-                n = size[own]
-                end = np.cumsum(n)
-                if b > a:
-                    where = np.arange(end[-1]) + np.repeat(at[own] - (end - n), n)
-                    out.append(blob[where].tobytes())
-                else:
-                    out.append(b"")
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), col, batch.column(1)],
-                                             names=["bytes", "tokens", "row"])
+        for whole in batches:
+            for lo in range(0, max(1, whole.num_rows), ROWS):
+                batch = whole.slice(lo, ROWS)
+                col, out = batch.column(0), []
+                for own in col:
+                    own = own.values.to_numpy(zero_copy_only=False) if own.is_valid else []
+                    if len(own):
+                        n = size[own]
+                        end = np.cumsum(n)
+                        where = np.arange(end[-1]) + np.repeat(at[own] - (end - n), n)
+                        out.append(blob[where].tobytes())
+                    else:
+                        out.append(b"")
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), col, batch.column(1)],
+                                                 names=["bytes", "tokens", "row"])
     return run
 
 
+def _vocabulary(docs: DataFrame, vocabulary: Vocabulary, pattern: str):
+    if pattern != PATTERN:
+        raise ValueError("only the byte-level pattern of PATTERN is known here")
+    return docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
+           columns: list[str] | None = None, pattern: str = PATTERN) -> DataFrame:
+    """(tokens array<int>, row): the ids of every text, and ``columns`` of it
+    (all by default) as a struct. The vocabulary, of fixed size, is broadcast."""
+    src = whole_rows(docs, text, columns)
+    return src.mapInArrow(_encode_batches(_vocabulary(docs, vocabulary, pattern), pattern),
+                          with_row("tokens array<int>", src))
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(bytes, tokens, row): the bytes that the ids stand for."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary.tokens)
     return encoded.select("tokens", "row").mapInArrow(
-        _decode_batches(shared), with_row("bytes binary, tokens array<int>", encoded))
+        _decode_batches(_vocabulary(encoded, vocabulary, PATTERN)), with_row("bytes binary, tokens array<int>", encoded))
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
+               columns: list[str] | None = None, pattern: str = PATTERN) -> DataFrame:
+    """``decode(encode(docs))`` in one pass of the tasks."""
+    src = whole_rows(docs, text, columns)
+    shared = _vocabulary(docs, vocabulary, pattern)
+    there, back = _encode_batches(shared, pattern), _decode_batches(shared)
+    return src.mapInArrow(lambda batches: back(there(batches)), with_row("bytes binary, tokens array<int>", src))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) with the ranks of ``path``."""
     v = Vocabulary(load_ranks(path))
-    return decode(encode(docs, v, columns=["doc_id"]), v).select(
+    return round_trip(docs, v, columns=["doc_id"]).select(
         F.col("row.doc_id").alias("doc_id"), F.size("tokens").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("tokens").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"))
