@@ -121,13 +121,15 @@ def cutoffs(counted: DataFrame, labels: DataFrame, id_column: str = "doc_id", st
     table = materialize(rows.groupBy(F.col(stratum).alias("stratum")).agg(*sums), "rule-counts")
     tests = max(1, table.count() * sum(len(g) for _, g in RULES.values()))
     rate = risk / len(RULES)
-    out = table
-    for name in RULES:
-        tried = (out.select("stratum", "n", F.explode(name).alias("c")).where("c.poor > 0")
-                 .where(binomial_tail(F.col("c.good"), F.col("n"), rate) <= delta / tests)
-                 .groupBy(F.col("stratum").alias("s")).agg(F.max_by("c.cut", F.struct("c.poor", "c.cut")).alias(f"cut_{name}")))
-        out = out.join(tried, F.col("stratum").eqNullSafe(F.col("s")), "left").drop("s")
-    return materialize(out.select("stratum", *[f"cut_{n}" for n in RULES]), "rule-cutoffs")
+    def tagged(name: str) -> Column:
+        return F.transform(name, lambda c: F.struct(F.lit(name).alias("rule"), c["cut"].alias("cut"),
+                                                    c["good"].alias("good"), c["poor"].alias("poor")))
+
+    tried = (table.select("stratum", "n", F.explode(F.concat(*[tagged(name) for name in RULES])).alias("c"))
+             .where("c.poor > 0"))
+    certified = tried.where(binomial_tail(F.col("c.good"), F.col("n"), rate) <= delta / tests)
+    best = [F.max(F.when(F.col("c.rule") == name, F.struct("c.poor", "c.cut")))["cut"].alias(f"cut_{name}") for name in RULES]
+    return materialize(certified.groupBy("stratum").agg(*best), "rule-cutoffs")
 
 
 def judge(counted: DataFrame, cuts: DataFrame, stratum: str = "lang") -> DataFrame:
