@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -62,6 +63,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_CLEANED: set[str] = set()     # applications whose tables go when the program ends
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
@@ -98,17 +102,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_table_path(spark, name)
     schema = df.schema
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
-def drop_tables(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete written intermediate tables that no pending result reads; with
-    no table named, all that this application wrote."""
-    app = f"tables-{spark.sparkContext.applicationId}"
-    paths = {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}
-    if not tables:
-        paths = {f"{checkpoint_dir(spark).rstrip('/')}/{app}"}
-    for path in paths:
-        if app in path:
-            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return written_at(spark.read.schema(schema).parquet(path), path)
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
+    """Remember the folder of a written table, so that it can be dropped; what
+    is left when the program ends goes then."""
+    df._written_at = path
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _CLEANED:
+        _CLEANED.add(sc.applicationId)
+        atexit.register(_drop_all, df.sparkSession, sc.applicationId)
+    return df
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete written intermediate tables that no pending result reads."""
+    for t in tables:
+        _delete(t.sparkSession, t._written_at)
+
+
+def _drop_all(spark: SparkSession, app: str) -> None:
+    if spark.sparkContext._jsc is not None and spark.sparkContext.applicationId == app:
+        _delete(spark, f"{checkpoint_dir(spark).rstrip('/')}/tables-{app}")
