@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from restock.session import drop_tables, materialize
+from restock.session import drop_tables, materialize, written_at
 
 U = np.uint64
 CHUNK_BYTES = 1 << 20          # text handled by one numpy step
@@ -164,8 +164,8 @@ def components(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
         new = materialize(small, f"{name}-edges")
         same = (cur.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
                 == new.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
-        drop_tables(cur.sparkSession, cur)
+        drop_tables(cur)
         cur = new
         if same:
             break
-    return cur.select(F.col("v").alias("node"), F.col("u").alias("root"))
+    return written_at(cur.select(F.col("v").alias("node"), F.col("u").alias("root")), cur._written_at)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from restock.llm import common as C
-from restock.session import materialize
+from restock.session import drop_tables, materialize
 
 SPAN = 10
 GRAM = 5
@@ -156,6 +156,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
             .select("uid", "h.at", "h.m", "h.words"))
     known = bench.groupBy("words", "m").agg(F.collect_set("item_id").alias("items"))
     matches = materialize(hits.join(known, ["words", "m"]).select("uid", "at", "m", "items"), "matches")
+    drop_tables(bench)
     return marked, matches
 
 

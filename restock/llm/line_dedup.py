@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from restock.session import materialize
+from restock.session import drop_tables, materialize
 
 RUN = 3
 _LAST = (1 << 63) - 1
@@ -71,8 +71,9 @@ def windows(docs: DataFrame, id_column: str, text: str, run: int) -> DataFrame:
     return materialize(found, "line-prints")
 
 
-def repeats(prints: DataFrame, run: int) -> DataFrame:
-    """(_k, _k2, _ord, gone): numbers of the repeated lines of each distinct text."""
+def repeats(prints: DataFrame, run: int) -> tuple[DataFrame, DataFrame]:
+    """(_k, _k2, _ord, gone): numbers of the repeated lines of each distinct text;
+    and the written table that it reads."""
     often = (prints.where("print is not null").groupBy("print").agg(F.count("*").alias("m"))
              .where("m > 1").select("print"))
     shared = (prints.join(often, "print").select("_k", "_k2", "_ord", F.explode("windows").alias("x"))
@@ -81,9 +82,10 @@ def repeats(prints: DataFrame, run: int) -> DataFrame:
     first = (shared.groupBy("w", "w2").agg(F.min(F.struct("_ord", "_k", "_k2", "s")).alias("first"), F.count("*").alias("m"))
              .where("m > 1").select("w", "w2", "first"))
     later = shared.join(first, ["w", "w2"]).where(F.struct("_ord", "_k", "_k2", "s") != F.col("first"))
-    return (later.groupBy("_k", "_k2", "_ord").agg(F.collect_set("s").alias("_s"))
+    gone = (later.groupBy("_k", "_k2", "_ord").agg(F.collect_set("s").alias("_s"))
             .select("_k", "_k2", "_ord", F.array_distinct(F.flatten(F.transform(
                 "_s", lambda s: F.sequence(s, s + (run - 1))))).alias("gone")))
+    return gone, shared
 
 
 def mark(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: int = RUN) -> DataFrame:
@@ -91,10 +93,11 @@ def mark(docs: DataFrame, id_column: str = "doc_id", text: str = "text", run: in
     if run < 1:
         raise ValueError("run must be 1 or more")
     prints = windows(docs, id_column, text, run)
-    gone = repeats(prints, run)
+    gone, shared = repeats(prints, run)
     copied = prints.where("copies > 1").groupBy("_k", "_k2", "_ord").agg(F.lit(True).alias("copied"))
     touched = materialize(
         gone.join(copied, ["_k", "_k2", "_ord"], "full").select("_k", "_k2", F.col("_ord").alias("_own"), "gone"), "line-repeats")
+    drop_tables(prints, shared)
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     # a sort-merge join whatever the size of the repeats, so that small and large inputs run the same plan
     rows = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _order(id_column), t.alias("_t"))

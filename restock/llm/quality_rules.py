@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from restock.session import materialize
+from restock.session import drop_tables, materialize
 
 # Fixed values of the base rules.
 MIN_WORDS, WINDOW, REPEAT_PERCENT = 20, 8, 30
@@ -129,7 +129,9 @@ def cutoffs(counted: DataFrame, labels: DataFrame, id_column: str = "doc_id", st
              .where("c.poor > 0"))
     certified = tried.where(binomial_tail(F.col("c.good"), F.col("n"), rate) <= delta / tests)
     best = [F.max(F.when(F.col("c.rule") == name, F.struct("c.poor", "c.cut")))["cut"].alias(f"cut_{name}") for name in RULES]
-    return materialize(certified.groupBy("stratum").agg(*best), "rule-cutoffs")
+    cuts = materialize(certified.groupBy("stratum").agg(*best), "rule-cutoffs")
+    drop_tables(table)
+    return cuts
 
 
 def judge(counted: DataFrame, cuts: DataFrame, stratum: str = "lang") -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.llm.common import components, whole_rows, with_row
-from restock.session import materialize
+from restock.session import drop_tables, materialize
 
 SHINGLE = 4
 RADIUS = 4
@@ -244,8 +244,10 @@ def groups(marked: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataF
     """Written table (fp, root): the group of every fingerprint that occurs."""
     fps = materialize(marked.select("fp").distinct(), "simhash-distinct")
     roots = components(links(fps, radius, block), "x", "y", "simhash")
-    return fps.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"))
+    out = materialize(fps.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", F.coalesce("root", "fp").alias("root")), "simhash-groups")
+    drop_tables(fps, roots)
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
@@ -253,7 +255,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     """(id, fingerprint, component_id) for every row."""
     marked = fingerprints(docs, [id_column], text, shingle)
     ids = marked.groupBy("fp").agg(F.min(f"row.`{id_column}`").alias("least"))
-    group = materialize(groups(marked, radius).join(ids, "fp"), "simhash-groups")
+    group = groups(marked, radius).join(ids, "fp")
     least = group.groupBy("root").agg(F.min("least").alias("component_id"))
     return (marked.join(group.select("fp", "root").join(least, "root"), "fp")
             .select(F.col(f"row.`{id_column}`").alias(id_column),

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.llm import common as C
-from restock.session import drop_tables, materialize, scratch_table_path
+from restock.session import drop_tables, materialize, scratch_table_path, written_at
 
 SPAN = 100
 GRAM = 32
@@ -299,14 +299,17 @@ def owned_texts(docs: DataFrame, id_column: str, text: str, span: int) -> DataFr
     texts = (body.repartition(buckets, "key").groupBy("key", "key2")
              .agg(F.min("ord").alias("ord"), F.first("body").alias("body")))
     name = f"owned_texts_{uuid.uuid4().hex[:12]}"
-    (texts.write.bucketBy(buckets, "key").option("path", scratch_table_path(spark, name))
-     .saveAsTable(name))
-    return spark.table(name)
+    path = scratch_table_path(spark, name)
+    texts.write.bucketBy(buckets, "key").option("path", path).saveAsTable(name)
+    out = written_at(spark.table(name), path)
+    out._table = name
+    return out
 
 
-def repeated_windows(texts: DataFrame, span: int = SPAN, gram: int = GRAM, many: int = MANY) -> DataFrame:
+def repeated_windows(texts: DataFrame, span: int = SPAN, gram: int = GRAM, many: int = MANY) -> tuple[DataFrame, list[DataFrame]]:
     """(ord, key, at, size): windows of ``span`` bytes that also start earlier, as
-    runs of ``size`` starts from ``at`` in the text ``(ord, key)``."""
+    runs of ``size`` starts from ``at`` in the text ``(ord, key)``; and the written
+    tables that this reads."""
     if not 8 <= gram <= span:
         raise ValueError("gram must be 8 to span")
     rows = texts.select("body", "ord", "key").mapInArrow(
@@ -346,7 +349,7 @@ def repeated_windows(texts: DataFrame, span: int = SPAN, gram: int = GRAM, many:
     each = (each.withColumn("nth", F.row_number().over(
                 Window.partitionBy("window").orderBy("ord", "key", "at")))
             .where("nth > 1").select("ord", "key", "at", F.lit(1).cast("long").alias("size")))
-    return seen.where("not open").select("ord", "key", "at", "size").unionByName(done).unionByName(each)
+    return seen.where("not open").select("ord", "key", "at", "size").unionByName(done).unionByName(each), [seen, found]
 
 
 def _keep_batches(span: int, with_bytes: bool):
@@ -378,9 +381,9 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                 gram: int = GRAM, many: int = MANY, with_bytes: bool = True) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) for every row; ``kept``
     are the bytes that stay (null unless ``with_bytes``)."""
-    spark = docs.sparkSession
     texts = owned_texts(docs, id_column, text, span)
-    spans = (repeated_windows(texts, span, gram, many).groupBy("key", "ord")
+    windows, tables = repeated_windows(texts, span, gram, many)
+    spans = (windows.groupBy("key", "ord")
              .agg(F.collect_list(F.struct("at", "size")).alias("spans"))
              .withColumnRenamed("key", "k").withColumnRenamed("ord", "o"))
     kept = (texts.join(spans, (F.col("key") == F.col("k")) & (F.col("o") - F.col("ord") == 0), "left")
@@ -388,7 +391,8 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
             .mapInArrow(_keep_batches(span, with_bytes),
                         "n_removed long, n_spans long, kept_sha256 string, kept binary, ord long, key long, key2 long"))
     kept = materialize(kept, "kept")
-    drop_tables(spark, texts)
+    drop_tables(texts, *tables)
+    docs.sparkSession.sql(f"DROP TABLE IF EXISTS {texts._table}")
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_column), *_hashes(t), F.octet_length(t).cast("long").alias("n_bytes"),
                        F.when(F.octet_length(t) < span, t.cast("binary")).alias("short"))
