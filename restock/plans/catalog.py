@@ -85,7 +85,7 @@ class Model:
         if self.grain == "part":
             return tpch.standin_demand(self.daily, self.start, self.h)
         return Fc.combine_forecasts(Fc.trend_weekly_forecast(self.daily, self.start, self.h),
-                                    Fc.flat_forecast(self.features, self.start, self.h))
+                                    tpch.flat_forecast(self.daily, self.start, self.h))
 
     @cached_property
     def plan(self):

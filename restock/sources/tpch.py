@@ -176,6 +176,14 @@ def inventory_snapshot(daily_df: DataFrame) -> DataFrame:
                         F.col("_stock").alias("quantity_available"))
 
 
+def flat_forecast(daily_df: DataFrame, start, horizon: int = HORIZON) -> DataFrame:
+    """The mean of the last 28 daily rows on every day of the horizon."""
+    m = F.round(F.col("_mean"), 6)
+    days = F.sequence(start, F.date_add(start, horizon - 1))
+    return recent(daily_df).select(F.explode(days).alias("date"), *S, m.alias("forecast"), m.alias("lower"),
+                                   m.alias("upper"), F.lit("rolling_mean").alias("model_type"))
+
+
 def standin_demand(daily_df: DataFrame, start, horizon: int = HORIZON) -> DataFrame:
     """Stand-in forecast for series too short to fit: one row per series holding the horizon total."""
     f = F.round(F.col("_mean"), 6) * horizon
