@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from restock.llm.common import whole_rows, with_row
 
 NEVER = 1 << 62
-CACHE = 1 << 18        # encoded matches of a generation; a worker remembers two (about 100 MB)
+CACHE = 1 << 17        # encoded matches of a generation; a worker remembers two (about 50 MB)
 ROWS = 512             # texts handled at a time
 
 
@@ -125,7 +125,7 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        if len(self.holds) > CACHE:
+        if len(self.holds) > 2 * CACHE:
             self.holds.clear()
         self.holds[key] = holds
         return holds
