@@ -33,7 +33,7 @@ def main():
     out = ["# Physical plans (sf0.1, local[8])", "",
            "Generated by `scripts/dump_plans.py`: the operator tree, and for every scan the "
            "columns read (`ReadSchema`) and the filters pushed into it (`PushedFilters`). "
-           "Plan queries start from materialised tables (the daily aggregate and the plan), "
+           "Plan queries start from the written daily aggregate (and the plan where it is read twice), "
            "so their scans are of those Parquet tables.", ""]
     for name in NAMES:
         buf = io.StringIO()
