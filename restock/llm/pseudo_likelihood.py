@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.llm.common import whole_rows, with_row
@@ -39,6 +39,7 @@ WORDS = SIZE - OTHERS - 1
 SIDE, DIM, HIDDEN = 2, 16, 24
 MASK, ROUNDS, BATCH, RATE = 8, 2, 1024, 0.1
 CACHE = 1 << 18
+SHARES = 32                            # of the words, when the most frequent are sought
 
 
 class Ids(dict):
@@ -195,7 +196,11 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[li
     sc = docs.sparkSession.sparkContext
     body = docs.select(F.col(text).cast("string").alias("t"))
     words = (body.select(F.explode(F.split(F.regexp_replace("t", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")).alias("w"))
-             .where("w <> ''").groupBy("w").agg(F.count("*").alias("n"))
+             .where("w <> ''").groupBy("w").agg(F.count("*").alias("n")))
+    # first the most frequent of each of a fixed number of shares, so that what the
+    # driver merges does not grow with the number of tasks
+    share = Window.partitionBy(F.pmod(F.xxhash64("w"), F.lit(SHARES))).orderBy(F.desc("n"), "w")
+    words = (words.withColumn("r", F.row_number().over(share)).where(F.col("r") <= WORDS)
              .orderBy(F.desc("n"), "w").limit(WORDS).collect())
     vocabulary = [r["w"].encode() for r in words]
     weights = _flat(initial())
