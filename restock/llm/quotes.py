@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from restock.session import materialize
+from restock.session import drop_tables, materialize
 
 BLOCK = 1024
 _MARKS = r"^(?:[ \\t]{0,3}>)+"
@@ -107,6 +107,8 @@ def arrange(messages: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = (parsed.join(best, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t")), "left")
             .drop("_c", "_t").withColumn("me", F.struct("turn"))
             .withColumn("block", F.floor(F.col("turn") / block)))
+    rows = materialize(rows, "linked-messages")     # every step below reads it twice
+    drop_tables(parsed)
     line = Window.partitionBy("conv_id", "block").orderBy("turn")
     upto = line.rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("prev", F.lag("me").over(line)).withColumn("nth", F.row_number().over(line))
