@@ -9,10 +9,12 @@ in its class. A text's score is the sum of the log-probabilities of all its
 tokens, each given its neighbours on both sides.
 
 Training is data-parallel: in each round every task starts from the same
-weights, masks one position in ``MASK`` of every text it holds (all texts take
-part; which positions is decided by a hash), and runs numpy SGD over them; the
-weights are then averaged by number of tokens in a grouped aggregate. What
-reaches the driver is one model, whatever the size of the corpus.
+weights, masks positions of every text it holds, and runs numpy SGD over them;
+the weights are then averaged by number of tokens in a grouped aggregate. A hash
+of a token and its place in the text deals all positions into ``MASK`` parts and
+each round takes its share of the parts, so that the rounds together (up to
+``MASK`` of them) have every token of every text as a target once. What reaches
+the driver is one model, whatever the size of the corpus.
 
 Defined results: null, empty and word-free texts have no tokens, log-likelihood
 0 and mean 0; repeated rows get equal scores; an empty table gives an empty
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.llm.common import whole_rows, with_row
+from restock.session import drop_tables, materialize
 
 CLASS, CLASSES = 64, 32
 SIZE = CLASS * CLASSES                 # ids
@@ -143,12 +146,14 @@ def _shaped(values: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _joined(texts, ids: Ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids with SIDE edges before and after every text, places of its tokens, tokens of each text)."""
+def _joined(texts, ids: Ids | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids with SIDE edges before and after every text, places of its tokens, tokens of each text);
+    without ``ids`` the texts are written ids."""
+    of = ids.of if ids is not None else lambda t: np.frombuffer(t, np.uint16).astype(np.int32)
     edge = np.full(SIDE, EDGE, np.int32)
     parts, sizes = [edge], []
     for t in texts:
-        own = ids.of(t.as_buffer().to_pybytes()) if t.is_valid else edge[:0]
+        own = of(t.as_buffer().to_pybytes()) if t.is_valid else edge[:0]
         parts += [own, edge]
         sizes.append(len(own))
     sizes = np.array(sizes, np.int64)
@@ -157,17 +162,24 @@ def _joined(texts, ids: Ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(parts), at, sizes
 
 
-def _train_batches(words, weights, turn: int):
+def masked(stream: np.ndarray, at: np.ndarray, sizes: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Those of the places ``at`` that are masked in a round: by the token and its place
+    in its text alone, so however the texts are dealt into batches."""
+    place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    part = (place * 2654435761 + stream[at].astype(np.int64) * 40503 >> 7) % MASK
+    share = max(1, min(rounds, MASK))
+    return at[part % share == turn % share]
+
+
+def _train_batches(weights, turn: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, p, trained = Ids(words.value), _shaped(weights.value), 0
+        p, trained = _shaped(weights.value), 0
         sums = {k: np.full_like(v, 1e-3) for k, v in p.items()}
         wait: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
         for batch in batches:
-            stream, at, _ = _joined(batch.column(0).cast(pa.large_binary()), ids)
-            # which places are masked: a hash of the place and the tokens around it
-            key = (at * 2654435761 + stream[at].astype(np.int64) * 40503 + stream[at - 1] * 97 + turn * 7919) >> 7
-            at = at[key % MASK == 0]
+            stream, at, sizes = _joined(batch.column(0).cast(pa.large_binary()), None)
+            at = masked(stream, at, sizes, turn, rounds)
             wait.append((_contexts(stream, at), stream[at]))
             held += len(at)
             if held >= BATCH:
@@ -191,33 +203,73 @@ def _train_batches(words, weights, turn: int):
     return run
 
 
-def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[list[bytes], np.ndarray]:
-    """(vocabulary, weights): counts and training cover all texts."""
-    sc = docs.sparkSession.sparkContext
-    body = docs.select(F.col(text).cast("string").alias("t"))
-    words = (body.select(F.explode(F.split(F.regexp_replace("t", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")).alias("w"))
-             .where("w <> ''").groupBy("w").agg(F.count("*").alias("n")))
+def _words(body: DataFrame) -> DataFrame:
+    """The words (w) of the texts (t), other columns kept."""
+    rest = [c for c in body.columns if c != "t"]
+    cut = F.split(F.regexp_replace("t", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
+    return body.select(*rest, F.explode(cut).alias("w")).where("w <> ''")
+
+
+def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Written table (w, n): every word of all texts and how often it occurs."""
+    words = _words(docs.select(F.col(text).cast("string").alias("t")))
+    return materialize(words.groupBy("w").agg(F.count("*").alias("n")), "word-counts")
+
+
+def frequent(counts: DataFrame) -> list[bytes]:
+    """The vocabulary."""
     # first the most frequent of each of a fixed number of shares, so that what the
     # driver merges does not grow with the number of tasks
     share = Window.partitionBy(F.pmod(F.xxhash64("w"), F.lit(SHARES))).orderBy(F.desc("n"), "w")
-    words = (words.withColumn("r", F.row_number().over(share)).where(F.col("r") <= WORDS)
+    words = (counts.withColumn("r", F.row_number().over(share)).where(F.col("r") <= WORDS)
              .orderBy(F.desc("n"), "w").limit(WORDS).collect())
-    vocabulary = [r["w"].encode() for r in words]
+    return [r["w"].encode() for r in words]
+
+
+def _encode_batches(words):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = Ids(words.value)
+        for batch in batches:
+            texts = batch.column(0).cast(pa.large_binary())
+            codes = [ids.of(t.as_buffer().to_pybytes()).astype(np.uint16).tobytes() if t.is_valid else b"" for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary()), batch.column(1)], names=["codes", "row"])
+    return run
+
+
+def encode(docs: DataFrame, vocabulary: list[bytes], text: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """Written table (codes, row): the ids of every text, two bytes each, so that texts are cut once."""
+    src = whole_rows(docs, text, columns)
+    words = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    return materialize(src.mapInArrow(_encode_batches(words), with_row("codes binary", src)), "word-ids")
+
+
+def fit(codes: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights trained on all texts of a table of ``encode``."""
+    sc = codes.sparkSession.sparkContext
     weights = _flat(initial())
-    shared = sc.broadcast(vocabulary)
     for turn in range(rounds):
-        task = _train_batches(shared, sc.broadcast(weights), turn)
-        mean = (body.mapInArrow(task, "i int, w float, n double").groupBy("i")
+        task = _train_batches(sc.broadcast(weights), turn, rounds)
+        mean = (codes.select("codes").mapInArrow(task, "i int, w float, n double").groupBy("i")
                 .agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")).collect())    # one model
         if mean:
             weights = np.zeros(len(weights), np.float32)
             weights[[r["i"] for r in mean]] = [r["w"] for r in mean]
+    return weights
+
+
+def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[list[bytes], np.ndarray]:
+    """(vocabulary, weights): counts and training cover all texts."""
+    counts = count_words(docs, text)
+    vocabulary = frequent(counts)
+    codes = encode(docs.select(F.col(text).alias("text"), F.lit(0).alias("none")), vocabulary, columns=["none"])
+    weights = fit(codes, rounds)
+    drop_tables(counts, codes)
     return vocabulary, weights
 
 
 def _score_batches(words, weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, p = Ids(words.value), _shaped(weights.value)
+        ids, p = words and Ids(words.value), _shaped(weights.value)
         for batch in batches:
             texts = batch.column(0).cast(pa.large_binary())
             total, count = [], []
@@ -249,7 +301,11 @@ def score(docs: DataFrame, vocabulary: list[bytes], weights: np.ndarray, text: s
 def query(spark, sf_dir: str) -> DataFrame:
     """op5: score of every document under a model of all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    scored = score(docs, *train(docs), columns=["doc_id"])
+    counts = count_words(docs)
+    codes = encode(docs, frequent(counts), columns=["doc_id"])
+    drop_tables(counts)
+    weights = spark.sparkContext.broadcast(fit(codes))
+    scored = codes.mapInArrow(_score_batches(None, weights), with_row("n_tokens long, log_likelihood double", codes))
     return scored.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "log_likelihood",
                          F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
                           .otherwise(0.0).alias("mean_log_probability"))

@@ -254,6 +254,25 @@ def test_pseudo_likelihood_learns_both_sides(spark):
     assert s[0] / s[1] > -1.2          # six equally frequent words: -1.79 without neighbours
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 6, 8])
+def test_pseudo_likelihood_masks_every_token_once(rounds):
+    """Over the rounds, whatever texts share a batch; short texts too."""
+    import pyarrow as pa
+    ids = pseudo_likelihood.Ids([b"a", b"b"])
+    texts = [b"a", b"", None, b"a b", b"b a a", b"x y z " * 40, b"a b " * 500]
+    for group in (texts, texts[::-1], texts[3:4]):
+        stream, at, sizes = pseudo_likelihood._joined(pa.array(group, pa.large_binary()), ids)
+        turns = [pseudo_likelihood.masked(stream, at, sizes, t, rounds) for t in range(rounds)]
+        assert sorted(np.concatenate(turns).tolist()) == at.tolist()
+        if len(at) > 1000:
+            assert min(map(len, turns)) > len(at) / 16
+    first = pseudo_likelihood._joined(pa.array([texts[5]], pa.large_binary()), ids)
+    later = pseudo_likelihood._joined(pa.array([texts[6], texts[5]], pa.large_binary()), ids)
+    shift = later[1][1000] - first[1][0]
+    alone, after = (pseudo_likelihood.masked(*x, 0, rounds) for x in (first, later))
+    assert (alone + shift).tolist() == after[after >= later[1][1000]].tolist()
+
+
 # ------------------------------------------------------------------ 6: BPE ----
 @pytest.fixture(scope="module")
 def vocabulary():
