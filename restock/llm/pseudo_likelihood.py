@@ -5,8 +5,15 @@ Tokens are the words of a text: the ``WORDS`` most frequent of the corpus
 ``OTHERS`` ids by a checksum. A small network sees the two tokens on either
 side of a masked one (embeddings, one hidden layer) and gives the probability
 of every token in two softmax steps: the token's class of 64 ids, then the id
-in its class. A text's score is the sum of the log-probabilities of all its
-tokens, each given its neighbours on both sides.
+in its class. A word that shares its id has that probability times its share of
+all occurrences of the id, by the exact counts of all words, so the
+probabilities of all words of the corpus sum to 1 and none are confused as
+targets (as neighbours, words of one id are alike). A text's score is the sum of
+the log-probabilities of all its tokens, each given its neighbours on both sides.
+
+The counts are a table that grows with the corpus. The shares of a fixed number
+of frequent words (``WORDS`` of each of ``SHARES`` parts) travel to the tasks,
+the other words are joined with the table.
 
 Training is data-parallel: in each round every task starts from the same
 weights, masks positions of every text it holds, and runs numpy SGD over them;
@@ -28,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +50,7 @@ WORDS = SIZE - OTHERS - 1
 SIDE, DIM, HIDDEN = 2, 16, 24
 MASK, ROUNDS, BATCH, RATE = 8, 2, 1024, 0.1
 CACHE = 1 << 18
-SHARES = 32                            # of the words, when the most frequent are sought
+SHARES = 32                            # parts of the words, when the most frequent are sought
 
 
 class Ids(dict):
@@ -59,7 +67,9 @@ class Ids(dict):
         return i
 
     def of(self, text: bytes) -> np.ndarray:
-        words = text.split()
+        return self.of_words(text.split())
+
+    def of_words(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
@@ -216,31 +226,59 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     return materialize(words.groupBy("w").agg(F.count("*").alias("n")), "word-counts")
 
 
-def frequent(counts: DataFrame) -> list[bytes]:
-    """The vocabulary."""
-    # first the most frequent of each of a fixed number of shares, so that what the
-    # driver merges does not grow with the number of tasks
-    share = Window.partitionBy(F.pmod(F.xxhash64("w"), F.lit(SHARES))).orderBy(F.desc("n"), "w")
-    words = (counts.withColumn("r", F.row_number().over(share)).where(F.col("r") <= WORDS)
-             .orderBy(F.desc("n"), "w").limit(WORDS).collect())
-    return [r["w"].encode() for r in words]
+def frequent(counts: DataFrame) -> tuple[list[bytes], dict[bytes, int]]:
+    """The vocabulary, and the counts of it and of other frequent words: the first of
+    each of a fixed number of parts, so that what the driver holds does not grow."""
+    part = Window.partitionBy(F.pmod(F.xxhash64("w"), F.lit(SHARES))).orderBy(F.desc("n"), "w")
+    rows = counts.withColumn("r", F.row_number().over(part)).where(F.col("r") <= WORDS).select("w", "n").collect()
+    known = {r["w"].encode(): r["n"] for r in rows}
+    return sorted(known, key=lambda w: (-known[w], w))[:WORDS], known
+
 
+def shares(counts: DataFrame, vocabulary: list[bytes], known: dict[bytes, int]) -> tuple[DataFrame, dict[bytes, float]]:
+    """Table (w, share): ln of the share of each word (as bytes) in the occurrences of its
+    shared id; and the shares of the known words beyond the vocabulary."""
+    slot = F.pmod(F.crc32("w"), F.lit(OTHERS)).cast("int")
+    total = {r["s"]: r["n"] for r in counts.groupBy(slot.alias("s")).agg(F.sum("n").alias("n")).collect()}    # OTHERS rows
+    for w in vocabulary:
+        total[zlib.crc32(w) % OTHERS] -= known[w]
+    mass = F.array(*[F.lit(float(total.get(i, 0))) for i in range(OTHERS)])
+    own = set(vocabulary)
+    return (counts.select(F.col("w").cast("binary").alias("w"), F.log(F.col("n") / F.nullif(F.get(mass, slot), F.lit(0.0))).alias("share")),
+            {w: float(np.log(n / total[zlib.crc32(w) % OTHERS])) for w, n in known.items() if w not in own})
 
-def _encode_batches(words):
+
+def _encode_batches(words, near):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(words.value)
+        ids, known, number = Ids(words.value), near.value if near else None, TaskContext.get().partitionId() << 40
         for batch in batches:
-            texts = batch.column(0).cast(pa.large_binary())
-            codes = [ids.of(t.as_buffer().to_pybytes()).astype(np.uint16).tobytes() if t.is_valid else b"" for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(codes, pa.binary()), batch.column(1)], names=["codes", "row"])
+            codes, share, far = [], [], []
+            for t in batch.column(0).cast(pa.large_binary()):
+                cut = t.as_buffer().to_pybytes().split() if t.is_valid else []
+                own = ids.of_words(cut)
+                codes.append(own.astype(np.uint16).tobytes())
+                if known is not None:
+                    beyond = [cut[i] for i in np.flatnonzero(own >= WORDS).tolist()]
+                    share.append(sum(known[w] for w in beyond if w in known))
+                    far.append([w for w in beyond if w not in known])
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(codes, pa.binary()), pa.array(np.arange(number, number + n)), pa.array(share or [0.0] * n, pa.float64()),
+                 pa.array(far or [[]] * n, pa.list_(pa.binary())), batch.column(1)],
+                names=["codes", "number", "share", "far", "row"])
+            number += n
     return run
 
 
-def encode(docs: DataFrame, vocabulary: list[bytes], text: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """Written table (codes, row): the ids of every text, two bytes each, so that texts are cut once."""
+def encode(docs: DataFrame, vocabulary: list[bytes], near: dict[bytes, float] | None = None, text: str = "text",
+           columns: list[str] | None = None) -> DataFrame:
+    """Written table (codes, number, share, far, row): the ids of every text, two bytes each, so
+    that texts are cut once; a number of its own; and, with ``near``, the sum of the shares of its
+    words that are in it, and its words that are neither there nor in the vocabulary."""
     src = whole_rows(docs, text, columns)
-    words = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    return materialize(src.mapInArrow(_encode_batches(words), with_row("codes binary", src)), "word-ids")
+    sc = docs.sparkSession.sparkContext
+    task = _encode_batches(sc.broadcast(vocabulary), None if near is None else sc.broadcast(near))
+    return materialize(src.mapInArrow(task, with_row("codes binary, number long, share double, far array<binary>", src)), "word-ids")
 
 
 def fit(codes: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
@@ -260,7 +298,7 @@ def fit(codes: DataFrame, rounds: int = ROUNDS) -> np.ndarray:
 def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[list[bytes], np.ndarray]:
     """(vocabulary, weights): counts and training cover all texts."""
     counts = count_words(docs, text)
-    vocabulary = frequent(counts)
+    vocabulary, _ = frequent(counts)
     codes = encode(docs.select(F.col(text).alias("text"), F.lit(0).alias("none")), vocabulary, columns=["none"])
     weights = fit(codes, rounds)
     drop_tables(counts, codes)
@@ -298,14 +336,29 @@ def score(docs: DataFrame, vocabulary: list[bytes], weights: np.ndarray, text: s
                           with_row("n_tokens long, log_likelihood double", src))
 
 
+def likelihoods(docs: DataFrame, text: str = "text", columns: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """(n_tokens, log_likelihood, row): every text under a model of all texts, with the exact
+    shares of the words that share ids."""
+    counts = count_words(docs, text)
+    vocabulary, known = frequent(counts)
+    table, near = shares(counts, vocabulary, known)
+    codes = encode(docs, vocabulary, near, text, columns)
+    # sort-merge joins whatever the sizes, so that small and large inputs run the same plan
+    far = materialize(codes.select("number", F.explode("far").alias("w")).join(table.hint("merge"), "w")
+                      .groupBy("number").agg(F.sum("share").alias("far")), "word-shares")
+    drop_tables(counts)
+    weights = docs.sparkSession.sparkContext.broadcast(fit(codes, rounds))
+    src = codes.select("codes", F.struct("number", "share", "row").alias("row"))
+    scored = src.mapInArrow(_score_batches(None, weights), with_row("n_tokens long, log_likelihood double", src))
+    return (scored.select("n_tokens", "log_likelihood", F.col("row.number").alias("number"), F.col("row.share").alias("share"),
+                          F.col("row.row").alias("row"))
+            .join(far.hint("merge"), "number", "left")
+            .select("n_tokens", (F.col("log_likelihood") + F.col("share") + F.coalesce("far", F.lit(0.0))).alias("log_likelihood"), "row"))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op5: score of every document under a model of all documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    counts = count_words(docs)
-    codes = encode(docs, frequent(counts), columns=["doc_id"])
-    drop_tables(counts)
-    weights = spark.sparkContext.broadcast(fit(codes))
-    scored = codes.mapInArrow(_score_batches(None, weights), with_row("n_tokens long, log_likelihood double", codes))
+    scored = likelihoods(spark.read.parquet(f"{sf_dir}/documents.parquet"), columns=["doc_id"])
     return scored.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "log_likelihood",
                          F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
                           .otherwise(0.0).alias("mean_log_probability"))

@@ -273,6 +273,37 @@ def test_pseudo_likelihood_masks_every_token_once(rounds):
     assert (alone + shift).tolist() == after[after >= later[1][1000]].tolist()
 
 
+def test_pseudo_likelihood_tells_words_of_one_id_apart(spark):
+    """Words beyond the vocabulary differ by their exact counts, sent to the tasks or joined."""
+    import zlib
+    P = pseudo_likelihood
+    head = " ".join(f"h{i}" for i in range(P.WORDS))
+    slot = lambda w: zlib.crc32(w.encode()) % P.OTHERS
+    a, *others = [w for w in (f"z{i}" for i in range(4000)) if slot(w) == slot("z0")][:3]
+    tail = [f"t{i}" for i in range(70_000)]              # more than the known words
+    rows = [(1, " ".join([head] * 6)), (2, f"h0 h1 {a} h2 h3"), (3, f"h0 h1 {others[0]} h2 h3"), (4, f"h0 h1 {a} h2 h3"),
+            (5, None), (6, ""), *((7 + i, " ".join(tail[i::10] + [a])) for i in range(3)), (10, " ".join(tail))]
+    d = table(spark, rows).coalesce(1).persist()           # so that both models are trained in one order
+    got = {r["row"].doc_id: r for r in P.likelihoods(d, columns=["doc_id"], rounds=1).collect()}
+    words, weights = P.train(d, rounds=1)
+    base = {r["row"].doc_id: r for r in P.score(d, words, weights, columns=["doc_id"]).collect()}
+    assert sorted(words) == sorted(w.encode() for w in head.split()) and len(got) == len(rows)
+    count, total = {}, {}
+    for _, t in rows:
+        for w in (t or "").split():
+            if not w.startswith("h"):
+                count[w] = count.get(w, 0) + 1
+                total[slot(w)] = total.get(slot(w), 0) + 1
+    for d_, t in rows:
+        want = base[d_].log_likelihood + sum(math.log(count[w] / total[slot(w)]) for w in (t or "").split() if w in count)
+        assert got[d_].n_tokens == base[d_].n_tokens == len((t or "").split())
+        assert got[d_].log_likelihood == pytest.approx(want, rel=1e-3, abs=1e-3)
+    assert base[2].log_likelihood == pytest.approx(base[3].log_likelihood, abs=1e-4)       # one id
+    assert got[2].log_likelihood - got[3].log_likelihood == pytest.approx(math.log(5), abs=1e-3)
+    assert got[2].log_likelihood == pytest.approx(got[4].log_likelihood, abs=1e-4)
+    assert P.likelihoods(table(spark, []), columns=["doc_id"]).count() == 0
+
+
 # ------------------------------------------------------------------ 6: BPE ----
 @pytest.fixture(scope="module")
 def vocabulary():
