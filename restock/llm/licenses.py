@@ -9,6 +9,12 @@ times the template's size, so most templates are pruned by size alone. The
 templates are a short list of fixed values and travel inside the plan as
 literals; everything happens within a row, nothing is shuffled.
 
+A notice that stands among other words is found by windows over all bigrams of
+the text: as many as the template has, starting at those that occur in the
+template. The best window of a license that no passage of the text matches is
+a match too (passage -1). The SQL twin states the passages only; both agree
+where every notice has a passage of its own.
+
 Defined results: null and empty texts, and passages under two words, match
 nothing; every passage is judged by itself, so a line and its paragraph may
 both match; repeated rows get equal results; an empty table gives an empty
@@ -53,29 +59,35 @@ TEMPLATES = [
 ]
 
 
-def _grams(passage: str) -> str:
-    """SQL for the distinct bigrams (as hashes) of a passage."""
+def _pairs(passage: str) -> str:
+    """SQL for the bigrams (as hashes) of a passage, in order."""
     words = rf"filter(split(lower({passage}), '[^\\p{{L}}\\p{{N}}]+'), w -> w != '')"
-    return (f"transform(array({words}), w -> if(size(w) < 2, array(), array_distinct("
-            "transform(sequence(0, size(w) - 2), i -> xxhash64(w[i], w[i + 1])))))[0]")
+    return (f"transform(array({words}), w -> if(size(w) < 2, array(), "
+            "transform(sequence(0, size(w) - 2), i -> xxhash64(w[i], w[i + 1]))))[0]")
+
+
+def _grams(passage: str) -> str:
+    """SQL for the distinct bigrams of a passage."""
+    return f"array_distinct({_pairs(passage)})"
 
 
-def _literal(templates: DataFrame, dice: float) -> Column:
-    """The templates as one array literal (their number is that of a short list)."""
-    rows = templates.select("license", F.expr(_grams("text")).alias("grams")).where(F.size("grams") > 0).collect()
+def _literal(templates: DataFrame, dice: float) -> tuple[Column, list[int]]:
+    """The templates as one array literal (their number is that of a short list), and their bigrams."""
+    rows = (templates.select("license", F.expr(_grams("text")).alias("grams"), F.expr(f"size({_pairs('text')})").alias("m"))
+            .where(F.size("grams") > 0).collect())
     out = []
     for r in sorted(rows, key=lambda r: (r["license"], len(r["grams"]))):
         n = len(r["grams"])
-        out.append(F.struct(F.lit(r["license"]).alias("license"), F.lit(n).alias("n"),
+        out.append(F.struct(F.lit(r["license"]).alias("license"), F.lit(n).alias("n"), F.lit(r["m"]).alias("m"),
                             F.lit(dice / (2 - dice) * n - 1e-9).alias("lo"), F.lit((2 - dice) / dice * n + 1e-9).alias("hi"),
                             F.array(*[F.lit(g) for g in r["grams"]]).alias("grams")))
-    return F.array(*out)
+    return F.array(*out), sorted({g for r in rows for g in r["grams"]})
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, text: str = "text",
          dice: float = DICE, columns: list[str] | None = None) -> DataFrame:
     """(row, passages, hits): every row as a struct, its number of passages, and
-    the matches as an array of (passage, license, dice)."""
+    the matches as an array of (passage, license, dice), passage -1 for windows."""
     spark = docs.sparkSession
     known = spark.createDataFrame(templates or TEMPLATES, "license string, text string")
     t = f"coalesce(cast(`{text}` as string), '')"
@@ -83,15 +95,29 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, text:
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("row"),
         F.expr(rf"concat(filter(split({t}, '\n'), l -> l != ''), filter({paragraphs}, p -> contains(p, '\n')), "
-               f"if(size({paragraphs}) > 1, array({t}), array()))").alias("_p"))
-    grams = rows.select("row", F.size("_p").cast("long").alias("passages"),
+               f"if(size({paragraphs}) > 1, array({t}), array()))").alias("_p"), F.expr(_pairs(t)).alias("_w"))
+    grams = rows.select("row", "_w", F.size("_p").cast("long").alias("passages"),
                         F.expr(f"transform(_p, p -> {_grams('p')})").alias("_g"))
     hits = F.expr(
         "flatten(transform(_g, (b, i) -> transform(filter(_t, t -> size(b) >= t.lo and size(b) <= t.hi), t -> "
         "struct(i as passage, t.license as license, "
         "2.0D * size(array_intersect(b, t.grams)) / (size(b) + t.n) as dice))))")
-    return (grams.withColumn("_t", _literal(known, dice)).withColumn("hits", hits)
-            .select("row", "passages", F.filter("hits", lambda h: h["dice"] >= dice).alias("hits")))
+    literal, every = _literal(known, dice)
+    # windows: places whose bigram occurs in any template, then those of each template
+    windows = F.expr(
+        "transform(array(filter(transform(_w, (g, i) -> if(g in ({0}), i, -1)), i -> i >= 0)), at -> if(size(at) = 0, "
+        "array(), flatten(transform(_t, t -> transform(filter(at, i -> array_contains(t.grams, _w[i])), i -> "
+        "transform(array(array_distinct(slice(_w, i + 1, t.m))), b -> struct(-1 as passage, t.license as license, "
+        "2.0D * size(array_intersect(b, t.grams)) / (size(b) + t.n) as dice))[0])))))[0]".format(
+            ", ".join(f"{g}L" if g > -1 << 63 else "cast('-9223372036854775808' as bigint)" for g in every) or "null"))
+    best = F.expr(
+        "transform(array_distinct(transform(windows, x -> x.license)), l -> array_max(transform(filter(windows, x -> x.license = l), "
+        "x -> struct(x.dice as dice, l as license))))")
+    over = lambda c: F.filter(c, lambda h: h["dice"] >= dice)
+    return (grams.withColumn("_t", literal).withColumn("hits", over(hits)).withColumn("windows", over(windows))
+            .withColumn("_b", best).select("row", "passages", F.concat("hits", F.expr(
+                "transform(filter(_b, b -> not array_contains(hits.license, b.license)), "
+                "b -> struct(-1 as passage, b.license as license, b.dice as dice))")).alias("hits")))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -387,6 +387,16 @@ def test_licenses(spark, docs, rows, none):
     assert licenses.scan(docs).count() == len(rows) and licenses.scan(none).count() == 0
 
 
+def test_licenses_among_other_words(spark):
+    mit, more = licenses.TEMPLATES[10][1], " ".join(f"w{i}" for i in range(200))
+    t = [(1, "Example project documentation page. Released under the MIT License."),
+         (2, "lorem ipsum " * 300 + "released under the\nMIT license " + "dolor sit " * 300),
+         (3, "Copyright (c) someone " + mit + " The above notice shall be included. " + more),
+         (4, "under the apple tree, released the mit " * 20), (5, "Released under the MIT License.\nit is " + mit + more)]
+    got = {r.doc_id: [(h.passage, h.license) for h in r.hits] for r in licenses.scan(table(spark, t)).select("row.doc_id", "hits").collect()}
+    assert got == {1: [(-1, "MIT")], 2: [(-1, "MIT")], 3: [(-1, "MIT")], 4: [], 5: [(0, "MIT")]}
+
+
 # ------------------------------------------------------- 9: decontaminate ----
 def test_decontaminate(spark, docs, rows, none):
     w = " ".join(B.bench_words(rows[-1][1])[100:130])
