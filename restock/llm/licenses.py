@@ -9,11 +9,14 @@ times the template's size, so most templates are pruned by size alone. The
 templates are a short list of fixed values and travel inside the plan as
 literals; everything happens within a row, nothing is shuffled.
 
+A template with a version or a qualifying word (``TELLING``) does not match a
+passage with another one, and of the licenses that match a passage the best stays.
+
 A notice that stands among other words is found by windows over all bigrams of
 the text: as many as the template has, starting at those that occur in the
 template. The best window of a license that no passage of the text matches is
-a match too (passage -1). The SQL twin states the passages only; both agree
-where every notice has a passage of its own.
+a match too (passage -1). The SQL twin states the passages and ``TEMPLATES`` only; both agree
+where every notice has a passage of its own and none is of a neighbour.
 
 Defined results: null and empty texts, and passages under two words, match
 nothing; every passage is judged by itself, so a line and its paragraph may
@@ -58,6 +61,25 @@ TEMPLATES = [
     ("all-rights-reserved", "All rights reserved."),
 ]
 
+# Their neighbours, which would pass as one of the above by Dice alone (not in the SQL twin).
+_GNU = ("This work is licensed under the GNU {0}General Public License, version {1}.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General "
+        "Public License as published by the Free Software Foundation, either version {1} of the License, or (at your "
+        "option) any later version.")
+_CC = ("This work is licensed under a Creative Commons Attribution-{0} 4.0 International License.",
+       "Licensed under CC {1} 4.0.")
+SIBLINGS = [*((n, t.format(w, v)) for n, w, v in (("GPL-2.0", "", "2"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"),
+                                                  ("AGPL-3.0", "Affero ", "3")) for t in _GNU),
+            *((f"CC-{c}-4.0", t.format(w, c)) for c, w in (("BY-SA", "ShareAlike"), ("BY-NC", "NonCommercial"), ("BY-ND", "NoDerivatives"),
+                                                           ("BY-NC-SA", "NonCommercial-ShareAlike")) for t in _CC
+              if (c, t) != ("BY-NC", _CC[1])), ("CC-BY-4.0", "Licensed under CC BY 4.0.")]
+# Word pairs that tell a license from its neighbours: a template that has some of them
+# does not match a passage that has others.
+TELLING = [*(f"gnu {w}" for w in ("general", "lesser", "affero", "library")), "by nc", "by nd", "by sa", "nc sa", "nc nd",
+           *(f"{a} {b}" for a in ("attribution", "noncommercial") for b in ("sharealike", "noncommercial", "noderivatives", "noderivs")),
+           *(f"{a} {i}" for a in ("version", "v", "attribution", "sharealike", "noncommercial", "noderivatives", "by", "nc", "sa", "nd")
+             for i in range(1, 10)), "1 0", "1 1", "2 0", "2 1", "2 5", "3 0", "4 0"]
+
 
 def _pairs(passage: str) -> str:
     """SQL for the bigrams (as hashes) of a passage, in order."""
@@ -71,16 +93,26 @@ def _grams(passage: str) -> str:
     return f"array_distinct({_pairs(passage)})"
 
 
+# of a passage's bigrams b and a template t; 0 if the passage tells of another license
+_DICE = ("transform(array(2.0D * size(array_intersect(b, t.grams)) / (size(b) + t.n)), "
+         "x -> if(x >= 0.5D and arrays_overlap(b, t.others), 0.0D, x))[0]")
+
+
 def _literal(templates: DataFrame, dice: float) -> tuple[Column, list[int]]:
     """The templates as one array literal (their number is that of a short list), and their bigrams."""
-    rows = (templates.select("license", F.expr(_grams("text")).alias("grams"), F.expr(f"size({_pairs('text')})").alias("m"))
+    rows = (templates.select("license", F.expr(_grams("text")).alias("grams"), F.expr(f"size({_pairs('text')})").alias("m"),
+                             F.expr("transform(split('{}', ','), p -> {})".format(",".join(TELLING), _grams("p") + "[0]")).alias("telling"))
             .where(F.size("grams") > 0).collect())
     out = []
     for r in sorted(rows, key=lambda r: (r["license"], len(r["grams"]))):
         n = len(r["grams"])
+        others = set(r["telling"]) - set(r["grams"])
+        if len(others) == len(set(r["telling"])):
+            others = set()
         out.append(F.struct(F.lit(r["license"]).alias("license"), F.lit(n).alias("n"), F.lit(r["m"]).alias("m"),
                             F.lit(dice / (2 - dice) * n - 1e-9).alias("lo"), F.lit((2 - dice) / dice * n + 1e-9).alias("hi"),
-                            F.array(*[F.lit(g) for g in r["grams"]]).alias("grams")))
+                            F.array(*[F.lit(g) for g in r["grams"]]).alias("grams"),
+                            F.array(*[F.lit(g) for g in sorted(others)]).cast("array<bigint>").alias("others")))
     return F.array(*out), sorted({g for r in rows for g in r["grams"]})
 
 
@@ -89,7 +121,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, text:
     """(row, passages, hits): every row as a struct, its number of passages, and
     the matches as an array of (passage, license, dice), passage -1 for windows."""
     spark = docs.sparkSession
-    known = spark.createDataFrame(templates or TEMPLATES, "license string, text string")
+    known = spark.createDataFrame(templates or TEMPLATES + SIBLINGS, "license string, text string")
     t = f"coalesce(cast(`{text}` as string), '')"
     paragraphs = rf"filter(split({t}, '\n[ \t\r]*(?:\n[ \t\r]*)+'), p -> p != '')"
     rows = docs.select(
@@ -100,21 +132,23 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, text:
                         F.expr(f"transform(_p, p -> {_grams('p')})").alias("_g"))
     hits = F.expr(
         "flatten(transform(_g, (b, i) -> transform(filter(_t, t -> size(b) >= t.lo and size(b) <= t.hi), t -> "
-        "struct(i as passage, t.license as license, "
-        "2.0D * size(array_intersect(b, t.grams)) / (size(b) + t.n) as dice))))")
+        "struct(i as passage, t.license as license, " + _DICE + " as dice))))")
     literal, every = _literal(known, dice)
     # windows: places whose bigram occurs in any template, then those of each template
     windows = F.expr(
         "transform(array(filter(transform(_w, (g, i) -> if(g in ({0}), i, -1)), i -> i >= 0)), at -> if(size(at) = 0, "
         "array(), flatten(transform(_t, t -> transform(filter(at, i -> array_contains(t.grams, _w[i])), i -> "
         "transform(array(array_distinct(slice(_w, i + 1, t.m))), b -> struct(-1 as passage, t.license as license, "
-        "2.0D * size(array_intersect(b, t.grams)) / (size(b) + t.n) as dice))[0])))))[0]".format(
-            ", ".join(f"{g}L" if g > -1 << 63 else "cast('-9223372036854775808' as bigint)" for g in every) or "null"))
+        "{1} as dice))[0])))))[0]".format(
+            ", ".join(f"{g}L" if g > -1 << 63 else "cast('-9223372036854775808' as bigint)" for g in every) or "null", _DICE))
     best = F.expr(
         "transform(array_distinct(transform(windows, x -> x.license)), l -> array_max(transform(filter(windows, x -> x.license = l), "
         "x -> struct(x.dice as dice, l as license))))")
     over = lambda c: F.filter(c, lambda h: h["dice"] >= dice)
-    return (grams.withColumn("_t", literal).withColumn("hits", over(hits)).withColumn("windows", over(windows))
+    return (grams.withColumn("_t", literal).withColumn("hits", over(hits))
+            .withColumn("hits", F.expr("filter(hits, h -> not exists(hits, o -> o.passage = h.passage and o.license <> h.license "
+                                       "and o.dice > h.dice))"))
+            .withColumn("windows", over(windows))
             .withColumn("_b", best).select("row", "passages", F.concat("hits", F.expr(
                 "transform(filter(_b, b -> not array_contains(hits.license, b.license)), "
                 "b -> struct(-1 as passage, b.license as license, b.dice as dice))")).alias("hits")))

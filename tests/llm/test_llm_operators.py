@@ -397,6 +397,19 @@ def test_licenses_among_other_words(spark):
     assert got == {1: [(-1, "MIT")], 2: [(-1, "MIT")], 3: [(-1, "MIT")], 4: [], 5: [(0, "MIT")]}
 
 
+def test_licenses_of_one_family(spark):
+    gpl, long = licenses.TEMPLATES[6][1], licenses.TEMPLATES[7][1]
+    cc = licenses.TEMPLATES[3][1]
+    t = [(1, gpl), (2, gpl.replace("3", "2")), (3, gpl.replace("GNU", "GNU Lesser")), (4, gpl.replace("GNU", "GNU Affero")),
+         (5, gpl.replace("GNU", "GNU Lesser").replace("3", "2.1")), (6, cc), (7, cc.replace("Attribution", "Attribution-ShareAlike")),
+         (8, "see " + long.replace("version 3", "version 2") + " and so on"), (9, "x " * 40 + gpl.replace("3", "2")),
+         (10, "Licensed under CC BY-NC 4.0."), (11, "Licensed under CC BY-SA 4.0."), (12, cc.replace("4.0", "3.0")),
+         (13, long.replace("GNU", "GNU Lesser")), (14, "Licensed under the Apache License, Version 1.1.")]
+    got = {r.doc_id: sorted({h.license for h in r.hits}) for r in licenses.scan(table(spark, t)).select("row.doc_id", "hits").collect()}
+    assert got == {1: ["GPL-3.0"], 2: ["GPL-2.0"], 3: ["LGPL-3.0"], 4: ["AGPL-3.0"], 5: ["LGPL-2.1"], 6: ["CC-BY-4.0"], 7: ["CC-BY-SA-4.0"],
+                   8: ["GPL-2.0"], 9: ["GPL-2.0"], 10: ["CC-BY-NC-4.0"], 11: ["CC-BY-SA-4.0"], 12: [], 13: ["LGPL-3.0"], 14: []}
+
+
 # ------------------------------------------------------- 9: decontaminate ----
 def test_decontaminate(spark, docs, rows, none):
     w = " ".join(B.bench_words(rows[-1][1])[100:130])
