@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from restock.llm import (bpe, decontaminate, licenses, line_dedup, pseudo_likelihood, quality_cnn, quality_rules, quotes,
-                         simhash, substrings)
+from restock.llm import (alignment, bpe, decontaminate, hard_negatives, licenses, line_dedup, pseudo_likelihood, quality_cnn,
+                         quality_rules, quotes, simhash, substrings, warc)
 
 QUERIES = {
     "op1_quality_cnn": quality_cnn.query,
@@ -17,6 +17,9 @@ QUERIES = {
     "op8_license_scan": licenses.query,
     "op9_decontaminate": decontaminate.query,
     "op10_suffix_array": substrings.query,
+    "op11_hard_negatives": hard_negatives.query,
+    "op12_alignment": alignment.query,
+    "op13_warc": warc.query,
     "pipeline": corpus_pipeline.run,
 }
 # The others are tested against brute force, a round trip or held-out labels.
@@ -26,4 +29,6 @@ SQL = {
     "op7_quotes": quotes.SQL,
     "op8_license_scan": licenses.SQL,
     "op9_decontaminate": decontaminate.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
+    "op13_warc": warc.SQL,
 }
