@@ -392,9 +392,14 @@ def _read_batches(with_payload: bool):
 
 
 def read(packages: DataFrame, payload: bool = True) -> DataFrame:
-    """Every record of the packages named in ``path``, read by ranges."""
+    """Every record of the packages named in ``path``, read by ranges. With a
+    column ``bytes`` (as in a manifest) a task reads about ``STRETCH`` bytes."""
+    spark = packages.sparkSession
+    total = packages.agg(F.sum("bytes")).first()[0] or 0 if "bytes" in packages.columns else 0
+    # a number given outright: by the size of the places alone, Spark would merge all of them into one task
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // STRETCH))
     places = locate(packages).select("path", "offset", "length")
-    places = (places.withColumn("part", F.expr(f"offset div {STRETCH}")).repartition("path", "part")
+    places = (places.withColumn("part", F.expr(f"offset div {STRETCH // 4}")).repartition(tasks, "path", "part")
               .sortWithinPartitions("path", "offset").drop("part"))
     return places.mapInArrow(_read_batches(payload), RECORD)
 
