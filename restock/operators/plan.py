@@ -214,8 +214,13 @@ def balanced_plan(warehouses: DataFrame, skus: DataFrame, inventory: DataFrame,
     return _plan_rows(chosen, warehouses, start_date, plan_id, "qty", "STOCK_BALANCED")
 
 
+def _min_cost(*args, **kwargs) -> DataFrame:
+    from restock.operators.market import min_cost_plan      # builds on this module
+    return min_cost_plan(*args, **kwargs)
+
+
 # planning methods by name
-METHODS = {"greedy": greedy_plan, "balanced": balanced_plan}
+METHODS = {"greedy": greedy_plan, "balanced": balanced_plan, "min_cost": _min_cost}
 
 
 def plan_with_method(method: str, *args, **kwargs) -> DataFrame:

@@ -449,4 +449,33 @@ def model_error(spark, sf_dir):
     return rounded(a.unionByName(b))
 
 
-QUERIES.update(gbt_forecast=gbt_forecast, model_error=model_error)
+# A load of 1,000 units, and docks that take in a tenth: lanes are worth using, and capacity binds.
+LOAD, TIGHT = 1000.0, 10
+
+
+def _min_cost(spark, sf_dir):
+    from restock.operators import market
+    m = _mm(spark, sf_dir)
+    docks = materialize(m.docks.withColumn("capacity_volume_m3", F.col("capacity_volume_m3") / TIGHT), "docks")
+    return market, m, docks, market.solve(docks, m.skus, m.inventory, m.forecasts, m.start, H, load=LOAD)
+
+
+def min_cost_plan(spark, sf_dir):
+    """The cost-minimal plan within stock and shared dock capacity."""
+    return rounded(_min_cost(spark, sf_dir)[-1].plan)
+
+
+def min_cost_gap(spark, sf_dir):
+    """Its cost, the lower bound of any plan's cost, and the gap."""
+    market, _, docks, s = _min_cost(spark, sf_dir)
+    return rounded(market.gap_report(s, docks))
+
+
+def min_cost_rule(spark, sf_dir):
+    """What it promises, counted."""
+    market, m, docks, s = _min_cost(spark, sf_dir)
+    return market.rules(s, docks, m.skus, m.start, H)
+
+
+QUERIES.update(gbt_forecast=gbt_forecast, model_error=model_error, min_cost_plan=min_cost_plan, min_cost_gap=min_cost_gap,
+               min_cost_rule=min_cost_rule)

