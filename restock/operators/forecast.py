@@ -1,25 +1,25 @@
 """Demand forecasts (I1, I2, I5-I7, B2, B4, B9, B10, D-9, D-16, H20).
 
-The seasonal model is fitted with native aggregates: a least-squares trend
-per series (``regr_slope`` / ``regr_intercept``), a mean residual per
-weekday, and a 95 % band from the deviation of what is left. Every window
-is partitioned by the series keys (a weekday window by series and weekday
-is satisfied by the same hash partitioning), so fitting costs one exchange.
-Future dates come from ``explode(sequence(...))`` per series.
+The seasonal model is a least-squares trend per series, a mean residual per
+weekday, and a 95 % band from the deviation of what is left; it is fitted from
+the sums of ``restock.operators.state`` (one partial aggregate, seven rows a
+series). Only the error report needs fitted rows: its windows are partitioned by
+the series keys. Future dates come from ``explode(sequence(...))`` per series.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock import S
 from restock.functions.costs import forecast_band
 from restock.functions.dates import as_date
+from restock.operators.linear import linear_forecast
+from restock.operators.state import forecast_from_state, weekday_sums
 
-Z95 = 1.96
 FORECAST_COLUMNS = ["date", "warehouse_id", "sku_id", "forecast", "lower", "upper", "model_type"]
 
 
@@ -55,25 +55,7 @@ def trend_weekly_forecast(daily: DataFrame, start_date: str, horizon: int = 14,
 
     The point forecast and band are clipped at 0 (demand is not negative).
     """
-    fitted = _fit(daily, start_date, min_rows)
-    # one row per series: its coefficients and its (at most 7) weekday effects
-    model = fitted.groupBy(*S).agg(
-        F.first("slope").alias("slope"), F.first("intercept").alias("intercept"),
-        F.first("sigma").alias("sigma"),
-        F.map_from_entries(F.collect_set(F.struct("dow", "dow_effect"))).alias("effects"))
-    start = as_date(start_date)
-    days = F.sequence(start, F.date_add(start, horizon - 1))
-    fut = model.select(*S, "slope", "intercept", "sigma", "effects",
-                       F.explode(days).alias("date"))
-    t = F.datediff("date", start).cast("double")
-    eff = F.coalesce(F.element_at(F.col("effects"), F.weekday("date")), F.lit(0.0))
-    yhat = F.col("intercept") + F.col("slope") * t + eff
-    band = Z95 * F.col("sigma")
-    return fut.select("date", *S,
-                      F.greatest(yhat, F.lit(0.0)).alias("forecast"),
-                      F.greatest(yhat - band, F.lit(0.0)).alias("lower"),
-                      F.greatest(yhat + band, F.lit(0.0)).alias("upper"),
-                      F.lit("trend_weekly").alias("model_type"))
+    return forecast_from_state(weekday_sums(daily), start_date, horizon, min_rows)
 
 
 def flat_forecast(daily_features: DataFrame, start_date: str, horizon: int = 14) -> DataFrame:
@@ -147,22 +129,13 @@ def forecast_error(daily: DataFrame, start_date: str, train_share: float = 0.8,
 
 
 # ---------------------------------------------------------------- I2 -----
-def _fourier_design(days: np.ndarray, weekly: int, yearly: int) -> np.ndarray:
-    cols = [np.ones_like(days), days]
-    for period, order in ((7.0, weekly), (365.25, yearly)):
-        for k in range(1, order + 1):
-            ang = 2 * np.pi * k * days / period
-            cols += [np.sin(ang), np.cos(ang)]
-    return np.column_stack(cols)
-
-
 def fourier_sums(daily: DataFrame, start_date, weekly_order: int = 3) -> DataFrame:
     """Per series: rows, and the sums of units and of units times each weekly term."""
     t = F.datediff("date", as_date(start_date)).cast("double")
     y = F.col("quantity_sold").cast("double")
     terms = []
     for k in range(1, weekly_order + 1):
-        ang = F.lit(2 * np.pi * k / 7.0) * t
+        ang = F.lit(2 * math.pi * k / 7.0) * t
         terms += [F.sum(y * F.sin(ang)).alias(f"sin_{k}"), F.sum(y * F.cos(ang)).alias(f"cos_{k}")]
     return daily.groupBy(*S).agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("units"), F.sum(y * t).alias("units_t"), *terms)
 
@@ -174,36 +147,8 @@ def fourier_forecast(daily: DataFrame, start_date, horizon: int = 14,
 
     Intercept and trend are not penalised; the seasonal terms are, so a short
     history gets small yearly terms (``yearly_order=0`` leaves them out).
-
-    A grouped map: each series (at most one row per day, so bounded by the
-    number of days, not by the data volume) is fitted with NumPy inside its
-    task; Spark shuffles the series to tasks. Days count from ``start_date``.
     """
-    start = as_date(start_date)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) < min_rows:
-            return pd.DataFrame(columns=["warehouse_id", "sku_id", "day", "yhat", "sigma"])
-        pdf = pdf.sort_values("day")
-        days, y = pdf["day"].to_numpy(dtype=float), pdf["quantity_sold"].to_numpy(dtype=float)
-        X = _fourier_design(days, weekly_order, yearly_order)
-        pen = ridge * np.eye(X.shape[1])
-        pen[0, 0] = pen[1, 1] = 0.0
-        beta = np.linalg.lstsq(X.T @ X + pen, X.T @ y, rcond=None)[0]
-        sigma = float(np.std(y - X @ beta, ddof=1)) if len(y) > 1 else 0.0
-        ahead = np.arange(horizon)
-        return pd.DataFrame({
-            "warehouse_id": pdf["warehouse_id"].iloc[0], "sku_id": pdf["sku_id"].iloc[0], "day": ahead,
-            "yhat": _fourier_design(ahead.astype(float), weekly_order, yearly_order) @ beta, "sigma": sigma})
-
-    fitted = (daily.select(*S, F.datediff("date", start).alias("day"), "quantity_sold").groupBy(*S)
-              .applyInPandas(fit, "warehouse_id string, sku_id string, day int, yhat double, sigma double"))
-    wide = Z95 * F.col("sigma")
-    return fitted.select(F.date_add(start, F.col("day")).alias("date"), *S,
-                         F.greatest(F.col("yhat"), F.lit(0.0)).alias("forecast"),
-                         F.greatest(F.col("yhat") - wide, F.lit(0.0)).alias("lower"),
-                         F.greatest(F.col("yhat") + wide, F.lit(0.0)).alias("upper"),
-                         F.lit("fourier").alias("model_type"))
+    return linear_forecast(daily, start_date, horizon, min_rows, weekly_order, yearly_order, ridge=ridge)
 
 
 def band(pred_col) -> list:

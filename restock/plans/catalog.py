@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType
 
 from restock import S
 from restock.operators import audit, execution, explain, features as Fe, forecast as Fc
-from restock.operators import kpi, network, plan as P, quality
+from restock.operators import kpi, linear, network, plan as P, quality, state
 from restock.session import materialize
 from restock.sources import io, tpch
 
@@ -388,6 +388,27 @@ def fourier_forecast(spark, sf_dir):
     return rounded(Fc.fourier_forecast(m.daily, m.start, H))
 
 
+def bent_trend_forecast(spark, sf_dir):
+    """Trend with bends and weekly terms."""
+    m = _m(spark, sf_dir)
+    return rounded(linear.bent_trend_forecast(m.daily, m.start, H))
+
+
+def model_state(spark, sf_dir):
+    """The stored sums of the seasonal model."""
+    return state.weekday_sums(_m(spark, sf_dir).daily)
+
+
+def forecast_from_state(spark, sf_dir):
+    """The seasonal forecast from a state that grew by three parts of the history."""
+    m = _mm(spark, sf_dir)
+    cut = [F.date_sub(m.start, n) for n in (400, 90)]
+    kept = state.merge(state.weekday_sums(m.daily.where(F.col("date") < cut[0])),
+                       state.weekday_sums(m.daily.where((F.col("date") >= cut[0]) & (F.col("date") < cut[1]))))
+    kept = state.merge_new(materialize(kept, "models"), m.daily)       # the days after the last one kept
+    return rounded(state.forecast_from_state(kept, m.start, H))
+
+
 def fourier_design_sums(spark, sf_dir):
     """The sums that the Fourier fit of each series starts from."""
     m = _m(spark, sf_dir)

@@ -614,6 +614,62 @@ SQL["forecast_summary"] = _fc_with(f"""
   FROM ({trend_sql()}) t GROUP BY warehouse_id, sku_id""")
 SQL["forecast_combined"] = with_(f"SELECT {_FC} FROM fc", "fc")
 _TERMS = ", ".join(f"round(sum(y * {f}({2 * math.pi * k / 7.0!r} * t)), 4) AS {f}_{k}" for k in (1, 2, 3) for f in ("sin", "cos"))
+
+
+def linear_sql(terms: list[str], name: str, min_rows: int, ridge: float = 1.0, horizon: int = 14) -> str:
+    """A penalised linear fit of ``terms`` (SQL over ``t`` in years) per series,
+    by row operations on the normal equations, one column a recursion step."""
+    n = len(terms)
+    x = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in terms) + "]"
+    pre = with_("SELECT 1", "daily").replace("\nSELECT 1", "").replace("WITH ", "WITH RECURSIVE ", 1)
+    return pre + f""",
+  span AS (SELECT CAST(date_diff('day', {START}, min(date)) AS DOUBLE) / 365.25 AS first,
+                  CAST(date_diff('day', {START}, max(date)) AS DOUBLE) / 365.25 AS last FROM daily),
+  obs AS (SELECT warehouse_id, sku_id, CAST(date_diff('day', {START}, date) AS DOUBLE) / 365.25 AS t,
+                 CAST(quantity_sold AS DOUBLE) AS y FROM daily),
+  des AS (SELECT warehouse_id, sku_id, y, {x} AS x FROM obs, span),
+  ser AS (SELECT warehouse_id, sku_id, count(*) AS n, sum(y * y) AS yy FROM des GROUP BY 1, 2 HAVING count(*) >= {min_rows}),
+  mat AS (SELECT warehouse_id, sku_id, i, j, sum(x[i] * CASE WHEN j > {n} THEN y ELSE x[j] END)
+                 + CASE WHEN i = j AND i > 2 THEN {ridge} ELSE 0 END AS v
+          FROM des JOIN ser USING (warehouse_id, sku_id), range(1, {n + 1}) a(i), range(1, {n + 2}) b(j) GROUP BY 1, 2, 3, 4),
+  gj AS (SELECT 1 AS k, * FROM mat
+         UNION ALL
+         SELECT a.k + 1, a.warehouse_id, a.sku_id, a.i, a.j,
+                CASE WHEN a.i = a.k OR p.v = 0 THEN a.v ELSE a.v - c.v * (r.v / p.v) END
+         FROM gj a
+         JOIN gj p ON p.warehouse_id = a.warehouse_id AND p.sku_id = a.sku_id AND p.i = a.k AND p.j = a.k
+         JOIN gj r ON r.warehouse_id = a.warehouse_id AND r.sku_id = a.sku_id AND r.i = a.i AND r.j = a.k
+         JOIN gj c ON c.warehouse_id = a.warehouse_id AND c.sku_id = a.sku_id AND c.i = a.k AND c.j = a.j
+         WHERE a.k <= {n}),
+  beta AS (SELECT d.warehouse_id, d.sku_id, d.i, CASE WHEN d.v = 0 THEN 0 ELSE e.v / d.v END AS b
+           FROM gj d JOIN gj e ON e.warehouse_id = d.warehouse_id AND e.sku_id = d.sku_id AND e.i = d.i AND e.k = d.k
+           WHERE d.k = {n + 1} AND d.i = d.j AND e.j = {n + 1}),
+  fit AS (SELECT d.warehouse_id, d.sku_id, d.y - sum(b.b * d.x[b.i]) AS rest
+          FROM (SELECT *, row_number() OVER () AS id FROM des) d JOIN beta b USING (warehouse_id, sku_id)
+          GROUP BY d.warehouse_id, d.sku_id, d.id, d.y),
+  dev AS (SELECT warehouse_id, sku_id, CASE WHEN count(*) > 1 THEN sqrt(sum(rest * rest) / (count(*) - 1)) ELSE 0.0 END AS sigma
+          FROM fit GROUP BY 1, 2),
+  days AS (SELECT CAST({START} + CAST(i AS INTEGER) AS DATE) AS date, {x} AS x
+           FROM (SELECT h AS i, h / 365.25 AS t FROM range({horizon}) r(h)) q, span),
+  yh AS (SELECT days.date, b.warehouse_id, b.sku_id, sum(b.b * days.x[b.i]) AS yhat FROM beta b, days GROUP BY 1, 2, 3)
+  SELECT date, warehouse_id, sku_id, round(greatest(yhat, 0.0), 4) AS forecast, round(greatest(yhat - 1.96 * sigma, 0.0), 4) AS lower,
+         round(greatest(yhat + 1.96 * sigma, 0.0), 4) AS upper, '{name}' AS model_type
+  FROM yh JOIN dev USING (warehouse_id, sku_id)"""
+
+
+def waves(per_year: float, order: int) -> list[str]:
+    return [f"{f}(t * {2 * math.pi * k * per_year!r})" for k in range(1, order + 1) for f in ("sin", "cos")]
+
+
+SQL["fourier_forecast"] = linear_sql(["1", "t", *waves(365.25 / 7, 3), *waves(1.0, 10)], "fourier", 14)
+SQL["bent_trend_forecast"] = linear_sql(["1", "t", *waves(365.25 / 7, 3), *[f"greatest(0.0, t - (first + (last - first) * {0.8 * (k + 1) / 9!r}))"
+                                                                        for k in range(8)]], "bent_trend", 30)
+SQL["forecast_from_state"] = SQL["trend_weekly_forecast"]
+SQL["model_state"] = with_("""
+  SELECT warehouse_id, sku_id, CAST(isodow(date) - 1 AS INTEGER) AS dow, count(*) AS n, CAST(sum(t) AS BIGINT) AS t,
+         CAST(sum(t * t) AS BIGINT) AS tt, CAST(sum(y) AS BIGINT) AS y, CAST(sum(t * y) AS BIGINT) AS ty, CAST(sum(y * y) AS BIGINT) AS yy,
+         max(date) AS last_date
+  FROM (SELECT *, date_diff('day', DATE '1970-01-01', date) AS t, quantity_sold AS y FROM daily) x GROUP BY 1, 2, 3""", "daily")
 SQL["fourier_design_sums"] = with_(f"""
   SELECT warehouse_id, sku_id, count(*) AS n, round(sum(y), 4) AS units, round(sum(y * t), 4) AS units_t, {_TERMS}
   FROM base GROUP BY warehouse_id, sku_id""", "base")
