@@ -202,13 +202,14 @@ def _dealt(anchors: DataFrame, rows: DataFrame, n_anchors: int, n_rows: int) ->
     tasks = 2 * spark.sparkContext.defaultParallelism
     down = -(-n_anchors // PART)
     across = max(-(-n_rows // PART), min(-(-n_rows // LEAST), 4 * tasks))
-    deal = F.xxhash64(F.monotonically_increasing_id(), "id")
+    # a row's own part is drawn before its copies are made, so that all copies agree on it
+    a = (anchors.withColumn("g", F.pmod(F.xxhash64("id", "mark"), F.lit(down))).withColumn("is_anchor", F.lit(True))
+         .withColumn("h", F.explode(F.expr(f"sequence(0L, {across - 1}L)"))))
     none = F.lit(None)
-    a = anchors.select(F.pmod(deal, F.lit(down)).alias("g"), F.explode(F.expr(f"sequence(0L, {across - 1}L)")).alias("h"),
-                       F.lit(True).alias("is_anchor"), *anchors.columns)
     given = {"mark": none.cast("long"), "pos_ids": none.cast("array<long>"), "pos_scores": none.cast("array<long>")}
-    r = rows.select(F.explode(F.expr(f"sequence(0L, {down - 1}L)")).alias("g"), F.pmod(deal, F.lit(across)).alias("h"),
-                    F.lit(False).alias("is_anchor"), *rows.columns, *[v.alias(k) for k, v in given.items() if k in anchors.columns])
+    r = (rows.withColumn("h", F.pmod(F.xxhash64(F.monotonically_increasing_id(), "id"), F.lit(across))).withColumn("is_anchor", F.lit(False))
+         .withColumn("g", F.explode(F.expr(f"sequence(0L, {down - 1}L)")))
+         .withColumns({k: v for k, v in given.items() if k in anchors.columns}))
     return a.unionByName(r).repartition(max(1, down * across // 4), "g", "h").groupBy("g", "h")
 
 

@@ -213,7 +213,7 @@ def directory(source, size: int) -> Iterator[Member]:
     """Members of a ZIP file, from its central directory; ``source`` has ``read_at(length, offset)``."""
     low = max(0, size - (1 << 16) - 22 - 20)
     tail = source.read_at(size - low, low)
-    at = tail.rfind(END)
+    at = tail.rfind(END, 0, max(0, len(tail) - 18))          # 22 bytes and a comment up to the end of the file
     while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
         at = tail.rfind(END, 0, at)
     if at < 0:
@@ -235,7 +235,7 @@ def directory(source, size: int) -> Iterator[Member]:
                 raise ValueError("central directory ends early")
             held, place = held + more, place + len(more)
         if held[:4] != CENTRAL:
-            raise ValueError("no central directory entry")
+            raise ValueError("no entry where the central directory should be")
         method, = struct.unpack_from("<H", held, 10)
         packed, plain, n, m, _ = struct.unpack_from("<IIHHH", held, 20)
         header, = struct.unpack_from("<I", held, 42)
