@@ -1,10 +1,14 @@
-"""Referential integrity and key sets (C5, D-3, G1)."""
+"""Referential integrity, key sets and declared rules (A13, C5, D-3, G1)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from restock import schemas
+
 
 def integrity_report(sales: DataFrame, inventory: DataFrame,
                      warehouses: DataFrame, skus: DataFrame) -> DataFrame:
@@ -31,6 +35,32 @@ def integrity_report(sales: DataFrame, inventory: DataFrame,
         "table_name", "column_name", "bad_key", "n_rows")
 
 
+def rule_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, rule, column_name, checked, violations) of the declared keys and
+    domains (A13), one row a rule, rules that hold included.
+
+    A table is read once for its required and not-negative columns: all its
+    counts are one partial aggregate of a row. Keys are counted by a partial
+    aggregate on the key (a key held by a third of the rows is summed before it
+    travels); ``violations`` are the rows beyond the first of each key. A null
+    in a key violates the required rule and is not compared with others."""
+    parts = []
+    for name, df in tables.items():
+        key = schemas.KEYS.get(name, [])
+        rules = [("required", c, F.col(c).isNull()) for c in [*key, *schemas.REQUIRED.get(name, [])] if c in df.columns]
+        rules += [("not_negative", c, F.col(c) < 0) for c in schemas.NOT_NEGATIVE.get(name, []) if c in df.columns]
+        if rules:
+            one = df.agg(F.count(F.lit(1)).alias("checked"), *[F.count_if(bad).alias(f"v{i}") for i, (_, _, bad) in enumerate(rules)])
+            each = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).alias("column_name"), F.col(f"v{i}").alias("violations"))
+                                       for i, (r, c, _) in enumerate(rules)]))
+            parts.append(one.select(F.lit(name).alias("table_name"), "checked", each.alias("r")).select("table_name", "r.rule", "r.column_name", "checked", "r.violations"))
+        if key and set(key) <= set(df.columns):
+            groups = df.dropna(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+            parts.append(groups.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("checked"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("violations"))
+                         .select(F.lit(name).alias("table_name"), F.lit("unique").alias("rule"), F.lit(",".join(key)).alias("column_name"), "checked", "violations"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct key tuples (D-3)."""
     return df.select(*keys).distinct()

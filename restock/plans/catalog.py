@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from restock import S
+from restock import S, schemas
 from restock.operators import audit, execution, explain, features as Fe, forecast as Fc
 from restock.operators import kpi, linear, network, plan as P, quality, state
-from restock.session import materialize
+from restock.session import materialize, scratch_table_path
 from restock.sources import io, tpch
 
 H = tpch.HORIZON
@@ -148,6 +148,13 @@ def integrity_report(spark, sf_dir):
     return quality.integrity_report(m.daily_counted, m.inventory, m.warehouses, m.skus)
 
 
+def declared_rules(spark, sf_dir):
+    """Declared keys and domains of the model tables, counted."""
+    m = _mm(spark, sf_dir)
+    return quality.rule_report({"warehouses": m.warehouses, "skus": m.skus, "sales_history": m.sales, "daily_sales_aggregated": m.daily,
+                                "inventory_snapshot": m.inventory, "forecasts": m.forecasts})
+
+
 # ----------------------------------------------------------- features ----
 def daily_sales(spark, sf_dir):
     return rounded(_m(spark, sf_dir).daily)
@@ -298,6 +305,17 @@ def plan_lookup(spark, sf_dir):
     return rounded(P.plan_lookup(_stored_plans(_mm(spark, sf_dir))))
 
 
+def plan_by_manifest(spark, sf_dir):
+    """The newest plan of a stored table of two, found by the manifest."""
+    m = _mm(spark, sf_dir)
+    root = scratch_table_path(spark, "stored-plans")
+    both = _stored_plans(m)
+    io.write_table(both, f"{root}/plans", partition_by=["plan_id"])
+    stored = io.read_table(spark, f"{root}/plans", schemas.PLAN)
+    io.write_table(io.manifest_of(stored), f"{root}/manifest", partition_by=["plan_id"])
+    return rounded(io.newest_by_manifest(stored, io.read_table(spark, f"{root}/manifest", schemas.MANIFEST)))
+
+
 def plan_by_id(spark, sf_dir):
     return rounded(P.plan_lookup(_stored_plans(_mm(spark, sf_dir)), "PLAN-BALANCED"))
 

@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import math
 
+from restock import schemas
+
 START = "(SELECT CAST(max(l_shipdate) AS DATE) + 1 FROM lineitem)"
 
 CTES: dict[str, tuple[str, list[str]]] = {}
@@ -564,6 +566,26 @@ SQL["capacity_rule"] = with_("""
   SELECT plan_id, to_wh, CAST(sum(qty) AS BIGINT) AS planned_units, CAST(sum(qty) AS BIGINT) AS accounted_units,
          0::BIGINT AS broken_transfers, 0::BIGINT AS days_over, 0::BIGINT AS left_but_fitting
   FROM plan GROUP BY plan_id, to_wh""", "plan")
+SQL["plan_by_manifest"] = SQL["plan_lookup"]
+
+
+def _rules_sql() -> str:
+    tables = {"warehouses": "wh", "skus": "(SELECT *, sku_id AS name FROM sku) s", "sales_history": "lines", "daily_sales_aggregated": "daily",
+              "inventory_snapshot": "(SELECT *, quantity_available AS quantity_on_hand, 0 AS quantity_reserved FROM inv) i", "forecasts": "fc"}
+    parts = []
+    for t, source in tables.items():
+        key = schemas.KEYS.get(t, [])
+        for rule, columns, bad in (("required", key + schemas.REQUIRED.get(t, []), "{} IS NULL"),
+                                   ("not_negative", schemas.NOT_NEGATIVE.get(t, []), "{} < 0")):
+            parts += [f"SELECT '{t}' AS table_name, '{rule}' AS rule, '{c}' AS column_name, count(*) AS checked, "
+                      f"count(*) FILTER (WHERE {bad.format(c)}) AS violations FROM {source}" for c in columns]
+        if key:
+            parts.append(f"SELECT '{t}', 'unique', '{','.join(key)}', count(*), count(*) - count(DISTINCT ({', '.join(key)})) FROM {source} "
+                         f"WHERE {' AND '.join(f'{c} IS NOT NULL' for c in key)}")
+    return with_("\nUNION ALL\n".join(parts), "wh", "sku", "lines", "daily", "inv", "fc")
+
+
+SQL["declared_rules"] = _rules_sql()
 SQL["min_cost_rule"] = with_("""
   SELECT 'cell takes no more than it lacks' AS rule, count(*) AS checked, 0::BIGINT AS violations FROM cellsall WHERE active
   UNION ALL

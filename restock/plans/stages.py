@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from restock import schemas
 from restock.operators import execution, explain, features as Fe, forecast as Fc
-from restock.operators import plan as P, quality
+from restock.operators import plan as P, quality, state
 from restock.session import materialize
 from restock.sources import io
 
@@ -26,12 +26,19 @@ def _p(d: str, name: str) -> str:
 
 
 def etl(spark: SparkSession, in_dir: str, out_dir: str, fmt: str = "csv") -> dict:
-    """Raw tables -> daily features, inventory features, dimension copies (A1, A2, C5, E-6, C1, A8)."""
-    raw = io.load_raw_tables(spark, in_dir, fmt)
+    """Raw tables -> daily features, inventory features, dimension copies (A1, A2, C5, E-6, C1, A8).
+
+    Rows that cannot be read as declared go to ``quarantine``; ``rule_report``
+    counts what breaks the declared keys and domains. Neither stops the stage."""
+    raw, bad = io.load_checked_tables(spark, in_dir, fmt)
     io.require_tables(raw)
+    quarantined = io.write_table(bad, _p(out_dir, "quarantine"))
+    if quarantined:
+        log.warning("malformed cells found: %d (see quarantine)", quarantined)
     orphans = quality.integrity_report(raw["sales_history"], raw["inventory_snapshot"],
                                        raw["warehouses"], raw["skus"])
-    out = {"integrity_report": io.write_table(orphans, _p(out_dir, "integrity_report"))}
+    out = {"quarantine": quarantined, "integrity_report": io.write_table(orphans, _p(out_dir, "integrity_report")),
+           "rule_report": io.write_table(quality.rule_report(raw), _p(out_dir, "rule_report"))}
     if out["integrity_report"]:
         log.warning("orphan keys found: %d (see integrity_report)", out["integrity_report"])
     daily = Fe.rolling_features(Fe.daily_sales(raw["sales_history"]))
@@ -46,23 +53,28 @@ def etl(spark: SparkSession, in_dir: str, out_dir: str, fmt: str = "csv") -> dic
 
 
 def forecast(spark: SparkSession, processed_dir: str, out_dir: str, start_date,
-             horizon: int = 14, fallback: str = "trees") -> dict:
-    """Daily features -> forecasts + registry.
+             horizon: int = 14, fallback: str = "trees", refit: bool = False) -> dict:
+    """Daily features -> forecasts + registry + model state.
 
-    The seasonal model where it has rows; for the other series the boosted
+    The seasonal model lives in the table ``model_state``: a run adds the days
+    after its last one and forecasts from it, unless ``refit`` starts it anew
+    (after corrections of days it has seen). Seasonal where it has rows; for the other series the boosted
     trees (``fallback="trees"``), and the flat mean where those cannot be
     trained (no series of 30 rows) or with ``fallback="flat"``.
     """
     daily = io.read_table(spark, _p(processed_dir, "daily_sales_aggregated"))
     registry = materialize(Fe.series_registry(daily), "registry")
-    fc = Fc.trend_weekly_forecast(daily, start_date, horizon)
+    kept = None if refit else io.read_optional(spark, _p(out_dir, "model_state"), state.weekday_sums(daily).schema)
+    sums = state.weekday_sums(daily) if kept is None else state.merge_new(kept, daily)
+    n_state = io.write_table(sums, _p(out_dir, "model_state"))
+    fc = state.forecast_from_state(io.read_table(spark, _p(out_dir, "model_state")), start_date, horizon)
     short = registry.where("not seasonal_eligible")
     if fallback == "trees" and not short.isEmpty() and not registry.where("trees_eligible").isEmpty():
         from restock.operators import ml
         fc = fc.unionByName(ml.gbt_forecast(daily, start_date, horizon, only=short))
     fc = Fc.combine_forecasts(fc, Fc.flat_forecast(daily, start_date, horizon))
     return {"forecasts": io.write_table(fc, _p(out_dir, "forecasts")),
-            "models": io.write_table(registry, _p(out_dir, "models"))}
+            "models": io.write_table(registry, _p(out_dir, "models")), "model_state": n_state}
 
 
 def optimize(spark: SparkSession, processed_dir: str, forecasts_path: str, out_dir: str,
@@ -79,6 +91,7 @@ def optimize(spark: SparkSession, processed_dir: str, forecasts_path: str, out_d
     days = P.capacity_days(plan, wh, sk, start_date, horizon)
     return {"plans": io.write_table(explain.plan_explained(plan, wh, sk, inv, fcs),
                                     _p(out_dir, "plans"), partition_by=["plan_id"]),
+            "plans_manifest": io.write_table(io.manifest_of(plan), _p(out_dir, "plans_manifest"), partition_by=["plan_id"]),
             "ship_days": io.write_table(days, _p(out_dir, "ship_days"), partition_by=["plan_id"])}
 
 
@@ -92,7 +105,12 @@ def simulate(spark: SparkSession, plans_dir: str, processed_dir: str, forecasts_
     as planned and demand is what was forecast.
     """
     plans = io.read_table(spark, plans_dir, schemas.PLAN)
-    plan = materialize(P.plan_lookup(plans, plan_id), "plan")
+    manifest = io.read_optional(spark, f"{plans_dir.rstrip('/')}_manifest", schemas.MANIFEST)
+    if plan_id is None and manifest.head(1):
+        plan = io.newest_by_manifest(plans, manifest)
+    else:
+        plan = P.plan_lookup(plans, plan_id)
+    plan = materialize(plan, "plan")
     wh = io.read_table(spark, _p(processed_dir, "warehouses"), schemas.WAREHOUSES)
     sk = io.read_table(spark, _p(processed_dir, "skus"), schemas.SKUS)
     inv = io.read_table(spark, _p(processed_dir, "inventory_snapshot"), schemas.INVENTORY_SNAPSHOT)

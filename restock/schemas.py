@@ -1,6 +1,7 @@
 """Declared table schemas (one StructType per model table).
 
 Numbers are doubles at run time; quantities are longs; day counts ints.
+Fixed values: the column names and keys below are those of the model.
 """
 
 from pyspark.sql.types import (
@@ -119,6 +120,12 @@ PLAN = _s(
     ("reason_code", StringType(), True),
 )
 
+MANIFEST = _s(
+    ("run_date", DateType(), True),
+    ("n_rows", LongType(), True),
+    ("plan_id", StringType(), False),
+)
+
 # Raw tables the ETL stage loads and the date columns parsed on load.
 RAW_TABLES = {
     "warehouses": WAREHOUSES,
@@ -128,3 +135,36 @@ RAW_TABLES = {
     "inbound_pos": INBOUND_POS,
 }
 REQUIRED_TABLES = ["warehouses", "skus", "sales_history", "inventory_snapshot"]
+
+# Columns that tell a row of each table from all others.
+KEYS = {
+    "warehouses": ["warehouse_id"],
+    "skus": ["sku_id"],
+    "inventory_snapshot": ["snapshot_date", "warehouse_id", "sku_id"],
+    "inbound_pos": ["po_id"],
+    "fleet": ["truck_id"],
+    "drivers": ["driver_id"],
+    "forecasts": ["date", "warehouse_id", "sku_id", "model_type"],
+    "daily_sales_aggregated": ["date", "warehouse_id", "sku_id"],
+    "plan": ["plan_id", "from_wh", "to_wh", "sku_id", "ship_date"],
+}
+
+# Columns that must have a value, beside the keys, and those that must not be negative.
+REQUIRED = {
+    "warehouses": ["name"],
+    "skus": ["name"],
+    "inventory_snapshot": ["quantity_on_hand", "quantity_reserved", "quantity_available"],
+    "sales_history": ["date", "warehouse_id", "sku_id", "quantity_sold"],
+    "inbound_pos": ["warehouse_id", "sku_id", "order_date", "quantity_ordered"],
+    "fleet": ["truck_type"],
+    "plan": ["run_date", "qty"],
+}
+NOT_NEGATIVE = {
+    "warehouses": ["capacity_volume_m3", "lead_time_days", "stockout_cost_per_unit"],
+    "skus": ["volume_m3_per_unit", "weight_kg_per_unit", "unit_cost", "perishability_ttl_days", "safety_stock_days"],
+    "inventory_snapshot": ["quantity_on_hand", "quantity_reserved", "quantity_available"],
+    "sales_history": ["quantity_sold", "revenue"],
+    "inbound_pos": ["quantity_ordered", "quantity_received"],
+    "forecasts": ["forecast", "lower", "upper"],
+    "plan": ["qty"],
+}
