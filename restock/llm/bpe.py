@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from restock.llm.common import whole_rows, with_row
+from restock.llm.common import range_hashes, text_chunks, whole_rows, with_row
 
 NEVER = 1 << 62
 CACHE = 1 << 17        # encoded matches of a generation; a worker remembers two (about 50 MB)
@@ -273,35 +273,69 @@ class Matches:
                     return False
         return True
 
-    def __call__(self, text: bytes) -> list[bytes]:
+    def starts(self, text: bytes) -> np.ndarray:
+        """Where the matches of a text begin; each ends where the next one begins."""
         if not text:
-            return []
+            return np.zeros(0, np.int64)
         if not self._simple(text):
-            return [m.encode() for m in self.pattern.findall(text.decode())]
-        cut = match_starts(np.frombuffer(text, np.uint8)).tolist()
-        cut.append(len(text))
-        return [text[a:b] for a, b in zip(cut, cut[1:])]
+            sizes = [len(m.encode()) for m in self.pattern.findall(text.decode())]
+            return np.cumsum([0, *sizes[:-1]])
+        return match_starts(np.frombuffer(text, np.uint8))
+
+    def __call__(self, text: bytes) -> list[bytes]:
+        cut = self.starts(text).tolist()
+        return [text[a:b] for a, b in zip(cut, [*cut[1:], len(text)])]
 
 
 # Fixed value: the pattern that the rules of ``match_starts`` state.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+def _take(values: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``values[at[i]:at[i] + n[i]]`` of all i, one after the other."""
+    end = np.cumsum(n)
+    return values[np.arange(end[-1] if len(end) else 0) + np.repeat(at - (end - n), n)]
+
+
+def _distinct(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first place of each distinct match, number of the distinct match of each):
+    matches meet by their hashes, and the bytes decide."""
+    _, first, of = np.unique(range_hashes(data, start, start + size), return_index=True, return_inverse=True)
+    same = size == size[first[of]]
+    if same.all():
+        same = np.logical_and.reduceat(_take(data, start, size) == _take(data, start[first[of]], size), np.cumsum(size) - size)
+    if not same.all():                       # two matches of one hash: those stand for themselves
+        odd = np.flatnonzero(~same)
+        of[odd] = len(first) + np.arange(len(odd))
+        first = np.concatenate((first, odd))
+    return first, of
+
+
 def _encode_batches(shared, pattern: str):
+    """Each distinct match of about a megabyte of text is looked up once; its ids go to all its places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoded, cut = shared.value.matches, Matches(pattern)
         for whole in batches:
-            for lo in range(0, max(1, whole.num_rows), ROWS):
-                batch = whole.slice(lo, ROWS)
-                sizes, out = [0], []
-                for t in batch.column(0).cast(pa.large_binary()):
-                    ids = b"".join(map(encoded.__getitem__, cut(t.as_buffer().to_pybytes()))) if t.is_valid else b""
-                    out.append(ids)
-                    sizes.append(sizes[-1] + len(ids) // 4)
-                ids = pa.array(np.frombuffer(b"".join(out), "<i4"))
+            if not whole.num_rows:
+                continue
+            for lo, hi, data, offs in text_chunks(whole.column(0)):
+                raw, starts, per_text = data.tobytes(), [np.zeros(0, np.int64)], []
+                for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
+                    own = cut.starts(raw[a:b]) + a
+                    starts.append(own)
+                    per_text.append(len(own))
+                start = np.concatenate(starts)
+                size = np.diff(start, append=len(data))
+                first, of = _distinct(data, start, size)
+                found = [encoded[raw[a:a + n]] for a, n in zip(start[first].tolist(), size[first].tolist())]
+                ids = np.frombuffer(b"".join(found), "<i4")
+                n = np.array([len(x) // 4 for x in found], np.int64)
+                per_match = n[of]
+                done = np.concatenate(([0], np.cumsum(per_match)))
+                sizes = done[np.concatenate(([0], np.cumsum(per_text)))].astype(np.int32)
+                out = _take(ids, (np.cumsum(n) - n)[of], per_match)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), ids), batch.column(1)],
-                    names=["tokens", "row"])
+                    [pa.ListArray.from_arrays(pa.array(sizes), pa.array(out)), whole.column(1).slice(lo, hi - lo)], names=["tokens", "row"])
     return run
 
 

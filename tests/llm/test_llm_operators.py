@@ -472,3 +472,14 @@ def test_substrings_with_repeated_and_null_ids(spark):
                                         for q in substrings.deduplicate(table(spark, rows)).collect()])
     want = sorted((str(d), n, m, s, B.sha(k)) for (d, _), (n, m, s, k) in zip(rows, B.repeated_bytes(rows, 100)))
     assert got == want
+
+
+def test_matches_of_one_hash_are_told_apart(vocabulary, library, rows, monkeypatch):
+    """The bytes decide which matches are the same, not their hashes."""
+    import pyarrow as pa
+    from types import SimpleNamespace
+    batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in rows], pa.string()), pa.array([d for d, _ in rows])], names=["text", "row"])
+    for same in (lambda d, s, e: np.zeros(len(s), np.uint64), lambda d, s, e: (e - s).astype(np.uint64)):
+        monkeypatch.setattr(bpe, "range_hashes", same)
+        out = [x for b in bpe._encode_batches(SimpleNamespace(value=vocabulary), bpe.PATTERN)([batch]) for x in b.column(0).to_pylist()]
+        assert out == [library.encode_ordinary(t or "") for _, t in rows]
