@@ -302,12 +302,13 @@ def _distinct(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np
     matches meet by their hashes, and the bytes decide."""
     _, first, of = np.unique(range_hashes(data, start, start + size), return_index=True, return_inverse=True)
     same = size == size[first[of]]
-    if same.all():
-        same = np.logical_and.reduceat(_take(data, start, size) == _take(data, start[first[of]], size), np.cumsum(size) - size)
-    if not same.all():                       # two matches of one hash: those stand for themselves
-        odd = np.flatnonzero(~same)
-        of[odd] = len(first) + np.arange(len(odd))
-        first = np.concatenate((first, odd))
+    at = np.flatnonzero(same)
+    if len(at):
+        own, n = start[at], size[at]
+        same[at] = np.logical_and.reduceat(_take(data, own, n) == _take(data, start[first[of[at]]], n), np.cumsum(n) - n)
+    odd = np.flatnonzero(~same)              # other matches of the same hash stand for themselves
+    of[odd] = len(first) + np.arange(len(odd))
+    first = np.concatenate((first, odd))
     return first, of
 
 
