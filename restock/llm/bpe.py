@@ -20,6 +20,7 @@ bytes can be encoded, of any length.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,8 @@ from restock.llm.common import range_hashes, text_chunks, whole_rows, with_row
 
 NEVER = 1 << 62
 CACHE = 1 << 17        # encoded matches of a generation; a worker remembers two (about 50 MB)
-ROWS = 512             # texts handled at a time
+ROWS = 512             # texts decoded at a time
+TEXT = 1 << 20         # bytes of text encoded at a time
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -59,12 +61,14 @@ class Vocabulary:
                     self.halves[t] = (parts[0], parts[1])
                 else:
                     del self.usable[t]
-        # lengths of the usable tokens that end with three given bytes, long ones first
+        # lengths of the usable tokens that end with given bytes, long ones first: by
+        # the last four bytes, and for others the length three or less
         by_tail: dict[bytes, set] = {}
         for t in self.usable:
-            if len(t) > 2:
-                by_tail.setdefault(t[-3:], {2, 1}).add(len(t))
+            if len(t) > 3:
+                by_tail.setdefault(t[-4:], {2, 1} | ({3} if t[-3:] in self.usable else set())).add(len(t))
         self.lengths = {t: tuple(sorted(n, reverse=True)) for t, n in by_tail.items()}
+        self.threes = {t for t in self.usable if len(t) == 3}
         self.matches = Encoded(self)         # kept by a worker from task to task
         self._left: dict[int, list] = {}
         self._right: dict[int, list] = {}
@@ -142,9 +146,12 @@ class PrefixTable:
         """Add the entries of the prefixes up to ``end``, longest last token first
         (which one is tried first is only a matter of speed)."""
         v = self.v
-        rank, known, lengths, short = v.usable.get, v.holds.get, v.lengths.get, (2, 1)
+        rank, known, lengths, threes = v.usable.get, v.holds.get, v.lengths.get, v.threes
         for e in range(len(last), end + 1):
-            for n in lengths(data[e - 3:e], short) if e > 2 else short:
+            of = lengths(data[e - 4:e]) if e > 3 else None
+            if of is None:
+                of = (3, 2, 1) if e > 2 and data[e - 3:e] in threes else (2, 1)
+            for n in of:
                 if n > e:
                     continue
                 start = e - n
@@ -167,6 +174,16 @@ class PrefixTable:
         self.data += more
         self._fill(self.data, self.last, len(self.data))
 
+    def become(self, data: bytes) -> PrefixTable:
+        """Turn into the table of another match; entries of shared prefixes stay."""
+        k, n, old = 0, min(len(data), len(self.data)), self.data
+        while k < n and data[k] == old[k]:
+            k += 1
+        del self.last[k + 1:]
+        self.data = data
+        self._fill(data, self.last, len(data))
+        return self
+
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Replace bytes ``start:end``; returns how many entries were computed.
         Entries after the edit are kept from where a whole token length of
@@ -195,7 +212,7 @@ class PrefixTable:
 
 
 class Encoded(dict):
-    """Little-endian int32 ids of a match, encoded on first sight."""
+    """Native int32 ids of a match, encoded on first sight."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
@@ -205,17 +222,34 @@ class Encoded(dict):
     def __reduce__(self):                    # travels empty
         return Encoded, (self.v,)
 
-    def __missing__(self, match: bytes) -> bytes:
-        out = self.old.get(match)
-        if out is None:
-            whole = self.v.ranks.get(match)
-            ids = [whole] if whole is not None else PrefixTable(self.v, match).ids()
-            out = np.array(ids, "<i4").tobytes()
+    def _keep(self, match: bytes, ids: bytes) -> None:
         if len(self) >= CACHE:
             self.old = dict(self)
             self.clear()
         if len(match) <= 64:
-            self[match] = out
+            self[match] = ids
+
+    def __missing__(self, match: bytes) -> bytes:
+        return self.many([match])[0]
+
+    def many(self, matches: list[bytes]) -> list[bytes]:
+        """The ids of different matches. New ones are taken in sorted order, so
+        that each begins with the prefixes that it shares with the one before."""
+        out = [self.get(m) for m in matches]
+        new = []
+        for i, m in enumerate(matches):
+            if out[i] is None:
+                out[i] = self.old.get(m)
+                if out[i] is None and (whole := self.v.ranks.get(m)) is not None:
+                    out[i] = array("i", [whole]).tobytes()
+                if out[i] is None:
+                    new.append((m, i))
+                else:
+                    self._keep(m, out[i])
+        table = PrefixTable(self.v)
+        for m, i in sorted(new):
+            out[i] = array("i", table.become(m).ids()).tobytes()
+            self._keep(m, out[i])
         return out
 
 
@@ -313,13 +347,13 @@ def _distinct(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np
 
 
 def _encode_batches(shared, pattern: str):
-    """Each distinct match of about a megabyte of text is looked up once; its ids go to all its places."""
+    """Each distinct match of ``TEXT`` bytes of texts is looked up once; its ids go to all its places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoded, cut = shared.value.matches, Matches(pattern)
         for whole in batches:
             if not whole.num_rows:
                 continue
-            for lo, hi, data, offs in text_chunks(whole.column(0)):
+            for lo, hi, data, offs in text_chunks(whole.column(0), TEXT):
                 raw, starts, per_text = data.tobytes(), [np.zeros(0, np.int64)], []
                 for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
                     own = cut.starts(raw[a:b]) + a
@@ -328,8 +362,8 @@ def _encode_batches(shared, pattern: str):
                 start = np.concatenate(starts)
                 size = np.diff(start, append=len(data))
                 first, of = _distinct(data, start, size)
-                found = [encoded[raw[a:a + n]] for a, n in zip(start[first].tolist(), size[first].tolist())]
-                ids = np.frombuffer(b"".join(found), "<i4")
+                found = encoded.many([raw[a:a + n] for a, n in zip(start[first].tolist(), size[first].tolist())])
+                ids = np.frombuffer(b"".join(found), np.int32)
                 n = np.array([len(x) // 4 for x in found], np.int64)
                 per_match = n[of]
                 done = np.concatenate(([0], np.cumsum(per_match)))
