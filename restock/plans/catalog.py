@@ -439,6 +439,12 @@ def tree_training_rows(spark, sf_dir):
     return rounded(ml.training_sums(_m(spark, sf_dir).features))
 
 
+def tree_training_pairs(spark, sf_dir):
+    """Sums of the direct trees' pairs with their keys' means."""
+    from restock.operators import ml
+    return rounded(ml.pair_sums(_m(spark, sf_dir).features))
+
+
 # ---------------------------------------------------------- execution ----
 def transfer_outcomes(spark, sf_dir):
     return rounded(_mm(spark, sf_dir).outcomes)
@@ -479,6 +485,13 @@ def gbt_forecast(spark, sf_dir):
     return rounded(ml.gbt_forecast(materialize(m.features, "features"), m.start, H))
 
 
+def tree_holdout(spark, sf_dir):
+    """The direct and the recursive trees on the last 14 days of the data."""
+    from restock.operators import ml
+    m = _mm(spark, sf_dir)
+    return rounded(ml.holdout_error(materialize(m.features, "features")))
+
+
 def model_error(spark, sf_dir):
     """MAE and RMSE per series of the trend model and of the trees (I7, D-16)."""
     from restock.operators import ml
@@ -516,5 +529,5 @@ def min_cost_rule(spark, sf_dir):
     return market.rules(s, docks, m.skus, m.start, H)
 
 
-QUERIES.update(gbt_forecast=gbt_forecast, model_error=model_error, min_cost_plan=min_cost_plan, min_cost_gap=min_cost_gap,
+QUERIES.update(gbt_forecast=gbt_forecast, tree_holdout=tree_holdout, model_error=model_error, min_cost_plan=min_cost_plan, min_cost_gap=min_cost_gap,
                min_cost_rule=min_cost_rule)

@@ -702,6 +702,32 @@ SQL["tree_training_rows"] = with_(f"""
   FROM (SELECT *, row_number() OVER (PARTITION BY warehouse_id, sku_id ORDER BY date) AS rn,
                count(*) OVER (PARTITION BY warehouse_id, sku_id) AS n FROM feat) x WHERE n >= 30 GROUP BY 1""".replace(
     "count(*) AS n, CAST", "count(*) AS n, CAST"), "feat")
+_KNOWN = [c for c in _TREE if c.startswith(("rolling", "lag"))]
+
+
+def _mean_sql(name: str, keys: str) -> str:
+    on = " AND ".join(f"u.{k} = p.{k}" for k in keys.split(","))
+    return f"""((SELECT coalesce(sum(u.s), 0) FROM per_{name} u WHERE {on} AND (NOT p.is_train OR u.fold <> p.fold)) + 10.0 * m.mean)
+         / ((SELECT coalesce(sum(u.n), 0) FROM per_{name} u WHERE {on} AND (NOT p.is_train OR u.fold <> p.fold)) + 10.0) AS mean_{name}"""
+
+
+_MEANS = {"warehouse": "warehouse_id", "sku": "sku_id", "series": "warehouse_id,sku_id"}
+SQL["tree_training_pairs"] = with_("SELECT 1", "feat").replace("\nSELECT 1", f""",
+  sp AS (SELECT *, row_number() OVER (PARTITION BY warehouse_id, sku_id ORDER BY date) AS rn,
+                count(*) OVER (PARTITION BY warehouse_id, sku_id) AS n FROM feat),
+  spl AS (SELECT *, rn <= floor(n * 0.8::DOUBLE) AS is_train, CAST(date_diff('day', DATE '1970-01-01', date) % 5 AS INTEGER) AS fold FROM sp),
+  kn AS (SELECT *, 1 + CAST('0x' || substr(md5(warehouse_id || '|' || sku_id || '|' || CAST(date AS VARCHAR)), 1, 7) AS BIGINT) % 14 AS step
+         FROM spl WHERE n >= 30),
+  pa AS (SELECT k.warehouse_id, k.sku_id, k.step, {", ".join("k." + c for c in _KNOWN)}, CAST(k.quantity_sold AS DOUBLE) AS last_units,
+                t.is_train, t.fold, CAST(t.quantity_sold AS DOUBLE) AS label
+         FROM kn k JOIN spl t ON t.warehouse_id = k.warehouse_id AND t.sku_id = k.sku_id AND t.date = k.date + CAST(k.step AS INTEGER)),
+  {", ".join(f"per_{a} AS (SELECT {k}, fold, sum(quantity_sold) AS s, count(*) AS n FROM spl WHERE is_train GROUP BY {k}, fold)" for a, k in _MEANS.items())},
+  m AS (SELECT avg(quantity_sold) AS mean FROM spl WHERE is_train),
+  en AS (SELECT p.*, {", ".join(_mean_sql(a, k) for a, k in _MEANS.items())} FROM pa p, m)
+  SELECT is_train, CAST(step AS INTEGER) AS step, count(*) AS n, round(sum(label), 4) AS label,
+         {", ".join(f"round(sum({c}), 4) AS {c}" if c in FEAT_ROLL else f"CAST(sum({c}) AS BIGINT) AS {c}" for c in _KNOWN)},
+         round(sum(last_units), 4) AS last_units, {", ".join(f"round(sum(mean_{a}), 4) AS mean_{a}" for a in _MEANS)}
+  FROM en GROUP BY 1, 2""")
 SQL["forecast_error"] = with_("SELECT 1", "daily").replace("\nSELECT 1", """,
   d2 AS (SELECT *, row_number() OVER (PARTITION BY warehouse_id, sku_id ORDER BY date) AS rn,
                 count(*) OVER (PARTITION BY warehouse_id, sku_id) AS n FROM daily),

@@ -13,7 +13,7 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, norm  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"gbt_forecast", "model_error", "min_cost_plan", "min_cost_gap", "min_cost_rule"}
+SLOW = {"gbt_forecast", "tree_holdout", "model_error", "min_cost_plan", "min_cost_gap", "min_cost_rule"}
 # the text queries have plans and tests of their own in tests/llm
 OWN = sorted(set(E.catalog.QUERIES) - SLOW)
 

@@ -58,7 +58,7 @@ def test_entry_and_contract(spark):
     assert E.entry(spark).count() > 0
     q, o = set(E.queries()), set(E.oracle_sql())
     assert o <= q
-    assert set(E.catalog.QUERIES) - o == {"capacity_days", "gbt_forecast", "model_error", "min_cost_plan", "min_cost_gap"}
+    assert set(E.catalog.QUERIES) - o == {"capacity_days", "gbt_forecast", "tree_holdout", "model_error", "min_cost_plan", "min_cost_gap"}
 
 
 def test_entry_schema_is_the_plan_table(spark):
