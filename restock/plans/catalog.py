@@ -182,6 +182,13 @@ def rolling_features(spark, sf_dir):
     return rounded(_m(spark, sf_dir).features)
 
 
+def stored_features(spark, sf_dir):
+    """The features over a stored daily table that is clustered by series: no shuffle (A3, E-6)."""
+    root = scratch_table_path(spark, "stored-daily")
+    io.write_table(_m(spark, sf_dir).daily, root, cluster_by=list(S), sort_by=["date"])
+    return rounded(Fe.rolling_features(io.read_table(spark, root)))
+
+
 def inventory_features(spark, sf_dir):
     m = _m(spark, sf_dir)
     return rounded(Fe.inventory_features(m.inventory, m.skus))

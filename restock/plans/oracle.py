@@ -585,6 +585,7 @@ def _rules_sql() -> str:
     return with_("\nUNION ALL\n".join(parts), "wh", "sku", "lines", "daily", "inv", "fc")
 
 
+SQL["stored_features"] = SQL["rolling_features"]
 SQL["declared_rules"] = _rules_sql()
 SQL["min_cost_rule"] = with_("""
   SELECT 'cell takes no more than it lacks' AS rule, count(*) AS checked, 0::BIGINT AS violations FROM cellsall WHERE active

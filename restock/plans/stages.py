@@ -12,7 +12,7 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
-from restock import schemas
+from restock import S, schemas
 from restock.operators import execution, explain, features as Fe, forecast as Fc
 from restock.operators import plan as P, quality, state
 from restock.session import materialize
@@ -42,7 +42,7 @@ def etl(spark: SparkSession, in_dir: str, out_dir: str, fmt: str = "csv") -> dic
     if out["integrity_report"]:
         log.warning("orphan keys found: %d (see integrity_report)", out["integrity_report"])
     daily = Fe.rolling_features(Fe.daily_sales(raw["sales_history"]))
-    out["daily_sales_aggregated"] = io.write_table(daily, _p(out_dir, "daily_sales_aggregated"))
+    out["daily_sales_aggregated"] = io.write_table(daily, _p(out_dir, "daily_sales_aggregated"), cluster_by=list(S), sort_by=["date"])
     inv = Fe.inventory_features(raw["inventory_snapshot"], raw["skus"])
     out["inventory_snapshot"] = io.write_table(inv, _p(out_dir, "inventory_snapshot"))
     # the reader gives a file without ``source_ord`` its row order

@@ -9,6 +9,7 @@ it reads, and a reader that has begun keeps its version (the last ``KEPT`` stay)
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 
@@ -31,26 +32,45 @@ def _fs(spark: SparkSession, path: str):
     return hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
-def current_version(spark: SparkSession, path: str) -> str:
-    """The folder that a table's pointer names; the path itself where it has none."""
-    root = path.rstrip("/")
-    fs, hadoop = _fs(spark, root)
-    pointer = hadoop.Path(f"{root}/{POINTER}")
+def _pointer(spark: SparkSession, path: str) -> dict | None:
+    """What a table's pointer says: its version, and how it is clustered."""
+    fs, hadoop = _fs(spark, path)
+    pointer = hadoop.Path(f"{path.rstrip('/')}/{POINTER}")
     if not fs.exists(pointer):
-        return path
+        return None
     stream = fs.open(pointer)
     try:
-        return f"{root}/versions/{bytes(stream.readAllBytes()).decode().strip()}"
+        return json.loads(bytes(stream.readAllBytes()))
     finally:
         stream.close()
 
 
-def _point_to(spark: SparkSession, root: str, version: str) -> None:
+def current_version(spark: SparkSession, path: str) -> str:
+    """The folder that a table's pointer names; the path itself where it has none."""
+    told = _pointer(spark, path)
+    return path if told is None else f"{path.rstrip('/')}/versions/{told['version']}"
+
+
+def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """A table's current version; a clustered one as a catalog table, which tells Spark so."""
+    told = _pointer(spark, path)
+    df = spark.read.format(fmt).load(path if told is None else f"{path.rstrip('/')}/versions/{told['version']}")
+    if told is None or "buckets" not in told:
+        return df
+    name = f"restock_{told['version']}"
+    quoted = lambda cols: ", ".join(f"`{c}`" for c in cols)
+    at = f"{path.rstrip('/')}/versions/{told['version']}".replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({df._jdf.schema().toDDL()}) USING {fmt} CLUSTERED BY ({quoted(told['by'])}) "
+              f"SORTED BY ({quoted(told['sorted'])}) INTO {told['buckets']} BUCKETS LOCATION '{at}'")
+    return spark.table(name)
+
+
+def _point_to(spark: SparkSession, root: str, version: str, **more) -> None:
     """Change the pointer in one step and drop versions that are out of use."""
     fs, hadoop = _fs(spark, root)
     draft = hadoop.Path(f"{root}/{POINTER}-{version}")
     out = fs.create(draft, True)
-    out.write(bytearray(version.encode()))
+    out.write(bytearray(json.dumps({"version": version, **more}).encode()))
     out.close()
     jvm = spark.sparkContext._jvm
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
@@ -61,6 +81,7 @@ def _point_to(spark: SparkSession, root: str, version: str) -> None:
     old = sorted(((s.getModificationTime(), s.getPath()) for s in fs.listStatus(hadoop.Path(f"{root}/versions"))
                   if s.getPath().getName() != version), key=lambda x: x[0])
     for _, folder in old[:max(0, len(old) - KEPT + 1)]:
+        spark.sql(f"DROP TABLE IF EXISTS restock_{folder.getName()}")
         fs.delete(folder, True)
 
 
@@ -81,8 +102,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     pointer is read at the version that it names.
     """
     f = _fmt(path, fmt)
-    path = current_version(spark, path)
     if f == "csv":
+        path = current_version(spark, path)
         # columns are matched by header name (not position); integers written
         # by float-typed writers ("23.0") go through double first
         df = spark.read.option("header", True).csv(path)
@@ -95,7 +116,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                 c = c.cast("double")
             return c.cast(fld.dataType)
     else:
-        df = spark.read.format(f).load(path)
+        df = _load(spark, path, f)
         if schema is None:
             return df
 
@@ -210,18 +231,21 @@ def require_tables(tables: dict, required=tuple(schemas.REQUIRED_TABLES)) -> Non
         raise ValueError(f"missing required data: {', '.join(missing)}")
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: list[str] | None = None, mode: str = "overwrite") -> int:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
+                mode: str = "overwrite", cluster_by: list[str] | None = None, sort_by: list[str] = (), buckets: int | None = None) -> int:
     """Write a table and return its row count.
 
     The count comes from an ``Observation`` on the write itself, so no
     second job scans the result. An empty frame still writes its schema. With
     ``partition_by`` only the partitions that the frame holds are replaced, so
     earlier plans stay. A Parquet table that is replaced whole gets a new version,
-    which readers see once it is complete.
+    which readers see once it is complete; ``cluster_by`` lays its rows out by a
+    key, in ``buckets`` files (as many as there are shuffle partitions by default).
     """
     spark, root = df.sparkSession, path.rstrip("/")
     version = uuid.uuid4().hex if fmt == "parquet" and mode == "overwrite" and not partition_by else None
+    if cluster_by and not version:
+        raise ValueError("only Parquet tables that are replaced whole are clustered")
     obs = Observation("rows")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = observed.write.mode(mode).format(fmt)
@@ -229,9 +253,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
         w = w.option("header", True)
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    w.save(f"{root}/versions/{version}" if version else path)
-    if version:
-        _point_to(spark, root, version)
+    if cluster_by:
+        n, order = buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), [*cluster_by, *sort_by]
+        (observed.repartition(n, *cluster_by).write.mode(mode).format(fmt).bucketBy(n, *cluster_by).sortBy(*order)
+         .option("path", f"{root}/versions/{version}").saveAsTable(f"restock_{version}"))
+        _point_to(spark, root, version, buckets=n, by=cluster_by, sorted=order)
+    else:
+        w.save(f"{root}/versions/{version}" if version else path)
+        if version:
+            _point_to(spark, root, version)
     rows = obs.get.get("rows", 0) if obs.get else 0
     log.info("saved %s: %d rows", path, rows)
     return rows

@@ -126,6 +126,27 @@ def test_an_empty_table_has_its_schema(spark, tmp_path):
     assert io.read_table(spark, f"{tmp_path}/t").columns == ["id", "v"]
 
 
+# -------------------------------------------------------------- clustered ----
+def test_stored_features_need_no_exchange(spark, tmp_path):
+    from restock.operators import features as Fe
+    from restock.operators import ml, state
+    from restock.sources import tpch
+    daily = tpch.daily(spark, SF).drop("n_rows")
+    path = f"{tmp_path}/it's daily"
+    n = io.write_table(daily, path, cluster_by=["warehouse_id", "sku_id"], sort_by=["date"], buckets=4)
+    stored = io.read_table(spark, path)
+    assert stored.count() == n
+    for df in (Fe.rolling_features(stored), ml.chronological_split(stored), state.weekday_sums(stored)):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    plain = io.write_table(daily, f"{tmp_path}/plain")
+    assert plain == n and "Exchange" in Fe.rolling_features(io.read_table(spark, f"{tmp_path}/plain"))._jdf.queryExecution().executedPlan().toString()
+    # a new version replaces it; a reader of a clustered table that has begun goes on
+    io.write_table(stored.where("quantity_sold > 20"), path, cluster_by=["warehouse_id", "sku_id"], buckets=3)
+    assert io.read_table(spark, path).count() < n == stored.count()
+    with pytest.raises(ValueError):
+        io.write_table(daily, f"{tmp_path}/x", fmt="csv", cluster_by=["sku_id"])
+
+
 # --------------------------------------------------------------- manifest ----
 def files_read(df) -> int:
     """Files that the scan of ``versions``-less partitioned tables read, from its metrics."""
