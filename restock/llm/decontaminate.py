@@ -6,7 +6,8 @@ consecutive words; an item with fewer words is one window. In every window
 the least hash of its ``SPAN - GUARD + 1`` word 5-grams is the window's
 fingerprint, so equal windows have equal fingerprints: no shared span of 10
 words can be missed. Document fingerprints meet those of the benchmark
-through a bit filter of fixed size; a hit is extended to the ten-word window
+through a bit filter sized by the benchmark's windows (2**30 bits, 128 MB, at
+most; a fuller one only lets more through to the exact join); a hit is extended to the ten-word window
 around it, which passes a second filter of window hashes, and the words of
 the few windows left are joined with the benchmark's exactly. For an item of
 m < 10 words the whole item is the fingerprint (a window of one m-gram).
@@ -20,6 +21,7 @@ tables give empty or clean results; other columns are never read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -138,38 +140,58 @@ def _document_batches(lengths: list[int], prints, hashes):
     return run
 
 
+class Matches(NamedTuple):
+    """``rows`` (uid, at, m, list): document windows that equal a benchmark window
+    word for word; ``lists`` (list, items): each different list of the items that
+    share a window once, by its SHA-256, however many windows and hits have it."""
+    rows: DataFrame
+    lists: DataFrame
+
+
+def filter_bits(windows: int) -> int:
+    """Bits (as a power of two) for about a thousand a window, 2**16 to 2**30."""
+    return min(30, max(16, (1024 * windows).bit_length()))
+
+
 def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text",
-         columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+         columns: list[str] | None = None) -> tuple[DataFrame, Matches]:
     """Written tables (documents, matches): each document row as struct ``row``
     (of ``columns``) with ``uid``, ``n_words`` and candidate ``hits``; and the
-    matches (uid, at, m, item_id) that equal a benchmark window word for word."""
+    matches with the benchmark. A hit carries the name of an item list, not the list."""
     spark = docs.sparkSession
     bench = materialize(benchmark_windows(benchmark), "benchmark-windows")
-    lengths = sorted(r["m"] for r in bench.select("m").distinct().collect())   # 1 to SPAN
-    share = spark.sparkContext.broadcast
-    task = _document_batches(lengths, share(C.bit_filter(bench, "print")),
-                             share(C.bit_filter(bench, "hash")))
+    sizes = {r["m"]: r["count"] for r in bench.groupBy("m").count().collect()}   # m is 1 to SPAN
+    share, bits = spark.sparkContext.broadcast, filter_bits(sum(sizes.values()))
+    task = _document_batches(sorted(sizes), share(C.bit_filter(bench, "print", bits)),
+                             share(C.bit_filter(bench, "hash", bits)))
     src = C.whole_rows(docs, text, columns)
     marked = src.mapInArrow(task, C.with_row("n_words long, hits array<struct<at: int, m: int, words: binary>>", src))
     marked = materialize(marked.withColumn("uid", F.monotonically_increasing_id()), "marked")
     hits = (marked.where(F.size("hits") > 0).select("uid", F.explode("hits").alias("h"))
             .select("uid", "h.at", "h.m", "h.words"))
-    known = bench.groupBy("words", "m").agg(F.collect_set("item_id").alias("items"))
-    matches = materialize(hits.join(known, ["words", "m"]).select("uid", "at", "m", "items"), "matches")
-    drop_tables(bench)
-    return marked, matches
-
-
-def report(marked: DataFrame, matches: DataFrame) -> DataFrame:
-    """Per document: ``row``, n_words, n_hit, spans (word intervals) and items."""
-    per = (matches.groupBy("uid")
+    known = bench.groupBy("words", "m").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    known = materialize(known.withColumn("list", F.sha2(F.to_json("items"), 256)), "benchmark-known")
+    lists = materialize(known.groupBy("list").agg(F.first("items").alias("items")), "benchmark-lists")
+    matches = materialize(hits.join(known.select("words", "m", "list"), ["words", "m"]).select("uid", "at", "m", "list"), "matches")
+    drop_tables(bench, known)
+    return marked, Matches(matches, lists)
+
+
+def report(marked: DataFrame, matches: Matches) -> DataFrame:
+    """Per document: ``row``, n_words, n_hit, spans (word intervals) and items.
+    Items are put together once for all documents that hit the same lists."""
+    per = (matches.rows.groupBy("uid")
            .agg(F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.col("m")).alias("to")))).alias("spans"),
-                F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")))
+                F.array_sort(F.collect_set("list")).alias("_lists")))
+    per = materialize(per.withColumn("_set", F.sha2(F.array_join("_lists", ""), 256)), "matched")
+    sets = per.groupBy("_set").agg(F.first("_lists").alias("_lists")).select("_set", F.explode("_lists").alias("list"))
+    sets = (sets.join(matches.lists, "list").groupBy("_set")
+            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
     covered = F.aggregate(
         "spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("to")),
         lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0), s["to"] - F.greatest(s["at"], a["to"]))).alias("n"),
                               F.greatest(a["to"], s["to"]).alias("to")), lambda a: a["n"])
-    per = per.select("uid", "spans", "items", covered.alias("n_hit"))
+    per = per.select("uid", "spans", covered.alias("n_hit"), "_set").join(sets, "_set").select("uid", "spans", "items", "n_hit")
     return (marked.drop("hits").join(per, "uid", "left")
             .withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("long"))))
 
@@ -177,7 +199,7 @@ def report(marked: DataFrame, matches: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a benchmark window (all columns kept)."""
     marked, matches = mark(docs, benchmark)
-    leaked = matches.select("uid").distinct()
+    leaked = matches.rows.select("uid").distinct()
     clean = (marked.where(F.size("hits") == 0).select("row")
              .unionByName(marked.where(F.size("hits") > 0).join(leaked, "uid", "left_anti").select("row")))
     return clean.select("row.*")

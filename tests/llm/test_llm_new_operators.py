@@ -362,3 +362,20 @@ def test_packages_from_elsewhere(spark, tmp_path):
     paths = spark.createDataFrame([(f"file:{tmp_path}/p{i}.zip",) for i in range(2)], "path string")     # a Hadoop-like URI
     got = warc.read(paths).collect()
     assert len(got) == 100 and {bytes(r.payload) for r in got} == set(bodies)
+
+
+# ------------------------------------------------ 9: items that share windows ----
+def test_shared_windows_write_hits_and_items_not_their_product(spark):
+    """2,001 items of one short text over 200 documents: the lists are written once."""
+    from restock.llm import decontaminate
+    bench = spark.range(2001).select(F.concat(F.lit("q"), F.col("id")).alias("item_id"), F.lit("alpha beta gamma").alias("text"))
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("x alpha beta gamma y alpha beta gamma").alias("text"))
+    marked, matches = decontaminate.mark(docs, bench)
+    assert matches.rows.count() == 400 and matches.lists.count() == 1
+    got = decontaminate.report(marked, matches)
+    assert got.where("n_hit = 6 and size(items) = 2001").count() == 200
+
+
+def test_filters_follow_the_benchmark():
+    from restock.llm import decontaminate
+    assert [decontaminate.filter_bits(n) for n in (0, 1, 64, 20_000, 10**6, 10**9)] == [16, 16, 17, 25, 30, 30]
