@@ -32,23 +32,23 @@ def etl(spark: SparkSession, in_dir: str, out_dir: str, fmt: str = "csv") -> dic
     counts what breaks the declared keys and domains. Neither stops the stage."""
     raw, bad = io.load_checked_tables(spark, in_dir, fmt)
     io.require_tables(raw)
-    quarantined = io.write_table(bad, _p(out_dir, "quarantine"))
+    quarantined = io.write_table(bad, _p(out_dir, "quarantine"), versioned=True)
     if quarantined:
         log.warning("malformed cells found: %d (see quarantine)", quarantined)
     orphans = quality.integrity_report(raw["sales_history"], raw["inventory_snapshot"],
                                        raw["warehouses"], raw["skus"])
-    out = {"quarantine": quarantined, "integrity_report": io.write_table(orphans, _p(out_dir, "integrity_report")),
-           "rule_report": io.write_table(quality.rule_report(raw), _p(out_dir, "rule_report"))}
+    out = {"quarantine": quarantined, "integrity_report": io.write_table(orphans, _p(out_dir, "integrity_report"), versioned=True),
+           "rule_report": io.write_table(quality.rule_report(raw), _p(out_dir, "rule_report"), versioned=True)}
     if out["integrity_report"]:
         log.warning("orphan keys found: %d (see integrity_report)", out["integrity_report"])
     daily = Fe.rolling_features(Fe.daily_sales(raw["sales_history"]))
     out["daily_sales_aggregated"] = io.write_table(daily, _p(out_dir, "daily_sales_aggregated"), cluster_by=list(S), sort_by=["date"])
     inv = Fe.inventory_features(raw["inventory_snapshot"], raw["skus"])
-    out["inventory_snapshot"] = io.write_table(inv, _p(out_dir, "inventory_snapshot"))
+    out["inventory_snapshot"] = io.write_table(inv, _p(out_dir, "inventory_snapshot"), versioned=True)
     # the reader gives a file without ``source_ord`` its row order
     for name in ("warehouses", "skus", "inbound_pos"):
         if name in raw:
-            out[name] = io.copy_table(raw[name], _p(out_dir, name))
+            out[name] = io.copy_table(raw[name], _p(out_dir, name), versioned=True)
     return out
 
 
@@ -66,15 +66,15 @@ def forecast(spark: SparkSession, processed_dir: str, out_dir: str, start_date,
     registry = materialize(Fe.series_registry(daily), "registry")
     kept = None if refit else io.read_optional(spark, _p(out_dir, "model_state"), state.weekday_sums(daily).schema)
     sums = state.weekday_sums(daily) if kept is None else state.merge_new(kept, daily)
-    n_state = io.write_table(sums, _p(out_dir, "model_state"))
+    n_state = io.write_table(sums, _p(out_dir, "model_state"), versioned=True)
     fc = state.forecast_from_state(io.read_table(spark, _p(out_dir, "model_state")), start_date, horizon)
     short = registry.where("not seasonal_eligible")
     if fallback == "trees" and not short.isEmpty() and not registry.where("trees_eligible").isEmpty():
         from restock.operators import ml
         fc = fc.unionByName(ml.gbt_forecast(daily, start_date, horizon, only=short))
     fc = Fc.combine_forecasts(fc, Fc.flat_forecast(daily, start_date, horizon))
-    return {"forecasts": io.write_table(fc, _p(out_dir, "forecasts")),
-            "models": io.write_table(registry, _p(out_dir, "models")), "model_state": n_state}
+    return {"forecasts": io.write_table(fc, _p(out_dir, "forecasts"), versioned=True),
+            "models": io.write_table(registry, _p(out_dir, "models"), versioned=True), "model_state": n_state}
 
 
 def optimize(spark: SparkSession, processed_dir: str, forecasts_path: str, out_dir: str,

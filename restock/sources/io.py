@@ -1,6 +1,6 @@
 """Readers and writers.
 
-Tables that are replaced whole are written as versions: the data go into a new
+The stages' tables that are replaced whole are versioned: the data go into a new
 folder below ``versions``, and only when all of it is there does the table's
 pointer file change, by one rename. Readers follow the pointer, so a job that
 dies while writing leaves the table as it was, a job may replace the table that
@@ -232,20 +232,22 @@ def require_tables(tables: dict, required=tuple(schemas.REQUIRED_TABLES)) -> Non
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
-                mode: str = "overwrite", cluster_by: list[str] | None = None, sort_by: list[str] = (), buckets: int | None = None) -> int:
+                mode: str = "overwrite", versioned: bool = False, cluster_by: list[str] | None = None, sort_by: list[str] = (),
+                buckets: int | None = None) -> int:
     """Write a table and return its row count.
 
     The count comes from an ``Observation`` on the write itself, so no
     second job scans the result. An empty frame still writes its schema. With
     ``partition_by`` only the partitions that the frame holds are replaced, so
-    earlier plans stay. A Parquet table that is replaced whole gets a new version,
-    which readers see once it is complete; ``cluster_by`` lays its rows out by a
-    key, in ``buckets`` files (as many as there are shuffle partitions by default).
+    earlier plans stay. ``versioned``: a Parquet table that is replaced whole gets a
+    new version, which ``read_table`` finds once it is complete (a plain overwrite
+    deletes first). ``cluster_by`` also lays its rows out by a key, in ``buckets``
+    files (as many as there are shuffle partitions by default).
     """
     spark, root = df.sparkSession, path.rstrip("/")
-    version = uuid.uuid4().hex if fmt == "parquet" and mode == "overwrite" and not partition_by else None
-    if cluster_by and not version:
-        raise ValueError("only Parquet tables that are replaced whole are clustered")
+    if (versioned or cluster_by) and (fmt != "parquet" or mode != "overwrite" or partition_by):
+        raise ValueError("only Parquet tables that are replaced whole have versions")
+    version = uuid.uuid4().hex if versioned or cluster_by else None
     obs = Observation("rows")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = observed.write.mode(mode).format(fmt)
@@ -267,9 +269,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     return rows
 
 
-def copy_table(df: DataFrame, path: str) -> int:
+def copy_table(df: DataFrame, path: str, versioned: bool = False) -> int:
     """Pass-through copy of a cleaned dimension table."""
-    return write_table(df, path)
+    return write_table(df, path, versioned=versioned)
 
 
 def newest_plan(plans: DataFrame, by: str = "run_date") -> DataFrame:

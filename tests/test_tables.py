@@ -99,31 +99,33 @@ def numbers(spark, n):
 
 def test_a_write_that_dies_leaves_the_old_table(spark, tmp_path):
     path = f"{tmp_path}/t"
-    assert io.write_table(numbers(spark, 5), path) == 5
+    assert io.write_table(numbers(spark, 5), path, versioned=True) == 5
     dies = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") == 900, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("id"),
                                              F.lit("x").alias("v"))
     with pytest.raises(Exception, match="lost"):
-        io.write_table(dies, path)
+        io.write_table(dies, path, versioned=True)
     assert io.read_table(spark, path).count() == 5
-    assert io.write_table(numbers(spark, 7), path) == 7 and io.read_table(spark, path).count() == 7
+    assert io.write_table(numbers(spark, 7), path, versioned=True) == 7 and io.read_table(spark, path).count() == 7
 
 
 def test_a_table_may_be_replaced_by_what_is_read_of_it(spark, tmp_path):
     path = f"{tmp_path}/t"
-    io.write_table(numbers(spark, 5), path)
+    io.write_table(numbers(spark, 5), path, versioned=True)
     begun = io.read_table(spark, path)
-    io.write_table(begun.unionByName(begun), path)
+    io.write_table(begun.unionByName(begun), path, versioned=True)
     assert io.read_table(spark, path).count() == 10
     assert begun.count() == 5                              # a reader that has begun keeps its version
     for n in (1, 2, 3):
-        io.write_table(numbers(spark, n), path)
+        io.write_table(numbers(spark, n), path, versioned=True)
     assert io.read_table(spark, path).count() == 3 and len(os.listdir(f"{path}/versions")) == io.KEPT
     assert sorted(x for x in os.listdir(path) if not x.startswith(".")) == [io.POINTER, "versions"]
 
 
 def test_an_empty_table_has_its_schema(spark, tmp_path):
-    assert io.write_table(numbers(spark, 0), f"{tmp_path}/t") == 0
-    assert io.read_table(spark, f"{tmp_path}/t").columns == ["id", "v"]
+    for versioned in (False, True):
+        assert io.write_table(numbers(spark, 0), f"{tmp_path}/{versioned}", versioned=versioned) == 0
+        assert io.read_table(spark, f"{tmp_path}/{versioned}").columns == ["id", "v"]
+    assert spark.read.parquet(f"{tmp_path}/False").columns == ["id", "v"]      # a plain table is where it was written
 
 
 # -------------------------------------------------------------- clustered ----
