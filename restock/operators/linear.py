@@ -64,11 +64,13 @@ def solved(sums: DataFrame, size: int, ridge: float, free: int = 2) -> DataFrame
     at = lambda i, j: min(i, j) * size - min(i, j) * (min(i, j) - 1) // 2 + abs(i - j)
     matrix = ", ".join("array(" + ", ".join([f"xx[{at(i, j)}]" + (f" + {ridge}D" if i == j and i >= free else "") for j in range(size)]
                                             + [f"xy[{i}]"]) + ")" for i in range(size))
-    # one column after the other is cleared from all rows but its own
-    cleared = ("transform(m, (row, i) -> if(i = k or m[k][k] = 0, row, "
-               "zip_with(row, transform(m[k], b -> b * (row[k] / m[k][k])), (a, b) -> a - b)))")
-    beta = (f"transform(aggregate(sequence(0, {size - 1}), array({matrix}), (m, k) -> {cleared}), "
-            f"(row, i) -> if(row[i] = 0, 0D, row[{size}] / row[i]))")
+    # one column after the other is cleared from the rows below its own, then the terms follow from the last to the first
+    cleared = ("transform(m, (row, i) -> if(i <= k or m[k][k] = 0, row, transform(array(row[k] / m[k][k]), "
+               "f -> zip_with(row, m[k], (a, b) -> a - b * f))[0]))")
+    down = f"aggregate(sequence(0, {size - 1}), array({matrix}), (m, k) -> {cleared})"
+    known = f"aggregate(zip_with(slice(t[k], k + 2, {size - 1} - k), q, (a, b) -> a * b), 0D, (x, y) -> x + y)"
+    beta = (f"transform(array({down}), t -> aggregate(sequence({size - 1}, 0, -1), cast(array() as array<double>), "
+            f"(q, k) -> concat(array(if(t[k][k] = 0, 0D, (t[k][{size}] - {known}) / t[k][k])), q)))[0]")
     fit = sums.withColumn("beta", F.expr(beta))
     # by the normal equations, the squares of what is left need no second look at the rows
     explained = "aggregate(zip_with(q, xy, (b, c) -> b * c), 0D, (a, v) -> a + v)"
