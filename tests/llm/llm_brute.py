@@ -73,18 +73,21 @@ def repeated_bytes(rows: list[tuple], span: int) -> list[tuple]:
     return out
 
 
-def deduplicated_lines(rows: list[tuple], run: int) -> list[tuple]:
+def deduplicated_lines(rows: list[tuple], run: int, words: int = 50) -> list[tuple]:
     """(n_lines, n_removed, n_runs, text) by row; rows (id, text), ids distinct."""
-    seen, out = {}, {}
-    for i in sorted(range(len(rows)), key=lambda i: LAST if rows[i][0] is None else rows[i][0]):
+    seen, whole, out = {}, {}, {}
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0])):
         d, t = rows[i]
         lines = (t or "").split("\n")
         at = [j for j, x in enumerate(lines) if spark_words(x)]
-        gone = set()
-        for s in range(len(at) - run + 1):
-            w = tuple(lines[j] for j in at[s:s + run])
-            if seen.setdefault(w, (i, s)) != (i, s):
-                gone |= set(range(s, s + run))
+        gone = set(range(len(at))) if whole.setdefault(t or "", i) != i else set()
+        for k in range(1, run + 1):
+            for s in range(len(at) - k + 1):
+                w = tuple(lines[j] for j in at[s:s + k])
+                if k < run and sum(len(spark_words(x)) for x in w) < words:
+                    continue
+                if seen.setdefault(w, (i, s)) != (i, s):
+                    gone |= set(range(s, s + k))
         drop = {at[g] for g in gone}
         kept = t if not gone else "" if len(gone) == len(at) else "\n".join(x for j, x in enumerate(lines) if j not in drop)
         out[i] = (len(at), len(gone), sum(1 for g in gone if g - 1 not in gone), kept)

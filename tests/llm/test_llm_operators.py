@@ -198,12 +198,12 @@ def test_one_of_each_with_repeated_rows(spark, rows):
 
 
 # ---------------------------------------------------------- 4: line dedup ----
-@pytest.mark.parametrize("run", [1, 2, 3])
-def test_line_dedup(docs, rows, run):
-    done = line_dedup.mark(docs, run=run)
+@pytest.mark.parametrize("run, words", [(1, 50), (2, 50), (3, 50), (3, 12), (4, 30)])
+def test_line_dedup(docs, rows, run, words):
+    done = line_dedup.mark(docs, run=run, words=words)
     got = {r.doc_id: (r.n_lines, r.n_removed, r.n_runs, r.kept)
            for r in done.select("row.doc_id", "n_lines", "n_removed", "n_runs", "kept").collect()}
-    want = B.deduplicated_lines(rows, run)
+    want = B.deduplicated_lines(rows, run, words)
     assert any(w[1] for w in want)
     for (d, t), w in zip(rows, want):
         assert got[d] == w, (d, t)
@@ -218,6 +218,17 @@ def test_line_dedup_edges(spark, none, rows):
     assert got == [("1", "a\nb\nc", 5), ("1", "a\nb\nc", 5), ("2", "", 0), ("None", "", 0), ("None", "x", 1)]
 
 
+def test_line_dedup_counts_words(spark):
+    """A line of 50 words is a run of its own, one of 49 is not; short copies go whole; ids may be strings."""
+    long_, short = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(49))
+    d = spark.createDataFrame([("b10", f"x\n{long_}\ny z"), ("b9", f"{long_}\n\n{short}"), ("a", f"{short}\n1"), (None, long_),
+                               ("c", "so short"), ("d", "so short"), (None, "so short"), ("e", f"q\n{short}\n1\nr")],
+                              "doc_id string, text string")
+    got = {(r.doc_id, r.text) for r in line_dedup.deduplicate(d).collect()}
+    assert got == {("b10", f"x\n{long_}\ny z"), ("b9", f"\n{short}"), ("a", f"{short}\n1"), (None, ""),
+                   ("c", "so short"), ("d", ""), ("e", "q\nr")}
+
+
 # --------------------------------------------------- 5: pseudo-likelihood ----
 def test_pseudo_likelihood(spark, docs, rows, none):
     words, weights = pseudo_likelihood.train(docs, rounds=1)
