@@ -8,17 +8,20 @@ attribution line ("On ..., X wrote:") right before a quote is dropped with it.
 Quoted passages, and their paragraphs and lines, are normalised (lower case,
 white space collapsed) and hashed (128 bits). They are linked with the latest
 earlier message of the conversation whose own text, paragraph or line has the
-hash. This is a window that carries the last seen original forward over
-(conversation, hash), so no quote is paired with all messages that say the
-same. A message replies to the link of its shallowest level, among those the
+hash. A window carries the last seen original forward over (conversation,
+hash), so no quote is paired with all messages that say the same. A message replies to the link of its shallowest level, among those the
 one of most words, then the latest; without a link it replies to the message
 before it.
 
 Replies to the message before continue a thread; any other reply starts one.
 Rows come with ``thread`` (the turn it starts with) and ``position``: ordered by
-these, every message follows the one it replies to. A conversation is never
-collected: running values are computed within blocks of ``BLOCK`` turns and
-carried from block to block by a table of one row a block.
+these, every message follows the one it replies to.
+
+Messages are dealt out by ranges of (conversation, turn), so a range holds its
+share of the rows however long a conversation is and however far apart its turns
+are. The part of a conversation in one range is a block. Running values, those
+over (conversation, hash) included, are computed within blocks and carried from
+block to block by a table of one row a block.
 
 Defined results: null texts are empty; rows that share conversation and turn
 are one message, the first by role and text; a null conversation id is one
@@ -29,22 +32,24 @@ read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.session import drop_tables, materialize
 
-BLOCK = 1024
 _MARKS = r"^(?:[ \\t]{0,3}>)+"
 
 
-def parse(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, own, quotes): one row a message; quotes are
-    (level, text) runs in order."""
+def parse(messages: DataFrame, parts: int) -> DataFrame:
+    """(conv_id, turn, block, role, own, quotes): one row a message; quotes are
+    (level, text) runs in order, blocks the numbers of ``parts`` ranges."""
     rows = (messages.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"),
                             F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
             .groupBy("conv_id", "turn").agg(F.min(F.struct("role", "t")).alias("m"))
-            .select("conv_id", "turn", "m.role", "m.t"))
+            .select("conv_id", "turn", "m.role", "m.t")
+            .repartitionByRange(parts, "conv_id", "turn").withColumn("block", F.spark_partition_id()))
     lines = rows.withColumn("l", F.expr(
         rf"transform(split(t, '\r?\n'), x -> struct(length(regexp_replace(regexp_extract(x, '{_MARKS}', 0), '[^>]', '')) as level, "
         rf"regexp_replace(x, '{_MARKS} ?', '') as body))"))
@@ -54,7 +59,7 @@ def parse(messages: DataFrame) -> DataFrame:
         "and coalesce(get(l, i + 1).level, 0) > 0, -1, x.level) as level, x.body as body))"))
     starts = marked.withColumn("s", F.expr("filter(transform(l, (x, i) -> if(i = 0 or l[i - 1].level <> x.level, i, -1)), i -> i >= 0)"))
     return starts.select(
-        "conv_id", "turn", "role",
+        "conv_id", "turn", "block", "role",
         F.expr(r"regexp_replace(array_join(transform(filter(l, x -> x.level = 0), x -> x.body), '\n'), '^\\s+|\\s+$', '')").alias("own"),
         F.expr(r"filter(transform(s, (a, j) -> struct(l[a].level as level, array_join(transform(slice(l, a + 1, "
                r"coalesce(get(s, j + 1), size(l)) - a), x -> x.body), '\n') as text)), q -> q.level > 0 and q.text rlike '\\S')").alias("quotes"))
@@ -70,56 +75,62 @@ def _units(text: str) -> str:
 _KEY = "struct(xxhash64(u) as h, xxhash64('2', u) as g, size(split(u, ' ')) as words)"
 
 
-def link(parsed: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, words, source): the latest earlier message that a
-    quoted unit comes from."""
-    own = (parsed.select("conv_id", "turn", F.explode(F.expr(f"transform({_units('own')}, u -> {_KEY})")).alias("k"))
-           .select("conv_id", "turn", "k.h", "k.g", "k.words", F.lit(0).alias("level")))
-    quoted = (parsed.select("conv_id", "turn", F.explode("quotes").alias("q"))
-              .select("conv_id", "turn", "q.level", F.explode(F.expr(f"transform({_units('q.text')}, u -> {_KEY})")).alias("k"))
-              .select("conv_id", "turn", "k.h", "k.g", "k.words", "level"))
-    # quotes stand before the own words of their turn, so a message is not its own source
-    seen = Window.partitionBy("conv_id", "h", "g").orderBy("turn", F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
-    return (own.unionByName(quoted)
-            .withColumn("source", F.last(F.when(F.col("level") == 0, F.struct("turn")), ignorenulls=True).over(seen))
-            .where("level > 0 and source is not null")
-            .select("conv_id", "turn", "level", "words", "source"))
+def _carried(rows: DataFrame, keys: list[str], at_end: str, name: str, over: str = "max(e)") -> DataFrame:
+    """Join to every row, as ``name``, what the blocks before its own say of its
+    ``keys``: ``at_end`` by block, then ``over`` all earlier ones, one row a block."""
+    ends = rows.groupBy(*keys, "block").agg(F.expr(at_end).alias("e"))
+    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = (ends.select(*[F.col(k).alias(f"_{k}") for k in [*keys, "block"]], F.expr(over).over(before).alias(name))
+            .where(F.col(name).isNotNull()))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in [*keys, "block"]]
+    return rows.join(ends, reduce(lambda x, y: x & y, same), "left").drop(*[f"_{k}" for k in [*keys, "block"]])
 
 
-def _carried(rows: DataFrame, at_end: str, over: str, name: str) -> DataFrame:
-    """Join to every row, as ``name``, the last non-null ``at_end`` of the blocks
-    before its own: aggregated by block, then carried over one row a block."""
-    ends = rows.groupBy("conv_id", "block").agg(F.expr(at_end).alias("e"))
-    before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(F.col("conv_id").alias("_c"), F.col("block").alias("_b"), F.expr(over).over(before).alias(name))
-    return (rows.join(ends, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("block").eqNullSafe(F.col("_b")), "left")
-            .drop("_c", "_b"))
+def link(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(conv_id, turn, level, words, source): the latest earlier message that a
+    quoted unit comes from; and the written table that this reads."""
+    own = (parsed.select("conv_id", "turn", "block", F.explode(F.expr(f"transform({_units('own')}, u -> {_KEY})")).alias("k"))
+           .select("conv_id", "turn", "block", "k.h", "k.g", "k.words", F.lit(0).alias("level")))
+    quoted = (parsed.select("conv_id", "turn", "block", F.explode("quotes").alias("q"))
+              .select("conv_id", "turn", "block", "q.level", F.explode(F.expr(f"transform({_units('q.text')}, u -> {_KEY})")).alias("k"))
+              .select("conv_id", "turn", "block", "k.h", "k.g", "k.words", "level"))
+    units = materialize(own.unionByName(quoted), "quote-units")
+    # quotes stand before the own words of their turn, so a message is not its own source
+    seen = Window.partitionBy("conv_id", "h", "g", "block").orderBy("turn", F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
+    here = units.withColumn("here", F.last(F.when(F.col("level") == 0, F.struct("turn")), ignorenulls=True).over(seen))
+    linked = (_carried(here, ["conv_id", "h", "g"], "max(case when level = 0 then struct(turn) end)", "earlier")
+              .withColumn("source", F.coalesce("here", "earlier"))
+              .where("level > 0 and source is not null")
+              .select("conv_id", "turn", "level", "words", "source"))
+    return linked, units
 
 
-def arrange(messages: DataFrame, block: int = BLOCK) -> DataFrame:
+def arrange(messages: DataFrame, parts: int | None = None) -> DataFrame:
     """(conv_id, turn, role, own, n_quotes, n_linked, parent, thread, position,
-    formatted) of every message."""
-    parsed = materialize(parse(messages), "messages")
-    best = (link(parsed).groupBy("conv_id", "turn")
+    formatted) of every message, worked on in ``parts`` ranges (as many as shuffle
+    partitions by default)."""
+    parts = parts or int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parsed = materialize(parse(messages, parts), "messages")
+    linked, units = link(parsed)
+    best = (linked.groupBy("conv_id", "turn")
             .agg(F.max_by("source", F.struct(-F.col("level"), "words", "source")).alias("source"),
                  F.countDistinct("level", "source").alias("n_linked"))
             .withColumnRenamed("conv_id", "_c").withColumnRenamed("turn", "_t"))
     rows = (parsed.join(best, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t")), "left")
-            .drop("_c", "_t").withColumn("me", F.struct("turn"))
-            .withColumn("block", F.floor(F.col("turn") / block)))
+            .drop("_c", "_t").withColumn("me", F.struct("turn")))
     rows = materialize(rows, "linked-messages")     # every step below reads it twice
-    drop_tables(parsed)
+    drop_tables(parsed, units)
     line = Window.partitionBy("conv_id", "block").orderBy("turn")
     upto = line.rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("prev", F.lag("me").over(line)).withColumn("nth", F.row_number().over(line))
-    rows = _carried(rows, "max(me)", "max(e)", "prev_end")
-    rows = _carried(rows, "count(1)", "sum(e)", "nth_before")
+    rows = _carried(rows, ["conv_id"], "max(me)", "prev_end")
+    rows = _carried(rows, ["conv_id"], "count(1)", "nth_before", "sum(e)")
     rows = (rows.withColumn("prev", F.coalesce("prev", "prev_end"))
             .withColumn("nth", F.col("nth") + F.coalesce("nth_before", F.lit(0)))
             .withColumn("parent", F.coalesce("source", "prev"))
             .withColumn("start", F.when(F.col("prev").isNull() | ~F.col("parent").eqNullSafe(F.col("prev")), F.struct("nth", "turn"))))
     rows = rows.withColumn("start_here", F.last("start", ignorenulls=True).over(upto))
-    rows = _carried(rows, "max(start)", "max(e)", "start_before").withColumn("start", F.coalesce("start_here", "start_before"))
+    rows = _carried(rows, ["conv_id"], "max(start)", "start_before").withColumn("start", F.coalesce("start_here", "start_before"))
     return rows.select(
         "conv_id", "turn", "role", "own", F.size("quotes").cast("long").alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), F.col("parent.turn").alias("parent"),

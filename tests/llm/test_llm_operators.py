@@ -372,8 +372,8 @@ def test_quotes(spark):
          (2, 0, "a", None), (2, 1, None, "> Hello there"), (None, 0, "x", "y"), (None, None, "x", "z"),
          (3, 7, "b", "dup"), (3, 7, "b", "dup"), (3, 7, "a", "dup")]
     df = spark.createDataFrame(m, "conv_id long, turn long, role string, text string")
-    for block in (1, 2, 1024):
-        got = {(r.conv_id, r.turn): r for r in quotes.arrange(df, block).collect()}
+    for parts in (1, 2, 64):
+        got = {(r.conv_id, r.turn): r for r in quotes.arrange(df, parts).collect()}
         assert len(got) == 11
         show = lambda t: (got[1, t].own, got[1, t].parent, got[1, t].thread, got[1, t].position, got[1, t].n_linked)
         assert show(0) == ("Hello there\nSecond line", None, 0, 1, 0)
@@ -387,6 +387,28 @@ def test_quotes(spark):
     assert quotes.arrange(df.where("false")).count() == 0
 
 
+def test_quotes_of_one_long_conversation(spark):
+    """Turns far apart, one phrase said over and over, a long text: the blocks share the rows."""
+    far, n = 100_000, 5_000
+    said = lambda i: "thanks" if i % 3 else "number %d" % i
+    rows = [(1, i * far, "a", said(i) if i % 5 else f"> thanks\nanswer {i}") for i in range(n)]
+    rows += [(1, n * far, "b", "> number 3\nlate"), (1, (n + 1) * far, "b", "word " * 100_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    sizes = [r["count"] for r in quotes.parse(df, 16).groupBy("conv_id", "block").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < n / 4
+    got = {r.turn // far: r for r in quotes.arrange(df, 16).collect()}
+    last, start, nth = None, 0, {}
+    for i in range(n + 2):
+        quote = i < n and i % 5 == 0
+        parent = 3 if i == n else last if quote and last is not None else i - 1
+        if i == 0 or parent != i - 1:
+            start = i
+        nth[i] = (None if i == 0 else parent * far, start * far, i - start + 1)
+        if i < n and not quote and said(i) == "thanks":
+            last = i
+    assert {i: (r.parent, r.thread, r.position) for i, r in got.items()} == nth
+
+
 # ------------------------------------------------------------- 8: licenses ----
 def test_licenses(spark, docs, rows, none):
     notice = licenses.TEMPLATES[7][1]
