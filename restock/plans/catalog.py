@@ -34,9 +34,12 @@ class Model:
     """The model tables of one input folder, built lazily.
 
     ``keep`` names the intermediates that a query reads more than once:
-    ``"daily"`` (cells x days, not line items) and ``"plan"`` (cells). These are
-    written once as Parquet in the shared checkpoint folder, so the line items
+    ``"daily"`` (cells x days, not line items), ``"recent"`` and ``"plan"`` (cells).
+    These are written once as Parquet in the shared checkpoint folder, so the line items
     are scanned once and a lost executor costs nothing. All else is one lazy plan.
+
+    At part grain cells are about as many as line items, so keyed steps deal them to
+    ``tasks`` tasks, a number that follows the line items.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, start=None, horizon: int = H,
@@ -51,9 +54,16 @@ class Model:
     def warehouses(self):
         return tpch.warehouses(self.spark, self.sf_dir)
 
+    @cached_property
+    def tasks(self):
+        return tpch.keyed_tasks(self.spark, self.sf_dir) if self.grain == "part" else None
+
+    def _dealt(self, df: DataFrame, *keys: str) -> DataFrame:
+        return df.repartition(self.tasks, *keys) if self.tasks else df
+
     @cached_property
     def skus(self):
-        return tpch.skus(self.spark, self.sf_dir, self.grain)
+        return self._dealt(tpch.skus(self.spark, self.sf_dir, self.grain), "sku_id")
 
     @cached_property
     def sales(self):
@@ -61,7 +71,7 @@ class Model:
 
     @cached_property
     def daily_counted(self):
-        return self._kept(tpch.daily(self.spark, self.sf_dir, self.grain), "daily")
+        return self._kept(tpch.daily(self.spark, self.sf_dir, self.grain, self.tasks), "daily")
 
     @cached_property
     def daily(self):
@@ -75,22 +85,26 @@ class Model:
     def features(self):
         return Fe.rolling_features(self.daily)
 
+    @cached_property
+    def recent(self):
+        return self._kept(tpch.recent(self._dealt(self.daily, *S)), "recent")
+
     @cached_property
     def inventory(self):
-        return tpch.inventory_snapshot(self.daily)
+        return self._dealt(tpch.recent_stock(self.recent), *S)
 
     @cached_property
     def forecasts(self):
         """Stored forecast rows, one a day and series (I1, where it has none the flat mean)."""
         if self.grain == "part":
-            return tpch.standin_demand(self.daily, self.start, self.h)
+            return self._dealt(tpch.standin_demand(self.recent, self.start, self.h), *S)
         return Fc.combine_forecasts(Fc.trend_weekly_forecast(self.daily, self.start, self.h),
                                     tpch.flat_forecast(self.daily, self.start, self.h))
 
     @cached_property
     def plan(self):
         return self._kept(P.greedy_plan(self.warehouses, self.skus, self.inventory,
-                                        self.forecasts, self.start, self.h), "plan")
+                                        self.forecasts, self.start, self.h, tasks=self.tasks), "plan")
 
     @cached_property
     def balanced(self):
@@ -136,6 +150,7 @@ _m = _model()                       # every table is read once
 _mm = _model("daily")               # stock and forecasts both read the daily table
 _mp = _model("daily", "plan")       # the plan is read more than once too
 _mx = _model("daily", "plan", "outcomes", "service")
+_mc = _model("daily", "recent", grain="part")       # stock and demand both read the cells
 
 
 # ------------------------------------------------------------ sources ----
@@ -271,7 +286,7 @@ def greedy_plan(spark, sf_dir):
 
 
 def greedy_plan_by_part(spark, sf_dir):
-    return rounded(_model("daily", grain="part")(spark, sf_dir).plan)
+    return rounded(_mc(spark, sf_dir).plan)
 
 
 def feasible_sources_by_part(spark, sf_dir):

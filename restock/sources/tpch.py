@@ -40,6 +40,7 @@ from restock import S
 
 HORIZON = 14
 RECENT = 28
+TASK_ROWS = 400_000         # most rows a task is dealt at part grain
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,14 +137,23 @@ def _lines(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
                     (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("_rev"))
 
 
-def daily(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
+def keyed_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks that line items, or tables of no more rows, are dealt to by a key, so that
+    what one task holds does not grow with the tables (the count reads file footers)."""
+    return max(spark.sparkContext.defaultParallelism, -(-table(spark, sf_dir, "lineitem").count() // TASK_ROWS))
+
+
+def daily(spark: SparkSession, sf_dir: str, grain: str = "brand", tasks: int | None = None) -> DataFrame:
     """Daily aggregate (D-1) with the number of lines.
 
     Features, stock and demand all derive from it. It groups on the integer
-    nation key and formats ids after aggregating.
+    nation key and formats ids after aggregating. With ``tasks`` the lines are
+    dealt by SKU first: few lines of a part share a day, so sums per map task
+    would hold nearly every line.
     """
-    agg = (_lines(spark, sf_dir, grain)
-           .where(F.col("date").isNotNull() & F.col("s_nationkey").isNotNull() & F.col("_sku").isNotNull())
+    lines = (_lines(spark, sf_dir, grain)
+             .where(F.col("date").isNotNull() & F.col("s_nationkey").isNotNull() & F.col("_sku").isNotNull()))
+    agg = ((lines.repartition(tasks, "_sku") if tasks else lines)
            .groupBy("date", "s_nationkey", "_sku")
            .agg(F.sum("_q").alias("quantity_sold"), F.sum("_rev").alias("revenue"), F.count(F.lit(1)).alias("n_rows")))
     sku = part_id(F.col("_sku")) if grain == "part" else F.col("_sku")
@@ -168,9 +178,14 @@ def recent(daily_df: DataFrame) -> DataFrame:
 
 def inventory_snapshot(daily_df: DataFrame) -> DataFrame:
     """One snapshot row per cell with sales."""
+    return recent_stock(recent(daily_df))
+
+
+def recent_stock(recent_df: DataFrame) -> DataFrame:
+    """The snapshot rows from the rows of ``recent``."""
     k = F.regexp_extract("sku_id", "([0-9]+)$", 1).cast("long")
     share = (37 * wh_no(F.col("warehouse_id")) + 53 * k) % 120
-    stock = recent(daily_df).withColumn("_share", share).withColumn("_stock", F.expr("_units * _share div 100"))
+    stock = recent_df.withColumn("_share", share).withColumn("_stock", F.expr("_units * _share div 100"))
     return stock.select("snapshot_date", *S, F.col("_stock").alias("quantity_on_hand"),
                         F.lit(0).cast("long").alias("quantity_reserved"),
                         F.col("_stock").alias("quantity_available"))
@@ -184,10 +199,11 @@ def flat_forecast(daily_df: DataFrame, start, horizon: int = HORIZON) -> DataFra
                                    m.alias("upper"), F.lit("rolling_mean").alias("model_type"))
 
 
-def standin_demand(daily_df: DataFrame, start, horizon: int = HORIZON) -> DataFrame:
-    """Stand-in forecast for series too short to fit: one row per series holding the horizon total."""
+def standin_demand(recent_df: DataFrame, start, horizon: int = HORIZON) -> DataFrame:
+    """Stand-in forecast for series too short to fit, from the rows of ``recent``: one row per
+    series holding the horizon total."""
     f = F.round(F.col("_mean"), 6) * horizon
-    return recent(daily_df).select(start.alias("date"), *S, f.alias("forecast"), f.alias("lower"), f.alias("upper"),
+    return recent_df.select(start.alias("date"), *S, f.alias("forecast"), f.alias("lower"), f.alias("upper"),
                                    F.lit("rolling_mean").alias("model_type"))
 
 
