@@ -272,7 +272,7 @@ def replenishment_need(spark, sf_dir):
 
 
 def _sources(m: Model) -> DataFrame:
-    ch = P.feasible_sources(P.replenishment_need(_cells(m)), m.inventory, m.warehouses)
+    ch = P.feasible_sources(P.replenishment_need(_cells(m)), m.inventory, m.warehouses, m.tasks)
     src = m.warehouses.select(F.col("source_ord").alias("from_ord"), F.col("warehouse_id").alias("from_wh"))
     return ch.join(src, "from_ord").select(F.col("warehouse_id").alias("to_wh"), "sku_id", "needed_qty", "from_wh")
 
@@ -290,7 +290,7 @@ def greedy_plan_by_part(spark, sf_dir):
 
 
 def feasible_sources_by_part(spark, sf_dir):
-    return _sources(_model("daily", grain="part")(spark, sf_dir))
+    return _sources(_mc(spark, sf_dir))
 
 
 def balanced_plan(spark, sf_dir):
