@@ -88,28 +88,69 @@ def _contexts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([ids[at + d] for d in steps], axis=1)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _row_max(x: np.ndarray) -> np.ndarray:
+    """Largest value of each row, as a column: rows are halved, as few numbers in a row are slow to reduce."""
+    while x.shape[1] > 8:
+        half = x.shape[1] // 2
+        x = np.maximum(x[:, :half], x[:, half:])
+    return np.ascontiguousarray(x.T).max(axis=0)[:, None]
+
+
+def _less_max(x: np.ndarray) -> np.ndarray:
+    x -= _row_max(x)
+    return x
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Softmax of each row, by its logarithm, in place."""
+    e = np.exp(_less_max(x))
+    x -= np.log(e.sum(axis=1, keepdims=True))
+    return np.exp(x, out=x)
+
+
+def _log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """ln of the softmax of each row at its chosen column; ``x`` is used up."""
+    own = _less_max(x)[np.arange(len(x)), chosen]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
 
 
 def _hidden(p: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    x = p["embed"][context].reshape(len(context), -1)
-    return x, np.tanh(x @ p["hidden"] + p["hidden_bias"])
+    x = p["embed"].take(context, axis=0).reshape(len(context), -1)
+    z = x @ p["hidden"]
+    z += p["hidden_bias"]
+    return x, np.tanh(z, out=z)
+
+
+def _by_class(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """(order of the rows by class, for each class that occurs its first and past-the-last place in it)."""
+    order = np.argsort(group.astype(np.uint8), kind="stable")        # CLASSES fits a byte
+    cut = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
+    return order, [(c, a, b) for c, (a, b) in enumerate(zip([0, *cut], cut)) if a < b]
+
+
+def _member_logits(p: dict, h: np.ndarray, classes: list[tuple[int, int, int]]) -> np.ndarray:
+    """Logits within their class of rows in the order of classes: one table, as the steps
+    after it cost by the call where classes have few rows."""
+    out = np.empty((len(h), CLASS), h.dtype)
+    for c, a, b in classes:
+        np.matmul(h[a:b], p["word"][c], out=out[a:b])
+        out[a:b] += p["word_bias"][c]
+    return out
 
 
 def log_probabilities(p: dict, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     """ln P(target | context) for many places."""
     _, h = _hidden(p, context)
     group, member = target // CLASS, target % CLASS
-    out = _log_softmax(h @ p["class"] + p["class_bias"])[np.arange(len(target)), group]
-    order = np.argsort(group, kind="stable")
-    cut = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        own = order[cut[c]:cut[c + 1]]
-        if len(own):
-            logits = h[own] @ p["word"][c] + p["word_bias"][c]
-            out[own] += _log_softmax(logits)[np.arange(len(own)), member[own]]
+    logits = h @ p["class"]
+    logits += p["class_bias"]
+    out = _log_chosen(logits, group)
+    order, classes = _by_class(group)
+    h, member = h.take(order, axis=0), member[order]
+    for c, a, b in classes:
+        logits = h[a:b] @ p["word"][c]
+        logits += p["word_bias"][c]
+        out[order[a:b]] += _log_chosen(logits, member[a:b])
     return out
 
 
@@ -118,30 +159,42 @@ def step(p: dict, sums: dict, context: np.ndarray, target: np.ndarray) -> None:
     n = len(target)
     x, h = _hidden(p, context)
     group, member = target // CLASS, target % CLASS
-    d = np.exp(_log_softmax(h @ p["class"] + p["class_bias"]))
+    logits = h @ p["class"]
+    logits += p["class_bias"]
+    d = _softmax(logits)
     d[np.arange(n), group] -= 1
     d /= n
     g = {"class": h.T @ d, "class_bias": d.sum(axis=0),
          "word": np.zeros_like(p["word"]), "word_bias": np.zeros_like(p["word_bias"])}
     dh = d @ p["class"].T
-    order = np.argsort(group, kind="stable")
-    cut = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        own = order[cut[c]:cut[c + 1]]
-        if len(own):
-            w = np.exp(_log_softmax(h[own] @ p["word"][c] + p["word_bias"][c]))
-            w[np.arange(len(own)), member[own]] -= 1
-            w /= n
-            g["word"][c], g["word_bias"][c] = h[own].T @ w, w.sum(axis=0)
-            dh[own] += w @ p["word"][c].T
+    order, classes = _by_class(group)
+    own = h.take(order, axis=0)
+    w = _softmax(_member_logits(p, own, classes))
+    w[np.arange(n), member[order]] -= 1
+    w /= n
+    back = np.empty_like(own)
+    for c, a, b in classes:
+        part = w[a:b]
+        np.matmul(own[a:b].T, part, out=g["word"][c])
+        np.add.reduce(part, axis=0, out=g["word_bias"][c])
+        np.matmul(part, p["word"][c].T, out=back[a:b])
+    dh[order] += back
     dz = dh * (1 - h * h)
     g["hidden"], g["hidden_bias"] = x.T @ dz, dz.sum(axis=0)
-    dx = (dz @ p["hidden"].T).reshape(-1, DIM)
-    flat = context.ravel()
-    g["embed"] = np.stack([np.bincount(flat, dx[:, i], SIZE) for i in range(DIM)], axis=1).astype(np.float32)
+    dx = np.ascontiguousarray((dz @ p["hidden"].T).reshape(-1, DIM).T, dtype=np.float64)
+    flat = context.ravel().astype(np.int64)
+    g["embed"] = np.empty_like(p["embed"])
+    for i in range(DIM):
+        g["embed"][:, i] = np.bincount(flat, dx[i], SIZE)
     for k, v in p.items():
-        sums[k] += g[k] * g[k]
-        v -= RATE * g[k] / (np.sqrt(sums[k]) + 1e-6)
+        own = g[k]
+        square = own * own
+        sums[k] += square
+        rate = np.sqrt(sums[k], out=square)
+        rate += 1e-6
+        own *= RATE
+        own /= rate
+        v -= own
 
 
 def _flat(p: dict) -> np.ndarray:
@@ -248,19 +301,41 @@ def shares(counts: DataFrame, vocabulary: list[bytes], known: dict[bytes, int])
             {w: float(np.log(n / total[zlib.crc32(w) % OTHERS])) for w, n in known.items() if w not in own})
 
 
+class Places(dict):
+    """Word to its place in a table of ids and shares: the vocabulary, the shared ids, then the
+    other words whose share is known. Remembers a bounded number of further words."""
+
+    def __init__(self, words: list[bytes], near: dict[bytes, float]):
+        super().__init__((w, i) for i, w in enumerate(words))
+        own, other = len(self), [w for w in near if w not in self]
+        self.update((w, SIZE + i) for i, w in enumerate(other))
+        shared = [WORDS + zlib.crc32(w) % OTHERS for w in other]
+        self.ids = np.array([*range(SIZE), *shared], np.uint16)
+        self.shares = np.array([0.0] * SIZE + [near[w] for w in other])
+        self.most = own + len(other) + CACHE
+
+    def __missing__(self, word: bytes) -> int:
+        i = WORDS + zlib.crc32(word) % OTHERS
+        if len(self) < self.most:
+            self[word] = i
+        return i
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+
 def _encode_batches(words, near):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, known, number = Ids(words.value), near.value if near else None, TaskContext.get().partitionId() << 40
+        places, number = Places(words.value, near.value if near else {}), TaskContext.get().partitionId() << 40
         for batch in batches:
             codes, share, far = [], [], []
             for t in batch.column(0).cast(pa.large_binary()):
                 cut = t.as_buffer().to_pybytes().split() if t.is_valid else []
-                own = ids.of_words(cut)
-                codes.append(own.astype(np.uint16).tobytes())
-                if known is not None:
-                    beyond = [cut[i] for i in np.flatnonzero(own >= WORDS).tolist()]
-                    share.append(sum(known[w] for w in beyond if w in known))
-                    far.append([w for w in beyond if w not in known])
+                own = places.of(cut)
+                codes.append(places.ids[own].tobytes())
+                if near is not None:
+                    share.append(sum(places.shares[own[own >= SIZE]].tolist()))
+                    far.append([cut[i] for i in np.flatnonzero((own >= WORDS) & (own < SIZE)).tolist()])
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [pa.array(codes, pa.binary()), pa.array(np.arange(number, number + n)), pa.array(share or [0.0] * n, pa.float64()),
