@@ -35,8 +35,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from restock.llm.common import whole_rows, with_row
@@ -50,6 +51,8 @@ WORDS = SIZE - OTHERS - 1
 SIDE, DIM, HIDDEN = 2, 16, 24
 MASK, ROUNDS, BATCH, RATE = 8, 2, 1024, 0.1
 CACHE = 1 << 18
+LIMIT = 40                             # logits up to which exponentials need no shift
+CUT = 1 << 24                          # bytes of text whose words are held at once
 SHARES = 32                            # parts of the words, when the most frequent are sought
 
 
@@ -88,30 +91,36 @@ def _contexts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([ids[at + d] for d in steps], axis=1)
 
 
-def _row_max(x: np.ndarray) -> np.ndarray:
-    """Largest value of each row, as a column: rows are halved, as few numbers in a row are slow to reduce."""
-    while x.shape[1] > 8:
-        half = x.shape[1] // 2
-        x = np.maximum(x[:, :half], x[:, half:])
-    return np.ascontiguousarray(x.T).max(axis=0)[:, None]
+def _in_range(x: np.ndarray) -> np.ndarray:
+    """``x``, in place, less the largest of its row where exponentials would leave the range of float32."""
+    if len(x) and not (x.max() < LIMIT and x.min() > -LIMIT):
+        x -= x.max(axis=1, keepdims=True)
+    return x
 
 
-def _less_max(x: np.ndarray) -> np.ndarray:
-    x -= _row_max(x)
-    return x
+def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exponentials of ``x``, in place, their sum in each row)."""
+    np.exp(x, out=x)
+    return x, x @ np.ones(x.shape[1], x.dtype)
+
 
+def _flat_at(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    return np.arange(0, x.size, x.shape[1]) + chosen
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Softmax of each row, by its logarithm, in place."""
-    e = np.exp(_less_max(x))
-    x -= np.log(e.sum(axis=1, keepdims=True))
-    return np.exp(x, out=x)
+
+def _softmax_less_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """(softmax of each row - 1 at its chosen column) / number of rows, in place."""
+    x, total = _exp(_in_range(x))
+    total *= len(x)
+    x *= np.reciprocal(total, out=total)[:, None]
+    x.reshape(-1)[_flat_at(x, chosen)] -= 1 / len(x)
+    return x
 
 
 def _log_chosen(x: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """ln of the softmax of each row at its chosen column; ``x`` is used up."""
-    own = _less_max(x)[np.arange(len(x)), chosen]
-    return own - np.log(np.exp(x, out=x).sum(axis=1))
+    own = _in_range(x).take(_flat_at(x, chosen))
+    return own - np.log(_exp(x)[1])
 
 
 def _hidden(p: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,80 +130,85 @@ def _hidden(p: dict, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x, np.tanh(z, out=z)
 
 
-def _by_class(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """(order of the rows by class, for each class that occurs its first and past-the-last place in it)."""
-    order = np.argsort(group.astype(np.uint8), kind="stable")        # CLASSES fits a byte
+def _by_class(target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """(order of the targets by class, for each class that occurs its first and past-the-last place in it)."""
+    group = (target // CLASS).astype(np.uint8)                       # CLASSES fits a byte
     cut = np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
-    return order, [(c, a, b) for c, (a, b) in enumerate(zip([0, *cut], cut)) if a < b]
+    return np.argsort(group, kind="stable"), [(c, a, b) for c, (a, b) in enumerate(zip([0, *cut], cut)) if a < b]
 
 
-def _member_logits(p: dict, h: np.ndarray, classes: list[tuple[int, int, int]]) -> np.ndarray:
-    """Logits within their class of rows in the order of classes: one table, as the steps
-    after it cost by the call where classes have few rows."""
-    out = np.empty((len(h), CLASS), h.dtype)
+def _logits(p: dict, h: np.ndarray, group: np.ndarray, classes: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Logits of the classes, and of the ids within their class, of rows in the order of classes:
+    one table each, as the steps after it cost by the call where classes have few rows."""
+    first, second = h @ p["class"], np.empty((len(h), CLASS), h.dtype)
+    first += p["class_bias"]
     for c, a, b in classes:
-        np.matmul(h[a:b], p["word"][c], out=out[a:b])
-        out[a:b] += p["word_bias"][c]
-    return out
+        np.dot(h[a:b], p["word"][c], out=second[a:b])
+    second += p["word_bias"].take(group, axis=0)
+    return first, second
 
 
 def log_probabilities(p: dict, context: np.ndarray, target: np.ndarray) -> np.ndarray:
     """ln P(target | context) for many places."""
-    _, h = _hidden(p, context)
-    group, member = target // CLASS, target % CLASS
-    logits = h @ p["class"]
-    logits += p["class_bias"]
-    out = _log_chosen(logits, group)
-    order, classes = _by_class(group)
-    h, member = h.take(order, axis=0), member[order]
-    for c, a, b in classes:
-        logits = h[a:b] @ p["word"][c]
-        logits += p["word_bias"][c]
-        out[order[a:b]] += _log_chosen(logits, member[a:b])
+    order, classes = _by_class(target)
+    target = target.take(order)
+    group = target // CLASS
+    _, h = _hidden(p, context.take(order, axis=0))
+    first, second = _logits(p, h, group, classes)
+    out = np.empty(len(target), h.dtype)
+    out[order] = _log_chosen(first, group) + _log_chosen(second, target % CLASS)
     return out
 
 
+def _descend(v: np.ndarray, total: np.ndarray, g: np.ndarray) -> None:
+    """AdaGrad on the values ``v`` with their sums of squares; ``g`` is used up."""
+    rate = g * g
+    total += rate
+    np.sqrt(total, out=rate)
+    rate += 1e-6
+    g *= RATE
+    g /= rate
+    v -= g
+
+
 def step(p: dict, sums: dict, context: np.ndarray, target: np.ndarray) -> None:
-    """One step of AdaGrad on the mean negative log-probability."""
-    n = len(target)
+    """One step of AdaGrad on the mean negative log-probability; rows are put in the order of
+    classes first, and only the embeddings of ids that occur are touched (others have no slope)."""
+    order, classes = _by_class(target)
+    context, target = context.take(order, axis=0), target.take(order)
+    group = target // CLASS
     x, h = _hidden(p, context)
-    group, member = target // CLASS, target % CLASS
-    logits = h @ p["class"]
-    logits += p["class_bias"]
-    d = _softmax(logits)
-    d[np.arange(n), group] -= 1
-    d /= n
-    g = {"class": h.T @ d, "class_bias": d.sum(axis=0),
-         "word": np.zeros_like(p["word"]), "word_bias": np.zeros_like(p["word_bias"])}
-    dh = d @ p["class"].T
-    order, classes = _by_class(group)
-    own = h.take(order, axis=0)
-    w = _softmax(_member_logits(p, own, classes))
-    w[np.arange(n), member[order]] -= 1
-    w /= n
-    back = np.empty_like(own)
+    first, second = _logits(p, h, group, classes)
+    d, w = _softmax_less_chosen(first, group), _softmax_less_chosen(second, target % CLASS)
+    one = np.ones(len(h), h.dtype)
+    g = {"class": h.T @ d, "class_bias": one @ d, "word": np.empty_like(p["word"]), "word_bias": np.empty_like(p["word_bias"])}
+    if len(classes) < CLASSES:
+        g["word"][:], g["word_bias"][:] = 0, 0
+    back = np.empty_like(h)
     for c, a, b in classes:
-        part = w[a:b]
-        np.matmul(own[a:b].T, part, out=g["word"][c])
-        np.add.reduce(part, axis=0, out=g["word_bias"][c])
-        np.matmul(part, p["word"][c].T, out=back[a:b])
-    dh[order] += back
-    dz = dh * (1 - h * h)
-    g["hidden"], g["hidden_bias"] = x.T @ dz, dz.sum(axis=0)
-    dx = np.ascontiguousarray((dz @ p["hidden"].T).reshape(-1, DIM).T, dtype=np.float64)
-    flat = context.ravel().astype(np.int64)
-    g["embed"] = np.empty_like(p["embed"])
+        own, part = h[a:b], w[a:b]
+        np.dot(own.T, part, out=g["word"][c])
+        np.dot(one[a:b], part, out=g["word_bias"][c])
+        np.dot(part, p["word"][c].T, out=back[a:b])
+    back += d @ p["class"].T
+    h *= h
+    dz = np.subtract(1, h, out=h)
+    dz *= back
+    g["hidden"], g["hidden_bias"] = x.T @ dz, one @ dz
+    dx = (p["hidden"] @ dz.T).reshape(2 * SIDE, DIM, -1).transpose(1, 0, 2).astype(np.float64).reshape(DIM, -1)
+    flat = context.T.ravel()
+    seen = np.flatnonzero(np.bincount(flat, minlength=SIZE))
+    place = np.empty(SIZE, np.intp)
+    place[seen] = np.arange(len(seen))
+    place = place.take(flat)
+    embed = np.empty((len(seen), DIM), h.dtype)
     for i in range(DIM):
-        g["embed"][:, i] = np.bincount(flat, dx[i], SIZE)
-    for k, v in p.items():
-        own = g[k]
-        square = own * own
-        sums[k] += square
-        rate = np.sqrt(sums[k], out=square)
-        rate += 1e-6
-        own *= RATE
-        own /= rate
-        v -= own
+        embed[:, i] = np.bincount(place, dx[i], len(seen))
+    v, total = p["embed"].take(seen, axis=0), sums["embed"].take(seen, axis=0)
+    _descend(v, total, embed)
+    p["embed"][seen], sums["embed"][seen] = v, total
+    for k, own in g.items():
+        _descend(p[k], sums[k], own)
 
 
 def _flat(p: dict) -> np.ndarray:
@@ -266,81 +280,116 @@ def _train_batches(weights, turn: int, rounds: int):
     return run
 
 
-def _words(body: DataFrame) -> DataFrame:
-    """The words (w) of the texts (t), other columns kept."""
-    rest = [c for c in body.columns if c != "t"]
-    cut = F.split(F.regexp_replace("t", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
-    return body.select(*rest, F.explode(cut).alias("w")).where("w <> ''")
+def _cut(column) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """(words, number of words of each text) of runs of consecutive texts with about ``CUT``
+    bytes in all; a longer text stands alone. Words are cut like ``bytes.split`` does."""
+    texts = pc.fill_null(column.cast(pa.large_binary()), b"")
+    end, lo = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(end, (end[lo - 1] if lo else 0) + CUT, side="right")))
+        cut = pc.ascii_split_whitespace(texts[lo:hi].view(pa.large_string()))
+        sizes, words = np.array(pc.list_value_length(cut), np.int64), cut.flatten().view(pa.large_binary())
+        full = pc.greater(pc.binary_length(words), 0)                # space at either end cuts off an empty word
+        sizes -= np.bincount(pc.list_parent_indices(cut).filter(pc.invert(full)), minlength=hi - lo)
+        yield words.filter(full), sizes
+        lo = hi
+
+
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for words, _ in _cut(batch.column(0)):
+            w, n = words.value_counts().flatten()
+            yield pa.RecordBatch.from_arrays([w.cast(pa.binary()), n], names=["w", "n"])
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Written table (w, n): every word of all texts and how often it occurs."""
-    words = _words(docs.select(F.col(text).cast("string").alias("t")))
-    return materialize(words.groupBy("w").agg(F.count("*").alias("n")), "word-counts")
+    """Written table (w, n): every word of all texts, as bytes, and how often it occurs. Tasks
+    count a bounded number of texts at a time, Spark adds up."""
+    words = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(_count_batches, "w binary, n long")
+    return materialize(words.groupBy("w").agg(F.sum("n").alias("n")), "word-counts")
 
 
 def frequent(counts: DataFrame) -> tuple[list[bytes], dict[bytes, int]]:
     """The vocabulary, and the counts of it and of other frequent words: the first of
-    each of a fixed number of parts, so that what the driver holds does not grow."""
-    part = Window.partitionBy(F.pmod(F.xxhash64("w"), F.lit(SHARES))).orderBy(F.desc("n"), "w")
-    rows = counts.withColumn("r", F.row_number().over(part)).where(F.col("r") <= WORDS).select("w", "n").collect()
-    known = {r["w"].encode(): r["n"] for r in rows}
+    each of a fixed number of parts, so that what the driver holds does not grow. Only words
+    that can be among them, by the bits of their counts, are ranked."""
+    part, bits = F.pmod(F.xxhash64("w"), F.lit(SHARES)).cast("int"), F.length(F.bin("n"))
+    least, above = [0] * SHARES, [0] * SHARES
+    for r in sorted(counts.groupBy(part.alias("p"), bits.alias("b")).count().collect(), key=lambda r: -r["b"]):    # 64 rows a part at most
+        if above[r["p"]] < WORDS:
+            least[r["p"]] = r["b"]
+        above[r["p"]] += r["count"]
+    rank = F.row_number().over(Window.partitionBy(part).orderBy(F.desc("n"), "w"))
+    rows = (counts.where(bits >= F.get(F.array(*map(F.lit, least)), part)).withColumn("r", rank)
+            .where(F.col("r") <= WORDS).select("w", "n").collect())
+    known = {bytes(r["w"]): r["n"] for r in rows}
     return sorted(known, key=lambda w: (-known[w], w))[:WORDS], known
 
 
-def shares(counts: DataFrame, vocabulary: list[bytes], known: dict[bytes, int]) -> tuple[DataFrame, dict[bytes, float]]:
-    """Table (w, share): ln of the share of each word (as bytes) in the occurrences of its
-    shared id; and the shares of the known words beyond the vocabulary."""
+def shares(counts: DataFrame, vocabulary: list[bytes], known: dict[bytes, int]) -> tuple[Column, dict[bytes, float]]:
+    """ln of the share of a word (``w``, ``n``) in the occurrences of its shared id, as an
+    expression; and the shares of the known words beyond the vocabulary."""
     slot = F.pmod(F.crc32("w"), F.lit(OTHERS)).cast("int")
     total = {r["s"]: r["n"] for r in counts.groupBy(slot.alias("s")).agg(F.sum("n").alias("n")).collect()}    # OTHERS rows
     for w in vocabulary:
         total[zlib.crc32(w) % OTHERS] -= known[w]
     mass = F.array(*[F.lit(float(total.get(i, 0))) for i in range(OTHERS)])
     own = set(vocabulary)
-    return (counts.select(F.col("w").cast("binary").alias("w"), F.log(F.col("n") / F.nullif(F.get(mass, slot), F.lit(0.0))).alias("share")),
+    return (F.log(F.col("n") / F.nullif(F.get(mass, slot), F.lit(0.0))),
             {w: float(np.log(n / total[zlib.crc32(w) % OTHERS])) for w, n in known.items() if w not in own})
 
 
-class Places(dict):
+class Places:
     """Word to its place in a table of ids and shares: the vocabulary, the shared ids, then the
-    other words whose share is known. Remembers a bounded number of further words."""
+    other words whose share is known."""
 
     def __init__(self, words: list[bytes], near: dict[bytes, float]):
-        super().__init__((w, i) for i, w in enumerate(words))
-        own, other = len(self), [w for w in near if w not in self]
-        self.update((w, SIZE + i) for i, w in enumerate(other))
+        self.own, own = len(words), set(words)
+        other = [w for w in near if w not in own]
+        self.words = pa.array([*words, *other], pa.large_binary())
         shared = [WORDS + zlib.crc32(w) % OTHERS for w in other]
         self.ids = np.array([*range(SIZE), *shared], np.uint16)
         self.shares = np.array([0.0] * SIZE + [near[w] for w in other])
-        self.most = own + len(other) + CACHE
 
-    def __missing__(self, word: bytes) -> int:
-        i = WORDS + zlib.crc32(word) % OTHERS
-        if len(self) < self.most:
-            self[word] = i
-        return i
+    def of(self, words: pa.Array | list[bytes]) -> np.ndarray:
+        if not isinstance(words, pa.Array):
+            words = pa.array(words, pa.large_binary())
+        found = pc.index_in(words, value_set=self.words)
+        out = found.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        out[out >= self.own] += SIZE - self.own
+        if found.null_count:
+            far = words.filter(pc.is_null(found))
+            edge, raw = np.frombuffer(far.buffers()[1], np.int64)[far.offset:far.offset + len(far) + 1].tolist(), far.buffers()[2].to_pybytes()
+            out[out < 0] = WORDS + np.array([zlib.crc32(raw[a:b]) for a, b in zip(edge, edge[1:])]) % OTHERS
+        return out
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
 
 
 def _encode_batches(words, near):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, number = Places(words.value, near.value if near else {}), TaskContext.get().partitionId() << 40
         for batch in batches:
-            codes, share, far = [], [], []
-            for t in batch.column(0).cast(pa.large_binary()):
-                cut = t.as_buffer().to_pybytes().split() if t.is_valid else []
-                own = places.of(cut)
-                codes.append(places.ids[own].tobytes())
-                if near is not None:
-                    share.append(sum(places.shares[own[own >= SIZE]].tolist()))
-                    far.append([cut[i] for i in np.flatnonzero((own >= WORDS) & (own < SIZE)).tolist()])
-            n = batch.num_rows
+            codes, tokens, share, far, beyond = [np.zeros(0, np.uint16)], [], [], [pa.array([], pa.large_binary())], []
+            for cut, sizes in _cut(batch.column(0)):
+                place, n = places.of(cut), len(sizes)
+                codes.append(places.ids[place])
+                tokens.append(sizes)
+                row = np.repeat(np.arange(n), sizes)
+                at = np.flatnonzero((place >= WORDS) & (place < SIZE)) if near else np.zeros(0, np.int64)
+                share.append(np.bincount(row, places.shares[place], n))
+                far.append(cut.take(pa.array(at)))
+                beyond.append(np.bincount(row[at], minlength=n))
+            if not tokens:
+                continue
+            n, data = batch.num_rows, np.concatenate(codes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(codes, pa.binary()), pa.array(np.arange(number, number + n)), pa.array(share or [0.0] * n, pa.float64()),
-                 pa.array(far or [[]] * n, pa.list_(pa.binary())), batch.column(1)],
-                names=["codes", "number", "share", "far", "row"])
+                [pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(_offsets(2 * np.concatenate(tokens))), pa.py_buffer(data)]),
+                 pa.array(np.arange(number, number + n)), pa.array(np.concatenate(share)),
+                 pa.ListArray.from_arrays(pa.array(_offsets(np.concatenate(beyond))), pa.concat_arrays(far).cast(pa.binary())),
+                 batch.column(1)], names=["codes", "number", "share", "far", "row"])
             number += n
     return run
 
@@ -389,8 +438,8 @@ def _score_batches(words, weights):
             for lo in range(0, len(texts), 256):
                 stream, at, sizes = _joined(texts[lo:lo + 256], ids)
                 value = np.concatenate([np.zeros(0)] + [
-                    log_probabilities(p, _contexts(stream, at[a:a + 16_384]), stream[at[a:a + 16_384]])
-                    for a in range(0, len(at), 16_384)])
+                    log_probabilities(p, _contexts(stream, at[a:a + 4096]), stream[at[a:a + 4096]])
+                    for a in range(0, len(at), 4096)])
                 edge = np.concatenate(([0.0], np.cumsum(value, dtype=np.float64)))
                 last = np.cumsum(sizes)
                 total.append(edge[last] - edge[last - sizes])
@@ -416,11 +465,14 @@ def likelihoods(docs: DataFrame, text: str = "text", columns: list[str] | None =
     shares of the words that share ids."""
     counts = count_words(docs, text)
     vocabulary, known = frequent(counts)
-    table, near = shares(counts, vocabulary, known)
+    share, near = shares(counts, vocabulary, known)
     codes = encode(docs, vocabulary, near, text, columns)
-    # sort-merge joins whatever the sizes, so that small and large inputs run the same plan
-    far = materialize(codes.select("number", F.explode("far").alias("w")).join(table.hint("merge"), "w")
-                      .groupBy("number").agg(F.sum("share").alias("far")), "word-shares")
+    # sort-merge joins whatever the sizes, so that small and large inputs run the same plan; words
+    # that occur once need no row
+    often = counts.where("n > 1").select("w", F.col("n").alias("often"))
+    far = materialize(codes.select("number", F.explode("far").alias("w")).join(often.hint("merge"), "w", "left")
+                      .withColumn("n", F.coalesce("often", F.lit(1)))
+                      .groupBy("number").agg(F.sum(share).alias("far")), "word-shares")
     drop_tables(counts)
     weights = docs.sparkSession.sparkContext.broadcast(fit(codes, rounds))
     src = codes.select("codes", F.struct("number", "share", "row").alias("row"))
